@@ -17,8 +17,26 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_personal_data
+
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_rules
+
+    return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_packing, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
