@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,39 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import digests, format_conversations, hostile
+
+    return digests(format_conversations(hostile(_table(spark, sf_dir, "conversations"))))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import mark_leaks
+
+    marked = mark_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("_leaks", lambda x: x["item_id"])))
+    return marked.select("doc_id", (F.size("_leaks") > 0).alias("contaminated"), F.size(items).cast("long").alias("n_items"), F.array_join(items.cast("array<string>"), ",").alias("item_ids"), F.array_min(F.transform("_leaks", lambda x: x["distance"])).cast("long").alias("least_edits"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import without_boilerplate
+
+    kept = without_boilerplate(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return kept.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_rules
 
@@ -36,7 +70,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_packing, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_packing, op4_chat, op6_decontamination, op7_line_dedup, op8_licenses, op9_quality_rules, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
