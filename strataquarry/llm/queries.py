@@ -36,6 +36,12 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(hostile(_table(spark, sf_dir, "conversations"))))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_join
+
+    return jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import mark_leaks
 
@@ -70,7 +76,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_packing, op4_chat, op6_decontamination, op7_line_dedup, op8_licenses, op9_quality_rules, op10_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_packing, op4_chat, op5_jaccard_join, op6_decontamination, op7_line_dedup, op8_licenses, op9_quality_rules, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
