@@ -41,55 +41,45 @@ def render_turn(turn: Column, escaped: bool) -> Column:
     return F.concat(F.lit("<s e>" if escaped else "<s>"), F.lit("[INST]"), role, F.lit("[/INST]"), text, F.lit("</s>"))
 
 
-def parse(rendered: Column) -> Column:
-    """Turns of a rendering; null where it is not in the language."""
-    marks = F.regexp_extract_all(rendered, F.lit(CONTROL), F.lit(0))
-    parts = F.split(rendered, CONTROL, -1)
-    n = F.floor(F.size(marks) / 4).cast("int")
+def parsed(df: DataFrame, rendered: str, out: str) -> DataFrame:
+    """df with the turns of a rendering as `out`; null where it is not in the language. Marks are found once a row."""
+    df = df.withColumn("_marks", F.regexp_extract_all(rendered, F.lit(CONTROL), F.lit(0))).withColumn("_parts", F.split(rendered, CONTROL, -1))
+    n = F.floor(F.size("_marks") / 4).cast("int")
     numbers = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    empty = F.lit("")
 
     def mark(i: Column, k: int) -> Column:
-        return F.get(marks, i * 4 + k)
+        return F.get("_marks", i * 4 + k)
 
     def part(i: Column, k: int) -> Column:
-        return F.get(parts, i * 4 + k)
+        return F.get("_parts", i * 4 + k)
 
-    fits = F.forall(
-        numbers,
-        lambda i: mark(i, 0).isin("<s>", "<s e>") & (mark(i, 1) == "[INST]") & (mark(i, 2) == "[/INST]") & (mark(i, 3) == "</s>") & (part(i, 0) == empty) & (part(i, 1) == empty),
-    )
-    well = (F.size(marks) == n * 4) & fits & (F.get(parts, n * 4) == empty)
+    fits = F.forall(numbers, lambda i: mark(i, 0).isin("<s>", "<s e>") & (mark(i, 1) == "[INST]") & (mark(i, 2) == "[/INST]") & (mark(i, 3) == "</s>") & (part(i, 0) == "") & (part(i, 1) == ""))
+    well = (F.size("_marks") == n * 4) & fits & (F.get("_parts", n * 4) == "")
     coded = lambda i, k: F.when(mark(i, 0) == "<s e>", unescape(part(i, k))).otherwise(part(i, k))
     turns = F.transform(numbers, lambda i: F.struct(coded(i, 2).alias("role"), coded(i, 3).alias("text")))
-    return F.when(well, turns)
+    return df.withColumn(out, F.when(well, turns)).drop("_marks", "_parts")
+
+
+def survives(turn: Column) -> Column:
+    """Whether the parser gets a turn back from its raw rendering alone."""
+    return F.split(render_turn(turn, False), CONTROL, -1) == F.array(F.lit(""), F.lit(""), turn["role"], turn["text"], F.lit(""))
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
     """conv_id, formatted, turns (parsed back) of every conversation of rows(conv_id, turn, role, text)."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    turns = F.array_sort(F.collect_list(F.struct("turn", text("role").alias("role"), text("text").alias("text"))), _before)
+    turns = F.sort_array(F.collect_list(F.struct("turn", text("role").alias("role"), text("text").alias("text"))))
     found = rows.groupBy("conv_id").agg(turns.alias("rows"))
     found = found.select("conv_id", F.transform("rows", lambda r: F.struct(r["role"].alias("role"), r["text"].alias("text"))).alias("source"))
-    found = found.withColumn("raw", F.array_join(F.transform("source", lambda t: render_turn(t, False)), ""))
-    found = found.withColumn("back", parse(F.col("raw")))
-    alone = F.transform(
-        "source",
-        lambda t: F.when(F.coalesce(parse(render_turn(t, False)) == F.array(F.struct(t["role"].alias("role"), t["text"].alias("text"))), F.lit(False)), render_turn(t, False)).otherwise(render_turn(t, True)),
-    )
+    found = parsed(found.withColumn("raw", F.array_join(F.transform("source", lambda t: render_turn(t, False)), "")), "raw", "back")
+    alone = F.transform("source", lambda t: F.when(survives(t), render_turn(t, False)).otherwise(render_turn(t, True)))
     same = F.coalesce(F.col("back") == F.col("source"), F.lit(False))
     found = found.select("conv_id", "source", F.when(same, F.col("raw")).otherwise(F.array_join(alone, "")).alias("formatted"))
-    found = found.withColumn("turns", parse(F.col("formatted")))
+    found = parsed(found, "formatted", "turns")
     identical = F.coalesce(F.col("turns") == F.col("source"), F.lit(False))
     return found.select("conv_id", "formatted", F.when(identical, F.col("turns")).otherwise(F.raise_error(F.concat(F.lit("no round trip: "), F.col("formatted"))).cast(TURNS)).alias("turns"))
 
 
-def _before(a: Column, b: Column) -> Column:
-    """Order by turn (null first), role, text."""
-    less = lambda x, y: F.when(x.isNull() & y.isNotNull() | (x < y), -1).when(y.isNull() & x.isNotNull() | (x > y), 1)
-    return F.coalesce(less(a["turn"], b["turn"]), less(a["role"], b["role"]), less(a["text"], b["text"]), F.lit(0))
-
-
 def digests(formatted: DataFrame) -> DataFrame:
     """The contract's columns, read back from a result of format_conversations()."""
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
