@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 from .runtime import small_batches
@@ -44,7 +45,10 @@ class Index:
     words: list[np.ndarray]
     edits: np.ndarray
     pairs: np.ndarray  # sorted hashes of all word pairs
+    posts: np.ndarray  # bounds of each pair's items in post
+    post: np.ndarray
     lengths: np.ndarray  # distinct item lengths
+    slack: np.ndarray  # edits that each allows
     keys: np.ndarray  # sorted LSH keys of all walks
     owner: np.ndarray  # item of each key
     filter: np.ndarray
@@ -85,13 +89,18 @@ def build(items: list[tuple[int, str]], similarity: float, min_words: int, walks
     flat = np.concatenate(words)
     start = np.cumsum(n) - n
     keys = walk_keys(flat, start, n, start + n, walks, samples)
-    pairs = np.unique(np.concatenate([W.Runs(x).grams(2) for x in words]))
+    grams = [np.unique(W.Runs(x).grams(2)) for x in words]
+    pairs, which = np.unique(np.concatenate(grams), return_inverse=True)
+    by_pair = np.argsort(which, kind="stable")
+    posts = np.searchsorted(which[by_pair], np.arange(len(pairs) + 1))
+    post = np.repeat(np.arange(len(words)), [len(g) for g in grams])[by_pair]
     seen = np.zeros(1 << _BITS, bool)
     seen[(pairs >> np.uint64(64 - _BITS)).astype(np.int64)] = True
     flat_keys, owner = keys.ravel(), np.tile(np.arange(len(some)), walks)
     order = np.argsort(flat_keys, kind="stable")
-    edits = np.floor((1 - similarity) * n + 1e-9).astype(np.int64)
-    return Index(np.array([items[i][0] for i in some]), words, edits, pairs, np.unique(n), flat_keys[order], owner[order], seen)
+    allowed = lambda size: np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
+    lengths = np.unique(n)
+    return Index(np.array([items[i][0] for i in some]), words, allowed(n), pairs, posts, post, lengths, allowed(lengths), flat_keys[order], owner[order], seen)
 
 
 def fit_in(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -134,20 +143,36 @@ def find(index: Index, w: W.Words, walks: int, samples: int) -> list[tuple[int,
     at = np.flatnonzero(hit)
     place = np.searchsorted(index.pairs, grams[at])
     hit[at] = index.pairs[np.minimum(place, len(index.pairs) - 1)] == grams[at]
-    sums = np.concatenate([[0], np.cumsum(hit)])
     at = np.flatnonzero(hit)
+    near = np.zeros(len(at) + 1, np.int64)
+    for length, e in zip(index.lengths.tolist(), index.slack.tolist(), strict=True):
+        need = max(1, length - 1 - 2 * e)
+        if len(at) >= need:
+            head = np.flatnonzero(at[need - 1 :] - at[: len(at) - need + 1] <= length + e - 2)
+            np.add.at(near, head, 1)
+            np.subtract.at(near, head + need, 1)
+    at = at[np.cumsum(near[:-1]) > 0]
     if not len(at):
         return []
-    starts, lengths = [], []
-    for length in index.lengths.tolist():
-        e = int(index.edits[next(i for i, x in enumerate(index.words) if len(x) == length)])
-        need = max(1, length - 1 - 2 * e)
-        s = np.flatnonzero(sums[np.minimum(np.arange(total) + length + e - 1, total - 1)] - sums[np.minimum(np.arange(total), total - 1)] >= need) if len(at) >= need else np.zeros(0, np.int64)
-        starts.append(s)
-        lengths.append(np.full(len(s), length))
-    start, length = np.concatenate(starts), np.concatenate(lengths)
-    if not len(start):
+    # the same condition for each item alone, over its own pairs
+    n = index.posts[1:] - index.posts[:-1]
+    pair = np.searchsorted(index.pairs, grams[at])
+    row = np.repeat(np.arange(len(at)), n[pair])
+    item = index.post[np.repeat(index.posts[pair], n[pair]) + np.arange(len(row)) - np.repeat(np.cumsum(n[pair]) - n[pair], n[pair])]
+    order = np.lexsort((row, item))
+    item, place = item[order], at[row[order]]
+    size = np.array([len(x) for x in index.words])
+    last = np.arange(len(item)) + np.maximum(1, size - 1 - 2 * index.edits)[item] - 1
+    inside = last < len(item)
+    far = np.minimum(last, len(item) - 1)
+    head = np.flatnonzero(inside & (item[far] == item) & (place[far] - place <= (size + index.edits)[item] - 2))
+    if not len(head):
         return []
+    # at most 2e words of a leak stand before its first surviving pair
+    back = 2 * index.edits[item[head]] + 1
+    row = np.repeat(head, back)
+    start = np.maximum(place[row] - (np.arange(len(row)) - np.repeat(np.cumsum(back) - back, back)), 0)
+    start, length = np.unique(np.stack([start, size[item[row]]], 1), axis=0).T
     doc = np.searchsorted(w.first, start, "right") - 1
     keys = walk_keys(w.hashes, start, length, w.first[doc + 1], walks, samples).ravel()
     lo, hi = np.searchsorted(index.keys, keys, "left"), np.searchsorted(index.keys, keys, "right")
@@ -172,7 +197,7 @@ def find(index: Index, w: W.Words, walks: int, samples: int) -> list[tuple[int,
     return out
 
 
-def _mark(index: Index, at: int, has_hits: bool, walks: int, samples: int):
+def _mark(index: Index, at: int, has_hits: bool, walks: int, samples: int, dropped: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
@@ -182,8 +207,8 @@ def _mark(index: Index, at: int, has_hits: bool, walks: int, samples: int):
                 hits: list[list[dict]] = own.column(own.num_columns - 1).to_pylist() if has_hits else [[] for _ in range(len(part))]
                 for d, item, a, b, distance in find(index, W.split(buf, docs), walks, samples):
                     hits[d].append({"item_id": int(index.ids[item]), "start": a, "end": b, "distance": distance})
-                cols = own.columns[:-1] if has_hits else own.columns
-                names = own.schema.names[:-1] if has_hits else own.schema.names
+                keep = [i for i in range(own.num_columns - has_hits) if not (dropped and i == at)]
+                cols, names = [own.column(i) for i in keep], [own.schema.names[i] for i in keep]
                 yield pa.record_batch([*cols, pa.array(hits, _HITS)], names=[*names, "_leaks"])
 
     return run
@@ -202,19 +227,14 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_CHARS) -> Iterator[list[tuple
         yield block
 
 
-def mark_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, walks: int = WALKS, samples: int = SAMPLES) -> DataFrame:
-    """Rows of documents with _leaks: item_id, start, end (words), distance of each leak."""
+def mark_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, walks: int = WALKS, samples: int = SAMPLES, with_text: bool = True) -> DataFrame:
+    """Rows of documents with _leaks: item_id, start, end (words), distance of each leak. Without text, it need not travel back."""
     small_batches(documents.sparkSession)
-    at, out, found = documents.columns.index("text"), documents, False
-    for block in blocks(benchmark):
-        index = build(block, similarity, min_words, walks, samples)
-        if index:
-            out = out.mapInArrow(_mark(index, at, found, walks, samples), out.schema if found else _with_leaks(documents))
-            found = True
-    return out if found else out.withColumn("_leaks", F.array().cast(HITS))
-
-
-def _with_leaks(documents: DataFrame):
-    from pyspark.sql import types as T
-
-    return T.StructType([*documents.schema.fields, T.StructField("_leaks", T._parse_datatype_string(HITS))])
+    at, out = documents.columns.index("text"), documents
+    indexes = [x for x in (build(block, similarity, min_words, walks, samples) for block in blocks(benchmark)) if x]
+    leaks = T.StructField("_leaks", T._parse_datatype_string(HITS))
+    for i, index in enumerate(indexes):
+        drop = i == len(indexes) - 1 and not with_text
+        fields = [f for f in documents.schema.fields if not (drop and f.name == "text")]
+        out = out.mapInArrow(_mark(index, at, i > 0, walks, samples, drop), T.StructType([*fields, leaks]))
+    return out if indexes else out.withColumn("_leaks", F.array().cast(HITS)).select(*(c for c in documents.columns if with_text or c != "text"), "_leaks")

@@ -45,7 +45,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import mark_leaks
 
-    marked = mark_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    marked = mark_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"), with_text=False)
     items = F.array_sort(F.array_distinct(F.transform("_leaks", lambda x: x["item_id"])))
     return marked.select("doc_id", (F.size("_leaks") > 0).alias("contaminated"), F.size(items).cast("long").alias("n_items"), F.array_join(items.cast("array<string>"), ",").alias("item_ids"), F.array_min(F.transform("_leaks", lambda x: x["distance"])).cast("long").alias("least_edits"))
 
