@@ -144,7 +144,10 @@ def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8) -> DataFr
     texts = documents.select(text_key().alias("key"), "text")
     nodes = texts.mapInArrow(_nodes(window, k), NODES)
     seen = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.min("edge").alias("one"), F.max("edge").alias("other")).where("met > 1")
-    met = cut(nodes.join(seen.select("node", (F.col("one") != F.col("other")).alias("branching")), "node"))
+    # written first: an aggregate under the join would keep Spark from splitting a node that many windows share
+    seen = cut(seen.select("node", (F.col("one") != F.col("other")).alias("branching")))
+    release(spark)
+    met = cut(nodes.join(seen, "node"))
     release(spark)
     straight = met.where("not branching").select("key", "lo", "hi")
     branching = met.where("branching").select("key", "node", "edge", "lo", "hi")
