@@ -1,9 +1,20 @@
 """The query catalogue: every registered query with its DuckDB counterpart."""
 
+from __future__ import annotations
 
-def queries() -> dict:
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 
-def oracle_sql() -> dict:
-    return {}
+from . import gating, ranking, relational, textual
+from .tables import Tables
+
+ALL = {**relational.Q, **ranking.Q, **gating.Q, **textual.Q}
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: (lambda spark, sf_dir, f=f: f(Tables(spark, sf_dir))) for name, (f, _) in ALL.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in ALL.items() if sql}
