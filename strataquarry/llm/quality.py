@@ -23,9 +23,10 @@ from .runtime import small_batches
 
 BUCKETS = 1 << 16
 MAX_TRUSTED = 20_000
-SMOOTHING = 0.5
+#: Counts lent to every bucket in proportion to both models' sizes: a bucket that neither knows says nothing.
+SMOOTHING = 10.0
 #: Mean log ratio below which a document is rejected.
-MIN_SCORE = -0.2
+MIN_SCORE = -0.3
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"[#*$%&|<>]"[1:-1])] = True
 _GRAM = 5
@@ -99,7 +100,9 @@ def fit(documents: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED)
     raw[counts.bucket], target[counts.bucket] = counts.raw, counts.target
     if not target.sum():
         return np.zeros(BUCKETS)
-    return np.log((target + SMOOTHING) / (target.sum() + SMOOTHING * BUCKETS)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS))
+    share = target.sum() / raw.sum()
+    raw = np.maximum(raw - 1, 0)  # a document that is scored has been counted itself
+    return np.log((target + SMOOTHING * share) / (target.sum() + SMOOTHING * share * BUCKETS)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS))
 
 
 def scores(w: W.Words, ratio: np.ndarray) -> np.ndarray:
