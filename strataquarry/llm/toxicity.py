@@ -2,10 +2,11 @@
 
 Training reads a bounded sample of labelled rows (`max_train` ids by hash order, the held-out fold never among them). Only
 documents carry labels, so words are labelled first: a word of a toxic document is toxic if the distinct contexts (word
-before, word after) it has in toxic documents outweigh those in clean ones. Distinct contexts, not documents, are counted,
-so that families of near copies do not vote many times. A two-state chain with word emissions and transitions is fitted
-by gradient descent on exact forward-backward marginals; two document features (largest marginal, expected toxic words)
-are then calibrated against the labels by logistic regression.
+before, word after) it, or a prefix of it, has in toxic documents outweigh those in clean ones. Distinct contexts, not
+documents, are counted, so that families of near copies do not vote many times. A two-state chain whose emissions sum the
+weights of the word and of its prefixes (so inflected and unseen words carry over) is fitted by gradient descent on exact
+forward-backward marginals; document features (largest marginal, sum of squared marginals, its density) are then
+calibrated against the labels by logistic regression.
 
 Scoring is one map over the texts: chains are sentences (at most 256 words), all chains of a chunk run forward-backward
 together. Words are lower case, punctuation parts them; nothing but the text enters a score.
@@ -32,6 +33,9 @@ MAX_TRAIN = 4_000
 THRESHOLD = 0.3
 BITS = 18
 LONGEST = 256
+#: Prefix lengths in bytes that are features beside the word.
+PREFIXES = (4, 5, 6, 7, 8)
+NONE = 1 << BITS
 SCORES = "doc_id long, held_out boolean, score double, predicted int, spans string"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -43,7 +47,8 @@ _STOP[list(b".!?\n")] = True
 
 @dataclass
 class Model:
-    word: np.ndarray  # emission of each bucket for the toxic state
+    weight: np.ndarray  # emission of each feature bucket for the toxic state; NONE has 0
+    bias: float
     move: np.ndarray  # 2 x 2 transition scores
     doc: np.ndarray  # bias and weights of the document features
 
@@ -52,6 +57,20 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def features(buf: np.ndarray, w: W.Words) -> np.ndarray:
+    """Feature buckets, 1 + len(PREFIXES) rows a word; NONE where a word is shorter than the prefix."""
+    out = np.full((1 + len(PREFIXES), len(w.starts)), NONE, np.int64)
+    out[0] = buckets(w.hashes)
+    size, h = w.ends - w.starts, np.zeros(len(w.starts), np.uint64)
+    for j in range(max(PREFIXES)):
+        at = np.minimum(w.starts + j, len(buf) - 1)
+        h = h + W._BYTE[buf[at]] * W._PLACE[j]
+        if j + 1 in PREFIXES:
+            row, fits = PREFIXES.index(j + 1) + 1, size > j
+            out[row, fits] = buckets(W.mix(h[fits] + np.uint64(j)))
+    return out
+
+
 def chains(buf: np.ndarray, w: W.Words) -> np.ndarray:
     """Bounds of the chains in words: sentences, cut after LONGEST words; none crosses a document."""
     n = len(w.starts)
@@ -102,8 +121,8 @@ def pair_sums(forward: np.ndarray, backward: np.ndarray, unary: np.ndarray, boun
     return (p / p.sum(0)).sum(1).reshape(2, 2)
 
 
-def token_labels(w: W.Words, toxic: np.ndarray, least: int = 5, least_docs: int = 4, odds: float = 30.0) -> np.ndarray:
-    """Whether each word is taken as toxic for training. A word beside itself is no context."""
+def token_labels(w: W.Words, feats: np.ndarray, toxic: np.ndarray, least: int = 5, least_docs: int = 4, odds: float = 30.0) -> np.ndarray:
+    """Whether each word is taken as toxic for training: it or a prefix has the evidence. A word beside itself is no context."""
     doc = w.doc_of
     h = w.hashes
     before, after = np.roll(h, 1), np.roll(h, -1)
@@ -113,57 +132,66 @@ def token_labels(w: W.Words, toxic: np.ndarray, least: int = 5, least_docs: int
     context = W.mix(h + W.mix(before) * np.uint64(3) + W.mix(after) * np.uint64(7) + bad.astype(np.uint64))
     one = np.unique(context, return_index=True)[1]
     one = one[free[one]]
-    of = buckets(h)
-    in_bad = np.bincount(of[one[bad[one]]], minlength=1 << BITS)
-    in_good = np.bincount(of[one[~bad[one]]], minlength=1 << BITS)
-    own = np.unique(of[one[bad[one]]] * len(toxic) + doc[one[bad[one]]]) // max(1, len(toxic))
-    docs = np.bincount(own, minlength=1 << BITS)
-    share = ((in_bad + 0.5) / (in_bad.sum() + 1)) / ((in_good + 0.5) / (in_good.sum() + 1))
-    return bad & ((in_bad >= least) & (docs >= least_docs) & (share >= odds))[of]
-
-
-def train(texts: list[str], toxic: np.ndarray, steps: int = 40, ridge: float = 1e-4) -> Model:
+    hit = np.zeros(len(h), bool)
+    for of in feats:
+        mine = one[of[one] != NONE]
+        in_bad = np.bincount(of[mine[bad[mine]]], minlength=NONE + 1)
+        in_good = np.bincount(of[mine[~bad[mine]]], minlength=NONE + 1)
+        own = np.unique(of[mine[bad[mine]]] * len(toxic) + doc[mine[bad[mine]]]) // max(1, len(toxic))
+        docs = np.bincount(own, minlength=NONE + 1)
+        share = ((in_bad + 0.5) / (in_bad.sum() + 1)) / ((in_good + 0.5) / (in_good.sum() + 1))
+        good = (in_bad >= least) & (docs >= least_docs) & (share >= odds)
+        good[NONE] = False
+        hit |= good[of]
+    return bad & hit
+
+
+def train(texts: list[str], toxic: np.ndarray, steps: int = 30, ridge: float = 1e-4) -> Model:
     """Fit on the driver; the sample is bounded, so is this."""
-    buf, docs = W.buffers(pa.array(texts, pa.string()))
-    w = W.split(_FOLD[buf], docs)
-    bounds, of = chains(buf, w), buckets(w.hashes)
-    label = token_labels(w, toxic).astype(float)
-    met, local = np.unique(of, return_inverse=True)
-    weight, move, bias = np.zeros(len(met)), np.zeros((2, 2)), -2.0
-    inner = np.ones(len(of), bool)
+    raw, docs = W.buffers(pa.array(texts, pa.string()))
+    buf = _FOLD[raw]
+    w = W.split(buf, docs)
+    bounds, feats = chains(raw, w), features(buf, w)
+    label = token_labels(w, feats, toxic).astype(float)
+    met, local = np.unique(feats, return_inverse=True)
+    local = local.reshape(feats.shape)
+    weight, move, bias, known = np.zeros(len(met)), np.zeros((2, 2)), -2.0, met != NONE
+    inner = np.ones(len(label), bool)
     inner[bounds[1:] - 1] = False
     t = np.flatnonzero(inner)
     seen = np.bincount((label[t] * 2 + label[t + 1]).astype(int), minlength=4).reshape(2, 2)
-    grad_w, grad_m, grad_b, n = np.full(len(met), 1e-8), np.full((2, 2), 1e-8), 1e-8, max(1, len(of))
+    grad_w, grad_m, grad_b, n = np.full(len(met), 1e-8), np.full((2, 2), 1e-8), 1e-8, max(1, len(label))
     for _ in range(steps):
-        unary = weight[local] + bias
+        unary = weight[local].sum(0) + bias
         forward, backward = messages(unary, bounds, move)
         off = _sigmoid(forward + backward) - label
-        gw = np.bincount(local, off, len(met)) + ridge * n * weight / len(met)
+        gw = (sum(np.bincount(row, off, len(met)) for row in local) + ridge * n * weight / len(met)) * known
         gm = pair_sums(forward, backward, unary, bounds, move) - seen
         gb = off.sum()
         grad_w, grad_m, grad_b = grad_w + gw * gw, grad_m + gm * gm, grad_b + gb * gb
-        weight, move, bias = weight - 0.8 * gw / np.sqrt(grad_w), move - 0.3 * gm / np.sqrt(grad_m), bias - 0.3 * gb / np.sqrt(grad_b)
-    word = np.full(1 << BITS, float(bias))  # a word never met in training has no emission of its own
-    word[met] += weight
-    x = doc_features(_marginals(word[of], bounds, move), w)
-    return Model(word, move, _logistic(x, toxic.astype(float)))
+        weight, move, bias = weight - 0.4 * gw / np.sqrt(grad_w), move - 0.3 * gm / np.sqrt(grad_m), bias - 0.3 * gb / np.sqrt(grad_b)
+    every = np.zeros(NONE + 1)
+    every[met] = weight
+    every[NONE] = 0.0
+    model = Model(every, float(bias), move, np.zeros(4))
+    model.doc = _logistic(doc_features(_marginals(model, feats, bounds), w), toxic.astype(float))
+    return model
 
 
-def _marginals(unary: np.ndarray, bounds: np.ndarray, move: np.ndarray) -> np.ndarray:
-    forward, backward = messages(unary, bounds, move)
+def _marginals(model: Model, feats: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    forward, backward = messages(model.weight[feats].sum(0) + model.bias, bounds, model.move)
     return _sigmoid(forward + backward)
 
 
 def doc_features(p: np.ndarray, w: W.Words) -> np.ndarray:
-    """1, largest marginal, log(1 + expected toxic words) of each document."""
+    """1, largest marginal, log(1 + sum of squared marginals), the same as a root share of the words."""
     n = len(w.first) - 1
     most, total = np.zeros(n), np.zeros(n)
     some = np.flatnonzero(w.counts())
     if len(some):
         most[some] = np.maximum.reduceat(p, w.first[some])
-        total[some] = np.add.reduceat(np.where(p > 0.05, p, 0.0), w.first[some])
-    return np.stack([np.ones(n), most, np.log1p(total)], 1)
+        total[some] = np.add.reduceat(p * p, w.first[some])
+    return np.stack([np.ones(n), most, np.log1p(total), np.sqrt(total / np.maximum(w.counts(), 1))], 1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-2) -> np.ndarray:
@@ -199,9 +227,9 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, max_train: int = MAX
                 n = len(part)
                 spans, score = [""] * n, np.zeros(n)
                 if model:
-                    w = W.split(_FOLD[buf], docs)
-                    bounds = chains(buf, w)
-                    p = _marginals(model.word[buckets(w.hashes)], bounds, model.move)
+                    fold = _FOLD[buf]
+                    w = W.split(fold, docs)
+                    p = _marginals(model, features(fold, w), chains(buf, w))
                     score = _sigmoid(doc_features(p, w) @ model.doc)
                     hit = np.flatnonzero(p >= 0.5)
                     if len(hit):
