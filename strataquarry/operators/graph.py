@@ -77,11 +77,13 @@ def bindings(imports: DataFrame, files: DataFrame, symbols: DataFrame, hops: int
         done = found if done is None else done.unionByName(found)
         if hop < hops:
             loose = step.where("hit is null and p2 is not null and want is not null").select("path", "bound_name", "ordinal", F.col("p2").alias("e_path"), "want")
-            todo = loose.join(exports, ["e_path", "want"]).select("path", "bound_name", "ordinal", F.col("e.absolute").alias("absolute"), F.col("e.name").alias("want"), F.col("e.sub").alias("sub"))
+            todo = cut(loose.join(exports, ["e_path", "want"]).select("path", "bound_name", "ordinal", F.col("e.absolute").alias("absolute"), F.col("e.name").alias("want"), F.col("e.sub").alias("sub")))
+            if todo.isEmpty():
+                break
     # a name the chase never finds still binds to the module it was taken from
     fallback = every.join(modules.select(F.col("module").alias("absolute"), F.col("to_path").alias("p2")), "absolute").select("path", "bound_name", "ordinal", F.lit(hops + 1).alias("hop"), node(F.col("p2"), F.col("absolute")).alias("target"))
     best = done.unionByName(fallback).groupBy("path", "bound_name", "ordinal").agg(F.min_by("target", "hop").alias("target"))
-    return best.groupBy("path", "bound_name").agg(F.max_by("target", "ordinal").alias("target"))
+    return cut(best.groupBy("path", "bound_name").agg(F.max_by("target", "ordinal").alias("target")))
 
 
 def resolve(rows: DataFrame, files: DataFrame, symbols: DataFrame, bound: DataFrame) -> DataFrame:

@@ -1 +1 @@
-"""Spark-native operators over software-repository evidence."""
+"""Streaming extension: case results as a stream. Beyond the batch operators; same verdict columns."""
