@@ -15,8 +15,10 @@ LANGUAGES = {"py": "python", "rs": "rust", "go": "go", "js": "javascript", "jsx"
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records, corrupt lines) of JSON lines. Blank and malformed lines and non-objects are no records; they can be counted."""
-    rows = spark.read.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.select("value", F.from_json("value", f"{schema}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    good = F.col(f"r.{CORRUPT}").isNull() & F.ltrim("value").startswith("{")
+    return rows.where(good).select("r.*").drop(CORRUPT), rows.where(~good).select(F.col("value").alias(CORRUPT))
 
 
 def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -42,7 +44,7 @@ def parse_commits(raw: DataFrame) -> DataFrame:
     changed = F.transform(lines, _change)
     rows = rows.withColumn("parent_shas", words("parents", " +")).withColumn("refs", words("refs", ",")).withColumn("changed_files", changed)
     total = lambda k: F.aggregate("changed_files", F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x[k], F.lit(0)))
-    return rows.select("ordinal", "sha", "parent_shas", *names[2:8], "refs", "subject", F.trim("body").alias("body"), (F.size("parent_shas") > 1).alias("is_merge"), "changed_files", total("additions").alias("additions"), total("deletions").alias("deletions"))
+    return rows.select("ordinal", "sha", "parent_shas", *names[2:8], "refs", "subject", F.regexp_replace("body", r"^\s+|\s+$", "").alias("body"), (F.size("parent_shas") > 1).alias("is_merge"), "changed_files", total("additions").alias("additions"), total("deletions").alias("deletions"))
 
 
 def _change(line: Column) -> Column:
@@ -78,7 +80,10 @@ def pull_request_pages(pages: DataFrame, per_page: int = 100) -> tuple[DataFrame
 
 
 def source_files(spark: SparkSession, root: str, extensions: tuple[str, ...] = ("py",), hidden: bool = True) -> DataFrame:
-    """(path, content, sha256) of owned files below root, by extension; skipped directories never, hidden ones if asked."""
+    """(path, content, sha256) of owned files below root, by extension, outside skipped directories.
+
+    Spark's own listing leaves out what begins with a dot; rows of hidden folders from another listing go through owned().
+    """
     glob = "*.{" + ",".join(extensions) + "}" if len(extensions) > 1 else f"*.{extensions[0]}"
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root)
     base = F.regexp_replace(F.lit(root), r"^[a-z]+:/*|/+$", "")
