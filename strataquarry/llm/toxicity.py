@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .runtime import small_batches
 
-MAX_TRAIN = 4_000
+MAX_TRAIN = 3_000
 THRESHOLD = 0.3
 BITS = 18
 LONGEST = 256
@@ -59,7 +59,7 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
 
 def features(buf: np.ndarray, w: W.Words) -> np.ndarray:
     """Feature buckets, 1 + len(PREFIXES) rows a word; NONE where a word is shorter than the prefix."""
-    out = np.full((1 + len(PREFIXES), len(w.starts)), NONE, np.int64)
+    out = np.full((1 + len(PREFIXES), len(w.starts)), NONE, np.int32)
     out[0] = buckets(w.hashes)
     size, h = w.ends - w.starts, np.zeros(len(w.starts), np.uint64)
     for j in range(max(PREFIXES)):
@@ -121,23 +121,27 @@ def pair_sums(forward: np.ndarray, backward: np.ndarray, unary: np.ndarray, boun
     return (p / p.sum(0)).sum(1).reshape(2, 2)
 
 
-def token_labels(w: W.Words, feats: np.ndarray, toxic: np.ndarray, least: int = 5, least_docs: int = 4, odds: float = 30.0) -> np.ndarray:
+def token_labels(h: np.ndarray, first: np.ndarray, feats: np.ndarray, toxic: np.ndarray, least: int = 5, least_docs: int = 4, odds: float = 30.0) -> np.ndarray:
     """Whether each word is taken as toxic for training: it or a prefix has the evidence. A word beside itself is no context."""
-    doc = w.doc_of
-    h = w.hashes
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     before, after = np.roll(h, 1), np.roll(h, -1)
-    before[w.first[:-1][w.first[:-1] < len(h)]] = 0
-    after[w.first[1:][w.first[1:] > 0] - 1] = 0
+    before[first[:-1][first[:-1] < len(h)]] = 0
+    after[first[1:][first[1:] > 0] - 1] = 0
     bad, free = toxic[doc], (before != h) & (after != h)
-    context = W.mix(h + W.mix(before) * np.uint64(3) + W.mix(after) * np.uint64(7) + bad.astype(np.uint64))
-    one = np.unique(context, return_index=True)[1]
+    before = W.mix(before) * np.uint64(3)
+    before += W.mix(after) * np.uint64(7)
+    before += h
+    before += bad
+    del after
+    one = np.unique(W.mix(before), return_index=True)[1]
+    del before
     one = one[free[one]]
     hit = np.zeros(len(h), bool)
     for of in feats:
         mine = one[of[one] != NONE]
         in_bad = np.bincount(of[mine[bad[mine]]], minlength=NONE + 1)
         in_good = np.bincount(of[mine[~bad[mine]]], minlength=NONE + 1)
-        own = np.unique(of[mine[bad[mine]]] * len(toxic) + doc[mine[bad[mine]]]) // max(1, len(toxic))
+        own = np.unique(of[mine[bad[mine]]].astype(np.int64) * len(toxic) + doc[mine[bad[mine]]]) // max(1, len(toxic))
         docs = np.bincount(own, minlength=NONE + 1)
         share = ((in_bad + 0.5) / (in_bad.sum() + 1)) / ((in_good + 0.5) / (in_good.sum() + 1))
         good = (in_bad >= least) & (docs >= least_docs) & (share >= odds)
@@ -146,52 +150,76 @@ def token_labels(w: W.Words, feats: np.ndarray, toxic: np.ndarray, least: int =
     return bad & hit
 
 
+def sample_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, first word of each text, chain bounds and features of the sample, gathered chunk by chunk."""
+    hashes, counts, bounds, feats, n = [], [], [np.zeros(1, np.int64)], [], 0
+    for _, raw, docs in W.pieces(pa.record_batch({"text": pa.array(texts, pa.string())})):
+        buf = _FOLD[raw]
+        w = W.split(buf, docs)
+        hashes.append(w.hashes)
+        counts.append(w.counts())
+        bounds.append(chains(raw, w)[1:] + n)
+        feats.append(features(buf, w))
+        n += len(w.hashes)
+    every = np.empty((1 + len(PREFIXES), n), np.int32)
+    at = 0
+    while feats:
+        part = feats.pop(0)
+        every[:, at : at + part.shape[1]] = part
+        at += part.shape[1]
+    return np.concatenate(hashes), np.concatenate([[0], np.cumsum(np.concatenate(counts))]), np.concatenate(bounds), every
+
+
 def train(texts: list[str], toxic: np.ndarray, steps: int = 30, ridge: float = 1e-4) -> Model:
     """Fit on the driver; the sample is bounded, so is this."""
-    raw, docs = W.buffers(pa.array(texts, pa.string()))
-    buf = _FOLD[raw]
-    w = W.split(buf, docs)
-    bounds, feats = chains(raw, w), features(buf, w)
-    label = token_labels(w, feats, toxic).astype(float)
-    met, local = np.unique(feats, return_inverse=True)
-    local = local.reshape(feats.shape)
-    weight, move, bias, known = np.zeros(len(met)), np.zeros((2, 2)), -2.0, met != NONE
+    hashes, first, bounds, feats = sample_features(texts)
+    label = token_labels(hashes, first, feats, toxic).astype(float)
+    del hashes
+    weight, move, bias = np.zeros(NONE + 1), np.zeros((2, 2)), -2.0
     inner = np.ones(len(label), bool)
     inner[bounds[1:] - 1] = False
     t = np.flatnonzero(inner)
     seen = np.bincount((label[t] * 2 + label[t + 1]).astype(int), minlength=4).reshape(2, 2)
-    grad_w, grad_m, grad_b, n = np.full(len(met), 1e-8), np.full((2, 2), 1e-8), 1e-8, max(1, len(label))
+    del inner, t
+    met = np.zeros(NONE + 1, bool)
+    for row in feats:
+        met[row] = True
+    met[NONE] = False
+    grad_w, grad_m, grad_b, n = np.full(NONE + 1, 1e-8), np.full((2, 2), 1e-8), 1e-8, max(1, len(label))
     for _ in range(steps):
-        unary = weight[local].sum(0) + bias
+        unary = _unary(weight, feats) + bias
         forward, backward = messages(unary, bounds, move)
         off = _sigmoid(forward + backward) - label
-        gw = (sum(np.bincount(row, off, len(met)) for row in local) + ridge * n * weight / len(met)) * known
+        gw = (sum(np.bincount(row, off, NONE + 1) for row in feats) + ridge * n * weight / max(1, met.sum())) * met
         gm = pair_sums(forward, backward, unary, bounds, move) - seen
         gb = off.sum()
         grad_w, grad_m, grad_b = grad_w + gw * gw, grad_m + gm * gm, grad_b + gb * gb
         weight, move, bias = weight - 0.4 * gw / np.sqrt(grad_w), move - 0.3 * gm / np.sqrt(grad_m), bias - 0.3 * gb / np.sqrt(grad_b)
-    every = np.zeros(NONE + 1)
-    every[met] = weight
-    every[NONE] = 0.0
-    model = Model(every, float(bias), move, np.zeros(4))
-    model.doc = _logistic(doc_features(_marginals(model, feats, bounds), w), toxic.astype(float))
+    model = Model(weight, float(bias), move, np.zeros(4))
+    model.doc = _logistic(doc_features(_marginals(model, feats, bounds), first), toxic.astype(float))
     return model
 
 
+def _unary(weight: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    out = np.zeros(feats.shape[1])
+    for row in feats:
+        out += weight[row]
+    return out
+
+
 def _marginals(model: Model, feats: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    forward, backward = messages(model.weight[feats].sum(0) + model.bias, bounds, model.move)
+    forward, backward = messages(_unary(model.weight, feats) + model.bias, bounds, model.move)
     return _sigmoid(forward + backward)
 
 
-def doc_features(p: np.ndarray, w: W.Words) -> np.ndarray:
+def doc_features(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     """1, largest marginal, log(1 + sum of squared marginals), the same as a root share of the words."""
-    n = len(w.first) - 1
-    most, total = np.zeros(n), np.zeros(n)
-    some = np.flatnonzero(w.counts())
+    n = np.diff(first)
+    most, total, some = np.zeros(len(n)), np.zeros(len(n)), np.flatnonzero(n)
     if len(some):
-        most[some] = np.maximum.reduceat(p, w.first[some])
-        total[some] = np.add.reduceat(p * p, w.first[some])
-    return np.stack([np.ones(n), most, np.log1p(total), np.sqrt(total / np.maximum(w.counts(), 1))], 1)
+        most[some] = np.maximum.reduceat(p, first[some])
+        total[some] = np.add.reduceat(p * p, first[some])
+    return np.stack([np.ones(len(n)), most, np.log1p(total), np.sqrt(total / np.maximum(n, 1))], 1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-2) -> np.ndarray:
@@ -230,7 +258,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, max_train: int = MAX
                     fold = _FOLD[buf]
                     w = W.split(fold, docs)
                     p = _marginals(model, features(fold, w), chains(buf, w))
-                    score = _sigmoid(doc_features(p, w) @ model.doc)
+                    score = _sigmoid(doc_features(p, w.first) @ model.doc)
                     hit = np.flatnonzero(p >= 0.5)
                     if len(hit):
                         points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
