@@ -327,10 +327,13 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, k: int = SH
 def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, tolerance: float = TOLERANCE) -> DataFrame:
     """Rows of documents, one a near-duplicate class: that of the smallest doc_id. Texts without words all stay."""
     found = near_classes(documents, threshold, k, tolerance).select(F.col("key").alias("_key"), F.col("rep").alias("_rep"), F.col("class_id").alias("_class"))
-    release(documents.sparkSession)
     columns = documents.columns
+    keyed = documents.select(text_key().alias("_k"), "doc_id").groupBy("_k", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_k")
+    twins = cut(keyed.join(found, F.col("_k") == F.col("_key"), "left_semi").distinct())
+    release(documents.sparkSession)
     rows = documents.withColumn("_k", text_key()).join(found, F.col("_k") == F.col("_key"), "left")
     first = F.col("_class").eqNullSafe(F.col("_rep")) & F.col("_rep").eqNullSafe(F.col("doc_id").cast("long"))
-    # rows without words are their own; of repeated rows one stays. The join has dealt rows by _k, so texts move once
-    rows = rows.where(F.col("_key").isNull() | first).withColumn("_row", F.when(F.col("_key").isNull(), F.monotonically_increasing_id()))
-    return rows.dropDuplicates(["_k", "_row"]).select(*columns)
+    kept = rows.where(F.col("_key").isNull() | first).select("_k", *columns)
+    if not twins.isEmpty():  # rows that stand there more than once, id and all
+        kept = kept.join(twins, "_k", "left_anti").unionByName(kept.join(twins, "_k", "left_semi").dropDuplicates(["_k"]))
+    return kept.select(*columns)
