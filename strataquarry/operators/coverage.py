@@ -68,8 +68,22 @@ def coverage_statistics(covered: DataFrame) -> DataFrame:
     return covered.agg(F.count(F.lit(1)).alias("symbols"), F.count_if(hit).alias("covered"), F.coalesce(F.avg(F.when(hit, F.col("tests"))), F.lit(0.0)).alias("tests_per_covered"), F.max("ceiling").alias("ceiling"), F.count_if("possible").alias("possible"), F.count_if("ready").alias("ready"))
 
 
-def uncovered_targets(covered: DataFrame, files: DataFrame, most: int = 10) -> DataFrame:
-    """Public callables without tests on importable paths: the longest of each module first, then the next best fill up."""
-    fit = covered.join(files.select("path", "module"), "path").where("tests = 0 and not is_test and kind in ('function', 'method')").where(~F.element_at(F.split("qualified_name", r"\."), -1).startswith("_") & ~F.col("path").rlike(r"(^|/)(docs?|examples?|scripts?|setup\.py|conftest\.py)(/|$)"))
-    ranked = fit.withColumn("n", F.row_number().over(Window.partitionBy("module").orderBy(F.desc("body_lines"), "id")))
-    return ranked.orderBy((F.col("n") > 1).cast("int"), F.desc("body_lines"), "id").limit(most).drop("n")
+def importable(paths: DataFrame, files: DataFrame) -> DataFrame:
+    """paths that belong to a distribution: at the root, below src or lib, or below a package."""
+    parts = F.split("path", "/")
+    dirs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    packages = files.where(F.col("path").endswith("/__init__.py")).select(F.regexp_replace("path", "/__init__\\.py$", "").alias("dir")).distinct()
+    inside = paths.select("path", F.explode(dirs).alias("dir")).join(packages, "dir", "left_semi").select("path").distinct()
+    plain = paths.where((F.size(parts) == 1) | F.get(parts, F.lit(0)).isin("src", "lib")).select("path")
+    return inside.unionByName(plain).distinct()
+
+
+def uncovered_targets(covered: DataFrame, symbols: DataFrame, files: DataFrame, most: int = 3) -> DataFrame:
+    """Public callables without tests: documented first, then long ones, one a module; the last slot takes the next best of any module."""
+    fit = covered.where("tests = 0 and not is_test and kind in ('function', 'method')").join(symbols.where("is_public").select("id").distinct(), "id", "left_semi")
+    fit = fit.join(importable(files, files), "path", "left_semi").withColumn("module", F.regexp_replace("qualified_name", r"\.?[^.]*$", ""))
+    fit = fit.withColumn("_key", F.struct((~F.col("has_docstring")).alias("a"), (-F.col("body_lines")).alias("b"), F.col("id").alias("c")))
+    first = fit.withColumn("_n", F.row_number().over(Window.partitionBy("module").orderBy("_key"))).where("_n = 1").drop("_n").orderBy("_key").limit(most - 1)
+    edge = first.agg(F.max("_key").alias("_edge"), F.count(F.lit(1)).alias("_have"))
+    last = fit.crossJoin(F.broadcast(edge)).where((F.col("_have") == most - 1) & (F.col("_key") > F.col("_edge"))).drop("_edge", "_have").orderBy("_key").limit(1)
+    return first.unionByName(last).drop("_key")

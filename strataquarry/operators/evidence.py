@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from . import graph as G
 
-LINE = 80
-
 
 def guard_records(rows: DataFrame, required: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected with problem): each required column must hold a value that casts to its type."""
@@ -63,11 +61,14 @@ def looks_like_test(path: Column) -> Column:
     return name.startswith("test_") | name.endswith("_test.py") | F.concat(F.lit("/"), path).contains("/tests/")
 
 
+# Marks of a test in any language.
+TEST_MARKS = ("test_", "_test.", ".test.", ".spec.", "/tests/", "/test/", "/spec/")
+
+
 def looks_like_test_any(path: Column) -> Column:
     """In any language, without regard to case."""
     low = F.lower(F.replace(path, F.lit("\\"), F.lit("/")))
-    name = F.element_at(F.split(low, "/"), -1)
-    return low.rlike(r"_test\.|\.test\.|\.spec\.|/tests?/|^tests?/|__tests__") | name.startswith("test")
+    return F.exists(F.array(*map(F.lit, TEST_MARKS)), lambda m: F.contains(low, m)) | F.element_at(F.split(low, "/"), -1).startswith("test")
 
 
 def container_status(build: Column, identical: Column, baseline: Column, passed: Column) -> Column:

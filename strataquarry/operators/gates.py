@@ -13,6 +13,7 @@ INTEGRITY = {
     "reads_diff_artifact": r"\.(patch|diff)\b",
     "inspects_own_source": r"\binspect\.getsource\b|\b__file__ *\)? *\.read",
 }
+FORBIDDEN = (".git", ".strataquarry", "solution", "evidence", "goldenSolution.diff", "goldenSolution.md")
 COUPLING = {
     "patched_internals": r"\b(?:mock\.)?patch(?:\.object)?[ \t]*\(",
     "exact_representation": r"\bassert[ \t]+repr[ \t]*\(|\bassert[ \t]+str[ \t]*\(|==[ \t]*repr[ \t]*\(",
@@ -107,10 +108,10 @@ def integrity(files: DataFrame, keys: list[str]) -> DataFrame:
     return per.select(*keys, F.lit("verifier_integrity").alias("gate"), reason.isNull().alias("passed"), reason.alias("reason_code"), *INTEGRITY)
 
 
-def bundle_audit(files: DataFrame, keys: list[str], forbidden: tuple[str, ...] = ("solution", "goldenSolution", "verifier", ".git", ".stress_stack")) -> DataFrame:
-    """A solver's tree must hold no answer: forbidden names, patches, caches."""
+def bundle_audit(files: DataFrame, keys: list[str]) -> DataFrame:
+    """A solver's tree must hold no answer: forbidden names at its root, patches and caches anywhere."""
     parts = F.split("path", "/")
-    bad = F.arrays_overlap(parts, F.array(*map(F.lit, forbidden))) | F.col("path").rlike(r"\.(patch|diff)$") | F.array_contains(parts, "__pycache__")
+    bad = F.get(parts, F.lit(0)).isin(*FORBIDDEN) | F.col("path").rlike(r"\.(patch|diff)$") | F.array_contains(parts, "__pycache__")
     per = files.groupBy(*keys).agg(_listed(bad, "path").alias("paths"))
     return per.select(*keys, F.lit("solver_bundle").alias("gate"), (F.size("paths") == 0).alias("passed"), F.when(F.size("paths") > 0, "answer_reachable_from_input").alias("reason_code"), "paths")
 

@@ -152,6 +152,9 @@ REGEX_SYMBOLS = {
 }
 
 
+REGEX_SYMBOLS["tsx"] = REGEX_SYMBOLS["typescript"]
+
+
 def regex_symbols(files: DataFrame) -> DataFrame:
     """(path, language, kind, name, line, ordinal) of files(path, language, content) in languages without a parser here."""
     out = None

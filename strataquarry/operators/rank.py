@@ -55,12 +55,13 @@ def difficulty(tasks: DataFrame, keys: list[str] | None = None, factors: tuple[s
 def justification() -> Column:
     """One sentence from the dominant factors that say something, at most two clauses."""
     n = lambda c: F.col(c).cast("long").cast("string")
+    # The sentence of each factor.
     clause = {
         "coordinated_change": (F.col("coordinated_change") >= 2, F.concat(F.lit("requires coordinated edits across "), n("coordinated_change"), F.lit(" source files"))),
-        "cross_module": (F.col("cross_module") >= 2, F.concat(F.lit("spans "), n("cross_module"), F.lit(" modules"))),
-        "misleading_similarity": (F.col("misleading_similarity") >= 1, F.concat(F.lit("sits beside "), n("misleading_similarity"), F.lit(" similarly named definitions"))),
-        "business_logic": (F.col("business_logic") >= 200, F.lit("depends on rules recorded in its description")),
-        "scale": ((F.col("churn") >= 40) | (F.col("verifiers") >= 3), F.concat(F.lit("touches "), n("churn"), F.lit(" lines with "), n("verifiers"), F.lit(" tests"))),
+        "cross_module": (F.col("cross_module") >= 2, F.concat(F.lit("spans "), n("cross_module"), F.lit(" modules, so the change cannot be reasoned about locally"))),
+        "misleading_similarity": (F.col("misleading_similarity") >= 1, F.concat(F.lit("the repository defines "), n("misleading_similarity"), F.lit(" similarly named symbols elsewhere, so the right one has to be identified rather than searched for"))),
+        "business_logic": (F.col("business_logic") >= 200, F.lit("depends on rules recorded in the change's description rather than inferable from the surrounding code")),
+        "scale": ((F.col("churn") >= 40) | (F.col("verifiers") >= 3), F.concat(F.lit("touches "), n("churn"), F.lit(" lines with "), n("verifiers"), F.lit(" tests that must end up passing"))),
     }
     pick = lambda name: F.coalesce(*(F.when((name == k) & ok, s) for k, (ok, s) in clause.items()))
     said = F.slice(F.filter(F.transform("ranked", pick), lambda x: x.isNotNull()), 1, 2)

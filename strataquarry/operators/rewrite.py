@@ -20,6 +20,9 @@ MISSING = {"rust": "todo!()", "go": 'panic("not implemented")', "javascript": 't
 OPENING = {"rust": r"\bfn\s+{0}\b", "go": r"\bfunc\s+(?:\([^)]*\)\s*)?{0}\b", "javascript": r"\b(?:function\s+)?{0}\s*\(", "typescript": r"\b(?:function\s+)?{0}\s*\(", "c": r"\b{0}\s*\(", "cpp": r"\b{0}\s*\("}
 
 
+MISSING["tsx"], OPENING["tsx"] = MISSING["typescript"], OPENING["typescript"]
+
+
 class Refused(ValueError):
     """A definition that cannot be cut without damage."""
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 CORRUPT = "_corrupt_record"
-# Directories that hold no owned source.
-SKIPPED_DIRS = (".git", ".hg", ".svn", ".stress_stack", ".venv", "venv", "env", "node_modules", "__pycache__", ".mypy_cache", ".pytest_cache", ".ruff_cache", ".tox", ".nox", "build", "dist", ".eggs", "site-packages")
-LANGUAGES = {"py": "python", "rs": "rust", "go": "go", "js": "javascript", "jsx": "javascript", "mjs": "javascript", "cjs": "javascript", "ts": "typescript", "tsx": "typescript", "c": "c", "h": "c", "cc": "cpp", "cpp": "cpp", "hpp": "cpp"}
+# Directories that hold no owned source, for Python trees and for trees of other languages.
+SKIPPED_DIRS = (".git", ".strataquarry", ".venv", "venv", "env", ".tox", ".nox", ".mypy_cache", ".pytest_cache", ".ruff_cache", "__pycache__", "node_modules", "build", "dist", "site-packages", ".eggs")
+SKIPPED_ANY = (".git", ".strataquarry", ".venv", "venv", "node_modules", "vendor", "target", "build", "dist", "__pycache__", ".tox", ".mypy_cache", ".pytest_cache", "third_party", "external")
+# Languages by extension. A header counts as C++, whose grammar holds what C declares.
+LANGUAGES = {"py": "python", "pyi": "python", "js": "javascript", "jsx": "javascript", "mjs": "javascript", "cjs": "javascript", "ts": "typescript", "tsx": "tsx", "rs": "rust", "go": "go", "c": "c", "h": "cpp", "cpp": "cpp", "hpp": "cpp", "cc": "cpp", "cxx": "cpp"}
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -91,10 +93,10 @@ def source_files(spark: SparkSession, root: str, extensions: tuple[str, ...] = (
     return owned(files.select(path.alias("path"), F.decode("content", "UTF-8").alias("content"), F.sha2("content", 256).alias("sha256")), hidden)
 
 
-def owned(files: DataFrame, hidden: bool = True) -> DataFrame:
+def owned(files: DataFrame, hidden: bool = True, skipped: tuple[str, ...] = SKIPPED_DIRS) -> DataFrame:
     """Rows of files(path, ...) outside skipped directories; hidden=False drops every hidden directory too."""
     dirs = F.slice(F.split("path", "/"), F.lit(1), F.greatest(F.size(F.split("path", "/")) - 1, F.lit(0)))
-    keep = ~F.arrays_overlap(dirs, F.array(*map(F.lit, SKIPPED_DIRS))) & ~F.exists(dirs, lambda d: d.endswith(".egg-info"))
+    keep = ~F.arrays_overlap(dirs, F.array(*map(F.lit, skipped)))
     if not hidden:
         keep &= ~F.exists(dirs, lambda d: d.startswith("."))
     return files.where(keep)

@@ -11,7 +11,7 @@ ASSERTION, BEHAVIOUR, INFRA, PASSED, SKIPPED = "assertion", "behavioral_exceptio
 # Exceptions that mean nothing was loaded, and paths outside a repository.
 LOAD_FAILURES = ("ImportError", "ModuleNotFoundError", "SyntaxError", "IndentationError", "CollectionError")
 OUTSIDE = ("site-packages", "/lib/python", "dist-packages", "/usr/lib")
-GO_BUILD = r"(?i)\[build failed\]|\[setup failed\]|cannot find package|undefined:|syntax error"
+GO_BUILD = r"build failed|cannot find package|undefined:|syntax error|no required module"
 JUNIT = "STRUCT<_classname: STRING, _name: STRING, failure: STRUCT<_VALUE: STRING, _message: STRING>, error: STRUCT<_VALUE: STRING, _message: STRING>, skipped: STRUCT<_VALUE: STRING, _message: STRING>>"
 
 

@@ -29,9 +29,9 @@ def test_sanitize(spark):
 
 
 def test_first_paragraph(spark):
-    docs = [".. versionadded:: 1\n\n*glom gets results.*  And\nmore.\n\nNext", "short\n\nA paragraph that is long enough.", "", "w " * 150]
+    docs = [".. versionadded:: 1\n\n*Target gets results.*  And\nmore.\n\nNext", "short\n\nA paragraph that is long enough.", "", "w " * 150]
     got = col(spark, docs, T.first_paragraph)
-    assert got[:3] == ["glom gets results. And more.", "A paragraph that is long enough.", ""]
+    assert got[:3] == ["Target gets results. And more.", "A paragraph that is long enough.", ""]
     assert got[3].endswith("…") and len(got[3]) <= 201
 
 

@@ -91,5 +91,5 @@ def test_small_ladders(spark):
     units = spark.createDataFrame([("s", "sig", 0, "f()"), ("s", "tests", 0, "a"), ("s", "tests", 1, "b")], "subject string, section string, ordinal int, unit string")
     sections = spark.createDataFrame([("s", "sig", 1, 1, 1), ("s", "tests", 2, 2, 1)], "subject string, section string, priority int, units int, shown int")
     assert evidence.render_cards(units, sections).first().text == "## sig\nf()\n\n## tests  (1 of 2 shown)\na"
-    p = spark.createDataFrame([("a/tests/x.py",), ("Tests/x.ts",), ("src/a.spec.ts",), ("src/a.py",)], "p string").select(evidence.looks_like_test(F.col("p")).alias("a"), evidence.looks_like_test_any(F.col("p")).alias("b")).collect()
+    p = spark.createDataFrame([("a/tests/x.py",), ("a/Tests/x.ts",), ("src/a.spec.ts",), ("src/a.py",)], "p string").select(evidence.looks_like_test(F.col("p")).alias("a"), evidence.looks_like_test_any(F.col("p")).alias("b")).collect()
     assert [(r.a, r.b) for r in p] == [(True, True), (False, True), (False, True), (False, False)]

@@ -48,11 +48,11 @@ def test_source_files(spark, tmp_path):
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_text("x = 1\n")
     assert sorted(r.path for r in records.source_files(spark, str(tmp_path)).collect()) == ["pkg/a.py"]
-    listed = spark.createDataFrame([(".hidden/h.py",), ("a/node_modules/b.py",), ("pkg/a.py",), ("x.egg-info/y.py",)], "path string")
+    listed = spark.createDataFrame([(".hidden/h.py",), ("a/node_modules/b.py",), ("pkg/a.py",), ("build/y.py",)], "path string")
     assert [r.path for r in records.owned(listed).collect()] == [".hidden/h.py", "pkg/a.py"]
     assert [r.path for r in records.owned(listed, hidden=False).collect()] == ["pkg/a.py"]
     df = spark.createDataFrame([("a.RS",), ("b.tsx",), ("c",)], "path string")
-    assert [r[0] for r in df.select(records.language_of(F.col("path"))).collect()] == ["rust", "typescript", None]
+    assert [r[0] for r in df.select(records.language_of(F.col("path"))).collect()] == ["rust", "tsx", None]
     specs = spark.createDataFrame([("https://github.com/O/N.git",), ("git@h.x:o/n",), ("./here",)], "s string").select(records.resolve_spec(F.col("s")).alias("r")).collect()
     assert [tuple(x.r) for x in specs] == [("https", "github.com/o/n", "o", "n"), ("ssh", "h.x/o/n", "o", "n"), ("local", "./here", None, None)]
 
