@@ -41,13 +41,13 @@ def _norm(c: str) -> str:
 @Q.add(f"WITH s AS ({SUPPLIER}), z AS (SELECT s_suppkey, round({_norm('a')} * 0.35 + {_norm('b')} * 0.15 + {_norm('c')} * 0.10 + {_norm('d')} * 0.10 + {_norm('e')} * 0.10 + {_norm('s_acctbal')} * 0.20, 9) AS score FROM s) SELECT s_suppkey, score, row_number() OVER (ORDER BY score DESC, s_suppkey) AS rank FROM z")
 def q30_weighted_rank(t: Tables):
     weights = dict(zip(("a", "b", "c", "d", "e", "s_acctbal"), rank.HISTORY_WEIGHTS.values(), strict=True))
-    return rank.weighted_rank(_suppliers(t), [], weights, "s_suppkey").select("s_suppkey", F.round("score", 9).alias("score"), "rank")
+    return rank.weighted_rank(_suppliers(t), [], weights, "s_suppkey").select("s_suppkey", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 @Q.add("SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE year(o_orderdate) * 372 + month(o_orderdate) * 31 + day(o_orderdate) END AS ordinal FROM orders")
 def q31_date_ordinal(t: Tables):
     stamp = F.when(F.col("o_orderkey") % 97 == 0, "n/a").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    return t.orders.select("o_orderkey", T.merged_ordinal(stamp).alias("ordinal"))
+    return t.orders.select("o_orderkey", T.merged_ordinal(stamp).cast("long").alias("ordinal"))
 
 
 @Q.add("SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, p_brand")
@@ -104,7 +104,7 @@ def q39_median_outliers(t: Tables):
 SELECT s_suppkey, s_nationkey, round(adjusted, 6) AS adjusted, rank FROM r WHERE rank <= 10""")
 def q40_diversity_greedy(t: Tables):
     rows = t.supplier.withColumn("score", F.col("s_acctbal") / 10000)
-    return rank.diverse_top(rows, [], "s_nationkey", "score", "s_suppkey", 10).select("s_suppkey", "s_nationkey", F.round("adjusted", 6).alias("adjusted"), "rank")
+    return rank.diverse_top(rows, [], "s_nationkey", "score", "s_suppkey", 10).select("s_suppkey", "s_nationkey", F.round("adjusted", 6).alias("adjusted"), F.col("rank").cast("long").alias("rank"))
 
 
 def _pool(t: Tables):
@@ -118,7 +118,7 @@ def q41_quota_greedy(t: Tables):
 
 
 @Q.add("""WITH p AS (SELECT n_regionkey AS region, (['history', 'excision', 'net_new'])[s_suppkey % 3 + 1] AS source, n_name AS g FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 9000), s AS (SELECT region, count(*) AS n, count(DISTINCT g) AS g, count(*) FILTER (WHERE source = 'history') AS h, count(*) FILTER (WHERE source = 'excision') AS e, count(*) FILTER (WHERE source = 'net_new') AS w FROM p GROUP BY 1)
-SELECT region, 'total' AS rule, n AS have, 10 AS need FROM s WHERE n < 10 UNION ALL SELECT region, 'modules', g, 4 FROM s WHERE g < 4 UNION ALL SELECT region, 'minimum_history', h, 4 FROM s WHERE h < 4 UNION ALL SELECT region, 'maximum_excision', e, 4 FROM s WHERE e > 4 UNION ALL SELECT region, 'maximum_net_new', w, 3 FROM s WHERE w > 3""")
+SELECT region, 'total' AS rule, n AS have, 10::BIGINT AS need FROM s WHERE n < 10 UNION ALL SELECT region, 'modules', g, 4 FROM s WHERE g < 4 UNION ALL SELECT region, 'minimum_history', h, 4 FROM s WHERE h < 4 UNION ALL SELECT region, 'maximum_excision', e, 4 FROM s WHERE e > 4 UNION ALL SELECT region, 'maximum_net_new', w, 3 FROM s WHERE w > 3""")
 def q42_shortfalls(t: Tables):
     return rank.shortfalls(_pool(t).where("score > 0.9"), ["region"])
 

@@ -128,7 +128,7 @@ def q17_top8_impact(t: Tables):
     edges = t.lineitem.select(F.lit("calls").alias("kind"), order.alias("source"), part("l_partkey").alias("target"), F.col("l_orderkey").cast("string").alias("path"), F.col("l_linenumber").alias("line"), F.lit("").alias("expression"))
     symbols = t.part.select(part("p_partkey").alias("id"), part("p_partkey").alias("path")).unionByName(t.orders.select(F.concat(F.lit("order:"), "o_orderkey").alias("id"), F.concat(F.lit("order:"), "o_orderkey").alias("path")))
     changed = t.part.where("p_size = 1").select(part("p_partkey").alias("path"))
-    return graph.impact(edges, symbols, changed).select("target_path", "caller", "anchor", "rank", "total", "truncated")
+    return graph.impact(edges, symbols, changed).select("target_path", "caller", "anchor", F.col("rank").cast("long").alias("rank"), "total", "truncated")
 
 
 @Q.add("""WITH a AS (SELECT DISTINCT l_orderkey, l_linenumber AS n FROM lineitem), b AS (SELECT DISTINCT l_orderkey, CASE WHEN l_quantity = 50 THEN l_linenumber + 10 ELSE l_linenumber END AS n FROM lineitem WHERE l_discount < 0.1), f AS (SELECT a.n AS an, b.n AS bn FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey AND a.n = b.n)
