@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def half_even(c: Column) -> Column:
     """Round to a whole number, ties to even."""
@@ -65,9 +67,27 @@ def tier_of(value: Column, low: Column, high: Column) -> Column:
     return F.when(value <= low, "easy").when(value <= high, "medium").otherwise("hard")
 
 
+def with_rank(df: DataFrame, keys: list[str], order: list[Column], out: str = "rank", total: str | None = None) -> DataFrame:
+    """Position from 1 in each group, and the group's size. Without keys the whole table is sorted in ranges: every
+    range numbers its own rows and adds the sizes of the ranges before it, so no task ever holds all rows."""
+    if keys:
+        w = Window.partitionBy(*keys)
+        ranked = df.withColumn(out, F.row_number().over(w.orderBy(*order)).cast("long"))
+        return ranked.withColumn(total, F.count(F.lit(1)).over(w)) if total else ranked
+    at = F.monotonically_increasing_id()
+    rows = cut(df.orderBy(*order).withColumn("_range", F.shiftright(at, 33)).withColumn("_at", at - F.shiftleft(F.shiftright(at, 33), 33)))
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    sizes = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    ranked = rows.join(F.broadcast(sizes), "_range").withColumn(out, F.col("_before") + F.col("_at") + 1)
+    ranked = ranked.withColumn(total, F.col("_all")) if total else ranked
+    return ranked.drop("_range", "_at", "_before", "_all")
+
+
 def equal_thirds(df: DataFrame, keys: list[str], order: list[Column], out: str = "tier") -> DataFrame:
-    """min(2, position * 3 // n) within each group; the same as ntile(3)."""
-    return df.withColumn(out, F.ntile(3).over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+    """min(2, position * 3 // n) within each group."""
+    ranked = with_rank(df, keys, order, "_place", "_total")
+    return ranked.withColumn(out, F.floor((F.col("_place") - 1) * 3 / F.col("_total")).cast("int")).drop("_place", "_total")
 
 
 def version_tuple(version: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lineage import cut
 
 BUILTINS = tuple(sorted(n for n in dir(builtins) if not n.startswith("_")))
 STDLIB = tuple(sorted(sys.stdlib_module_names))
@@ -143,19 +144,6 @@ def impact(edges: DataFrame, symbols: DataFrame, changed: DataFrame, most: int =
     return ranked.where(F.col("rank") <= most).select("target_path", F.col("source").alias("caller"), "kind", "anchor", "expression", "rank", "total", (F.col("total") > most).alias("truncated"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage by a checkpoint in the shared folder that spark.checkpoint.dir names."""
-    sc, spark = df.sparkSession.sparkContext, df.sparkSession
-    if not sc.getCheckpointDir():
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        if not where:
-            import tempfile
-
-            where = tempfile.mkdtemp(prefix="strataquarry-")
-        sc.setCheckpointDir(where)
-    return df.checkpoint()
-
-
 def waves(nodes: DataFrame, edges: DataFrame, most: int = 1_000) -> DataFrame:
     """(node, wave): a node stands one wave after the last node it depends on, edges(source, target); cycles are one last wave."""
     left = cut(nodes.select("node").distinct())

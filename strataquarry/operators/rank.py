@@ -18,7 +18,7 @@ def weighted_rank(df: DataFrame, keys: list[str], weights: dict[str, float], tie
     """Min-max each column in its pool, weigh, rank by score down and tie up. A pool of one, or a constant column, scores 1."""
     normal = N.with_min_max(df, keys, list(weights))
     total = sum((F.col(f"{c}_norm") * w for c, w in weights.items()), F.lit(0.0))
-    return normal.withColumn(score, total).withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(score), tie)))
+    return N.with_rank(normal.withColumn(score, total), keys, [F.desc(score), F.col(tie)])
 
 
 def rank_history(candidates: DataFrame) -> DataFrame:

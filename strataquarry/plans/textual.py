@@ -56,7 +56,8 @@ def q56_sanitize(t: Tables):
     return t.conversations.select("conv_id", "turn", F.md5(T.sanitize(F.col("text"))).alias("clean_md5"))
 
 
-@Q.add(None)
+@Q.add(r"""WITH p AS (SELECT doc_id, coalesce(list_filter(list_transform(list_filter(list_transform(string_split(text, chr(10)), lambda x : trim(x)), lambda x : NOT regexp_matches(x, '^(\.\.[ \t]|:[A-Za-z0-9_]+:|=+$|-+$|~+$)')), lambda x : trim(regexp_replace(regexp_replace(regexp_replace(x, ':[A-Za-z0-9_]+:`~?([^`]*)`', '\1', 'g'), '[*`]+', '', 'g'), ' +', ' ', 'g'))), lambda x : length(x) >= 12)[1], '') AS s FROM documents)
+SELECT doc_id, CASE WHEN length(s) > 200 THEN regexp_replace(regexp_replace(left(s, 200), ' [^ ]*$', ''), '[,;:]+$', '') || '…' ELSE s END AS summary FROM p""")
 def q57_first_paragraph(t: Tables):
     return t.documents.select("doc_id", T.first_paragraph(F.replace("text", F.lit("\n"), F.lit("\n\n"))).alias("summary"))
 

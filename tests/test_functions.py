@@ -93,3 +93,11 @@ def test_ceiling_tiers_and_focus(spark):
 @pytest.mark.parametrize(("v", "spec", "want"), [("3.12", ">=3.10", True), ("3.9", ">=3.10", False), ("3.12", "<4", True), ("3.12.1", "==3.12.*", True), ("3.12", "!=3.12.0", False), ("3.11", "~=3.10", True), ("3.1", "<3.10", True), ("3.10", ">3.10.0", False)])
 def test_version_specifiers(spark, v, spec, want):
     assert spark.range(1).select(N.satisfies(F.lit(v), F.lit(spec))).first()[0] is want
+
+
+def test_ranks_of_a_whole_table(spark):
+    df = spark.range(5_000).select("id", (F.col("id") * 7919 % 997).alias("v")).repartition(7)
+    got = N.with_rank(df, [], [F.desc("v"), F.col("id")], total="n").collect()
+    want = {i: k for k, (_, i) in enumerate(sorted((-(i * 7919 % 997), i) for i in range(5_000)), 1)}
+    assert {r.id: r["rank"] for r in got} == want and {r.n for r in got} == {5_000}
+    assert N.with_rank(df.where("false"), [], [F.col("id")]).count() == 0
