@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import cut
+from .runtime import cut, splittable
 
 MOST_ROUNDS = 60
 
@@ -18,9 +18,9 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        large = splittable(both, least, ["u"]).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(low, "u").where(F.col("v") != F.col("low")).select(F.col("v").alias("u"), F.col("low").alias("v"))
+        small = splittable(large, low, ["u"]).where(F.col("v") != F.col("low")).select(F.col("v").alias("u"), F.col("low").alias("v"))
         small = small.unionByName(low.select("u", F.col("low").alias("v"))).where("u <> v")
         e = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()

@@ -48,6 +48,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def splittable(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join that deals both sides anew. After an aggregate on the same keys Spark would otherwise reuse its
+    partitioning, and could no longer split a key that holds a large part of the rows."""
+    parity = F.pmod(F.xxhash64(*keys), F.lit(2))
+    return left.withColumn("_parity", parity).join(right.withColumn("_parity", parity), [*keys, "_parity"], how).drop("_parity")
+
+
 def text_key(column: str = "text"):
     """128-bit identity of a text (null reads as empty); equal texts share it, whatever their ids."""
     return F.unhex(F.md5(F.coalesce(F.col(column), F.lit(""))))
