@@ -72,7 +72,6 @@ def parse_refs(raw: DataFrame) -> DataFrame:
 def pull_request_pages(pages: DataFrame, per_page: int = 100) -> tuple[DataFrame, DataFrame]:
     """(records, availability) of landed API pages(page, items, error). Pages after the first short or failed one do not count."""
     flat = pages.select("page", "items", "error", (F.coalesce(F.size("items"), F.lit(0)) < per_page).alias("short"))
-    stop = flat.agg(F.min(F.when(F.col("short") | F.col("error").isNotNull(), F.col("page"))).alias("stop"), F.min_by("error", "page").alias("e"))
     stop = flat.agg(F.coalesce(F.min(F.when(F.col("short") | F.col("error").isNotNull(), F.col("page"))), F.max("page")).alias("stop"))
     used = flat.join(F.broadcast(stop), F.col("page") <= F.col("stop"))
     rows = used.where("error is null").select(F.explode("items").alias("r")).select("r.*")
