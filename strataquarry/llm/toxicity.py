@@ -36,6 +36,8 @@ LONGEST = 256
 #: Prefix lengths in bytes that are features beside the word.
 PREFIXES = (4, 5, 6, 7, 8)
 NONE = 1 << BITS
+#: Log odds beyond this are certain.
+MOST = 30.0
 SCORES = "doc_id long, held_out boolean, score double, predicted int, spans string"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -94,14 +96,15 @@ def messages(unary: np.ndarray, bounds: np.ndarray, move: np.ndarray) -> tuple[n
     longest = int(size[0]) if len(size) else 0
     alive = np.searchsorted(-size, -np.arange(1, longest + 1), "right")  # chains with more than t words at t
     last = head + size - 1
+    m = np.exp(move)
     for t in range(1, longest):
         k = alive[t]
         at = head[:k] + t
-        before = forward[at - 1]
-        forward[at] += np.logaddexp(move[0, 1], before + move[1, 1]) - np.logaddexp(move[0, 0], before + move[1, 0])
+        before = np.exp(np.clip(forward[at - 1], -MOST, MOST))
+        forward[at] += np.log((m[0, 1] + before * m[1, 1]) / (m[0, 0] + before * m[1, 0]))
         at = last[:k] - t
-        after = backward[at + 1] + unary[at + 1]
-        backward[at] = np.logaddexp(move[1, 0], after + move[1, 1]) - np.logaddexp(move[0, 0], after + move[0, 1])
+        after = np.exp(np.clip(backward[at + 1] + unary[at + 1], -MOST, MOST))
+        backward[at] = np.log((m[1, 0] + after * m[1, 1]) / (m[0, 0] + after * m[0, 1]))
     return forward, backward
 
 
@@ -114,11 +117,11 @@ def pair_sums(forward: np.ndarray, backward: np.ndarray, unary: np.ndarray, boun
     inner = np.ones(len(unary), bool)
     inner[bounds[1:] - 1] = False
     t = np.flatnonzero(inner)
-    a, b = forward[t], unary[t + 1] + backward[t + 1]
-    logs = np.stack([np.full(len(t), move[0, 0]), move[0, 1] + b, move[1, 0] + a, move[1, 1] + a + b])
-    logs -= logs.max(0)
-    p = np.exp(logs)
-    return (p / p.sum(0)).sum(1).reshape(2, 2)
+    m, a = np.exp(move), np.exp(np.clip(forward[t], -MOST, MOST))
+    b = np.exp(np.clip(unary[t + 1] + backward[t + 1], -MOST, MOST))
+    parts = [np.full(len(t), m[0, 0]), m[0, 1] * b, m[1, 0] * a, m[1, 1] * a * b]
+    total = sum(parts)
+    return np.array([(x / total).sum() for x in parts]).reshape(2, 2)
 
 
 def token_labels(h: np.ndarray, first: np.ndarray, feats: np.ndarray, toxic: np.ndarray, least: int = 5, least_docs: int = 4, odds: float = 30.0) -> np.ndarray:
