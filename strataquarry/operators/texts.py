@@ -19,17 +19,22 @@ def ngrams(tokens: Column, n: int = NGRAM) -> Column:
 
 
 def spans_of(df: DataFrame, keys: list[str], text: Column, n: int = NGRAM) -> DataFrame:
-    """(keys, at, span) of every token run. Tokens are a column of their own, so they are found once a text."""
-    return df.select(*keys, T.tokens(text).alias("_tokens")).select(*keys, F.posexplode(ngrams(F.col("_tokens"), n)).alias("at", "span"))
+    """(keys, at, span) of every token run, lower case. Shifted arrays are zipped, which stays inside generated code."""
+    t = F.col("_tokens")
+    shifted = F.arrays_zip(*(F.slice(t, i + 1, F.size(t)).alias(f"t{i}") for i in range(n)))
+    rows = df.select(*keys, T.tokens(text).alias("_tokens")).select(*keys, F.posexplode(shifted).alias("at", "s"))
+    return rows.where(F.col("s").getField(f"t{n - 1}").isNotNull()).select(*keys, "at", F.lower(F.concat_ws(" ", *(F.col("s").getField(f"t{i}") for i in range(n)))).alias("span"))
 
 
 def overlap(left: DataFrame, right: DataFrame, key: str, other: str, n: int = NGRAM, known: DataFrame | None = None) -> DataFrame:
-    """(key, other, spans): distinct token runs that a left and a right text share and `known` texts lack. An equi-join on the run."""
-    a = spans_of(left, [key], F.col("text"), n).select(key, "span").distinct()
+    """(key, other, spans): distinct token runs that a left and a right text share and `known` texts lack.
+
+    An equi-join on the run: the left side's runs are only made distinct where they meet the right side.
+    """
     b = spans_of(right, [other], F.col("text"), n).select(other, "span").distinct()
     if known is not None:
         b = b.join(spans_of(known, [], F.col("text"), n).select("span").distinct(), "span", "left_anti")
-    return a.join(b, "span").groupBy(key, other).agg(F.count(F.lit(1)).alias("spans"))
+    return spans_of(left, [key], F.col("text"), n).select(key, "span").join(b, "span").groupBy(key, other).agg(F.count_distinct("span").alias("spans"))
 
 
 def copied_lines(instructions: DataFrame, diffs: DataFrame, base: DataFrame | None = None, n: int = NGRAM) -> DataFrame:
