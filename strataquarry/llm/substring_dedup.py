@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import cut, release, small_batches, text_key
+from .runtime import cut, release, small_batches, splittable, text_key
 
 NODES = "key binary, node long, edge long, lo int, hi int"
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -158,7 +158,7 @@ def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8) -> DataFr
     windows = cut(texts.join(todo, "key").mapInArrow(_windows(window), "key binary, node long, window long, start int, weight long"))
     release(spark)
     again = windows.groupBy("node", "window").agg(F.sum("weight").alias("met")).where("met > 1").select("node", "window")
-    single = windows.where("weight = 1").join(again, ["node", "window"], "left_semi").select("key", F.col("start").alias("lo"), F.col("start").alias("hi"))
+    single = splittable(windows.where("weight = 1"), again, ["node", "window"], "left_semi").select("key", F.col("start").alias("lo"), F.col("start").alias("hi"))
     return straight.unionByName(parallel).unionByName(single).distinct()
 
 
