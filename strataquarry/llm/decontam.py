@@ -54,10 +54,13 @@ class Index:
     filter: np.ndarray
 
 
-def walk_keys(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, limits: np.ndarray, walks: int, samples: int) -> np.ndarray:
-    """LSH keys, walks x windows, of windows hashes[start : start + length]; nothing is read at or beyond limits."""
+def walk_keys(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, limits: np.ndarray, walks: int, samples: int, longest: int) -> np.ndarray:
+    """LSH keys, walks x windows, of windows hashes[start : start + length]; nothing is read at or beyond limits.
+
+    All draws follow from `longest`, the block's longest item: only calls with the same one walk alike.
+    """
     rng = np.random.Generator(np.random.PCG64(77))
-    n, steps = len(starts), 2 * int(lengths.max(initial=1))
+    n, steps = len(starts), 2 * longest
     stop = np.minimum(starts + lengths, limits)
     padded = np.append(hashes, np.uint64(0))
     out = np.empty((walks, n), np.uint64)
@@ -88,7 +91,7 @@ def build(items: list[tuple[int, str]], similarity: float, min_words: int, walks
     n = np.array([len(x) for x in words])
     flat = np.concatenate(words)
     start = np.cumsum(n) - n
-    keys = walk_keys(flat, start, n, start + n, walks, samples)
+    keys = walk_keys(flat, start, n, start + n, walks, samples, int(n.max()))
     grams = [np.unique(W.Runs(x).grams(2)) for x in words]
     pairs, which = np.unique(np.concatenate(grams), return_inverse=True)
     by_pair = np.argsort(which, kind="stable")
@@ -174,7 +177,7 @@ def find(index: Index, w: W.Words, walks: int, samples: int) -> list[tuple[int,
     start = np.maximum(place[row] - (np.arange(len(row)) - np.repeat(np.cumsum(back) - back, back)), 0)
     start, length = np.unique(np.stack([start, size[item[row]]], 1), axis=0).T
     doc = np.searchsorted(w.first, start, "right") - 1
-    keys = walk_keys(w.hashes, start, length, w.first[doc + 1], walks, samples).ravel()
+    keys = walk_keys(w.hashes, start, length, w.first[doc + 1], walks, samples, int(index.lengths[-1])).ravel()
     lo, hi = np.searchsorted(index.keys, keys, "left"), np.searchsorted(index.keys, keys, "right")
     n = hi - lo
     row = np.repeat(np.arange(len(keys)), n)

@@ -72,3 +72,13 @@ def test_blocks_edges_and_empties(spark, monkeypatch):
         monkeypatch.setattr(decontam.blocks, "__defaults__", (size and 10,))
     assert decontam.mark_leaks(docs, bench.where("false"), with_text=False).columns == ["doc_id", "_leaks"]
     assert decontam.mark_leaks(docs.where("false"), bench).count() == 0
+
+
+def test_short_leaks_alone_in_their_partition(spark):
+    rng = random.Random(11)
+    items = [(i, prose(rng, 30)) for i in range(12)] + [(99, prose(rng, 59))]
+    data = [(i, f"{prose(rng, 20)} {text} {prose(rng, 20)}") for i, text in items[:12]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for d, text in data:
+        alone = spark.createDataFrame([(d, text)], "doc_id long, text string").coalesce(1)
+        assert [x.item_id for r in decontam.mark_leaks(alone, bench).collect() for x in r._leaks] == [d]
