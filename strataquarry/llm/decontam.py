@@ -1,14 +1,13 @@
-"""Benchmark decontamination: CGK random walks embed edit distance into Hamming distance, bit sampling finds candidates.
+"""Benchmark decontamination: a word-pair condition that loses nothing, then exact edit distance for all it leaves.
 
 Texts are word sequences. An item of L words leaks into a text if some run of its words is within floor((1 - similarity) * L)
-word edits of the item. Three steps, all in one pass over the texts:
+word edits of the item. Two steps, both in one pass over the texts:
 
-1. A necessary condition, which loses nothing: e edits destroy at most 2e of the item's L - 1 word pairs, so a run of
-   L + e words must hold at least L - 1 - 2e pairs of the benchmark. Window starts that fail it are skipped.
-2. At each start left, an item-sized window takes `walks` CGK walks: a pointer copies its word and advances by a random
-   bit of (walk, step, word). A few sampled steps of a walk form one key of the bit-sampling LSH. Equal keys with an item
-   of the same length are candidates; neighbouring starts are tried too, which lifts recall further.
-3. Each candidate region is verified exactly by bit-parallel edit distance of the item against any part of the region.
+1. A necessary condition: e edits destroy at most 2e of the item's L - 1 word pairs, so a run of L + e words must hold at
+   least L - 1 - 2e pairs of the item (one at least, which only matters at similarities far below the default). Places
+   that fail it for the pairs of all items, then for those of each item alone, are skipped.
+2. The region around each place left is verified by bit-parallel edit distance of the item against any part of it. None
+   is sampled or skipped, so every leak is found, whatever its length and edits.
 
 Items travel to the workers in blocks of bounded size; a larger benchmark is several maps in a row, not a larger one.
 
@@ -30,7 +29,7 @@ from pyspark.sql import types as T
 from . import words as W
 from .runtime import small_batches
 
-SIMILARITY, MIN_WORDS, WALKS, SAMPLES = 0.8, 8, 12, 3
+SIMILARITY, MIN_WORDS = 0.8, 8
 BLOCK_CHARS = 8_000_000
 HITS = "array<struct<item_id:bigint,start:int,end:int,distance:int>>"
 _HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("distance", pa.int32())]))
@@ -49,39 +48,10 @@ class Index:
     post: np.ndarray
     lengths: np.ndarray  # distinct item lengths
     slack: np.ndarray  # edits that each allows
-    keys: np.ndarray  # sorted LSH keys of all walks
-    owner: np.ndarray  # item of each key
     filter: np.ndarray
 
 
-def walk_keys(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, limits: np.ndarray, walks: int, samples: int, longest: int) -> np.ndarray:
-    """LSH keys, walks x windows, of windows hashes[start : start + length]; nothing is read at or beyond limits.
-
-    All draws follow from `longest`, the block's longest item: only calls with the same one walk alike.
-    """
-    rng = np.random.Generator(np.random.PCG64(77))
-    n, steps = len(starts), 2 * longest
-    stop = np.minimum(starts + lengths, limits)
-    padded = np.append(hashes, np.uint64(0))
-    out = np.empty((walks, n), np.uint64)
-    for r in range(walks):
-        turn = rng.integers(1, 2**63, steps, dtype=np.uint64)
-        odd = rng.integers(1, 2**62, 1, dtype=np.uint64)[0] * np.uint64(2) + np.uint64(1)
-        share = np.sort(rng.random(samples))
-        at, key = starts.copy(), W.mix(lengths.astype(np.uint64) * np.uint64(1_000_003) + np.uint64(r))
-        wanted = np.stack([(s * 1.5 * lengths).astype(np.int64) for s in share])
-        for j in range(int(wanted.max(initial=0)) + 1):
-            word = padded[np.where(at < stop, at, len(hashes))]
-            for k in range(samples):
-                hit = wanted[k] == j
-                if hit.any():
-                    key[hit] = W.mix(key[hit] ^ (word[hit] + np.uint64(k + 1)))
-            at += (((word ^ turn[j]) * odd) >> np.uint64(63)).astype(np.int64)
-        out[r] = key
-    return out
-
-
-def build(items: list[tuple[int, str]], similarity: float, min_words: int, walks: int, samples: int) -> Index | None:
+def build(items: list[tuple[int, str]], similarity: float, min_words: int) -> Index | None:
     buf, docs = W.buffers(pa.array([t or "" for _, t in items], pa.string()))
     w = W.split(buf, docs)
     some = [i for i in range(len(items)) if w.counts()[i] >= min_words]
@@ -89,9 +59,6 @@ def build(items: list[tuple[int, str]], similarity: float, min_words: int, walks
         return None
     words = [w.hashes[w.first[i] : w.first[i + 1]] for i in some]
     n = np.array([len(x) for x in words])
-    flat = np.concatenate(words)
-    start = np.cumsum(n) - n
-    keys = walk_keys(flat, start, n, start + n, walks, samples, int(n.max()))
     grams = [np.unique(W.Runs(x).grams(2)) for x in words]
     pairs, which = np.unique(np.concatenate(grams), return_inverse=True)
     by_pair = np.argsort(which, kind="stable")
@@ -99,11 +66,9 @@ def build(items: list[tuple[int, str]], similarity: float, min_words: int, walks
     post = np.repeat(np.arange(len(words)), [len(g) for g in grams])[by_pair]
     seen = np.zeros(1 << _BITS, bool)
     seen[(pairs >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-    flat_keys, owner = keys.ravel(), np.tile(np.arange(len(some)), walks)
-    order = np.argsort(flat_keys, kind="stable")
     allowed = lambda size: np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
     lengths = np.unique(n)
-    return Index(np.array([items[i][0] for i in some]), words, allowed(n), pairs, posts, post, lengths, allowed(lengths), flat_keys[order], owner[order], seen)
+    return Index(np.array([items[i][0] for i in some]), words, allowed(n), pairs, posts, post, lengths, allowed(lengths), seen)
 
 
 def fit_in(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -136,7 +101,7 @@ def _nearest_end(item: np.ndarray, region: np.ndarray, anchored: bool = False) -
     return best[1], best[0]
 
 
-def find(index: Index, w: W.Words, walks: int, samples: int) -> list[tuple[int, int, int, int, int]]:
+def find(index: Index, w: W.Words) -> list[tuple[int, int, int, int, int]]:
     """(document, item, first word, end word, distance) of each leak in a chunk."""
     total = int(w.first[-1])
     if total < 2:
@@ -171,36 +136,26 @@ def find(index: Index, w: W.Words, walks: int, samples: int) -> list[tuple[int,
     head = np.flatnonzero(inside & (item[far] == item) & (place[far] - place <= (size + index.edits)[item] - 2))
     if not len(head):
         return []
-    # at most 2e words of a leak stand before its first surviving pair
-    back = 2 * index.edits[item[head]] + 1
-    row = np.repeat(head, back)
-    start = np.maximum(place[row] - (np.arange(len(row)) - np.repeat(np.cumsum(back) - back, back)), 0)
-    start, length = np.unique(np.stack([start, size[item[row]]], 1), axis=0).T
-    doc = np.searchsorted(w.first, start, "right") - 1
-    keys = walk_keys(w.hashes, start, length, w.first[doc + 1], walks, samples, int(index.lengths[-1])).ravel()
-    lo, hi = np.searchsorted(index.keys, keys, "left"), np.searchsorted(index.keys, keys, "right")
-    n = hi - lo
-    row = np.repeat(np.arange(len(keys)), n)
-    owner = index.owner[np.repeat(lo, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)]
-    pair = np.unique(np.stack([owner, start[row % len(start)]], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
-    out, i = [], 0
-    while i < len(pair):
-        item, a = int(pair[i, 0]), int(pair[i, 1])
-        length, most, d = len(index.words[item]), int(index.edits[item]), int(np.searchsorted(w.first, a, "right") - 1)
-        b = a
-        i += 1
-        while i < len(pair) and pair[i, 0] == item and pair[i, 1] <= b + length and pair[i, 1] < w.first[d + 1]:
-            b = int(pair[i, 1])
-            i += 1
-        lo_word, hi_word = max(int(w.first[d]), a - most), min(int(w.first[d + 1]), b + length + most)
-        found = fit_in(index.words[item], w.hashes[lo_word:hi_word], most)
+    # at most 2e words of a leak stand before its first surviving pair, so the leak lies in this region
+    item, at = item[head], place[head]
+    doc = np.searchsorted(w.first, at, "right") - 1
+    lo = np.maximum(w.first[doc], at - 2 * index.edits[item])
+    hi = np.minimum(w.first[doc + 1], at + (size + index.edits)[item])
+    # of one item's regions in a document, those that meet are read as one
+    new = np.ones(len(item), bool)
+    new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(new)) - 1
+    out = []
+    for i, d, a, b in zip(item[begin].tolist(), doc[begin].tolist(), lo[begin].tolist(), hi[end].tolist(), strict=True):
+        found = fit_in(index.words[i], w.hashes[a:b], int(index.edits[i]))
         if found:
-            base = lo_word - int(w.first[d])
-            out.append((d, item, base + found[0], base + found[1], found[2]))
+            base = a - int(w.first[d])
+            out.append((d, i, base + found[0], base + found[1], found[2]))
     return out
 
 
-def _mark(index: Index, at: int, has_hits: bool, walks: int, samples: int, dropped: bool = False):
+def _mark(index: Index, at: int, has_hits: bool, dropped: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
@@ -208,7 +163,7 @@ def _mark(index: Index, at: int, has_hits: bool, walks: int, samples: int, dropp
                 own = batch.slice(lo, len(part))
                 lo += len(part)
                 hits: list[list[dict]] = own.column(own.num_columns - 1).to_pylist() if has_hits else [[] for _ in range(len(part))]
-                for d, item, a, b, distance in find(index, W.split(buf, docs), walks, samples):
+                for d, item, a, b, distance in find(index, W.split(buf, docs)):
                     hits[d].append({"item_id": int(index.ids[item]), "start": a, "end": b, "distance": distance})
                 keep = [i for i in range(own.num_columns - has_hits) if not (dropped and i == at)]
                 cols, names = [own.column(i) for i in keep], [own.schema.names[i] for i in keep]
@@ -230,14 +185,14 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_CHARS) -> Iterator[list[tuple
         yield block
 
 
-def mark_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, walks: int = WALKS, samples: int = SAMPLES, with_text: bool = True) -> DataFrame:
+def mark_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, with_text: bool = True) -> DataFrame:
     """Rows of documents with _leaks: item_id, start, end (words), distance of each leak. Without text, it need not travel back."""
     small_batches(documents.sparkSession)
     at, out = documents.columns.index("text"), documents
-    indexes = [x for x in (build(block, similarity, min_words, walks, samples) for block in blocks(benchmark)) if x]
+    indexes = [x for x in (build(block, similarity, min_words) for block in blocks(benchmark)) if x]
     leaks = T.StructField("_leaks", T._parse_datatype_string(HITS))
     for i, index in enumerate(indexes):
         drop = i == len(indexes) - 1 and not with_text
         fields = [f for f in documents.schema.fields if not (drop and f.name == "text")]
-        out = out.mapInArrow(_mark(index, at, i > 0, walks, samples, drop), T.StructType([*fields, leaks]))
+        out = out.mapInArrow(_mark(index, at, i > 0, drop), T.StructType([*fields, leaks]))
     return out if indexes else out.withColumn("_leaks", F.array().cast(HITS)).select(*(c for c in documents.columns if with_text or c != "text"), "_leaks")

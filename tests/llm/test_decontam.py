@@ -82,3 +82,18 @@ def test_short_leaks_alone_in_their_partition(spark):
     for d, text in data:
         alone = spark.createDataFrame([(d, text)], "doc_id long, text string").coalesce(1)
         assert [x.item_id for r in decontam.mark_leaks(alone, bench).collect() for x in r._leaks] == [d]
+
+
+def test_no_leak_at_the_edit_limit_is_lost(spark):
+    rng = random.Random(12)
+    items = [(i, prose(rng, n, 4000)) for i, n in enumerate([12, 30, 59, 100, 200] * 4)]
+    data = []
+    for i, text in items:
+        words = text.split()
+        chosen = set(rng.sample(range(len(words)), len(words) // 5))
+        fewer = [x for j, x in enumerate(words) if j not in chosen]
+        other = [f"n{j}" if j in chosen else x for j, x in enumerate(words)]
+        for leak in (fewer, other, spoil(rng, words, len(chosen))):
+            data.append((i, " ".join([prose(rng, 40), *leak, prose(rng, 40)])))
+    marked = decontam.mark_leaks(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert all([x.item_id for x in r._leaks] == [r.doc_id] for r in marked.collect())
