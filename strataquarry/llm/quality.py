@@ -1,8 +1,12 @@
 """Quality rules: hand rules of repetition and length, then a hashed n-gram log-likelihood ratio.
 
-Word unigrams and bigrams hash into a fixed number of buckets. Two smoothed multinomials are counted: one over trusted
-documents (label quality = 1; a bounded sample, `max_trusted` ids by hash order), one over every document. A document's
-score is the mean log ratio of its n-grams, so length cancels, and every document is held against one fixed threshold.
+Word unigrams and bigrams hash into as many buckets as the documents have distinct ones (by a sketch; the next power of two,
+2^20 at least). Two smoothed multinomials are counted: one over trusted documents (label quality = 1; a bounded sample,
+`max_trusted` ids by hash order), one over every document. A document's score is the mean log ratio of its n-grams, so
+length cancels, and every document is held against one fixed threshold.
+
+Counts meet in slices of the hash space, distributed. Up to `PART` buckets the log ratios travel to the workers at once;
+a larger table goes part by part, one pass over the texts each, and the sums of equal texts join back.
 
 Defined results: null text reads as empty and fails the rules; a document without n-grams scores 0; without any trusted
 document every score is 0, so the rules alone decide; repeated rows count as often as they stand; labels with a null or
@@ -11,7 +15,9 @@ repeated doc_id are ignored or counted once; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import small_batches
+from .runtime import cut, small_batches, splittable, text_key
 
-BUCKETS = 1 << 16
+LEAST_BUCKETS = 1 << 20
+#: Buckets whose counts meet in one task.
+SLICE = 1 << 16
+#: Buckets whose log ratios (2 bytes each) a worker holds at once.
+PART = 1 << 26
+_SKETCH = 4096
+_PENDING = 4_000_000
 MAX_TRUSTED = 20_000
 #: Counts lent to every bucket in proportion to both models' sizes: a bucket that neither knows says nothing.
 SMOOTHING = 10.0
@@ -69,80 +81,195 @@ def base_counts(buf: np.ndarray, docs: np.ndarray, w: W.Words) -> tuple[np.ndarr
     return chars, symbols, dup, repeat_words(w)
 
 
+@dataclass
+class Model:
+    """Log ratios of the buckets lo : lo + len(ratio), of all `buckets`; what every n-gram of a document adds besides."""
+
+    ratio: np.ndarray
+    buckets: int
+    lo: int
+    shift: float
+
+
 def features(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of every unigram and bigram."""
+    """(document, hash) of every unigram and bigram."""
     doc = w.doc_of
     pair = np.flatnonzero(W.whole(w.first, 2))
     grams = W.Runs(w.hashes).grams(2)[pair] if len(pair) else np.zeros(0, np.uint64)
-    bucket = np.concatenate([w.hashes, grams]) & np.uint64(BUCKETS - 1)
-    return np.concatenate([doc, doc[pair]]), bucket.astype(np.int64)
+    return np.concatenate([doc, doc[pair]]), np.concatenate([w.hashes, grams])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of a piece's n-grams, and which of them stand in trusted documents."""
     for batch in batches:
         for part, buf, docs in W.pieces(batch):
-            doc, bucket = features(W.split(buf, docs))
-            trusted = part.column(part.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            target += np.bincount(bucket[trusted[doc]], minlength=BUCKETS)
-    at = np.flatnonzero(raw)
-    yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(target[at])], names=["bucket", "raw", "target"])
+            doc, hashes = features(W.split(buf, docs))
+            yield hashes, part.column(part.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)[doc]
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least hashes of a task (its distinct n-grams follow from them), and how many n-grams there are, all and trusted."""
+    least, raw, target = np.zeros(0, np.uint64), 0, 0
+    for hashes, trusted in _featured(batches):
+        raw, target = raw + len(hashes), target + int(trusted.sum())
+        fresh = hashes if len(least) < _SKETCH else hashes[hashes < least[-1]]
+        least = np.unique(np.concatenate([least, fresh]))[:_SKETCH]
+    yield pa.record_batch([pa.array([(least >> np.uint64(1)).astype(np.int64)], pa.list_(pa.int64())), pa.array([raw]), pa.array([target])], names=["least", "raw", "target"])
+
+
+def _size(marked: DataFrame) -> tuple[int, int, int]:
+    """(buckets, n-grams, n-grams of trusted documents)."""
+    found = marked.mapInArrow(_sketch, "least array<long>, raw long, target long")
+    raw, target = found.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
+    least = [r.h for r in found.select(F.explode("least").alias("h")).distinct().orderBy("h").limit(_SKETCH).collect()]
+    distinct = len(least) if len(least) < _SKETCH else (_SKETCH - 1) * 2**63 / least[-1]
+    return max(LEAST_BUCKETS, 1 << int(np.ceil(np.log2(max(distinct, 1))))), raw, target
+
+
+def _packed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row a slice: places in it and their counts."""
+    at, raw, target = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    at, raw, target = at[new], np.add.reduceat(raw[order], new), np.add.reduceat(target[order], new)
+    part = at // SLICE
+    begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    bounds = pa.array(np.append(begin, len(at)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in ((at % SLICE).astype(np.uint16).view(np.int16), raw.astype(np.int32), target.astype(np.int32))]
+    return pa.record_batch([pa.array(part[begin]), *lists], names=["slice", "place", "raw", "target"])
+
+
+def _count(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for hashes, trusted in _featured(batches):
+            if not len(hashes):
+                continue
+            at, of, raw = np.unique((hashes & np.uint64(buckets - 1)).astype(np.int64), return_inverse=True, return_counts=True)
+            held.append((at, raw, np.bincount(of[trusted], minlength=len(at))))
+            n += len(at)
+            if n > _PENDING:
+                yield _packed(held)
+                held, n = [], 0
+        if held:
+            yield _packed(held)
+
+    return run
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> np.ndarray:
-    """Log ratio of each bucket. What reaches the driver is one row a bucket, whatever the input."""
+def _ratios(share: float) -> Callable[[pa.Table], pa.Table]:
+    def run(rows: pa.Table) -> pa.Table:
+        raw, target = np.zeros(SLICE), np.zeros(SLICE)
+        for row in range(len(rows)):
+            place, r, t = (rows.column(k)[row].values.to_numpy() for k in ("place", "raw", "target"))
+            at = place.view(np.uint16)
+            raw[at] += r
+            target[at] += t
+        used = int((raw > 0).sum())
+        raw = np.maximum(raw - 1, 0)  # a document that is scored has been counted itself
+        ratio = np.log(target / share + SMOOTHING) - np.log(raw + SMOOTHING)
+        return pa.table({"slice": rows.column("slice")[:1], "used": pa.array([used]), "ratio": pa.array([ratio.astype(np.float16).tobytes()], pa.binary())})
+
+    return run
+
+
+def fit(documents: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> Iterator[Model]:
+    """The model in parts of at most PART buckets; one part reaches the driver at a time."""
     small_batches(documents.sparkSession)
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("tid")).distinct().orderBy(F.xxhash64("tid"), "tid").limit(max_trusted)
     marked = documents.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("tid"), "left").select("text", F.col("tid").isNotNull().alias("trusted"))
-    counts = marked.mapInArrow(_count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[counts.bucket], target[counts.bucket] = counts.raw, counts.target
-    if not target.sum():
-        return np.zeros(BUCKETS)
-    share = target.sum() / raw.sum()
-    raw = np.maximum(raw - 1, 0)  # a document that is scored has been counted itself
-    return np.log((target + SMOOTHING * share) / (target.sum() + SMOOTHING * share * BUCKETS)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS))
+    buckets, raw, target = _size(marked)
+    if not target:
+        yield Model(np.zeros(1, np.float16), 1, 0, 0.0)
+        return
+    counts = marked.mapInArrow(_count(buckets), "slice long, place array<short>, raw array<int>, target array<int>")
+    table = cut(counts.groupBy("slice").applyInArrow(_ratios(target / raw), "slice long, used long, ratio binary"))
+    used = table.agg(F.sum("used")).first()[0]
+    shift = float(np.log((raw - used + SMOOTHING * buckets) / (raw + SMOOTHING * buckets)))
+    for lo in range(0, buckets, PART):
+        size = min(PART, buckets)
+        ratio = np.zeros(size, np.float16)
+        for row in table.where(F.col("slice").between(lo // SLICE, (lo + size - 1) // SLICE)).select("slice", "ratio").toLocalIterator():
+            at = row.slice * SLICE - lo
+            ratio[at : at + SLICE] = np.frombuffer(row.ratio, np.float16)
+        yield Model(ratio, buckets, lo, shift)
+
+
+def sums(w: W.Words, model: Model) -> np.ndarray:
+    """Sum of the log ratios of each document's n-grams that lie in this part of the model."""
+    doc, hashes = features(w)
+    at = (hashes & np.uint64(model.buckets - 1)).astype(np.int64) - model.lo
+    if len(model.ratio) < model.buckets:
+        inside = (at >= 0) & (at < len(model.ratio))
+        doc, at = doc[inside], at[inside]
+    return np.bincount(doc, model.ratio[at].astype(float), len(w.docs) - 1)
+
+
+def scores(w: W.Words, total: np.ndarray, shift: float) -> np.ndarray:
+    n = w.counts() + np.maximum(w.counts() - 1, 0)
+    return np.where(n > 0, total / np.maximum(n, 1) + shift, 0.0)
+
+
+def _summed(documents: DataFrame, model: Model) -> DataFrame:
+    """(_key, total) of each text over one part of the model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, buf, docs in W.pieces(batch):
+                yield pa.record_batch([part.column(0), pa.array(sums(W.split(buf, docs), model))], names=["_key", "total"])
+
+    found = documents.select(text_key().alias("_key"), "text").mapInArrow(run, "_key binary, total double")
+    return cut(found.groupBy("_key").agg(F.first("total").alias("total")))
 
 
-def scores(w: W.Words, ratio: np.ndarray) -> np.ndarray:
-    doc, bucket = features(w)
-    n = np.bincount(doc, minlength=len(w.docs) - 1)
-    return np.bincount(doc, ratio[bucket], len(w.docs) - 1) / np.maximum(n, 1)
+def _with_model(documents: DataFrame, labels: DataFrame, max_trusted: int) -> tuple[DataFrame, Model]:
+    """The model where it is one part; else the documents with _total, summed part by part, and the last part."""
+    parts, found = fit(documents, labels, max_trusted), []
+    for model in parts:
+        if len(model.ratio) == model.buckets:
+            return documents, model
+        found.append(_summed(documents, model))
+    total = reduce(DataFrame.unionAll, found).groupBy("_key").agg(F.sum("total").alias("_total"))
+    model.ratio = model.ratio[:0]
+    return splittable(documents.withColumn("_key", text_key()), total, ["_key"], "left").drop("_key"), model
 
 
-def judge(part: pa.RecordBatch, buf: np.ndarray, docs: np.ndarray, ratio: np.ndarray, threshold: float) -> list[pa.Array]:
+def judge(part: pa.RecordBatch, buf: np.ndarray, docs: np.ndarray, model: Model, threshold: float) -> list[pa.Array]:
     w = W.split(buf, docs)
+    at = part.schema.get_field_index("_total")
+    total = sums(w, model) if at < 0 else part.column(at).to_numpy(zero_copy_only=False)
     chars, symbols, dup, repeat = base_counts(buf, docs, w)
     n = w.counts()
     failed = (n < 10) | (100 * repeat > 20 * n)
-    score = scores(w, ratio)
+    score = scores(w, total, model.shift)
     return [pa.array(x) for x in (n, chars, symbols, dup, repeat, failed, score, ~failed & (score >= threshold))]
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, threshold: float = MIN_SCORE, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """One verdict a row of documents(doc_id, text)."""
-    ratio = fit(documents, labels, max_trusted)
+    scored, model = _with_model(documents, labels, max_trusted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, docs in W.pieces(batch):
-                yield pa.record_batch([part.column(0), *judge(part, buf, docs, ratio, threshold)], names=[x.split()[0] for x in VERDICT.split(", ")])
+                yield pa.record_batch([part.column(0), *judge(part, buf, docs, model, threshold)], names=[x.split()[0] for x in VERDICT.split(", ")])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, VERDICT)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(["_total"] if "_total" in scored.columns else [])).mapInArrow(run, VERDICT)
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = MIN_SCORE, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """The rows of documents that pass, all columns as they came."""
-    ratio = fit(documents, labels, max_trusted)
-    at = documents.columns.index("text")
+    scored, model = _with_model(documents, labels, max_trusted)
+    names, schema = documents.columns, documents.schema
+    wanted = ["text", *(["_total"] if "_total" in scored.columns else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
-            for part, buf, docs in W.pieces(batch.select([at])):
-                kept = judge(part, buf, docs, ratio, threshold)[-1]
-                yield batch.slice(lo, len(part)).filter(kept)
+            for part, buf, docs in W.pieces(batch.select(wanted)):
+                kept = judge(part, buf, docs, model, threshold)[-1]
+                yield batch.select(names).slice(lo, len(part)).filter(kept)
                 lo += len(part)
 
-    return documents.mapInArrow(run, documents.schema)
+    return scored.mapInArrow(run, schema)

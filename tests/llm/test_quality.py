@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from strataquarry.llm import quality
 
 from .fixtures import DOCS, corpus, prose, rows
@@ -46,3 +48,22 @@ def test_no_trusted_rows_and_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [(r.kept, r.score) for r in quality.quality_rules(df, none).orderBy("doc_id").collect()] == [(True, 0.0), (False, 0.0)]
     assert quality.quality_rules(df.where("false"), none).count() == 0
+
+
+def test_junk_is_not_masked_by_collisions_of_many_words(spark):
+    rng = random.Random(3)
+    good = [prose(rng, 400, 60_000) for _ in range(2500)]
+    junk = [" ".join(f"{w}***" for w in prose(rng, 60, 8).split()) for _ in range(20)]
+    df = spark.createDataFrame(rows(good + junk), DOCS)
+    labels = spark.createDataFrame([(i, 1) for i in range(2500)], "doc_id long, quality int")
+    assert [r.doc_id for r in quality.quality_rules(df, labels).where("not kept").orderBy("doc_id").collect()] == list(range(2500, 2520))
+
+
+def test_model_in_parts_scores_the_same(spark, monkeypatch):
+    df = spark.createDataFrame([*corpus(), (None, "a b c d e f g h i j k", "en", "s", 0)], DOCS)
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
+    read = lambda: (sorted(map(str, quality.quality_rules(df, labels).withColumn("score", F.round("score", 6)).collect())), sorted(map(str, quality.keep_good(df, labels).collect())))
+    whole = read()
+    monkeypatch.setattr(quality, "PART", 1 << 18)
+    assert read() == whole
+    assert quality.keep_good(df, labels).columns == df.columns
