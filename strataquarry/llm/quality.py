@@ -37,8 +37,8 @@ _PENDING = 4_000_000
 MAX_TRUSTED = 20_000
 #: Counts lent to every bucket in proportion to both models' sizes: a bucket that neither knows says nothing.
 SMOOTHING = 10.0
-#: Mean log ratio below which a document is rejected.
-MIN_SCORE = -0.3
+#: Mean log ratio below which a document is rejected; set by labelled good and junk documents together (README).
+MIN_SCORE = -0.2
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"[#*$%&|<>]"[1:-1])] = True
 _GRAM = 5

@@ -67,3 +67,14 @@ def test_model_in_parts_scores_the_same(spark, monkeypatch):
     monkeypatch.setattr(quality, "PART", 1 << 18)
     assert read() == whole
     assert quality.keep_good(df, labels).columns == df.columns
+
+
+def test_half_spoiled_documents_are_rejected(spark):
+    rng = random.Random(5)
+    good = [prose(rng, 120) for _ in range(120)]
+    junk = [" ".join(x for w in prose(rng, 60, 8).split() for x in (prose(rng, 1), f"{w}***")) for _ in range(20)]
+    df = spark.createDataFrame(rows(good + junk), DOCS)
+    labels = spark.createDataFrame([(i, 1) for i in range(120)], "doc_id long, quality int")
+    verdicts = quality.quality_rules(df, labels).orderBy("doc_id").collect()
+    assert not any(r.base_failed for r in verdicts)
+    assert [r.kept for r in verdicts] == [True] * 120 + [False] * 20, [r.score for r in verdicts]
