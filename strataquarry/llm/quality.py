@@ -129,6 +129,7 @@ def _size(marked: DataFrame) -> tuple[int, int, int]:
 def _packed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     """One row a slice: places in it and their counts."""
     at, raw, target = (np.concatenate(x) for x in zip(*held, strict=True))
+    held.clear()
     order = np.argsort(at, kind="stable")
     at = at[order]
     new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
@@ -137,17 +138,17 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordB
     begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
     bounds = pa.array(np.append(begin, len(at)).astype(np.int32))
     lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in ((at % SLICE).astype(np.uint16).view(np.int16), raw.astype(np.int32), target.astype(np.int32))]
-    return pa.record_batch([pa.array(part[begin]), *lists], names=["slice", "place", "raw", "target"])
+    return pa.record_batch([pa.array(part[begin].astype(np.int64)), *lists], names=["slice", "place", "raw", "target"])
 
 
 def _count(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, n, place = [], 0, np.uint32 if buckets <= 1 << 32 else np.int64
         for hashes, trusted in _featured(batches):
             if not len(hashes):
                 continue
             at, of, raw = np.unique((hashes & np.uint64(buckets - 1)).astype(np.int64), return_inverse=True, return_counts=True)
-            held.append((at, raw, np.bincount(of[trusted], minlength=len(at))))
+            held.append((at.astype(place), raw.astype(np.int32), np.bincount(of[trusted], minlength=len(at)).astype(np.int32)))
             n += len(at)
             if n > _PENDING:
                 yield _packed(held)
