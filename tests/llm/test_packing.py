@@ -1,8 +1,10 @@
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -12,9 +14,9 @@ from strataquarry.llm import packing
 from .fixtures import DOCS, corpus
 
 
+@cache
 def reference():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -24,8 +26,20 @@ def test_rank_file_gives_the_same_ids(text):
     assert list(packing.encoder()(text)) == reference()(text)
 
 
-def test_special_strings_are_ordinary_text():
-    assert list(packing.encoder()("a<|endoftext|>b")) == reference()("a<|endoftext|>b")
+def test_every_code_point_in_context():
+    encode, want = packing.encoder(), reference()
+    for c in [*range(0, 0x3000), *range(0x3000, 0xD800, 37), *range(0xE000, 0x110000, 61)]:
+        text = f"a{chr(c)}b1{chr(c)}2  {chr(c)}  .{chr(c)}!'{chr(c)}"
+        assert list(encode(text)) == want(text), hex(c)
+
+
+def test_added_token_has_its_id():
+    assert list(packing.encoder()("a<|endoftext|>b")) == reference()("a<|endoftext|>b") == [64, 50256, 65]
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "x" * 2_000_000, "\n" * 300_000 + "a", "\u00a0" * 300_000, "a" + " \t" * 20_000 + "b"])
+def test_very_long_runs(text):
+    assert list(packing.encoder()(text)) == reference()(text)
 
 
 def check(pieces, texts, size):
@@ -75,3 +89,13 @@ def test_packer_never_overfills(lengths, most, gap):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_long_texts_ties_repeats_and_clashing_columns(spark):
+    texts = [" " * 1_100_000, "same words here", "same words here", None, "", "<|endoftext|>" * 50]
+    rows = [(i, t, 1, "p", 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, part int, window string, leftover int")
+    check(packing.pack(df).collect(), texts, 2048)
+    again = spark.createDataFrame([(None, "a b"), (None, "a b"), (4, None), (4, None)], "doc_id long, text string")
+    out = packing.pack(again).collect()
+    assert sorted((p.doc_id or -1, p.length) for p in out) == [(-1, 3), (-1, 3), (4, 1), (4, 1)]
