@@ -105,16 +105,25 @@ def split(buf: np.ndarray, docs: np.ndarray, space: np.ndarray = _SPACE, hashed:
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """64 bits a word. Bytes weigh by their place in a block of len(_PLACE) bytes; blocks of longer words weigh by their number."""
     if not len(starts):
         return np.zeros(0, np.uint64)
+    size, most = ends - starts, len(_PLACE)
     place = np.arange(len(buf), dtype=np.int32)
     place[starts[0] :] -= np.repeat(starts.astype(np.int32), np.diff(np.append(starts, len(buf))))
-    place &= 4095
+    place &= most - 1
     value = _BYTE[buf]
     value[gap] = 0
     value *= _PLACE[place]
-    h = np.add.reduceat(value, starts)
-    return mix(h + (ends - starts).astype(np.uint64) * _MIX2)
+    if int(size.max()) <= most:
+        return mix(np.add.reduceat(value, starts) + size.astype(np.uint64) * _MIX2)
+    n = -(-size // most)
+    word = np.repeat(np.arange(len(starts)), n)
+    number = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+    block = np.add.reduceat(value, starts[word] + number * most)
+    later = number > 0
+    block[later] = mix(block[later] + mix(number[later].astype(np.uint64)))
+    return mix(np.add.reduceat(block, np.cumsum(n) - n) + size.astype(np.uint64) * _MIX2)
 
 
 class Runs:

@@ -45,3 +45,13 @@ def test_chunks_cover_all_rows():
     sizes = np.array([5, 0, 200, 1, 1])
     assert list(W.chunks(sizes, 10)) == [(0, 2), (2, 3), (3, 5)]
     assert list(W.chunks(np.array([], int), 10)) == []
+
+
+def test_blocks_of_long_words_do_not_commute():
+    n = len(W._PLACE)
+    parts = ["a" * n + "b" * n, "b" * n + "a" * n, "a" * n, "a" * 2 * n, "a" * (2 * n + 1), "a" * n + "b", "b" + "a" * n]
+    parts += ["c" * n + "a" * n + "b" * n, "c" * n + "b" * n + "a" * n, "ab" * n, "ba" * n]
+    w = _split([" ".join(parts), *parts])
+    once, alone = w.hashes[: len(parts)], w.hashes[len(parts) :]
+    assert once.tolist() == alone.tolist()
+    assert len(set(once.tolist())) == len(parts)
