@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import cut, splittable
-
-MOST_ROUNDS = 60
+from .runtime import cut, forget, splittable
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,18 +13,17 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = cut(e)
     before = None
-    for _ in range(MOST_ROUNDS):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
         large = splittable(both, least, ["u"]).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         small = splittable(large, low, ["u"]).where(F.col("v") != F.col("low")).select(F.col("v").alias("u"), F.col("low").alias("v"))
         small = small.unionByName(low.select("u", F.col("low").alias("v"))).where("u <> v")
-        e = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        last, e = e, cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        forget(last)
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -1,24 +1,35 @@
-"""Benchmark decontamination: a word-pair condition that loses nothing, then exact edit distance for all it leaves.
+"""Benchmark decontamination: CGK walks turn edit distance into Hamming distance, bit-sampling LSH finds candidates, and
+exact edit distance decides.
 
-Texts are word sequences. An item of L words leaks into a text if some run of its words is within floor((1 - similarity) * L)
-word edits of the item. Two steps, both in one pass over the texts:
+Texts are word sequences; ASCII letters compare in lower case, other ASCII but digits parts words. An item of L words leaks into a text if some run of its words is within floor((1 - similarity) * L)
+word edits of the item. One pass over the texts:
 
-1. A necessary condition: e edits destroy at most 2e of the item's L - 1 word pairs, so a run of L + e words must hold at
-   least L - 1 - 2e pairs of the item (one at least, which only matters at similarities far below the default). Places
-   that fail it for the pairs of all items, then for those of each item alone, are skipped.
-2. The region around each place left is verified by bit-parallel edit distance of the item against any part of it. None
-   is sampled or skipped, so every leak is found, whatever its length and edits.
+1. Places that cannot hold a leak are skipped by a necessary condition that loses nothing: e edits destroy at most 2e of the
+   item's L - 1 word pairs, so a run of L + e words must hold at least L - 1 - 2e pairs of the item (one at least, which only
+   matters at similarities far below the default).
+2. The item-sized windows of the places left are embedded by CGK random walks: at every step the walk puts out the word it
+   stands on and moves on by a random bit that depends on walk, step and word alone. Runs a few edits apart meet again and
+   put out equal words on many steps. A key is the words at `SAMPLED` random steps; a window that shares one of an item's
+   `KEYS` keys a walk is its candidate. How many walks an item takes follows from `recall`: they are counted on synthetic
+   leaks at the full number of edits (all substitutions, all deletions, all insertions, mixed; the worst counts) and
+   doubled. Items over `LONGEST` words, or that `MOST_WALKS` walks do not bring to `recall`, take all their places as
+   candidates.
+3. The region around each candidate is verified by bit-parallel edit distance of the item against any part of it.
 
-Items travel to the workers in blocks of bounded size; a larger benchmark is several maps in a row, not a larger one.
+Walks depend on nothing but their number, so neither partitions nor the other items change a result. Items travel to the
+workers in blocks of bounded size; a larger benchmark is several maps in a row, not a larger one.
 
-Defined results: null text reads as empty and never matches; items with fewer than `min_words` words (null included) are
-no evidence and are left out; repeated items or rows are reported each; an empty benchmark marks nothing.
+Defined results: null or empty text matches nothing; a text of any length is read whole, in pieces of documents, never cut;
+items with fewer than `min_words` words (null included) are no evidence and are left out; repeated items or rows are
+reported each; of equally near runs the first end counts; an empty benchmark marks nothing, an empty table gives an empty
+result; other columns pass through whatever their names, but one named as `into` is replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +41,11 @@ from . import words as W
 from .runtime import small_batches
 
 SIMILARITY, MIN_WORDS = 0.8, 8
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
+RECALL, MOST_WALKS, LONGEST = 0.99, 96, 256
+KEYS, SAMPLED = 4, 2
+_TRIALS = 64
+_SLAB = 1 << 20
 HITS = "array<struct<item_id:bigint,start:int,end:int,distance:int>>"
 _HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("distance", pa.int32())]))
 _BITS = 22
@@ -49,11 +64,79 @@ class Index:
     lengths: np.ndarray  # distinct item lengths
     slack: np.ndarray  # edits that each allows
     filter: np.ndarray
+    walks: np.ndarray  # walks that each item takes; 0: all its places are candidates
+    keys: np.ndarray  # walk x key x item
 
 
-def build(items: list[tuple[int, str]], similarity: float, min_words: int) -> Index | None:
+def embed(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, walk: int, steps: int) -> np.ndarray:
+    """What a CGK walk puts out over the runs words[start : start + size], a row each; 0 beyond their ends."""
+    at, out = np.zeros(len(starts), np.int64), np.zeros((len(starts), steps), np.uint64)
+    turns = W.mix((np.arange(steps, dtype=np.uint64) + np.uint64(walk << 32)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    for t in range(steps):
+        out[:, t] = np.where(at < sizes, words[np.minimum(starts + at, len(words) - 1)], 0)
+        at += (W.mix(out[:, t] ^ turns[t]) >> np.uint64(63)).astype(np.int64)
+    return out
+
+
+def sampled(out: np.ndarray, sizes: np.ndarray, walk: int) -> np.ndarray:
+    """Keys of embedded runs, KEYS x runs. Steps are shares of twice an item's length."""
+    keys = np.empty((KEYS, len(out)), np.uint64)
+    for k in range(KEYS):
+        draws = W.mix(np.arange(1, SAMPLED + 1, dtype=np.uint64) + np.uint64((walk << 16) + (k << 8) + (1 << 40)))
+        h = np.full(len(out), k, np.uint64)
+        for draw in draws.tolist():
+            step = (2 * sizes * (draw >> 11) / 2**53).astype(np.int64)
+            h = W.mix(h * np.uint64(3) + out[np.arange(len(out)), step])
+        keys[k] = h
+    return keys
+
+
+def _allowed(size, similarity: float):
+    return np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
+
+
+def _edited(rng: np.random.Generator, item: np.ndarray, edits: int, kind: int) -> np.ndarray:
+    """item after edits of one kind (0 substitutions, 1 deletions, 2 insertions) or of all (3)."""
+    out = item.tolist()
+    for k in (rng.integers(0, 3, edits) if kind == 3 else np.full(edits, kind)).tolist():
+        at = int(rng.integers(0, len(out) + (k == 2)))
+        out[at : at + (k < 2)] = [] if k == 1 else [int(rng.integers(1, 1 << 62))]
+    return np.array(out, np.uint64)
+
+
+@lru_cache(maxsize=None)
+def walks_for(size: int, similarity: float, recall: float) -> int:
+    """Walks that find `recall` of synthetic leaks of items of that size, twice over; 0 if MOST_WALKS do not."""
+    edits = int(_allowed(size, similarity))
+    rng = np.random.Generator(np.random.PCG64(size))
+    noise = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64)
+    items = [noise(size) for _ in range(4 * _TRIALS)]
+    kinds = np.arange(len(items)) // _TRIALS
+    texts = [np.concatenate([noise(edits), _edited(rng, x, edits, int(k)), noise(size)]) for x, k in zip(items, kinds, strict=True)]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    flat, own, item = np.concatenate(texts), np.concatenate(items), np.arange(len(items))
+    left = np.ones(len(items), bool)
+    for walk in range(MOST_WALKS // 2):
+        rows = np.repeat(np.flatnonzero(left), 2 * edits + 1)
+        starts = first[rows] + np.tile(np.arange(2 * edits + 1), int(left.sum()))
+        full = lambda n: np.full(n, size)
+        keys = sampled(embed(own, item * size, full(len(item)), walk, 2 * size), full(len(item)), walk)
+        found = (sampled(embed(flat, starts, full(len(starts)), walk, 2 * size), full(len(starts)), walk) == keys[:, rows]).any(0)
+        left[rows[found]] = False
+        if np.bincount(kinds[left], minlength=4).max() <= (1 - recall) * _TRIALS:
+            return 2 * (walk + 1)
+    return 0
+
+
+def _stands_for(size: int) -> int:
+    """A length at or above size, so that few lengths need a count of walks."""
+    step = 1 << max(0, size.bit_length() - 4)
+    return -(-size // step) * step
+
+
+def build(items: list[tuple[int, str]], similarity: float, min_words: int, recall: float = RECALL) -> Index | None:
     buf, docs = W.buffers(pa.array([t or "" for _, t in items], pa.string()))
-    w = W.split(buf, docs)
+    w = W.split(W.FOLD[buf], docs)
     some = [i for i in range(len(items)) if w.counts()[i] >= min_words]
     if not some:
         return None
@@ -66,9 +149,44 @@ def build(items: list[tuple[int, str]], similarity: float, min_words: int) -> In
     post = np.repeat(np.arange(len(words)), [len(g) for g in grams])[by_pair]
     seen = np.zeros(1 << _BITS, bool)
     seen[(pairs >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-    allowed = lambda size: np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
     lengths = np.unique(n)
-    return Index(np.array([items[i][0] for i in some]), words, allowed(n), pairs, posts, post, lengths, allowed(lengths), seen)
+    walks = np.array([walks_for(_stands_for(x), similarity, recall) if x <= LONGEST else 0 for x in n.tolist()])
+    keys = np.zeros((int(walks.max()), KEYS, len(words)), np.uint64)
+    for walk in range(len(keys)):
+        for rows in _slabs(np.flatnonzero(walks > walk), 2 * n):
+            keys[walk][:, rows] = sampled(embed(w.hashes, w.first[some][rows], n[rows], walk, int(2 * n[rows].max())), n[rows], walk)
+    return Index(np.array([items[i][0] for i in some]), words, _allowed(n, similarity), pairs, posts, post, lengths, _allowed(lengths, similarity), seen, walks, keys)
+
+
+def _slabs(rows: np.ndarray, steps: np.ndarray) -> Iterator[np.ndarray]:
+    """rows in parts whose embeddings have at most _SLAB cells; of similar lengths."""
+    rows = rows[np.argsort(steps[rows], kind="stable")]
+    at = 0
+    while at < len(rows):
+        to = at + max(1, min(len(rows) - at, _SLAB // int(steps[rows[at]])))
+        while to - at > 1 and (to - at) * int(steps[rows[to - 1]]) > _SLAB:
+            to = at + (to - at) // 2
+        yield rows[at:to]
+        at = to
+
+
+def candidates(index: Index, w: W.Words, item: np.ndarray, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which regions (words lo..hi of a document) hold a window that shares a key with their item."""
+    size = np.array([len(x) for x in index.words])[item]
+    starts = np.maximum(1, hi - lo - size + index.edits[item] + 1)
+    hit = index.walks[item] == 0
+    for walk in range(len(index.keys)):
+        open_ = np.flatnonzero(~hit & (index.walks[item] > walk))
+        if not len(open_):
+            break
+        region = np.repeat(open_, starts[open_])
+        at = lo[region] + np.arange(len(region)) - np.repeat(np.cumsum(starts[open_]) - starts[open_], starts[open_])
+        for rows in _slabs(np.arange(len(region)), 2 * size[region]):
+            r, n = region[rows], size[region[rows]]
+            ends = np.minimum(n, w.first[doc[r] + 1] - at[rows])
+            found = sampled(embed(w.hashes, at[rows], ends, walk, int(2 * n.max())), n, walk) == index.keys[walk][:, item[r]]
+            hit[r[found.any(0)]] = True
+    return hit
 
 
 def fit_in(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -146,8 +264,10 @@ def find(index: Index, w: W.Words) -> list[tuple[int, int, int, int, int]]:
     new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(new)) - 1
+    item, doc, lo, hi = item[begin], doc[begin], lo[begin], hi[end]
+    some = candidates(index, w, item, doc, lo, hi)
     out = []
-    for i, d, a, b in zip(item[begin].tolist(), doc[begin].tolist(), lo[begin].tolist(), hi[end].tolist(), strict=True):
+    for i, d, a, b in zip(item[some].tolist(), doc[some].tolist(), lo[some].tolist(), hi[some].tolist(), strict=True):
         found = fit_in(index.words[i], w.hashes[a:b], int(index.edits[i]))
         if found:
             base = a - int(w.first[d])
@@ -155,7 +275,7 @@ def find(index: Index, w: W.Words) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def _mark(index: Index, at: int, has_hits: bool, dropped: bool = False):
+def _mark(index: Index, at: int, has_hits: bool, dropped: bool, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
@@ -163,11 +283,11 @@ def _mark(index: Index, at: int, has_hits: bool, dropped: bool = False):
                 own = batch.slice(lo, len(part))
                 lo += len(part)
                 hits: list[list[dict]] = own.column(own.num_columns - 1).to_pylist() if has_hits else [[] for _ in range(len(part))]
-                for d, item, a, b, distance in find(index, W.split(buf, docs)):
+                for d, item, a, b, distance in find(index, W.split(W.FOLD[buf], docs)):
                     hits[d].append({"item_id": int(index.ids[item]), "start": a, "end": b, "distance": distance})
                 keep = [i for i in range(own.num_columns - has_hits) if not (dropped and i == at)]
                 cols, names = [own.column(i) for i in keep], [own.schema.names[i] for i in keep]
-                yield pa.record_batch([*cols, pa.array(hits, _HITS)], names=[*names, "_leaks"])
+                yield pa.record_batch([*cols, pa.array(hits, _HITS)], names=[*names, into])
 
     return run
 
@@ -185,14 +305,15 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_CHARS) -> Iterator[list[tuple
         yield block
 
 
-def mark_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, with_text: bool = True) -> DataFrame:
-    """Rows of documents with _leaks: item_id, start, end (words), distance of each leak. Without text, it need not travel back."""
+def mark_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, with_text: bool = True, recall: float = RECALL, into: str = "_leaks") -> DataFrame:
+    """Rows of documents with `into`: item_id, start, end (words), distance of each leak. Without text, it need not travel back."""
     small_batches(documents.sparkSession)
+    documents = documents.drop(into)
     at, out = documents.columns.index("text"), documents
-    indexes = [x for x in (build(block, similarity, min_words) for block in blocks(benchmark)) if x]
-    leaks = T.StructField("_leaks", T._parse_datatype_string(HITS))
+    indexes = [x for x in (build(block, similarity, min_words, recall) for block in blocks(benchmark)) if x]
+    leaks = T.StructField(into, T._parse_datatype_string(HITS))
     for i, index in enumerate(indexes):
         drop = i == len(indexes) - 1 and not with_text
         fields = [f for f in documents.schema.fields if not (drop and f.name == "text")]
-        out = out.mapInArrow(_mark(index, at, i > 0, drop), T.StructType([*fields, leaks]))
-    return out if indexes else out.withColumn("_leaks", F.array().cast(HITS)).select(*(c for c in documents.columns if with_text or c != "text"), "_leaks")
+        out = out.mapInArrow(_mark(index, at, i > 0, drop, into), T.StructType([*fields, leaks]))
+    return out if indexes else out.withColumn(into, F.array().cast(HITS)).select(*(c for c in documents.columns if with_text or c != "text"), into)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .runtime import cut, release, small_batches, splittable, text_key
+from .runtime import cut, release, small_batches, splittable, text_key, unused
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP, TOLERANCE = 24, 5, 24, 1e-5
@@ -326,14 +326,15 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, k: int = SH
 
 def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, tolerance: float = TOLERANCE) -> DataFrame:
     """Rows of documents, one a near-duplicate class: that of the smallest doc_id. Texts without words all stay."""
-    found = near_classes(documents, threshold, k, tolerance).select(F.col("key").alias("_key"), F.col("rep").alias("_rep"), F.col("class_id").alias("_class"))
+    own, key, rep, least = unused(documents, "own", "key", "rep", "least")
+    found = near_classes(documents, threshold, k, tolerance).select(F.col("key").alias(key), F.col("rep").alias(rep), F.col("class_id").alias(least))
     columns = documents.columns
-    keyed = documents.select(text_key().alias("_k"), "doc_id").groupBy("_k", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_k")
-    twins = cut(keyed.join(found, F.col("_k") == F.col("_key"), "left_semi").distinct())
+    keyed = documents.select(text_key().alias(own), "doc_id").groupBy(own, "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(own)
+    twins = cut(keyed.join(found, F.col(own) == F.col(key), "left_semi").distinct())
     release(documents.sparkSession)
-    rows = documents.withColumn("_k", text_key()).join(found, F.col("_k") == F.col("_key"), "left")
-    first = F.col("_class").eqNullSafe(F.col("_rep")) & F.col("_rep").eqNullSafe(F.col("doc_id").cast("long"))
-    kept = rows.where(F.col("_key").isNull() | first).select("_k", *columns)
+    rows = documents.withColumn(own, text_key()).join(found, F.col(own) == F.col(key), "left")
+    first = F.col(least).eqNullSafe(F.col(rep)) & F.col(rep).eqNullSafe(F.col("doc_id").cast("long"))
+    kept = rows.where(F.col(key).isNull() | first).select(own, *columns)
     if not twins.isEmpty():  # rows that stand there more than once, id and all
-        kept = kept.join(twins, "_k", "left_anti").unionByName(kept.join(twins, "_k", "left_semi").dropDuplicates(["_k"]))
+        kept = kept.join(twins, own, "left_anti").unionByName(kept.join(twins, own, "left_semi").dropDuplicates([own]))
     return kept.select(*columns)

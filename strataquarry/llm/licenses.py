@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .runtime import small_batches
-from .toxicity import _FOLD
 
 # Notices and texts of public licenses.
 TEMPLATES = (
@@ -66,7 +65,7 @@ def winnow(grams: np.ndarray, spread: int) -> np.ndarray:
 
 def index(templates=TEMPLATES, k: int = K, spread: int = SPREAD) -> Templates:
     buf, docs = W.buffers(pa.array([t for _, t in templates]))
-    w = W.split(_FOLD[buf], docs)
+    w = W.split(W.FOLD[buf], docs)
     words = [w.hashes[w.first[i] : w.first[i + 1]] for i in range(len(templates))]
     grams = [W.Runs(x).grams(min(k, len(x))) for x in words]
     at = [winnow(g, spread) for g in grams]
@@ -133,7 +132,7 @@ def scan_licenses(documents: DataFrame, templates=TEMPLATES, k: int = K, spread:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, docs in W.pieces(batch):
-                w = W.split(_FOLD[buf], docs)
+                w = W.split(W.FOLD[buf], docs)
                 own: list[list[tuple]] = [[] for _ in range(len(part))]
                 hits = scan_chunk(found, w, k, band, coverage)
                 points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)]) if hits else None

@@ -37,7 +37,8 @@ OP7 = """
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS h, source IS NULL AS absent, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 e AS (SELECT rid, h, absent, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM d),
 t AS (SELECT h, absent, count(*) AS total FROM d GROUP BY 1, 2),
-b AS (SELECT h, absent, trim(x) AS x FROM e WHERE trim(x) <> '' GROUP BY 1, 2, 3 HAVING count(DISTINCT rid) >= 5 AND count(DISTINCT rid) > 0.03::DOUBLE * (SELECT total FROM t WHERE t.h = e.h AND t.absent = e.absent)),
+p AS (SELECT h, absent, trim(x) AS x, count(DISTINCT rid) AS n FROM e WHERE trim(x) <> '' GROUP BY 1, 2, 3 HAVING count(DISTINCT rid) > 1),
+b AS (SELECT h, absent, x FROM p JOIN t USING (h, absent) WHERE n > 0.03::DOUBLE * total AND (n - 0.03::DOUBLE * total) * (n - 0.03::DOUBLE * total) > (4.0::DOUBLE * 0.03 * 0.97) * total),
 k AS (SELECT rid, string_agg(e.x, chr(10) ORDER BY i) AS t, count(*) AS n FROM e LEFT JOIN b ON b.h = e.h AND b.absent = e.absent AND b.x = trim(e.x) WHERE b.x IS NULL GROUP BY rid)
 SELECT doc_id, len(l) AS n_lines, len(l) - coalesce(n, 0) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid)"""
 

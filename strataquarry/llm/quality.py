@@ -8,9 +8,10 @@ length cancels, and every document is held against one fixed threshold.
 Counts meet in slices of the hash space, distributed. Up to `PART` buckets the log ratios travel to the workers at once;
 a larger table goes part by part, one pass over the texts each, and the sums of equal texts join back.
 
-Defined results: null text reads as empty and fails the rules; a document without n-grams scores 0; without any trusted
-document every score is 0, so the rules alone decide; repeated rows count as often as they stand; labels with a null or
-repeated doc_id are ignored or counted once; other columns are ignored.
+Defined results: null or empty text fails the rules; a document without n-grams scores 0; a score equal to the threshold is
+kept; without any trusted document every score is 0, so the rules alone decide; texts of any length are read whole; repeated
+rows count as often as they stand; labels with a null or repeated doc_id are ignored or counted once; other columns pass
+through keep_good() whatever their names and are otherwise ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import cut, small_batches, splittable, text_key
+from .runtime import cut, small_batches, splittable, text_key, unused
 
 LEAST_BUCKETS = 1 << 20
 #: Buckets whose counts meet in one task.
@@ -224,52 +225,55 @@ def _summed(documents: DataFrame, model: Model) -> DataFrame:
     return cut(found.groupBy("_key").agg(F.first("total").alias("total")))
 
 
-def _with_model(documents: DataFrame, labels: DataFrame, max_trusted: int) -> tuple[DataFrame, Model]:
-    """The model where it is one part; else the documents with _total, summed part by part, and the last part."""
+def _with_model(documents: DataFrame, labels: DataFrame, max_trusted: int, total: str) -> tuple[DataFrame, Model]:
+    """The model where it is one part; else the documents with `total`, summed part by part, and the last part."""
     parts, found = fit(documents, labels, max_trusted), []
     for model in parts:
         if len(model.ratio) == model.buckets:
             return documents, model
         found.append(_summed(documents, model))
-    total = reduce(DataFrame.unionAll, found).groupBy("_key").agg(F.sum("total").alias("_total"))
+    (key,) = unused(documents, "key")
+    added = reduce(DataFrame.unionAll, found).groupBy("_key").agg(F.sum("total").alias("sum")).toDF(key, total)
     model.ratio = model.ratio[:0]
-    return splittable(documents.withColumn("_key", text_key()), total, ["_key"], "left").drop("_key"), model
+    return splittable(documents.withColumn(key, text_key()), added, [key], "left").drop(key), model
 
 
-def judge(part: pa.RecordBatch, buf: np.ndarray, docs: np.ndarray, model: Model, threshold: float) -> list[pa.Array]:
+def judge(part: pa.RecordBatch, buf: np.ndarray, docs: np.ndarray, model: Model, threshold: float, total: str) -> list[pa.Array]:
     w = W.split(buf, docs)
-    at = part.schema.get_field_index("_total")
-    total = sums(w, model) if at < 0 else part.column(at).to_numpy(zero_copy_only=False)
+    at = part.schema.get_field_index(total)
+    added = sums(w, model) if at < 0 else part.column(at).to_numpy(zero_copy_only=False)
     chars, symbols, dup, repeat = base_counts(buf, docs, w)
     n = w.counts()
     failed = (n < 10) | (100 * repeat > 20 * n)
-    score = scores(w, total, model.shift)
+    score = scores(w, added, model.shift)
     return [pa.array(x) for x in (n, chars, symbols, dup, repeat, failed, score, ~failed & (score >= threshold))]
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, threshold: float = MIN_SCORE, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """One verdict a row of documents(doc_id, text)."""
-    scored, model = _with_model(documents, labels, max_trusted)
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored, model = _with_model(documents, labels, max_trusted, "total")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, docs in W.pieces(batch):
-                yield pa.record_batch([part.column(0), *judge(part, buf, docs, model, threshold)], names=[x.split()[0] for x in VERDICT.split(", ")])
+                yield pa.record_batch([part.column(0), *judge(part, buf, docs, model, threshold, "total")], names=[x.split()[0] for x in VERDICT.split(", ")])
 
-    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(["_total"] if "_total" in scored.columns else [])).mapInArrow(run, VERDICT)
+    return scored.mapInArrow(run, VERDICT)
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = MIN_SCORE, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """The rows of documents that pass, all columns as they came."""
-    scored, model = _with_model(documents, labels, max_trusted)
+    (total,) = unused(documents, "total")
+    scored, model = _with_model(documents, labels, max_trusted, total)
     names, schema = documents.columns, documents.schema
-    wanted = ["text", *(["_total"] if "_total" in scored.columns else [])]
+    wanted = ["text", *scored.columns[len(names) :]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
             for part, buf, docs in W.pieces(batch.select(wanted)):
-                kept = judge(part, buf, docs, model, threshold)[-1]
+                kept = judge(part, buf, docs, model, threshold, total)[-1]
                 yield batch.select(names).slice(lo, len(part)).filter(kept)
                 lo += len(part)
 

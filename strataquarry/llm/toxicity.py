@@ -40,9 +40,6 @@ NONE = 1 << BITS
 MOST = 30.0
 SCORES = "doc_id long, held_out boolean, score double, predicted int, spans string"
 
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_FOLD[[i for i in range(128) if not chr(i).isalnum()]] = 32
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?\n")] = True
 
@@ -157,7 +154,7 @@ def sample_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """Word hashes, first word of each text, chain bounds and features of the sample, gathered chunk by chunk."""
     hashes, counts, bounds, feats, n = [], [], [np.zeros(1, np.int64)], [], 0
     for _, raw, docs in W.pieces(pa.record_batch({"text": pa.array(texts, pa.string())})):
-        buf = _FOLD[raw]
+        buf = W.FOLD[raw]
         w = W.split(buf, docs)
         hashes.append(w.hashes)
         counts.append(w.counts())
@@ -258,7 +255,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, max_train: int = MAX
                 n = len(part)
                 spans, score = [""] * n, np.zeros(n)
                 if model:
-                    fold = _FOLD[buf]
+                    fold = W.FOLD[buf]
                     w = W.split(fold, docs)
                     p = _marginals(model, features(fold, w), chains(buf, w))
                     score = _sigmoid(doc_features(p, w.first) @ model.doc)

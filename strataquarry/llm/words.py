@@ -15,6 +15,10 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes with ASCII letters in lower case and other ASCII but digits as blanks.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
+FOLD[[i for i in range(128) if not chr(i).isalnum()]] = 32
 _rng = np.random.Generator(np.random.PCG64(20_240_607))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[_SPACE] = 0

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strataquarry.llm import decontam
@@ -97,3 +98,55 @@ def test_no_leak_at_the_edit_limit_is_lost(spark):
             data.append((i, " ".join([prose(rng, 40), *leak, prose(rng, 40)])))
     marked = decontam.mark_leaks(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert all([x.item_id for x in r._leaks] == [r.doc_id] for r in marked.collect())
+
+
+def test_partitions_and_batches_change_nothing(spark):
+    rng = random.Random(13)
+    items = [(i, prose(rng, n)) for i, n in enumerate([12, 20, 30, 45, 59, 100, 200, 300])]
+    data = [(j, " ".join([prose(rng, rng.randrange(40)), *(spoil(rng, t.split(), len(t.split()) // 6) if j % 2 else [t]), prose(rng, 9)])) for j, (_, t) in enumerate(items * 6)]
+    data += [(100 + j, prose(rng, 80)) for j in range(30)]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(data, "doc_id long, text string")
+    found = []
+    for n in (1, 7, 64):
+        rows = decontam.mark_leaks(docs.repartition(n), bench).select("doc_id", "_leaks").collect()
+        found.append(sorted((r.doc_id, sorted(map(tuple, r._leaks))) for r in rows))
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    found.append(sorted((r.doc_id, sorted(map(tuple, r._leaks))) for r in decontam.mark_leaks(docs.coalesce(1), bench).select("doc_id", "_leaks").collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert all(x == found[0] for x in found)
+    leaks = dict(found[0])
+    assert all(any(x[0] == j % 8 for x in leaks[j]) for j in range(0, 48, 2))
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2, 3])
+@pytest.mark.parametrize("size", [12, 30, 59, 100])
+def test_walks_alone_reach_their_recall(size, kind):
+    """Leaks other than those the walks were counted on, at the full number of edits, through keys only."""
+    rng = np.random.Generator(np.random.PCG64(1_000 + size * 4 + kind))
+    edits, walks = int(decontam._allowed(size, 0.8)), decontam.walks_for(decontam._stands_for(size), 0.8, 0.99)
+    assert 0 < walks <= decontam.MOST_WALKS
+    met = 0
+    for _ in range(100):
+        item = rng.integers(1, 1 << 62, size, dtype=np.uint64)
+        text = np.concatenate([rng.integers(1, 1 << 62, edits, dtype=np.uint64), decontam._edited(rng, item, edits, kind), rng.integers(1, 1 << 62, size, dtype=np.uint64)])
+        starts, sizes = np.arange(2 * edits + 1), np.full(2 * edits + 1, size)
+        for walk in range(walks):
+            own = decontam.sampled(decontam.embed(item, np.zeros(1, int), np.full(1, size), walk, 2 * size), np.full(1, size), walk)
+            if (decontam.sampled(decontam.embed(text, starts, sizes, walk, 2 * size), sizes, walk) == own).any():
+                met += 1
+                break
+    assert met >= 97
+
+
+def test_long_texts_repeats_ties_and_clashing_columns(spark):
+    rng = random.Random(14)
+    item = prose(rng, 30, 5_000)
+    long = " ".join([prose(rng, 60_000, 9_000), item, prose(rng, 60_000, 9_000), item])
+    rows = [(1, long, "a", 5), (1, long, "a", 5), (2, "w" * 300_000, "b", 6), (3, "k0 " * 50_000, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string, _leaks int")
+    got = decontam.mark_leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert got.columns == ["doc_id", "text", "item_id", "_leaks"]
+    assert sorted((r.doc_id, len(r._leaks)) for r in got.collect()) == [(1, 2), (1, 2), (2, 0), (3, 0)]
+    kept = decontam.mark_leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string"), into="found")
+    assert sorted(r._leaks or 0 for r in kept.collect()) == [0, 5, 5, 6]
