@@ -6,13 +6,11 @@ texts read as empty; an empty table passes through every stage.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataquarry.llm import decontam, jaccard, line_dedup, packing, quality
-from strataquarry.llm.runtime import shared_dir
+from strataquarry.llm.runtime import remove, scratch, unused
 
 #: The verdicts of learned stages have no SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
@@ -25,7 +23,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the boilerplate lines of their source; n_chars follows the text."""
-    kept = line_dedup.without_boilerplate(docs)
+    kept = line_dedup.without_boilerplate(docs, into=tuple(unused(docs, "lines", "dropped")))
     return kept.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
@@ -36,8 +34,9 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    marked = decontam.mark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return marked.where(F.size("_leaks") == 0).select(*docs.columns)
+    (leaks,) = unused(docs, "leaks")
+    marked = decontam.mark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), into=leaks)
+    return marked.where(F.size(leaks) == 0).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +55,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what one returns is written as Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
-        docs = spark.read.parquet(f"{base}/{k}")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        path = scratch(spark, "pipeline")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
