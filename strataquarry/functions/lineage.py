@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder that spark.checkpoint.dir names; one of our own only where it is unset."""
+    """A reliable checkpoint in the shared folder that spark.checkpoint.dir names; where it is unset, one of our own on a single machine, else an error."""
     sc, spark = df.sparkSession.sparkContext, df.sparkSession
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataquarry-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="strataquarry-"))
     return df.checkpoint()
