@@ -1,14 +1,21 @@
-"""Exact removal of repeated long word spans by a compacted De Bruijn graph over sampled k-mers.
-
-Every window of `window` words picks one of its k-mers, the smallest by hash (leftmost on ties). Equal windows pick equal
-k-mers at equal places, so only these *nodes* travel, about one in fifteen words. Consecutive windows that pick the same
-k-mer form one *edge*: the words around the node. A node all of whose edges are equal does not branch, so its whole path
-compacts to one aggregated row and every window on it is repeated (or, met once, is not). Only where paths branch, at the
-ends of repeated spans, are single windows compared. Spans come back as source coordinates and are cut from the text.
-
-Defined results: null text reads as empty; a text shorter than the window, or without words, keeps every word; repeated
-rows, whatever their ids (null or not), are occurrences of one another; columns other than doc_id and text are ignored;
-an empty table gives an empty result. Hashes that decide are 128 bits wide (node with edge, or node with window).
+"""Exact removal of repeated long word spans by a compacted De Bruijn graph of token k-mers.
+
+The edges of the graph are the texts' `window`-word k-mers. They travel in runs: every window picks one of its shorter
+k-mers, the smallest by hash (leftmost on ties), and consecutive windows that pick the same one are one row, about one row in
+fifteen words. Equal windows pick equal k-mers at equal places, so they meet under that *node*; nodes met once are dropped.
+
+1. Paths without a branch: a run all of whose windows are repeated (its node has one run, or the run itself is met twice) is
+   a piece of path. Two pieces that always follow each other, in every text that holds either, do not branch between them:
+   their links are counted, joined with the pieces' counts and back to the places, and a chain of such links compacts to one
+   row a place, (key, lo, hi), however long the path.
+2. Branches: at other nodes, the ends of repeated spans, windows are compared one by one.
+3. Verification at source coordinates: the texts are read again at the compacted spans and at the branching windows, and the
+   words that stand there decide, by a 128-bit cryptographic digest. If the places of one path differ in a single word, a
+   hash has collided; the runs are then named by digests of their words too and the graph is built anew.
+
+Defined results: null text reads as empty; a text shorter than the window, or without words, keeps every word; texts and words
+of any length are read whole; repeated rows, whatever their ids (null or not), are occurrences of one another; columns other
+than doc_id and text, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,13 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import cut, release, small_batches, splittable, text_key
+from .runtime import cut, forget, release, small_batches, splittable, text_key
 
 NODES = "key binary, node long, edge long, lo int, hi int"
+READ = "key binary, path boolean, node long, edge long, words binary, lo int, hi int, weight long"
+READ_NAMES = [x.split()[0] for x in READ.split(", ")]
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -55,16 +64,37 @@ def select_nodes(hashes: np.ndarray, first: np.ndarray, window: int, k: int) ->
     return picked[begin].astype(np.int64), starts[begin], starts[end]
 
 
-def _nodes(window: int, k: int):
+def joined(buf: np.ndarray, w: W.Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of a chunk joined by single spaces, and where each begins and ends there."""
+    size = w.ends - w.starts
+    begin = np.cumsum(size + 1) - (size + 1)
+    parts = (buf[w.docs[i] : w.docs[i + 1]].tobytes().split() for i in range(len(w.docs) - 1))  # a word ends with its document
+    return b" ".join(x for words in parts for x in words), begin, begin + size
+
+
+def digests(text: bytes, begin: np.ndarray, end: np.ndarray, size: int = 16) -> list[bytes]:
+    """Of the words text[begin:end], place by place."""
+    blake = hashlib.blake2b
+    return [blake(text[a:b], digest_size=size).digest() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+
+
+def _nodes(window: int, k: int, named: bool, bits: int):
+    """Runs of windows. named: by a digest of their words instead of the running hash, which has `bits` bits a word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, docs in W.pieces(batch):
                 w = W.split(buf, docs)
+                w.hashes >>= np.uint64(64 - bits)
                 node, lo, hi = select_nodes(w.hashes, w.first, window, k)
                 if not len(node):
                     continue
                 runs, doc = W.Runs(w.hashes), np.searchsorted(w.first, lo, "right") - 1
-                edge = W.mix(runs.of(lo, hi + window) ^ ((node - lo) * 65_537 + (hi - lo)).astype(np.uint64))
+                if named:
+                    text, begin, end = joined(buf, w)
+                    edge = np.frombuffer(b"".join(digests(text, begin[lo], end[hi + window - 1], 8)), np.uint64)
+                else:
+                    edge = W.mix(runs.of(lo, hi + window) ^ ((node - lo) * 65_537 + (hi - lo)).astype(np.uint64))
                 base = w.first[doc]
                 yield pa.record_batch(
                     [part.column(part.schema.get_field_index("key")).take(pa.array(doc)), pa.array(runs.of(node, node + k).view(np.int64)), pa.array(edge.view(np.int64)), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32))],
@@ -74,8 +104,9 @@ def _nodes(window: int, k: int):
     return run
 
 
-def _windows(window: int):
-    """Hashes of single windows at branching nodes. A text that a join has repeated is read once where its rows stand together."""
+def _read(window: int):
+    """Digests of the words at source coordinates: of whole compacted paths, and of each window of a branching run. A text
+    that a join has repeated is read once where its rows stand together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -85,21 +116,22 @@ def _windows(window: int):
             last = keys[-1] if keys else last
             batch = batch.filter(pa.array(fresh))
             for part, buf, docs in W.pieces(batch):
-                w = W.split(buf, docs)
-                todo = part.column(part.schema.get_field_index("branches"))
+                w = W.split(buf, docs, hashed=False)
+                todo = part.column(part.schema.get_field_index("todo"))
                 flat = todo.flatten()
                 if not len(flat):
                     continue
+                text, begin, end = joined(buf, w)
                 doc = np.repeat(np.arange(len(part)), np.diff(todo.offsets.to_numpy()))
-                node, lo, hi, weight = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                n = (hi - lo + 1).astype(np.int64)
+                path, node, edge, lo, hi, weight = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(6))
+                n = np.where(path, 1, hi - lo + 1).astype(np.int64)
                 row = np.repeat(np.arange(len(n)), n)
                 start = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                at = start + w.first[doc[row]]
-                yield pa.record_batch(
-                    [part.column(part.schema.get_field_index("key")).take(pa.array(doc[row])), pa.array(node[row]), pa.array(W.Runs(w.hashes).of(at, at + window).view(np.int64)), pa.array(start.astype(np.int32)), pa.array(weight[row])],
-                    names=["key", "node", "window", "start", "weight"],
-                )
+                stop = np.where(path[row], hi[row], start)
+                at = w.first[doc[row]]
+                marks = digests(text, begin[start + at], end[stop + at + window - 1])
+                key = part.column(part.schema.get_field_index("key")).take(pa.array(doc[row]))
+                yield pa.record_batch([key, pa.array(path[row]), pa.array(node[row]), pa.array(edge[row]), pa.array(marks, pa.binary()), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(weight[row])], names=READ_NAMES)
 
     return run
 
@@ -137,37 +169,63 @@ def _keep(window: int, with_text: bool):
     return run
 
 
-def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8) -> DataFrame:
+def compacted(pieces: DataFrame) -> DataFrame:
+    """(key, node, edge, lo, hi) of every place of every path without a branch; node and edge are those of its first piece.
+
+    pieces: key, node, edge, lo, hi. Pieces are linked where every place of the one is followed by the other and every place of
+    the other follows the one, so all places of a path have the same pieces."""
+    places = pieces.dropDuplicates(["key", "lo"])  # copies of a text count once
+    along = Window.partitionBy("key").orderBy("lo")
+    before = F.lag(F.struct("node", "edge", "hi")).over(along)
+    places = cut(places.withColumn("before", F.when(before["hi"] + 1 == F.col("lo"), before)))
+    count = places.groupBy("node", "edge").agg(F.count(F.lit(1)).alias("n"))
+    links = places.where("before is not null").groupBy(F.col("before.node").alias("pn"), F.col("before.edge").alias("pe"), "node", "edge").agg(F.count(F.lit(1)).alias("met"))
+    links = links.join(count.where("n > 0"), ["node", "edge"]).where("met = n").select("pn", "pe", "node", "edge", "met")
+    links = cut(links.join(count.toDF("pn", "pe", "all"), ["pn", "pe"]).where("met = all").select("node", "edge", F.lit(True).alias("linked")))
+    marked = places.select("key", "node", "edge", "lo", "hi").join(links, ["node", "edge"], "left")
+    first = F.last(F.when(F.col("linked").isNull(), F.struct("node", "edge", "lo")), ignorenulls=True).over(along)
+    return marked.withColumn("first", first).groupBy("key", "first").agg(F.max("hi").alias("hi")).select("key", "first.node", "first.edge", "first.lo", "hi")
+
+
+def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8, bits: int = 64, named: bool = False) -> DataFrame:
     """(key, lo, hi): windows lo..hi of the text with that key are repeated somewhere. key: see text_key()."""
     spark = documents.sparkSession
     small_batches(spark)
     texts = documents.select(text_key().alias("key"), "text")
-    nodes = texts.mapInArrow(_nodes(window, k), NODES)
+    nodes = texts.mapInArrow(_nodes(window, k, named, bits), NODES)
     seen = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.min("edge").alias("one"), F.max("edge").alias("other")).where("met > 1")
     # written first: an aggregate under the join would keep Spark from splitting a node that many windows share
     seen = cut(seen.select("node", (F.col("one") != F.col("other")).alias("branching")))
     release(spark)
     met = cut(nodes.join(seen, "node"))
     release(spark)
-    straight = met.where("not branching").select("key", "lo", "hi")
     branching = met.where("branching").select("key", "node", "edge", "lo", "hi")
-    edges = branching.groupBy("node", "edge").agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct("key", "lo", "hi")).alias("at"))
-    edges = cut(edges)
-    parallel = branching.join(edges.where("weight > 1").select("node", "edge"), ["node", "edge"], "left_semi").select("key", "lo", "hi")
-    todo = edges.groupBy("at.key").agg(F.collect_list(F.struct("node", "at.lo", "at.hi", "weight")).alias("branches"))
-    windows = cut(texts.join(todo, "key").mapInArrow(_windows(window), "key binary, node long, window long, start int, weight long"))
+    edges = cut(branching.groupBy("node", "edge").agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct("key", "lo", "hi")).alias("at")))
+    parallel = branching.join(edges.where("weight > 1").select("node", "edge"), ["node", "edge"], "left_semi")
+    paths = cut(compacted(met.where("not branching").select("key", "node", "edge", "lo", "hi").unionByName(parallel)))
     release(spark)
-    again = windows.groupBy("node", "window").agg(F.sum("weight").alias("met")).where("met > 1").select("node", "window")
-    single = splittable(windows.where("weight = 1"), again, ["node", "window"], "left_semi").select("key", F.col("start").alias("lo"), F.col("start").alias("hi"))
-    return straight.unionByName(parallel).unionByName(single).distinct()
-
-
-def substring_dedup(documents: DataFrame, window: int = 35, k: int = 8, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 (and kept_text) of every row of documents(doc_id, text)."""
+    forget(met, seen)
+    branches = edges.select("at.key", F.struct(F.lit(False).alias("path"), "node", "edge", "at.lo", "at.hi", "weight").alias("one"))
+    whole = paths.select("key", F.struct(F.lit(True).alias("path"), "node", "edge", "lo", "hi", F.lit(1).cast("long").alias("weight")).alias("one"))
+    todo = branches.unionByName(whole).groupBy("key").agg(F.collect_list("one").alias("todo"))
+    read = cut(texts.join(todo, "key").mapInArrow(_read(window), READ))
+    release(spark)
+    wrong = read.where("path").groupBy("node", "edge").agg(F.min("words").alias("one"), F.max("words").alias("other")).where("one <> other")
+    if not named and not wrong.isEmpty():
+        return repeated_spans(documents, window, k, bits, True)
+    windows = read.where("not path").select("key", "words", "lo", "weight")
+    again = windows.groupBy("words").agg(F.sum("weight").alias("met")).where("met > 1").select("words")
+    single = splittable(windows.where("weight = 1"), again, ["words"], "left_semi").select("key", "lo", F.col("lo").alias("hi"))
+    return read.where("path").select("key", "lo", "hi").unionByName(single).distinct()
+
+
+def substring_dedup(documents: DataFrame, window: int = 35, k: int = 8, with_text: bool = False, bits: int = 64) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 (and kept_text) of every row of documents(doc_id, text). bits: of a word's running hash;
+    fewer collide more often and cost time, results do not change."""
     if not 1 <= k <= window:
         raise ValueError("k must lie between 1 and window")
     spark = documents.sparkSession
-    spans = cut(repeated_spans(documents, window, k).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    spans = cut(repeated_spans(documents, window, k, bits).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
     release(spark)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text").join(spans, "key", "left")
     rows = rows.select("doc_id", "text", F.coalesce("spans", F.array().cast("array<struct<lo:int,hi:int>>")).alias("spans"))
