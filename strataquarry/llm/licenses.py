@@ -1,19 +1,26 @@
 """License scans: winnowed fingerprints of templates pick candidates, banded alignment reports coverage and spans.
 
-Words are lower case, punctuation parts them. Each template's word triples are winnowed (the smallest of every `spread`
-neighbours stays), which guarantees a shared fingerprint wherever k + spread - 1 consecutive words agree. The inverted
-index of all templates is fixed in size. A text's triples look up the index in one vectorised step; the diagonals they
-vote for are merged, and each is aligned with its template inside a band around it. Matches of at least `coverage` of a
-template's words are reported with code-point spans; a template inside the span of a longer match of its own license is not.
-
-Defined results: null text reads as empty and matches nothing; repeated rows are reported each; equal coverage orders by
-license, then start; other columns are ignored.
+Templates are short notices and the full texts of common licenses (`texts/`). Words are lower case, punctuation parts them.
+Each template's word triples are winnowed (the smallest of every `spread` neighbours stays); templates under `SHORT` words
+keep all of them. The inverted index of all templates is fixed in size. A text's triples look up the index in one vectorised
+step and vote for diagonals; votes within a band of one another are a candidate if a twentieth of the template's fingerprints
+voted (one at least). Each candidate is aligned: the longest chain of equal words in order whose diagonals stay within the
+band, which is `band` words or a sixteenth of the template. Matches of at least `coverage` of a template's words are reported
+with code-point spans (templates under `WHOLE` words must match in every word without a gap, since one word makes another license of them);
+a match inside the span of a longer one of its own license is not.
+
+Defined results: null or empty text matches nothing; texts of any length are read whole; repeated rows are reported each;
+equal coverage orders by start, end, then license; other columns, whatever their names, are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +31,22 @@ from . import words as W
 from .runtime import small_batches
 
 # Notices and texts of public licenses.
-TEMPLATES = (
+NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -43,9 +57,17 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved."),
 )
 K, SPREAD, BAND, COVERAGE = 3, 3, 8, 0.8
+SHORT, WHOLE = 20, 10
 SCAN = "doc_id long, n_matches long, licenses string, best_coverage double, spans string"
 
 
+@cache
+def templates() -> tuple[tuple[str, str], ...]:
+    """(license, text) of the notices and of every file in texts/."""
+    files = sorted((Path(__file__).parent / "texts").glob("*.txt"))
+    return (*NOTICES, *((f.stem, f.read_text(encoding="utf-8")) for f in files))
+
+
 @dataclass
 class Templates:
     names: list[str]
@@ -53,6 +75,9 @@ class Templates:
     prints: np.ndarray  # sorted fingerprints
     owner: np.ndarray
     place: np.ndarray
+    votes: np.ndarray  # that a candidate needs
+    band: np.ndarray
+    least: np.ndarray  # words that a match needs
 
 
 def winnow(grams: np.ndarray, spread: int) -> np.ndarray:
@@ -63,41 +88,45 @@ def winnow(grams: np.ndarray, spread: int) -> np.ndarray:
     return np.unique(np.arange(len(sliding)) + spread - 1 - np.argmin(sliding, 1))
 
 
-def index(templates=TEMPLATES, k: int = K, spread: int = SPREAD) -> Templates:
-    buf, docs = W.buffers(pa.array([t for _, t in templates]))
+def index(pairs: tuple[tuple[str, str], ...], k: int = K, spread: int = SPREAD, band: int = BAND, coverage: float = COVERAGE) -> Templates:
+    buf, docs = W.buffers(pa.array([t for _, t in pairs]))
     w = W.split(W.FOLD[buf], docs)
-    words = [w.hashes[w.first[i] : w.first[i + 1]] for i in range(len(templates))]
-    grams = [W.Runs(x).grams(min(k, len(x))) for x in words]
-    at = [winnow(g, spread) for g in grams]
+    words = [w.hashes[w.first[i] : w.first[i + 1]] for i in range(len(pairs))]
+    size = np.array([len(x) for x in words])
+    grams = [W.Runs(x).grams(k) for x in words]
+    at = [np.arange(len(g)) if n < SHORT else winnow(g, spread) for g, n in zip(grams, size.tolist(), strict=True)]
     prints = np.concatenate([g[a] for g, a in zip(grams, at, strict=True)])
     owner = np.repeat(np.arange(len(words)), [len(a) for a in at])
     order = np.argsort(prints, kind="stable")
-    return Templates([n for n, _ in templates], words, prints[order], owner[order], np.concatenate(at)[order])
-
-
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
-    """(matched words, first, end) of the longest common subsequence whose matches stay within `band` of the diagonal."""
-    t, x = template.tolist(), text.tolist()
-    n = len(x)
-    best: dict[int, tuple[int, int, int]] = {}  # offset -> (matched, first, end) over rows so far
-    for i, word in enumerate(t):
-        row: dict[int, tuple[int, int, int]] = {}
-        left = (0, -1, -1)
-        for j in range(max(0, i + diagonal - band), min(n, i + diagonal + band + 1)):
-            cell = max(best.get(j, (0, -1, -1)), left, key=lambda c: c[0])
-            if x[j] == word:
-                m, a, _ = best.get(j - 1, (0, -1, -1))
-                if m + 1 > cell[0]:
-                    cell = (m + 1, a if m else j, j + 1)
-            row[j] = left = cell
-        last = max(best) if best else -1
-        for j in range(last + 1, min(n, i + diagonal + band + 1)):
-            row.setdefault(j, best.get(last, (0, -1, -1)))
-        best = row
-    return max(best.values(), key=lambda c: c[0], default=(0, -1, -1))
-
-
-def scan_chunk(found: Templates, w: W.Words, k: int, band: int, coverage: float) -> list[tuple[int, int, float, int, int]]:
+    least = np.where(size < WHOLE, size, np.ceil(coverage * size - 1e-9)).astype(np.int64)
+    votes = np.maximum(1, np.array([len(a) for a in at]) // 20)
+    return Templates([n for n, _ in pairs], words, prints[order], owner[order], np.concatenate(at)[order], votes, np.maximum(band, size // 16), least)
+
+
+def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+    """(matched words, first, end) of the longest common subsequence whose matches lie on diagonals low..high (text - template)."""
+    order = np.argsort(text, kind="stable")
+    a, b = np.searchsorted(text, template, "left", sorter=order), np.searchsorted(text, template, "right", sorter=order)
+    n = b - a
+    i = np.repeat(np.arange(len(template)), n)
+    j = order[np.repeat(a, n) + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)]
+    near = (j - i >= low) & (j - i <= high)
+    i, j = i[near], j[near]
+    chain = np.lexsort((-j, i))  # of one template word at most one match can follow another
+    ends: list[int] = []  # least last place of a chain of each length
+    firsts: list[int] = []  # and where that chain begins
+    for x in j[chain].tolist():
+        at = bisect.bisect_left(ends, x)
+        first = firsts[at - 1] if at else x
+        if at == len(ends):
+            ends.append(x)
+            firsts.append(first)
+        else:
+            ends[at], firsts[at] = x, first
+    return (len(ends), firsts[-1], ends[-1] + 1) if ends else (0, -1, -1)
+
+
+def scan_chunk(found: Templates, w: W.Words, k: int) -> list[tuple[int, int, float, int, int]]:
     """(document, template, coverage, first word, end word) of each match."""
     grams = W.Runs(w.hashes).grams(k)
     if not len(grams):
@@ -110,23 +139,38 @@ def scan_chunk(found: Templates, w: W.Words, k: int, band: int, coverage: float)
     owner, diagonal = found.owner[which], row - found.place[which]
     doc = np.searchsorted(w.first, row, "right") - 1
     order = np.lexsort((diagonal, owner, doc))
-    out, last = [], None
-    for d, o, g in zip(doc[order].tolist(), owner[order].tolist(), diagonal[order].tolist(), strict=True):
-        if last and last[:2] == (d, o) and g - last[2] <= band:
-            continue  # the band around the earlier diagonal holds this one
-        last = (d, o, g)
-        base, end, size = int(w.first[d]), int(w.first[d + 1]), len(found.words[o])
-        a, b = max(base, g - band), min(end, g + size + 2 * band)
-        matched, first, stop = align(found.words[o], w.hashes[a:b], g - a, 2 * band)
-        if matched >= coverage * size:
-            out.append((d, o, matched / size, a - base + first, a - base + stop))
+    doc, owner, diagonal = doc[order], owner[order], diagonal[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (diagonal[1:] - diagonal[:-1] > found.band[owner[1:]])
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(new))
+    some = end - begin >= found.votes[owner[begin]]
+    begin, end = begin[some], end[some]
+    out = []
+    for d, o, low, high in zip(doc[begin].tolist(), owner[begin].tolist(), diagonal[begin].tolist(), diagonal[end - 1].tolist(), strict=True):
+        template, band = found.words[o], int(found.band[o])
+        a, b = max(int(w.first[d]), low - band), min(int(w.first[d + 1]), high + len(template) + band)
+        matched, first, stop = align(template, w.hashes[a:b], low - band - a, high + band - a)
+        if matched >= found.least[o] and (len(template) >= WHOLE or stop - first == matched):
+            base = a - int(w.first[d])
+            out.append((d, o, matched / len(template), base + first, base + stop))
     return out
 
 
-def scan_licenses(documents: DataFrame, templates=TEMPLATES, k: int = K, spread: int = SPREAD, band: int = BAND, coverage: float = COVERAGE) -> DataFrame:
+def outermost(hits: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
+    """(start, end, license, coverage) in order, without those inside a longer one of their license or a better one of the same span."""
+    out, reach = [], {}
+    for hit in sorted(hits, key=lambda x: (x[0], -x[1], x[2], -x[3])):
+        if reach.get(hit[2], -1) < hit[1]:
+            out.append(hit)
+            reach[hit[2]] = hit[1]
+    return sorted(out)
+
+
+def scan_licenses(documents: DataFrame, pairs: tuple[tuple[str, str], ...] | None = None, k: int = K, spread: int = SPREAD, band: int = BAND, coverage: float = COVERAGE) -> DataFrame:
     """One row a row of documents(doc_id, text): matches, licenses, best coverage, spans license:start:end."""
     small_batches(documents.sparkSession)
-    found = index(templates, k, spread)
+    found = index(pairs or templates(), k, spread, band, coverage)
     names = [x.split()[0] for x in SCAN.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,14 +178,12 @@ def scan_licenses(documents: DataFrame, templates=TEMPLATES, k: int = K, spread:
             for part, buf, docs in W.pieces(batch):
                 w = W.split(W.FOLD[buf], docs)
                 own: list[list[tuple]] = [[] for _ in range(len(part))]
-                hits = scan_chunk(found, w, k, band, coverage)
+                hits = scan_chunk(found, w, k)
                 points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)]) if hits else None
                 for d, o, c, a, b in hits:
-                    inner = any(x[0] == d and found.names[x[1]] == found.names[o] and x[3] <= a and b <= x[4] and x[4] - x[3] > b - a for x in hits)
-                    if not inner:
-                        first = int(w.first[d])
-                        own[d].append((int(points[w.starts[first + a]] - points[docs[d]]), int(points[w.ends[first + b - 1]] - points[docs[d]]), found.names[o], c))
-                own = [sorted(set(x)) for x in own]
+                    first = int(w.first[d])
+                    own[d].append((int(points[w.starts[first + a]] - points[docs[d]]), int(points[w.ends[first + b - 1]] - points[docs[d]]), found.names[o], c))
+                own = [outermost(x) for x in own]
                 yield pa.record_batch(
                     [part.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array([",".join(sorted({m[2] for m in x})) for x in own]), pa.array([max((m[3] for m in x), default=0.0) for x in own]), pa.array([",".join(f"{m[2]}:{m[0]}:{m[1]}" for m in x) for x in own])],
                     names=names,
