@@ -1,49 +1,65 @@
-"""Personal data: base patterns seed a bootstrapped extraction from contexts.
+"""Personal data: seed entities, lexical patterns induced from them, and identifiers that confident patterns discover.
 
-One pass over the texts finds the base entities (email, ip, card, phone) and every other token that looks like an
-identifier, each with its lexical contexts: the word before, the two words before, and the word before with the word
-after. What follows works on these few rows only. Spark scores the bipartite graph of contexts and instances (distinct
-normalised values) in rounds: a context's confidence for a kind is the mean score of its instances, smoothed; an
-instance's score is the best confidence of its contexts, and seeds keep 1. A context of a kind counts once it has met
-`min_seeds` distinct seeds. Instances that stay at `min_score` or more are added as spans of that kind. Base spans stay.
+One pass over the texts finds the base entities (email, ip, card, phone), secrets that stand behind a name for such (`token =
+"..."`), and every other string that looks like an identifier: a token with '@', with four digits, or long and of letters and
+digits; groups of digits joined by blanks, dots, hyphens or brackets are one string. Each comes with its lexical patterns:
+the word before it with the signs up to it, this with the value's shape, the one and the two tokens before, and the token
+before with the one after. What follows works on these few rows only.
+
+Patterns and instances (distinct values, lower case) form a bipartite graph that Spark scores in rounds. The confidence of a
+pattern for a kind is the sum of its instances' scores over their number (plus `smoothing`); an instance's score is that of
+its best pattern, and seeds keep 1. A pattern needs `min_seeds` distinct instances of at least `min_score` to count in a
+round, so values discovered in one round induce patterns in the next. Instances that end at `min_score` or more are added as
+spans of that kind, and so is every further place of a seed's value; base spans stay.
 
 Base matching follows the patterns literally (leftmost, non-overlapping per kind, failing matches dropped without
 retries) but walks from anchors, so a long run of one class costs linear time. Offsets are code points, ends exclusive.
 
-Defined results: null text reads as empty (no spans, digest of the empty string); repeated rows are reported each, yet a
-value counts once in the graph; other columns are ignored; an empty table gives an empty result.
+Defined results: null or empty text has no spans and the digest of the empty string; texts and tokens of any length are read
+whole (patterns over 64 characters count by digest); repeated rows are reported each, yet a value counts once in the graph; a
+value that scores alike for two kinds gets the first of them as listed; other columns, whatever their names, are ignored; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import cut, small_batches
+from .runtime import cut, forget, small_batches, splittable
 
-KINDS = ("email", "ip", "card", "phone")
+BASE = ("email", "ip", "card", "phone")
+#: Base kinds and those that only the method finds.
+KINDS = (*BASE, "secret")
+SECRET = len(BASE)
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LIKELY = re.compile(r"[0-9@]")
-#: Identifier-like: a token with '@' or at least four digits.
+#: Names whose values seed the kind `secret`.
+_SECRET = re.compile(r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?[ ]{0,2}[:=]{1,2}[ ]{0,2}[\"']?([A-Za-z0-9+/_.-]{8,}+)")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_GROUPS = re.compile(r"(?<![0-9])[+(]?[0-9]++(?:[ .()-]{1,2}[0-9]++)+")
 _DIGITS = re.compile(r"[0-9]")
-_WORD = re.compile(r"[^\W_]+")
+_LAST_WORD = re.compile(r"[^\W_]+[\W_]*$")
+_LETTER = re.compile(r"[A-Za-z]")
 _EDGE = "\"'()[]{}<>,;:!?.*#$%&|="
-FOUND = "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base array<struct<start:int,kind:int,end:int>>, marks array<struct<start:int,end:int,kind:int,value:string,contexts:array<string>>>"
+_LONG, _PATTERN = 12, 64
+FOUND = "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base array<struct<start:int,kind:int,end:int>>, marks array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>"
 _FOUND = pa.schema([
-    ("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS),
+    ("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in BASE),
     ("base", pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))),
-    ("marks", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("value", pa.string()), ("contexts", pa.list_(pa.string()))]))),
+    ("marks", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))),
 ])
 
 
@@ -96,36 +112,86 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted((a, k, b) for k, find in enumerate((emails, ips, cards, phones)) for a, b in find(text))
 
 
-def _near(text: str, a: int, b: int) -> list[str]:
-    """Contexts of text[a:b]: words only, lower case; tokens without letters count as a sign."""
-    word = lambda token: " ".join(_WORD.findall(token)).lower() or token[:8]
-    before = text[max(0, a - 120) : a].split()[-2:]
-    after = text[b : b + 80].split()[:1]
-    left = [word(x) for x in before]
-    out = [f"l:{left[-1]}"] if left else []
+def _bounded(pattern: str) -> str:
+    return pattern if len(pattern) <= _PATTERN else pattern[:2] + hashlib.md5(pattern.encode()).hexdigest()
+
+
+def _side(text: str, at: int, step: int) -> list[str]:
+    """Up to two whole tokens before (step -1) or one after (step 1) a place, however long they are."""
+    n, want = 64, 2 if step < 0 else 1
+    while True:
+        piece = text[max(0, at - n) : at] if step < 0 else text[at : at + n]
+        tokens = _TOKEN.findall(piece)
+        if len(tokens) > want or len(piece) < n:
+            return tokens[-2:] if step < 0 else tokens[:1]
+        n *= 8
+
+
+def shape(value: str) -> str:
+    """Runs of digits and letters by class and length class, other signs as they are."""
+    out = []
+    for m in re.finditer(r"[0-9]+|[^\W\d_]+|.", value):
+        run = m[0]
+        out.append(f"{'9' if run[0].isdigit() else 'a'}{len(run).bit_length()}" if run[0].isalnum() else run)
+    return "".join(out) if len(out) <= 8 else f"*{len(value).bit_length()}"
+
+
+def patterns(text: str, a: int, b: int) -> list[str]:
+    """Lexical patterns of text[a:b], lower case."""
+    left = [t.strip(_EDGE).lower() or t for t in _side(text, a, -1)]
+    after = [t.strip(_EDGE).lower() or t for t in _side(text, b, 1)]
+    out = []
+    label = _LAST_WORD.search(text, max(0, a - 40), a)
+    if label:
+        sign = " ".join(label[0].lower().split(" "))
+        out += [f"p:{sign}", f"s:{sign}{shape(text[a:b])}"]
+    if left:
+        out.append(f"1:{left[-1]}")
     if len(left) == 2:
-        out.append(f"ll:{left[0]} {left[1]}")
+        out.append(f"2:{left[0]} {left[1]}")
     if left and after:
-        out.append(f"lr:{left[-1]} _ {word(after[0])}")
-    return out
+        out.append(f"a:{left[-1]} _ {after[0]}")
+    return [_bounded(x) for x in out]
 
 
-def marks(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Base entities and other identifier-like tokens with their contexts."""
-    if not _LIKELY.search(text):
-        return []
-    out = [{"start": a, "end": b, "kind": k, "value": text[a:b].lower(), "contexts": _near(text, a, b)} for a, k, b in base]
-    taken, i = sorted((a, b) for a, _, b in base), 0
+def _loose(text: str) -> Iterator[tuple[int, int]]:
+    """Strings that look like identifiers: digit groups first, then tokens."""
+    for m in _GROUPS.finditer(text):
+        if 7 <= len(_DIGITS.findall(m[0])) <= 19:
+            yield m.span()
     for m in _TOKEN.finditer(text):
-        if not _LIKELY.search(token := m[0]) or "@" not in token and len(_DIGITS.findall(token)) < 4:
+        token = m[0]
+        if not _LIKELY.search(token) or not ("@" in token or len(_DIGITS.findall(token)) >= 4 or len(token) >= _LONG and _LETTER.search(token)):
             continue
         a = m.start() + len(token) - len(token.lstrip(_EDGE))
         b = m.end() - len(token) + len(token.rstrip(_EDGE))
-        while i < len(taken) and taken[i][1] <= a:
-            i += 1
-        if a < b and not (i < len(taken) and taken[i][0] < b):
-            out.append({"start": a, "end": b, "kind": None, "value": text[a:b].lower(), "contexts": _near(text, a, b)})
-    return out
+        if a < b:
+            yield a, b
+
+
+def marks(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
+    """Base entities, named secrets and other strings that look like identifiers, with their patterns. Later ones do not overlap earlier ones."""
+    if not _LIKELY.search(text):
+        return []
+    taken = sorted((a, b) for a, _, b in base)
+    found = [(a, b, k) for a, k, b in base]
+    for spans in ([(*m.span(1), SECRET) for m in _SECRET.finditer(text)], [(a, b, None) for a, b in _loose(text)]):
+        starts, new = [a for a, _ in taken], []
+        reach = list(accumulate((b for _, b in taken), max))
+        for a, b, kind in spans:
+            i = bisect.bisect_left(starts, b)
+            if not i or reach[i - 1] <= a:
+                new.append((a, b, kind))
+        new.sort(key=lambda x: x[:2])
+        kept: list[tuple] = []
+        for x in new:
+            if not kept or kept[-1][1] <= x[0]:
+                kept.append(x)
+            elif x[1] - x[0] > kept[-1][1] - kept[-1][0]:
+                kept[-1] = x  # the longer of two that overlap
+        found += kept
+        taken = sorted(taken + [x[:2] for x in kept])
+    return [{"start": a, "end": b, "kind": k, "value": text[a:b].lower(), "patterns": patterns(text, a, b)} for a, b, k in found]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,24 +200,27 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             base = base_spans(text := text.as_py() or "")
-            counts = {f"n_{name}": sum(k == i for _, k, _ in base) for i, name in enumerate(KINDS)}
+            counts = {f"n_{name}": sum(k == i for _, k, _ in base) for i, name in enumerate(BASE)}
             out.append({"row": row, "doc_id": doc_id, **counts, "base": [{"start": a, "kind": k, "end": b} for a, k, b in base], "marks": marks(text, base)})
             row += 1
         yield pa.RecordBatch.from_pylist(out, schema=_FOUND)
 
 
 def induce(found: DataFrame, rounds: int = 3, min_seeds: int = 5, min_score: float = 0.9, smoothing: float = 0.25) -> DataFrame:
-    """(value, kind) of identifiers that high-confidence contexts discover in found(marks)."""
+    """(value, kind) of seeds and of what confident patterns discover in found(marks)."""
     marked = found.select(F.explode("marks").alias("m")).select("m.*")
-    edges = cut(marked.select("kind", "value", F.explode("contexts").alias("context")).groupBy("value", "context").agg(F.max("kind").alias("seed")))
-    useful = edges.where("seed is not null").groupBy("context", F.col("seed").alias("kind")).agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds).select("context", "kind")
-    graph = cut(edges.join(useful, "context").select("value", "context", "kind", F.when(F.col("seed") == F.col("kind"), 1.0).otherwise(0.0).alias("fixed"), F.col("seed").isNull().alias("open")))
-    score = graph.select("value", "kind", "fixed").groupBy("value", "kind").agg(F.max("fixed").alias("score"))
+    seeds = cut(marked.where("kind is not null").select("value", "kind").distinct())
+    edges = cut(marked.select("value", F.explode("patterns").alias("pattern")).distinct())
+    # an instance or a pattern that meets no seed in any number of rounds needs no score; those that do stay few
+    total = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    score = seeds.withColumn("score", F.lit(1.0))
     for _ in range(rounds):
-        context = graph.join(score, ["value", "kind"]).groupBy("context", "kind").agg((F.sum("score") / (F.count(F.lit(1)) + smoothing)).alias("confidence"))
-        score = cut(graph.join(context, ["context", "kind"]).groupBy("value", "kind").agg(F.greatest(F.max("fixed"), F.max("confidence")).alias("score")))
-    fresh = graph.where("open").select("value", "kind").distinct()
-    return score.join(fresh, ["value", "kind"]).where(F.col("score") >= min_score).groupBy("value").agg(F.min_by("kind", F.struct(-F.col("score"), "kind")).alias("kind"))
+        sure = F.sum(F.when(F.col("score") >= min_score, 1).otherwise(0))
+        known = splittable(edges, score.hint("merge"), ["value"]).groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), sure.alias("sure")).where(F.col("sure") >= min_seeds)
+        confident = cut(known.join(total.hint("merge"), "pattern").select("pattern", "kind", (F.col("sum") / (F.col("n") + smoothing)).alias("score")))
+        lifted = splittable(edges, confident.hint("merge"), ["pattern"]).select("value", "kind", "score")
+        score = cut(lifted.unionByName(seeds.withColumn("score", F.lit(1.0))).groupBy("value", "kind").agg(F.max("score").alias("score")))
+    return score.where(F.col("score") >= min_score).groupBy("value").agg(F.min_by("kind", F.struct(-F.col("score"), "kind")).alias("kind"))
 
 
 def _joined(spans):
@@ -160,15 +229,17 @@ def _joined(spans):
 
 
 def find_personal_data(documents: DataFrame, rounds: int = 3, min_seeds: int = 5, min_score: float = 0.9) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row of documents(doc_id, text)."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans of every row of documents(doc_id, text)."""
     small_batches(documents.sparkSession)
     found = cut(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, FOUND))
     new = induce(found, rounds, min_seeds, min_score)
-    loose = found.select("row", F.explode("marks").alias("m")).where("m.kind is null").select("row", "m.start", "m.end", "m.value")
-    more = loose.join(new, "value").groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
-    counts = [f"n_{k}" for k in KINDS]
-    out = found.select("row", "doc_id", *counts, "base").join(more, "row", "left")
-    return out.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.when(F.col("more").isNull(), F.col("base")).otherwise(F.concat("base", "more"))).alias("spans"))
+    loose = found.select("row", F.explode("marks").alias("m")).where(f"m.kind is null or m.kind = {SECRET}").select("row", "m.start", "m.end", "m.value")
+    more = splittable(loose, new.hint("merge"), ["value"]).groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
+    counts = [f"n_{k}" for k in BASE]
+    out = found.select("row", "doc_id", *counts, "base").join(more.hint("merge"), "row", "left")
+    added = F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    spans = F.concat("base", added)
+    return out.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(spans).alias("spans"), F.size(added).cast("long").alias("n_added"), F.size(spans).cast("long").alias("n_spans"))
 
 
 def digest(spans: list[tuple[int, int, int]]) -> str:

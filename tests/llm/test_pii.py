@@ -1,4 +1,5 @@
 import re
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
@@ -39,3 +40,69 @@ def test_empty_table_and_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a@b.c"), (1, "a@b.c")], "doc_id long, text string")
     assert [r.spans for r in pii.find_personal_data(df).collect()] == ["email:0:5"] * 2
     assert pii.find_personal_data(df.where("false")).count() == 0
+
+
+def brute_graph(texts, rounds=3, min_seeds=5, min_score=0.9, smoothing=0.25):
+    """Scores of the pattern-instance graph by plain loops: value -> kind of all that end sure."""
+    patterns_of, seeds = defaultdict(set), set()
+    for t in texts:
+        for m in pii.marks(t or "", pii.base_spans(t or "")):
+            patterns_of[m["value"]].update(m["patterns"])
+            if m["kind"] is not None:
+                seeds.add((m["value"], m["kind"]))
+    instances = defaultdict(set)
+    for v, ps in patterns_of.items():
+        for p in ps:
+            instances[p].add(v)
+    score = dict.fromkeys(seeds, 1.0)
+    for _ in range(rounds):
+        new = dict.fromkeys(seeds, 1.0)
+        for p, values in instances.items():
+            for kind in range(len(pii.KINDS)):
+                own = [score[v, kind] for v in values if (v, kind) in score]
+                if sum(x >= min_score for x in own) >= min_seeds:
+                    for v in values:
+                        new[v, kind] = max(new.get((v, kind), 0.0), sum(own) / (len(values) + smoothing))
+        score = new
+    return {v: min((-s, k) for (w, k), s in score.items() if w == v and s >= min_score)[1] for v in {v for (v, _), s in score.items() if s >= min_score}}
+
+
+def labelled():
+    """Labelled identifiers that no base pattern matches, a second label reached only through values found by the first, and decoys."""
+    data = [f"Call tel.: +33 6 12 34 56 {i} now" for i in range(10, 40)] + ["Call tel.: 06 12 34 56 78 now", "Call tel.: (030) 555-1234 now"]
+    data += [f'set api_key = "k{i}Zq90x{i * 7}pLm" here' for i in range(20)] + [f'then auth <<k{i}Zq90x{i * 7}pLm>> there' for i in range(8)] + ["then auth <<zz81Qm55Lw0t>> there"]
+    data += [f"order number 55 10 20 30 {i} shipped" for i in range(10, 30)] + ["version 1.2.3.456 of it", None, "", "see page 12345"]
+    return data
+
+
+def test_graph_equals_brute_force(spark):
+    texts = labelled()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = df.mapInArrow(pii._scan, pii.FOUND)
+    for rounds in (1, 2, 3):
+        got = {r.value: r.kind for r in pii.induce(found, rounds).collect()}
+        assert got == brute_graph(texts, rounds)
+    assert "zz81qm55lw0t" not in brute_graph(texts, 1) and brute_graph(texts, 3)["zz81qm55lw0t"] == pii.SECRET
+
+
+def test_spaced_numbers_secrets_and_decoys(spark):
+    texts = labelled()
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        row, spans = got[i], [x.split(":") for x in got[i].spans.split(",") if x]
+        if t and "tel.:" in t:
+            assert [k for k, *_ in spans] == ["phone"] and t[int(spans[0][1]) : int(spans[0][2])].endswith(t.split(" now")[0][-4:])
+        elif t and ("api_key" in t or "auth" in t):
+            assert [k for k, *_ in spans] == ["secret"]
+        else:
+            assert not spans, t
+        assert (row.n_added, row.n_spans) == (len(spans) - len(pii.base_spans(t or "")), len(spans))
+
+
+def test_ties_long_texts_and_clashing_columns(spark):
+    cue = [f"id# +1 (555) 010-{1000 + i} end" for i in range(30)] + [f"id# a{i}@mail.example.org end" for i in range(30)]
+    long = "1 " * 60_000 + "x" * 200_000 + " 77a88b99c00d " + "y" * 200_000 + " @" * 30_000 + " 12 34" * 20_000
+    rows = [(i, t, "r", 1, "m") for i, t in enumerate([*cue, "id# 555-0199x end", long])]
+    out = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string, row string, kind int, marks string"), min_score=0.4).collect()}
+    assert out[60].spans.startswith("email:")  # both kinds score alike; the first as listed
+    assert out[61].n_email == 0 and out[61].spans == ""
