@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter, deque
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,69 +95,98 @@ def diverse_top(df: DataFrame, keys: list[str], group: str, score: str, tie: str
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("adjusted"), F.desc(tie)))).where(F.col("rank") <= most)
 
 
-def shortlist(df: DataFrame, keys: list[str], source: str, group: str, score: str, tie: str, total: int) -> DataFrame:
-    """Rows that a capped choice of `total` can ever take: the best `total` of each source and group, so pools stay bounded."""
-    w = Window.partitionBy(*keys, source, group).orderBy(F.desc(score), F.desc(tie))
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= total).drop("_n")
+def shortlist(df: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """Rows that a choice of `total` can ever take: the best `total` of each source and group, and for every module the best
+    beyond what may be taken of it. Pools so stay bounded by their sources, groups and modules."""
+    best = Window.partitionBy(*keys, "source", "group").orderBy(F.desc("score"), F.desc("task_id"))
+    ranked = df.where(F.col("task_id").isNotNull()).withColumn("_n", F.row_number().over(best))
+    names = F.coalesce("modules", F.array("group"))
+    spread = Window.partitionBy(*keys, "_m").orderBy(F.desc("score"), "task_id")
+    spare = ranked.withColumn("_m", F.explode(names)).withColumn("_k", F.row_number().over(spread)).where(F.col("_k") <= total + 1).drop("_m", "_k")
+    return ranked.where(F.col("_n") <= total).unionByName(spare).drop("_n").dropDuplicates([*keys, "task_id"])
+
+
+class Queues:
+    """A pool as one queue for each source and group, best first. Taking from a group lowers the heads of all its queues alike,
+    so only heads compete; what is taken leaves its queue, wherever it stands."""
+
+    def __init__(self, tasks: list[dict], penalty: float):
+        self.penalty, self.taken = penalty, Counter()
+        self.queues: dict[tuple[str, str], deque[dict]] = {}
+        for task in sorted(tasks, key=lambda t: (t["score"], t["task_id"]), reverse=True):
+            self.queues.setdefault((task["source"], task["group"]), deque()).append(task)
+
+    def value(self, task: dict) -> tuple[float, str]:
+        return task["score"] - self.penalty * self.taken[task["group"]], task["task_id"]
+
+    def head(self, sources: set[str]) -> dict | None:
+        return max((q[0] for (source, _), q in self.queues.items() if q and source in sources), key=self.value, default=None)
+
+    def elsewhere(self, covered: set[str]) -> dict | None:
+        """The best by plain score of those that touch a module beyond the covered ones; the first by id on ties."""
+        fresh = (t for q in self.queues.values() for t in q if not modules_of(t) <= covered)
+        return min(fresh, key=lambda t: (-t["score"], t["task_id"]), default=None)
+
+    def take(self, task: dict) -> dict:
+        self.queues[task["source"], task["group"]].remove(task)
+        self.taken[task["group"]] += 1
+        return task
+
+
+def modules_of(task: dict) -> set[str]:
+    return set(task.get("modules") or [task["group"]])
 
 
 def choose(tasks: list[dict], total: int = 10, floors: dict[str, int] | None = None, caps: dict[str, int] | None = None, least_groups: int = 4, penalty: float = PENALTY) -> list[dict]:
-    """Quota-bound greedy choice over one pool of {task_id, source, group, score}: floors first, then the best under the
-    caps, then swaps within a source until enough groups are covered. Returns rows with position and reason."""
+    """Quota-bound choice over one pool of {task_id, source, group, score, modules}, with position and reason.
+
+    Each source's floor is filled by its best heads, then all sources below their cap compete. While the chosen tasks touch too
+    few modules, the best task that touches another replaces one of its own source whose group stands there twice."""
     floors, caps = {"history": 4} if floors is None else floors, {"excision": 4, "net_new": 3} if caps is None else caps
-    taken: list[dict] = []
-    left = {t["task_id"]: t for t in tasks}
-
-    def count(field: str, value) -> int:
-        return sum(t[field] == value for t in taken)
-
-    def take(fits, reason: str) -> bool:
-        open_ = [t for t in left.values() if fits(t) and len(taken) < total and count("source", t["source"]) < caps.get(t["source"], total)]
-        if not open_:
-            return False
-        best = max(open_, key=lambda t: (t["score"] - penalty * count("group", t["group"]), t["task_id"]))
-        taken.append({**left.pop(best["task_id"]), "reason": reason})
-        return True
-
-    for source, floor in sorted(floors.items()):
-        while count("source", source) < floor and take(lambda t, s=source: t["source"] == s, f"minimum_{source}"):
-            pass
-    while take(lambda t: True, "ranked"):
-        pass
-    while len(groups := {t["group"] for t in taken}) < least_groups:
-        fresh = [t for t in left.values() if t["group"] not in groups]
-        if not fresh:
-            break
-        new = max(fresh, key=lambda t: t["score"])
-        twice = [t for t in taken if count("group", t["group"]) > 1 and t["source"] == new["source"]]
+    queues, chosen, number = Queues(tasks, penalty), [], Counter()
+    sources = sorted({t["source"] for t in tasks})
+    goals = [(f"minimum_{s}", {s}, min(floors[s], caps.get(s, total))) for s in sorted(floors)] + [("ranked", set(sources), total)]
+    for reason, of, goal in goals:
+        while len(chosen) < total and (reason == "ranked" or sum(number[s] for s in of) < goal):
+            found = queues.head({s for s in of if number[s] < caps.get(s, total)})
+            if found is None:
+                break
+            number[found["source"]] += 1
+            chosen.append({**queues.take(found), "reason": reason})
+    while len(covered := set().union(*map(modules_of, chosen))) < least_groups:
+        new = queues.elsewhere(covered)
+        twice = [t for t in chosen if new and t["source"] == new["source"] and queues.taken[t["group"]] > 1]
         if not twice:
             break
-        taken.remove(min(twice, key=lambda t: t["task_id"]))
-        taken.append({**left.pop(new["task_id"]), "reason": "diversity_repair"})
-    return [{**t, "position": i} for i, t in enumerate(taken)]
+        old = min(twice, key=lambda t: t["task_id"])
+        queues.taken[old["group"]] -= 1
+        chosen.remove(old)
+        chosen.append({**queues.take(new), "reason": "diversity_repair"})
+    return [{**t, "position": i} for i, t in enumerate(chosen)]
 
 
 def select_quota(df: DataFrame, keys: list[str], total: int = 10, floors: dict[str, int] | None = None, caps: dict[str, int] | None = None, least_groups: int = 4, penalty: float = PENALTY) -> DataFrame:
-    """choose() for each pool of df(*keys, task_id, source, group, score); pools are shortlisted first."""
-    pool = shortlist(df, keys, "source", "group", "score", "task_id", total).select(*keys, "task_id", "source", "group", "score")
+    """choose() for each pool of df(*keys, task_id, source, group, score[, modules]); pools are shortlisted first."""
+    if "modules" not in df.columns:
+        df = df.withColumn("modules", F.array("group"))
+    pool = shortlist(df.select(*keys, "task_id", "source", "group", "score", "modules"), keys, total)
     kinds = dict(pool.dtypes)
-    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "task_id string, source string, `group` string, score double, reason string, position int"])
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "task_id string, source string, `group` string, score double, modules array<string>, reason string, position int"])
 
     def run(pdf):
         import pandas as pd
 
-        rows = choose(pdf.sort_values("task_id").to_dict("records"), total, floors, caps, least_groups, penalty)
-        return pd.DataFrame(rows, columns=[*keys, "task_id", "source", "group", "score", "reason", "position"])
+        rows = choose(pdf.assign(modules=pdf.modules.map(list)).to_dict("records"), total, floors, caps, least_groups, penalty)
+        return pd.DataFrame(rows, columns=[*keys, "task_id", "source", "group", "score", "modules", "reason", "position"])
 
-    if keys:
-        return pool.groupBy(*keys).applyInPandas(run, schema)
-    return pool.groupBy(F.lit(1)).applyInPandas(run, schema)
+    return pool.groupBy(*(keys or [F.lit(1)])).applyInPandas(run, schema)
 
 
 def shortfalls(chosen: DataFrame, keys: list[str], total: int = 10, floors: dict[str, int] | None = None, caps: dict[str, int] | None = None, least_groups: int = 4) -> DataFrame:
-    """(rule, have, need) of every quota that a selection misses."""
+    """(rule, have, need) of every quota that a selection misses; every module that a task touches counts."""
+    names = F.flatten(F.collect_set("modules")) if "modules" in chosen.columns else F.collect_set("group")
     floors, caps = {"history": 4} if floors is None else floors, {"excision": 4, "net_new": 3} if caps is None else caps
-    sums = chosen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("group").alias("g"), *(F.count_if(F.col("source") == s).alias(f"s_{s}") for s in {**floors, **caps}))
+    sums = chosen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.size(F.array_distinct(names)).cast("long").alias("g"), *(F.count_if(F.col("source") == s).alias(f"s_{s}") for s in {**floors, **caps}))
     rules = [F.struct(F.lit("total").alias("rule"), F.col("n").alias("have"), F.lit(total).cast("long").alias("need"), (F.col("n") < total).alias("missed")), F.struct(F.lit("modules").alias("rule"), F.col("g").alias("have"), F.lit(least_groups).cast("long").alias("need"), (F.col("g") < least_groups).alias("missed"))]
     rules += [F.struct(F.lit(f"minimum_{s}").alias("rule"), F.col(f"s_{s}").alias("have"), F.lit(v).cast("long").alias("need"), (F.col(f"s_{s}") < v).alias("missed")) for s, v in floors.items()]
     rules += [F.struct(F.lit(f"maximum_{s}").alias("rule"), F.col(f"s_{s}").alias("have"), F.lit(v).cast("long").alias("need"), (F.col(f"s_{s}") > v).alias("missed")) for s, v in caps.items()]

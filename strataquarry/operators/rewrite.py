@@ -156,20 +156,74 @@ def _text_map(name: str, f: Callable[[str], str | None]) -> Callable[[Column], C
     return run
 
 
-def _private(source: str) -> str:
+DEFINITIONS = "array<struct<name:string,kind:string,line:int,first:int,last:int,body:int,depth:int,asserts:boolean>>"
+
+
+class _Definitions(ast.NodeVisitor):
+    """Every function and class of a module with its lines (decorators included), the line its body begins on, and how deep it
+    lies; for functions, whether an assertion or an expected exception lies anywhere inside."""
+
+    def __init__(self):
+        self.found: list[dict] = []
+        self.open: list[dict] = []
+
+    def _define(self, node: ast.AST) -> None:
+        first = min([node.lineno, *(d.lineno for d in node.decorator_list)])
+        own = {"name": node.name, "kind": "class" if isinstance(node, ast.ClassDef) else "function", "line": node.lineno, "first": first, "last": node.end_lineno, "body": node.body[0].lineno, "depth": len(self.open), "asserts": False}
+        self.found.append(own)
+        self.open.append(own)
+        self.generic_visit(node)
+        self.open.pop()
+
+    visit_FunctionDef = visit_AsyncFunctionDef = visit_ClassDef = _define
+
+    def _assertion(self) -> None:
+        for own in self.open:
+            own["asserts"] = True
+
+    def visit_Assert(self, node: ast.Assert) -> None:
+        self._assertion()
+        self.generic_visit(node)
+
+    def visit_Call(self, node: ast.Call) -> None:
+        if isinstance(node.func, ast.Attribute) and node.func.attr == "raises":
+            self._assertion()
+        self.generic_visit(node)
+
+
+def _defined(source: str) -> list[dict] | None:
+    visitor = _Definitions()
     try:
-        body = ast.parse(source).body
+        visitor.visit(ast.parse(source))
     except (SyntaxError, ValueError, RecursionError):
-        return "[]"
-    named = [n.name for n in body if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef | ast.ClassDef)]
-    named += [t.id for n in body if isinstance(n, ast.Assign) for t in n.targets if isinstance(t, ast.Name)]
-    return json.dumps(sorted({n for n in named if n.startswith("_") and not n.startswith("__")}))
+        return None
+    return visitor.found
+
+
+def definitions(content: Column) -> Column:
+    """The definitions of a Python source; null where it does not parse."""
+    return F.from_json(_text_map("definitions", lambda x: None if (found := _defined(x)) is None else json.dumps(found))(content), DEFINITIONS)
+
+
+def _lines(content: Column) -> Column:
+    """Lines as the parser numbers them, with their ends."""
+    return F.split(content, r"(?<=\n)|(?<=\r)(?!\n)", -1)
+
+
+def spliced(lines: Column, edits: Column) -> Column:
+    """Text of lines with each edit(first, last, text) put in place of its lines; an edit inside another is lost with it."""
+
+    def line(x: Column, i: Column) -> Column:
+        outer = F.array_min(F.filter(edits, lambda e: (e["first"] <= i + 1) & (i + 1 <= e["last"])))
+        return F.when(outer.isNull(), x).when(outer["first"] == i + 1, outer["text"]).otherwise(F.lit(""))
+
+    return F.array_join(F.transform(lines, line), "")
 
 
 def private_symbols(files: DataFrame) -> DataFrame:
-    """(path, name) of module-level private definitions of files(path, content)."""
-    names = F.from_json(_text_map("private", _private)(F.col("content")), "array<string>")
-    return files.select("path", F.explode(names).alias("name"))
+    """(path, name) of module-level private functions and classes of files(path, content)."""
+    own = F.filter(definitions(F.col("content")), lambda d: (d["depth"] == 0) & d["name"].startswith("_") & ~d["name"].startswith("__"))
+    return files.select("path", F.explode(F.array_distinct(F.transform(own, lambda d: d["name"]))).alias("name"))
 
 
 def rename_private(files: DataFrame, names: DataFrame, suffix: str = "_alt") -> DataFrame:
@@ -190,58 +244,32 @@ def portability(renamed: Column, passing: Column, ran: Column) -> Column:
 
 
 def mutate(targets: DataFrame, message: str = "__mutation__") -> DataFrame:
-    """(path, mutated) of targets(path, content, lines): functions at those lines raise at once."""
-
-    def one(content: str, wanted: list[int]) -> str | None:
-        try:
-            nodes = [n for n in ast.walk(ast.parse(content)) if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef) and n.lineno in wanted]
-        except (SyntaxError, ValueError, RecursionError):
-            return None
-        lines = content.splitlines(keepends=True)
-        for n in sorted(nodes, key=lambda n: -n.lineno):
-            if n.body[0].lineno > n.lineno:
-                lines[n.body[0].lineno - 1 : n.end_lineno] = [" " * n.body[0].col_offset + f"raise RuntimeError({message!r})\n"]
-        return "".join(lines)
+    """(path, mutated) of targets(path, content, lines): functions at those lines raise at once; null where the source does not
+    parse. A body on the line of its signature stays."""
+    rows = targets.select("path", "lines", _lines(F.col("content")).alias("source"), definitions(F.col("content")).alias("found"))
+    aimed = F.filter("found", lambda d: (d["kind"] == "function") & (d["body"] > d["line"]) & F.array_contains("lines", d["line"]))
+    indent = lambda d: F.regexp_extract(F.element_at("source", d["body"]), r"^[ \t\f]*", 0)
+    edits = F.transform(aimed, lambda d: F.struct(d["body"].alias("first"), d["last"].alias("last"), F.concat(indent(d), F.lit(f"raise RuntimeError({message!r})\n")).alias("text")))
+    return rows.select("path", F.when(F.col("found").isNotNull(), spliced(F.col("source"), edits)).alias("mutated"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pd.DataFrame({"path": pdf.path, "mutated": [one(c, list(w)) for c, w in zip(pdf.content, pdf.lines, strict=True)]})
 
-    return targets.select("path", "content", "lines").mapInPandas(run, "path string, mutated string")
+def _tests(found: Column) -> Column:
+    return F.filter(found, lambda d: (d["kind"] == "function") & d["name"].startswith("test_"))
 
 
-def test_problem(content: str) -> str | None:
-    """Why generated tests are of no use: they do not parse, hold no test, or a test asserts nothing."""
-    try:
-        tests = [n for n in ast.walk(ast.parse(content)) if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef) and n.name.startswith("test_")]
-    except (SyntaxError, ValueError, RecursionError):
-        return "syntax_error"
-    for n in tests:
-        if not any(isinstance(c, ast.Assert) or isinstance(c, ast.Call) and isinstance(c.func, ast.Attribute) and c.func.attr == "raises" for c in ast.walk(n)):
-            return f"{n.name}_has_no_assertion"
-    return None if tests else "no_test_functions"
+def test_problem(found: Column) -> Column:
+    """Why generated tests with these definitions are of no use: they do not parse, hold no test, or a test asserts nothing."""
+    idle = F.array_min(F.transform(F.filter(_tests(found), lambda d: ~d["asserts"]), lambda d: F.struct(d["depth"], d["line"], d["name"])))
+    return F.when(found.isNull(), "syntax_error").when(idle.isNotNull(), F.concat(idle["name"], F.lit("_has_no_assertion"))).when(F.size(_tests(found)) == 0, "no_test_functions")
 
 
 def prune(files: DataFrame) -> DataFrame:
     """(path, content) of files(path, content, failing) without the failing module-level tests; useless rests are dropped."""
-
-    def one(content: str, failing: list[str]) -> str | None:
-        try:
-            nodes = [n for n in ast.parse(content).body if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef) and n.name in failing]
-        except (SyntaxError, ValueError, RecursionError):
-            return None
-        lines = content.splitlines(keepends=True)
-        for n in sorted(nodes, key=lambda n: -n.lineno):
-            lines[min([n.lineno, *(d.lineno for d in n.decorator_list)]) - 1 : n.end_lineno] = []
-        out = "".join(lines)
-        return None if test_problem(out) else out
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            out = pd.DataFrame({"path": pdf.path, "content": [one(c, list(f)) for c, f in zip(pdf.content, pdf.failing, strict=True)]})
-            yield out[out.content.notna()]
-
-    return files.select("path", "content", "failing").mapInPandas(run, "path string, content string")
+    rows = files.select("path", "failing", _lines(F.col("content")).alias("source"), definitions(F.col("content")).alias("found")).where("found is not null")
+    goes = F.filter("found", lambda d: (d["kind"] == "function") & (d["depth"] == 0) & F.array_contains("failing", d["name"]))
+    rows = rows.withColumn("goes", F.transform(goes, lambda d: F.struct(d["first"].alias("first"), d["last"].alias("last"), F.lit("").alias("text"))))
+    stays = F.filter("found", lambda d: ~F.exists("goes", lambda e: (e["first"] <= d["first"]) & (d["last"] <= e["last"])))
+    return rows.where(test_problem(stays).isNull()).select("path", spliced(F.col("source"), F.col("goes")).alias("content"))
 
 
 def base_names(files: DataFrame) -> DataFrame:

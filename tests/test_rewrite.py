@@ -50,9 +50,9 @@ def test_excision_of_brace_languages(spark):
 def test_renames_spare_tests(spark):
     files = spark.createDataFrame([("a.py", "_x = 1\ndef _help(): return _x\nclass B: pass\n__all__ = []\n"), ("tests/test_a.py", "_help()")], "path string, content string")
     names = rewrite.private_symbols(files)
-    assert sorted(r.name for r in names.collect()) == ["_help", "_x"]
+    assert sorted(r.name for r in names.collect()) == ["_help"], "functions and classes, no assigned names"
     got = {r.path: (r.content, r.changed) for r in rewrite.rename_private(files, names).collect()}
-    assert got["a.py"][0].startswith("_x_alt = 1\ndef _help_alt(): return _x_alt") and got["tests/test_a.py"] == ("_help()", False)
+    assert got["a.py"][0].startswith("_x = 1\ndef _help_alt(): return _x") and got["tests/test_a.py"] == ("_help()", False)
     assert not any(r.changed for r in rewrite.rename_private(files, names.where("false")).collect())
     v = spark.range(1).select(rewrite.portability(F.lit(2), F.lit(False), F.lit(True)).alias("a"), rewrite.portability(F.lit(0), F.lit(False), F.lit(True)).alias("b")).first()
     assert (v.a, v.b) == ("verifier_depends_on_internals", "no_internals_to_rename")
@@ -61,7 +61,11 @@ def test_renames_spare_tests(spark):
 def test_mutation_and_pruning(spark):
     df = spark.createDataFrame([("a.py", "def f():\n    return 1\n\ndef g():\n    return 2\n", [1])], "path string, content string, lines array<int>")
     assert rewrite.mutate(df).first().mutated == "def f():\n    raise RuntimeError('__mutation__')\n\ndef g():\n    return 2\n"
-    assert rewrite.test_problem("def test_a():\n    f()") == "test_a_has_no_assertion" and rewrite.test_problem("x=1") == "no_test_functions" and rewrite.test_problem("def (") == "syntax_error"
+    nested = spark.createDataFrame([("a.py", "class C:\r\n\t@d\r\n\tdef f(self):\r\n\t\tdef g():\r\n\t\t\treturn 1\r\n\t\treturn g()\r\ndef h(): return 3\n", [3, 4, 7]), ("b.py", "def (", [1])], "path string, content string, lines array<int>")
+    assert [r.mutated for r in rewrite.mutate(nested).orderBy("path").collect()] == ["class C:\r\n\t@d\r\n\tdef f(self):\r\n\t\traise RuntimeError('__mutation__')\ndef h(): return 3\n", None]
+    sources = ["def test_a():\n    f()", "x=1", "def (", "def test_a():\n    with pytest.raises(E): f()", "class T:\n  def test_b(self): pass\ndef test_c(): assert 1\n"]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(sources)], "i int, s string").select("i", rewrite.test_problem(rewrite.definitions(F.col("s"))).alias("p"))
+    assert [r.p for r in got.orderBy("i").collect()] == ["test_a_has_no_assertion", "no_test_functions", "syntax_error", None, "test_b_has_no_assertion"]
     files = spark.createDataFrame([("a.py", "def test_a():\n    assert 1\n\n@x\ndef test_b():\n    assert 0\n", ["test_b"]), ("b.py", "def test_c():\n    assert 0\n", ["test_c"])], "path string, content string, failing array<string>")
     assert [(r.path, r.content) for r in rewrite.prune(files).collect()] == [("a.py", "def test_a():\n    assert 1\n\n")]
     j = spark.createDataFrame([('{"b": 1, "a": "é"}',), ('{ "a":"é","b":1}',), ("no",)], "j string").select(rewrite.canonical_sha(F.col("j")).alias("s")).collect()
