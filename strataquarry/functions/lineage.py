@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder that spark.checkpoint.dir names; where it is unset, one of our own on a single machine, else an error."""
-    sc, spark = df.sparkSession.sparkContext, df.sparkSession
-    if not sc.getCheckpointDir():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not (sc.master == "local" or sc.master.startswith("local[")):
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; where it is unset, one of our own on a single machine, else an error."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="strataquarry-"))
+        found = f"file://{tempfile.mkdtemp(prefix='strataquarry-')}"
+        sc.setCheckpointDir(found)
+    return found
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path in the shared folder; its file system removes it when the JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

@@ -50,7 +50,7 @@ def ceiling_of(distinct_tests: Column, share: float = 0.15, least: int = 3, defa
 
 
 def coverage_ratio(covered: Column, body: Column) -> Column:
-    return F.when(body <= 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), covered / body))
+    return F.when(body <= 0, F.lit(0.0)).otherwise(F.bround(F.least(F.lit(1.0), covered / body), 3))
 
 
 def focus_score(ratio: Column, tests: Column, ceiling: Column, body: Column, documented: Column) -> Column:
@@ -60,7 +60,7 @@ def focus_score(ratio: Column, tests: Column, ceiling: Column, body: Column, doc
     """
     span = F.greatest(F.lit(1), ceiling - 2)
     breadth = F.when(tests < 2, 0.25).when(tests > ceiling, 0.1).otherwise(1.0 - (tests - 2) / span * 0.5)
-    return ratio * 0.35 + breadth * 0.30 + F.least(F.lit(1.0), body / 12.0) * 0.20 + F.when(documented, 0.15).otherwise(0.0)
+    return F.bround(ratio * 0.35 + breadth * 0.30 + F.least(F.lit(1.0), body / 12.0) * 0.20 + F.when(documented, 0.15).otherwise(0.0), 4)
 
 
 def tier_of(value: Column, low: Column, high: Column) -> Column:

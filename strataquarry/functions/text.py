@@ -18,9 +18,16 @@ VOLATILE = (
     (r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}[^ \t\n\r]*", "<timestamp>"),
 )
 LOCATION = (r"([A-Za-z0-9_./\\-]+\.(?:go|rs|py|ts|tsx|js|jsx|mjs|cjs|c|cc|cpp|h|hpp)):[0-9]+(?::[0-9]+)?", "$1:<line>")
+# What differs between two failures of one defect.
+VARYING = ((r"0x[0-9a-fA-F]+", "0xADDR"), (r"(?:/[A-Za-z0-9_.-]+)+/", "<path>/"), (r"\bline [0-9]+\b", "line N"))
 COPULA = ("; ", "; and ")
 
 
+def _stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$", "")
+
+
 def context_to_node(context: Column) -> Column:
     """Coverage context to test node: cut at '|'; keep if it has '::', else the last '.' becomes '::'; empty is null."""
     head = F.trim(F.split_part(context, F.lit("|"), F.lit(1)))
@@ -41,10 +48,9 @@ def test_path(node: Column) -> Column:
 
 def signature(message: Column, most: int = 200) -> Column:
     """Failure signature: first line without addresses, paths and line numbers."""
-    s = F.substring_index(F.trim(message), "\n", 1)
-    s = F.regexp_replace(s, r"0x[0-9a-fA-F]+", "0xADDR")
-    s = F.regexp_replace(s, r"(?:/[A-Za-z0-9_.-]+)+/", "<path>/")
-    s = F.regexp_replace(s, r"line [0-9]+", "line N")
+    s = F.regexp_extract(_stripped(message), r"^[^\n\r]*", 0)
+    for pattern, put in VARYING:
+        s = F.regexp_replace(s, pattern, put)
     return F.substring(s, 1, most)
 
 
@@ -57,6 +63,7 @@ def scrub(text: Column, locations: bool = True) -> Column:
 
 def sanitize(text: Column, most: int = 1200) -> Column:
     """Prose of a description: no fences, diff lines, indented blocks, inline code or URLs; single spaces; cut."""
+    # What is no prose.
     for pattern in (r"(?s)```.*?```", r"(?m)^[+-][^+-].*$", r"(?m)^(?: {4}|\t).*$", r"`[^`]*`", r"https?://[^ \t\n\r]+", r"[ \t\n\r\f]+"):
         text = F.regexp_replace(text, pattern, " ")
     return F.substring(F.trim(text), 1, most)
@@ -91,8 +98,8 @@ def tokens(text: Column) -> Column:
 
 def added_lines(diff: Column) -> Column:
     """Lines a unified diff adds, without marks and blank ones."""
-    plus = F.filter(F.split(F.coalesce(diff, F.lit("")), "\n"), lambda x: x.startswith("+") & ~x.startswith("+++"))
-    return F.filter(F.transform(plus, lambda x: F.trim(F.regexp_replace(x, r"^\+|\r$", ""))), lambda x: x != "")
+    plus = F.filter(F.split(F.coalesce(diff, F.lit("")), "\r?\n"), lambda x: x.startswith("+") & ~x.startswith("+++"))
+    return F.filter(F.transform(plus, lambda x: _stripped(F.substring(x, 2, 1 << 30))), lambda x: x != "")
 
 
 def package_name(name: Column) -> Column:
@@ -131,10 +138,12 @@ def title_key(title: Column) -> Column:
 
 
 def strip_model_json(text: Column) -> Column:
-    """The JSON object of a model's answer: fences off, outermost braces; null if there is none."""
-    bare = F.regexp_replace(text, r"(?m)^```[A-Za-z]*[ \t]*$", "")
-    body = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    return F.when(body != "", body)
+    """The JSON object of a model's answer: fences off, the whole or else its outermost braces; null if neither parses to an object."""
+    bare = _stripped(text)
+    bare = F.when(bare.startswith("```"), _stripped(F.regexp_replace(bare, r"(?m)^[ \t]*```.*$", ""))).otherwise(bare)
+    inner = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
+    parses = lambda x: F.try_parse_json(x).isNotNull()
+    return F.when(parses(bare), F.when(bare.startswith("{"), bare)).when(parses(inner), F.when(inner != "", inner))
 
 
 def is_test_path(path: Column) -> Column:

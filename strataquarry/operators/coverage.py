@@ -11,7 +11,8 @@ from ..functions import numeric as N
 def innermost(lines: DataFrame, spans: DataFrame, keys: list[str], at: str = "line", low: str = "line", high: str = "end_line", order: list[str] | None = None, bucket: int = 64) -> DataFrame:
     """lines joined with the shortest span of the same keys that holds `at`; ties go to the later `order`.
 
-    Spans are dealt to fixed-width buckets, so the range condition runs inside an equi-join and no span meets far lines.
+    Spans are dealt to fixed-width buckets, so the range condition runs inside an equi-join and no span meets far lines. Lines
+    are a set here: equal rows come out once.
     """
     b = spans.withColumn("_b", F.explode(F.sequence(F.floor(F.col(low) / bucket), F.floor(F.col(high) / bucket))))
     b = b.select(*keys, "_b", F.col(low).alias("_lo"), F.col(high).alias("_hi"), F.struct(*[c for c in spans.columns if c not in keys]).alias("_span"), *[F.col(c).alias(f"_o_{c}") for c in order or []])
@@ -29,7 +30,7 @@ def enclosing(lines: DataFrame, spans: DataFrame, bucket: int = 64) -> DataFrame
 
 def attribute(lines: DataFrame, symbols: DataFrame) -> DataFrame:
     """(symbol_id, line, test_id) of coverage lines; the innermost symbol owns a line."""
-    owners = innermost(lines.select("path", "line").distinct(), symbols.select("path", "id", "line", "end_line", "ordinal"), ["path"], order=["ordinal"])
+    owners = innermost(lines.select("path", "line").distinct(), symbols.where("kind <> 'module'").select("path", "id", "line", "end_line", "ordinal"), ["path"], order=["ordinal"])
     return lines.join(owners.select("path", "line", F.col("span.id").alias("symbol_id")), ["path", "line"]).select("symbol_id", "line", "test_id")
 
 
@@ -38,7 +39,7 @@ def covered_symbols(lines: DataFrame, symbols: DataFrame) -> DataFrame:
     owned = attribute(lines, symbols)
     per = owned.groupBy("symbol_id").agg(F.count_distinct("line").alias("covered_lines"), F.sort_array(F.collect_set("test_id")).alias("covering_tests"))
     total = lines.agg(F.count_distinct("test_id").alias("_tests"))
-    rows = symbols.join(per, F.col("id") == F.col("symbol_id"), "left").crossJoin(F.broadcast(total))
+    rows = symbols.where("kind <> 'module'").join(per, F.col("id") == F.col("symbol_id"), "left").crossJoin(F.broadcast(total))
     tests = F.coalesce(F.size("covering_tests"), F.lit(0))
     rows = rows.select("id", "path", "kind", "qualified_name", (F.col("end_line") - F.col("line") + 1).alias("body_lines"), F.coalesce("covered_lines", F.lit(0)).alias("covered_lines"), F.coalesce("covering_tests", F.array().cast("array<string>")).alias("covering_tests"), (F.coalesce("docstring", F.lit("")) != "").alias("has_docstring"), "is_test", F.when(tests < 0, 0).otherwise(tests).alias("tests"), N.ceiling_of(F.col("_tests")).alias("ceiling"))
     rows = rows.withColumn("ratio", N.coverage_ratio(F.col("covered_lines"), F.col("body_lines")))

@@ -19,10 +19,21 @@ def callers_of(edges: DataFrame, symbol: str) -> DataFrame:
     return edges.where((F.col("target") == symbol) & (F.col("kind") != "contains")).orderBy("path", "line", "source")
 
 
-def scope_files(edges: DataFrame, symbols: DataFrame, changed: DataFrame, most: int = 25) -> DataFrame:
-    """(path, place): changed files in order, then the files they impact, at most `most`."""
+def contract_of(symbols: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, qualified_name, signature, docstring, module) of wanted(id); empty where no symbol has that id."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    module = F.coalesce(F.regexp_extract("parent", "::(.*)$", 1), F.lit(""))
+    own = symbols.select("id", "qualified_name", "signature", "docstring", module.alias("module"))
+    return wanted.select("id").distinct().join(own, "id", "left").select("id", *(text(c).alias(c) for c in ("qualified_name", "signature", "docstring", "module")))
+
+
+def scope_files(edges: DataFrame, symbols: DataFrame, changed: DataFrame, most: int = 25, callers: bool = False) -> DataFrame:
+    """(path, way): changed files in order (way 0), at most `most`. What a change impacts is listed by its targets, which are changed
+    files themselves, so no others follow; with `callers`, the files that call into them do (way 1)."""
     c = changed.select("path").distinct()
-    hit = G.impact(edges, symbols, c, 1 << 30).select(F.col("target_path").alias("path")).distinct().join(c, "path", "left_anti")
+    found = G.impact(edges, symbols, c, 1 << 30)
+    found = found.select(F.regexp_replace("anchor", ":[0-9]+$", "").alias("path")) if callers else found.select(F.col("target_path").alias("path"))
+    hit = found.distinct().join(c, "path", "left_anti")
     both = c.withColumn("way", F.lit(0)).unionByName(hit.withColumn("way", F.lit(1)))
     return both.orderBy("way", "path").limit(most)
 
@@ -123,6 +134,16 @@ def render_cards(units: DataFrame, sections: DataFrame) -> DataFrame:
     return block.groupBy("subject").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("priority", "block"))), lambda x: x["block"]), "\n\n").alias("text"))
 
 
+def messages(blocks: DataFrame, system: str, most: int = 2_000) -> DataFrame:
+    """(subject, messages) of blocks(subject, ordinal, title, lines): the system's words, then every block that has lines under its
+    title, each cut at `most` characters."""
+    body = F.substring(F.array_join("lines", "\n"), 1, most)
+    rows = blocks.where(F.size("lines") > 0).select("subject", "ordinal", F.concat(F.lit("# "), "title", F.lit("\n"), body).alias("block"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "block"))), lambda x: x["block"]), "\n\n")
+    said = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    return rows.groupBy("subject").agg(text.alias("t")).select("subject", F.array(said("system", F.lit(system)), said("user", F.col("t"))).alias("messages"))
+
+
 def docker_command(words: Column) -> Column:
     return F.concat(F.lit("CMD "), F.to_json(words))
 

@@ -13,6 +13,7 @@ INTEGRITY = {
     "reads_diff_artifact": r"\.(patch|diff)\b",
     "inspects_own_source": r"\binspect\.getsource\b|\b__file__ *\)? *\.read",
 }
+# What a solver must not find, and assertions that only one implementation can meet.
 FORBIDDEN = (".git", ".strataquarry", "solution", "evidence", "goldenSolution.diff", "goldenSolution.md")
 COUPLING = {
     "patched_internals": r"\b(?:mock\.)?patch(?:\.object)?[ \t]*\(",
@@ -154,15 +155,38 @@ def removed_on_purpose(before: DataFrame, after: DataFrame, declared: DataFrame,
     return gone.join(declared.select("path", "name").distinct(), ["path", "name"], "left_anti").select("path", "test")
 
 
-def stage_semantics(stages: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """stages with status failed where the stage's own rule (true = broken) fires; others keep theirs."""
+def stage_semantics(stages: DataFrame, rules: dict[str, Column], optional: tuple[str, ...] = ("adjudicate",)) -> DataFrame:
+    """stages with status failed (degraded for optional ones) where the stage's own rule (true = broken) fires; others keep theirs."""
     status = None
     for name, broken in rules.items():
         hit = (F.col("stage") == name) & (F.col("status") == "ok") & F.coalesce(broken, F.lit(False))
-        status = F.when(hit, "failed") if status is None else status.when(hit, "failed")
+        bad = "degraded" if name in optional else "failed"
+        status = F.when(hit, bad) if status is None else status.when(hit, bad)
     return stages.withColumn("status", F.col("status") if status is None else status.otherwise(F.col("status")))
 
 
+def stage_rules() -> dict[str, Column]:
+    """Rules of the eleven stages for stage_semantics(): true where what a stage produced (columns as named) is no success. Null
+    columns count as absent."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    measured = F.coalesce(F.col("regressions_verified"), F.lit(True))
+    return {
+        "hygiene": F.when(measured, text("result") != "complete").otherwise(text("result") != "complete_unverified"),
+        "deps": ~F.coalesce(F.col("environment_available"), F.lit(True)) | ~text("result").startswith("locked"),
+        "container": text("result") != "verified",
+        "graph": text("result") != "verified",
+        "coverage": text("result") != "available",
+        "testgen": ~text("result").isin("generated", "not_needed"),
+        "validate": n("eligible") < 10,
+        "adjudicate": (text("note") != "") | (n("fell_back") > 0),
+        "select": ~flag("satisfied"),
+        "emit": (n("task_count") != 10) | ~flag("satisfied") | (n("leaking") > 0) | (n("invalid") > 0),
+        "bundle": (n("missing") > 0) | (n("task_count") != 10),
+    }
+
+
 def stage_rollup(stages: DataFrame, keys: list[str], needed: tuple[str, ...] = ("emit", "bundle")) -> DataFrame:
     """ok (no failed stage), deliverable_complete (needed stages produced), total seconds."""
     produced = F.collect_set(F.when(F.col("status").isin("ok", "degraded"), F.col("stage")))

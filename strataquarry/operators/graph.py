@@ -9,7 +9,7 @@ from __future__ import annotations
 import builtins
 import sys
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -144,12 +144,12 @@ def impact(edges: DataFrame, symbols: DataFrame, changed: DataFrame, most: int =
     return ranked.where(F.col("rank") <= most).select("target_path", F.col("source").alias("caller"), "kind", "anchor", "expression", "rank", "total", (F.col("total") > most).alias("truncated"))
 
 
-def waves(nodes: DataFrame, edges: DataFrame, most: int = 1_000) -> DataFrame:
+def waves(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, wave): a node stands one wave after the last node it depends on, edges(source, target); cycles are one last wave."""
     left = cut(nodes.select("node").distinct())
     wait = cut(edges.where("source <> target").select("source", "target").distinct().join(left.select(F.col("node").alias("source")), "source", "left_semi").join(left.select(F.col("node").alias("target")), "target", "left_semi"))
     out, wave = None, 0
-    while wave < most:
+    while True:
         layer = left.join(wait.select(F.col("source").alias("node")), "node", "left_anti")
         if layer.isEmpty():
             break
@@ -162,15 +162,23 @@ def waves(nodes: DataFrame, edges: DataFrame, most: int = 1_000) -> DataFrame:
     return rest if out is None else out.unionByName(rest)
 
 
-def on_cycle(spark: SparkSession, edges: DataFrame, most: int = 64) -> DataFrame:
-    """Nodes that wait for themselves through edges(source, target)."""
-    reach = cut(edges.select("source", "target").distinct())
-    for _ in range(most):
-        more = reach.alias("a").join(edges.alias("b"), F.col("a.target") == F.col("b.source")).select("a.source", "b.target").unionByName(reach).distinct()
-        more = cut(more)
-        if more.count() == reach.count():
+def on_cycle(edges: DataFrame) -> DataFrame:
+    """Nodes that wait for themselves through edges(source, target), however long the way.
+
+    Nodes without a way in or out are peeled off until none is left; reachability is then doubled on the remaining core only."""
+    core = cut(edges.where("source is not null and target is not null").select("source", "target").distinct())
+    left = core.count()
+    while left:
+        ways = core.join(core.select(F.col("target").alias("source")).distinct(), "source", "left_semi").join(core.select(F.col("source").alias("target")).distinct(), "target", "left_semi")
+        core, before = cut(ways.select("source", "target")), left
+        left = core.count()
+        if left == before:
             break
-        reach = more
+    reach, before = core, -1
+    while left != before:
+        two = reach.alias("a").join(reach.alias("b"), F.col("a.target") == F.col("b.source")).select("a.source", "b.target")
+        reach, before = cut(reach.unionByName(two).distinct()), left
+        left = reach.count()
     return reach.where("source = target").select(F.col("source").alias("node")).distinct()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -67,6 +68,15 @@ class Reader:
         for child in ast.iter_child_nodes(node):
             self.visit(child, scope, guard)
 
+    def whole(self, tree: ast.Module) -> None:
+        """The module itself, which its definitions name as their parent; it stands at its first statement."""
+        first = tree.body[0] if tree.body else None
+        line, end, column, stop = (first.lineno, first.end_lineno, first.col_offset, first.end_col_offset) if first else (1, 1, 0, 0)
+        self.symbols.append({
+            "id": f"{self.path}::{self.module}", "kind": "module", "name": self.module.split(".")[-1] or self.path, "qualified_name": self.module, "line": line, "end_line": end, "column": column, "end_column": stop,
+            "parent": None, "bases": [], "decorators": [], "signature": None, "docstring": ast.get_docstring(tree), "is_test": self.test, "is_public": True, "ordinal": 0,
+        })
+
     def scope(self, scope: list[tuple[str, str]]) -> str:
         return ".".join([*filter(None, [self.module]), *(n for n, _ in scope)])
 
@@ -100,7 +110,8 @@ def parse_source(path: str, module: str, content: str, test: bool) -> tuple[Read
         tree = ast.parse(content)
     except (SyntaxError, ValueError, RecursionError) as e:
         return None, f"{type(e).__name__}: {e}"
-    reader = Reader(path, module, test)
+    reader = Reader(path, module or "", test)
+    reader.whole(tree)
     for child in tree.body:
         reader.visit(child, [], None)
     return reader, None
@@ -167,6 +178,73 @@ def regex_symbols(files: DataFrame) -> DataFrame:
     return out
 
 
+# How other languages import, define functions and declare tests.
+OTHER_IMPORTS = {
+    "rust": (r"\buse\s+([^;]+);",),
+    "go": (r'^[ \t]*import\s+(?:[A-Za-z_.][A-Za-z0-9_]*\s+)?"([^"]+)"', r'^[ \t]+(?:[A-Za-z_.][A-Za-z0-9_]*\s+)?"([^"\n]+)"[ \t]*$'),
+    "javascript": (r"""\bfrom\s+['"]([^'"]+)['"]""", r"""^[ \t]*import\s+['"]([^'"]+)['"]""", r"""\brequire\s*\(\s*['"]([^'"]+)['"]\s*\)"""),
+    "c": (r'^[ \t]*#[ \t]*include[ \t]*[<"]([^>"]+)[>"]',),
+}
+OTHER_FUNCTIONS = {
+    "rust": (r"\bfn\s+([A-Za-z_][A-Za-z0-9_]*)",),
+    "go": (r"^func\s+(?:\([^)]*\)\s*)?([A-Za-z_][A-Za-z0-9_]*)",),
+    "javascript": (r"\bfunction\s*\*?\s*([A-Za-z_$][A-Za-z0-9_$]*)\s*\(", r"\b(?:const|let|var)\s+([A-Za-z_$][A-Za-z0-9_$]*)\s*=\s*(?:async\s*)?(?:\([^()]*\)|[A-Za-z_$][A-Za-z0-9_$]*)\s*=>"),
+    "c": (r"^[A-Za-z_][A-Za-z0-9_:<>,*& \t]*[ \t*&]([A-Za-z_~][A-Za-z0-9_:~]*)\s*\([^;{}()]*\)\s*(?:const\s*)?\{",),
+}
+OTHER_TESTS = {"javascript": r"""\b(?:it|test|describe)\s*\(\s*['"`]([^'"`]+)['"`]""", "c": r"^TEST(?:_F|_P|_CASE)?\s*\(\s*([^)]*?)\s*\)"}
+FAMILY = {"typescript": "javascript", "tsx": "javascript", "cpp": "c"}
+NO_FUNCTION = ("if", "for", "while", "switch", "return", "else", "catch", "sizeof")
+SOURCE_ROWS = "path string, language string, kind string, name string, line int, end_line int, is_test boolean"
+
+
+def _block_end(code: str, at: int) -> int:
+    """Offset of the brace that closes the block a definition at `at` opens; where none opens before ';', the definition itself."""
+    from .rewrite import closing_brace
+
+    opening, stop = code.find("{", at), code.find(";", at)
+    end = closing_brace(code, opening) if opening >= 0 and not 0 <= stop < opening else -1
+    return end if end >= 0 else at
+
+
+def source_rows(code: str, language: str) -> list[tuple[str, str, int, int, bool]]:
+    """(kind, name, line, end_line, is_test) of imports, functions and declared tests, in order of lines."""
+    family, out = FAMILY.get(language, language), []
+    line = lambda at: code.count("\n", 0, at) + 1
+    go_blocks = [m.span() for m in re.finditer(r"^import\s*\([^)]*\)", code, re.M)] if family == "go" else []
+    for i, pattern in enumerate(OTHER_IMPORTS.get(family, ())):
+        for m in re.finditer(pattern, code, re.M):
+            if family != "go" or i == 0 or any(a <= m.start() < b for a, b in go_blocks):
+                out.append(("import", " ".join(m[1].split()), line(m.start(1)), line(m.start(1)), False))
+    for pattern in OTHER_FUNCTIONS.get(family, ()):
+        for m in re.finditer(pattern, code, re.M):
+            if m[1] in NO_FUNCTION:
+                continue
+            first, above = line(m.start(1)), code[: m.start()].splitlines()[-3:]
+            test = any(re.match(r"\s*#\[(?:[a-z_]+::)?test\]", x) for x in above) if family == "rust" else family == "go" and bool(re.match("Test|Benchmark|Fuzz|Example", m[1]))
+            out.append(("function", m[1], first, line(_block_end(code, m.start(1))), test))
+    if family in OTHER_TESTS:
+        for m in re.finditer(OTHER_TESTS[family], code, re.M):
+            out.append(("test", m[1], line(m.start()), line(_block_end(code, m.start())), True))
+    return sorted(out, key=lambda r: (r[2], r[0], r[1]))
+
+
+def parse_other(files: DataFrame) -> DataFrame:
+    """(path, language, kind, name, line, end_line, is_test) of files(path, language, content) in languages other than Python."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = [(path, language, *row) for path, language, content in zip(pdf.path, pdf.language, pdf.content, strict=True) for row in source_rows(content or "", language or "")]
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in SOURCE_ROWS.split(", ")])
+
+    return files.select("path", "language", "content").mapInPandas(run, SOURCE_ROWS)
+
+
+def wanted_files(rows: DataFrame) -> DataFrame:
+    """(path, wanted) of parse_other()'s imports in the form graph.suffix_import() takes: no leading dots, no extension, '/' between parts."""
+    bare = F.regexp_replace(F.regexp_replace("name", r"^(?:\.{1,2}/|crate::|super::|self::)+", ""), "::", "/")
+    return rows.where("kind = 'import'").select("path", F.regexp_replace(F.regexp_replace(bare, r"/?\{.*$|[ ]+as .*$", ""), r"\.(?:js|jsx|ts|tsx|h|hpp)$", "").alias("wanted")).where("wanted <> ''").distinct()
+
+
 def test_functions(files: DataFrame) -> DataFrame:
     """(path, name, body) of collected tests: module functions and methods of Test classes called test_*."""
 

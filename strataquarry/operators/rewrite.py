@@ -9,7 +9,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -272,9 +272,40 @@ def prune(files: DataFrame) -> DataFrame:
     return rows.where(test_problem(stays).isNull()).select("path", spliced(F.col("source"), F.col("goes")).alias("content"))
 
 
+class _Names(ast.NodeVisitor):
+    """Names that a source binds: functions, classes and everything assigned to."""
+
+    def __init__(self):
+        self.names: set[str] = set()
+
+    def visit(self, node: ast.AST) -> None:
+        if isinstance(node, ast.FunctionDef | ast.AsyncFunctionDef | ast.ClassDef):
+            self.names.add(node.name)
+        elif isinstance(node, ast.Name) and isinstance(node.ctx, ast.Store):
+            self.names.add(node.id)
+        self.generic_visit(node)
+
+
+def _bound(source: str) -> str:
+    visitor = _Names()
+    try:
+        visitor.visit(ast.parse(source))
+    except (SyntaxError, ValueError, RecursionError):
+        return "[]"
+    return json.dumps(sorted(visitor.names))
+
+
 def base_names(files: DataFrame) -> DataFrame:
-    """(name) every identifier of a tree's sources."""
-    return files.select(F.explode(F.array_distinct(F.regexp_extract_all("content", F.lit("[A-Za-z_][A-Za-z0-9_]*"), F.lit(0)))).alias("name")).distinct()
+    """(name) that the Python sources of a tree bind; a source that does not parse binds none."""
+    return files.where(F.col("path").endswith(".py")).select(F.explode(F.from_json(_text_map("bound", _bound)(F.col("content")), "array<string>")).alias("name")).distinct()
+
+
+def base_text(files: DataFrame, keys: tuple[str, ...] = (), most: int = 4_000_000) -> DataFrame:
+    """(*keys, text): a tree's Python sources in path order, joined by line ends, up to the one that passes `most` characters. A
+    running sum over (path, length) picks the files first, so no more text than that is gathered."""
+    before = F.coalesce(F.sum(F.length("content")).over(Window.partitionBy(*keys).orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    some = files.where(F.col("path").endswith(".py")).withColumn("_before", before).where(F.col("_before") <= most)
+    return some.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "content"))), lambda x: x["content"]), "\n").alias("text"))
 
 
 def canonical_sha(document: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 NGRAM = 5
+# How an added line defines a name.
 DEFINED = r"^(?:async[ \t]+)?(?:def|class)[ \t]+([A-Za-z_][A-Za-z0-9_]*)"
 ASSIGNED = r"^([A-Za-z_][A-Za-z0-9_]*)[ \t]*(?::[^=]+)?=[^=]"
 
@@ -58,6 +59,22 @@ def novel_names(diffs: DataFrame, base: DataFrame) -> DataFrame:
     return names.join(base.select("task_id", "name").distinct(), ["task_id", "name"], "left_anti").withColumn("private", F.col("name").startswith("_"))
 
 
+def leaked_names(instructions: DataFrame, diffs: DataFrame, base: DataFrame) -> DataFrame:
+    """(task_id, name, private) of novel names that the task's instruction(task_id, text) mentions. A private one is a leak."""
+    said = instructions.select("task_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z_][A-Za-z0-9_]*"), F.lit(0)))).alias("name"))
+    return novel_names(diffs, base).join(said, ["task_id", "name"], "left_semi")
+
+
+def leak_verdict(instructions: DataFrame, diffs: DataFrame, base: DataFrame, tree: DataFrame | None = None) -> DataFrame:
+    """(task_id, clean, copied_spans, private_names, public_names) of every instruction: copied token runs or private names are no clean one."""
+    copied = copied_lines(instructions, diffs, tree).groupBy("task_id").agg(F.array_sort(F.collect_list("span")).alias("copied_spans"))
+    names = leaked_names(instructions, diffs, base).groupBy("task_id").agg(F.sort_array(F.collect_set(F.when(F.col("private"), F.col("name")))).alias("private_names"), F.sort_array(F.collect_set(F.when(~F.col("private"), F.col("name")))).alias("public_names"))
+    none = F.array().cast("array<string>")
+    rows = instructions.select("task_id").distinct().join(copied, "task_id", "left").join(names, "task_id", "left")
+    rows = rows.select("task_id", *(F.coalesce(c, none).alias(c) for c in ("copied_spans", "private_names", "public_names")))
+    return rows.select("task_id", ((F.size("copied_spans") == 0) & (F.size("private_names") == 0)).alias("clean"), "copied_spans", "private_names", "public_names")
+
+
 def quality_flags(title: Column, text: Column) -> Column:
     """Problems of an instruction, in a fixed order."""
     count = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import gating, ranking, relational, textual
+from . import gating, intake, ranking, relational, structure, textual
 from .tables import Tables
 
-ALL = {**relational.Q, **ranking.Q, **gating.Q, **textual.Q}
+ALL = {**relational.Q, **ranking.Q, **gating.Q, **textual.Q, **intake.Q, **structure.Q}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

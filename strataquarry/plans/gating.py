@@ -107,13 +107,6 @@ def q63_lock_lines(t: Tables):
     return manifests.locked_packages(lines)
 
 
-@Q.add("""WITH e AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS total FROM events), c AS (SELECT user_id, bool_or(event_type = 'error') AS known, count(DISTINCT event_type) AS cited FROM events GROUP BY 1)
-SELECT user_id, cited, known, round(CASE WHEN known THEN cited / 5.0 ELSE 0 END, 6) AS coverage FROM c""")
-def q64_card_sizes(t: Tables):
-    c = t.events.groupBy("user_id").agg(F.bool_or(F.col("event_type") == "error").alias("known"), F.count_distinct("event_type").alias("cited"))
-    return c.select("user_id", "cited", "known", F.round(F.when(F.col("known"), F.col("cited") / 5.0).otherwise(0.0), 6).alias("coverage"))
-
-
 @Q.add("""WITH s AS (SELECT user_id, event_type, (CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END) AS priority, count(*) AS units, event_type = 'click' AS required FROM events GROUP BY ALL), w AS (SELECT *, least(units, 20) AS want FROM s), d AS (SELECT *, coalesce(sum(CASE WHEN required THEN 0 ELSE want END) OVER (PARTITION BY user_id ORDER BY priority ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM w)
 SELECT user_id, event_type, units, (CASE WHEN required THEN want ELSE greatest(0, least(want, 40 - used)) END)::BIGINT AS shown FROM d""")
 def q65_budget_render(t: Tables):
@@ -175,5 +168,3 @@ def q75_stage_rollup(t: Tables):
 def q78_validation_summary(t: Tables):
     tasks = t.orders.select(F.when(F.col("o_orderstatus") == "F", F.replace("o_orderpriority", F.lit("-"), F.lit(":"))).alias("rejected"), (F.col("o_totalprice") > 100000).alias("all_gates_passed"))
     return gates.validation_summary(tasks, [])
-
-

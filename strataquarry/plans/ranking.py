@@ -55,14 +55,6 @@ def q32_group_order(t: Tables):
     return t.part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "p_brand")
 
 
-@Q.add("""WITH p(prefix) AS (VALUES ('http://'), ('https://'), ('https://m.'), ('https://m.th'), ('http://th'), ('http://ther')), m AS (SELECT page_id, max(length(prefix)) AS n FROM pages JOIN p ON starts_with(url, prefix) GROUP BY 1)
-SELECT pages.page_id, left(url, n::INT) AS prefix FROM pages JOIN m ON m.page_id = pages.page_id""")
-def q33_longest_prefix(t: Tables):
-    table = F.broadcast(t.spark.sql("SELECT * FROM VALUES ('http://'), ('https://'), ('https://m.'), ('https://m.th'), ('http://th'), ('http://ther') AS p(prefix)"))
-    heads = t.pages.select("page_id", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("url"), F.lit(12))), lambda n: F.substring(F.col("url"), F.lit(1), n))).alias("prefix"))
-    return heads.join(table, "prefix").groupBy("page_id").agg(F.max_by("prefix", F.length("prefix")).alias("prefix"))
-
-
 @Q.add("SELECT l_orderkey, l_partkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey DESC) AS r FROM lineitem) WHERE r = 1")
 def q34_argmax_struct(t: Tables):
     return t.lineitem.groupBy("l_orderkey").agg(F.max(F.struct("l_extendedprice", "l_partkey")).alias("m")).select("l_orderkey", "m.l_partkey", "m.l_extendedprice")
@@ -91,15 +83,6 @@ def q38_lookalikes(t: Tables):
     return rank.lookalikes(t.part.select(named.alias("id")), t.part.select(F.col("p_partkey").alias("task_id"), named.alias("subject"))).select(F.col("task_id").alias("p_partkey"), "lookalikes")
 
 
-@Q.add("""WITH o AS (SELECT o_orderkey, o_orderpriority AS title, count(*) AS files, sum(l_quantity)::BIGINT * 10 AS churn FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2), m AS (SELECT greatest(25, floor(median(files) * 4)) AS f, greatest(2000, floor(median(churn) * 1)) AS c FROM o)
-SELECT CASE WHEN regexp_matches(title, '^5') THEN 'generic_or_merge_title' WHEN files * 8 > f AND churn > c THEN 'change_too_broad' ELSE 'kept' END AS reason, count(*) AS n FROM o, m GROUP BY 1""")
-def q39_median_outliers(t: Tables):
-    o = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey", F.col("o_orderpriority").alias("title")).agg(F.count(F.lit(1)).alias("files"), (F.sum("l_quantity").cast("long") * 10).alias("churn"))
-    m = o.agg(F.greatest(F.lit(25), F.floor(F.median("files") * 4)).alias("f"), F.greatest(F.lit(2000), F.floor(F.median("churn"))).alias("c"))
-    reason = history.drop_reason([("generic_or_merge_title", F.col("title").rlike("^5")), ("change_too_broad", (F.col("files") * 8 > F.col("f")) & (F.col("churn") > F.col("c")))])
-    return o.crossJoin(F.broadcast(m)).groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @Q.add("""WITH g AS (SELECT s_suppkey, s_nationkey, s_acctbal / 10000 AS score, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey DESC) AS place FROM supplier), a AS (SELECT *, score - 0.35 * (place - 1) AS adjusted FROM g), r AS (SELECT *, row_number() OVER (ORDER BY adjusted DESC, s_suppkey DESC) AS rank FROM a)
 SELECT s_suppkey, s_nationkey, round(adjusted, 6) AS adjusted, rank FROM r WHERE rank <= 10""")
 def q40_diversity_greedy(t: Tables):

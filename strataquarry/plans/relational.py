@@ -80,41 +80,6 @@ def q11_explode_sum(t: Tables):
     return out.select(F.col("sha").alias("l_orderkey"), F.round("additions", 2).alias("additions"), F.round("deletions", 2).alias("deletions"), "files", "is_merge")
 
 
-@Q.add("SELECT 'contains' AS kind, 'region:' || n_regionkey AS source, 'nation:' || n_nationkey AS target FROM nation UNION ALL SELECT 'contains', 'nation:' || c_nationkey, 'customer:' || c_custkey FROM customer UNION ALL SELECT 'contains', 'nation:' || s_nationkey, 'supplier:' || s_suppkey FROM supplier")
-def q12_containment_edges(t: Tables):
-    named = lambda k, c: F.concat(F.lit(f"{k}:"), c)
-    rows = t.nation.select(named("region", "n_regionkey").alias("source"), named("nation", "n_nationkey").alias("target"))
-    rows = rows.unionByName(t.customer.select(named("nation", "c_nationkey").alias("source"), named("customer", "c_custkey").alias("target")))
-    return rows.unionByName(t.supplier.select(named("nation", "s_nationkey").alias("source"), named("supplier", "s_suppkey").alias("target"))).withColumn("kind", F.lit("contains"))
-
-
-@Q.add("""WITH pairs AS (SELECT p_name AS k, min(p_partkey) AS target FROM part WHERE p_size = 1 GROUP BY 1), heads AS (SELECT split_part(p_name, ' ', 1) AS k, min(p_partkey) AS target FROM part WHERE p_size <= 2 AND p_type = 'ECONOMY' GROUP BY 1)
-SELECT p_partkey, coalesce(pairs.target, heads.target) AS target, CASE WHEN pairs.target IS NOT NULL OR heads.target IS NOT NULL THEN NULL WHEN p_type = 'SMALL' THEN 'stdlib_module' ELSE 'external_module' END AS reason FROM part LEFT JOIN pairs ON pairs.k = p_name LEFT JOIN heads ON heads.k = split_part(p_name, ' ', 1)""")
-def q13_first_match_resolve(t: Tables):
-    head = F.split_part("p_name", F.lit(" "), F.lit(1))
-    pairs = t.part.where("p_size = 1").groupBy("p_name").agg(F.min("p_partkey").alias("a"))
-    heads = t.part.where("p_size <= 2 and p_type = 'ECONOMY'").groupBy(head.alias("head")).agg(F.min("p_partkey").alias("b"))
-    rows = t.part.withColumn("head", head).join(pairs, "p_name", "left").join(heads, "head", "left").withColumn("target", F.coalesce("a", "b"))
-    return rows.select("p_partkey", "target", F.when(F.col("target").isNull(), F.when(F.col("p_type") == "SMALL", "stdlib_module").otherwise("external_module")).alias("reason"))
-
-
-@Q.add("SELECT CASE WHEN event_type = 'error' AND value > 100 THEN 'infrastructure' WHEN event_type = 'error' THEN 'assertion' WHEN value < 1 THEN 'noise' WHEN event_type = 'purchase' THEN 'external' ELSE 'dynamic_or_local' END AS reason, count(*) AS n FROM events GROUP BY 1")
-def q14_reason_case(t: Tables):
-    e, v = F.col("event_type"), F.col("value")
-    reason = F.when((e == "error") & (v > 100), "infrastructure").when(e == "error", "assertion").when(v < 1, "noise").when(e == "purchase", "external").otherwise("dynamic_or_local")
-    return t.events.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@Q.add("WITH RECURSIVE c(p_partkey, root, hops) AS (SELECT p_partkey, p_partkey, 0 FROM part UNION ALL SELECT c.p_partkey, root // 2, hops + 1 FROM c JOIN part p ON p.p_partkey = c.root // 2 WHERE hops < 5 AND root > 1) SELECT p_partkey, min(root) AS root, max(hops) AS hops FROM c GROUP BY 1")
-def q15_bounded_chain(t: Tables):
-    known = t.part.select(F.col("p_partkey").alias("next"))
-    rows = t.part.select("p_partkey", F.col("p_partkey").alias("root"), F.lit(0).alias("hops"))
-    for _ in range(5):
-        rows = rows.withColumn("next", F.when(F.col("root") > 1, F.expr("root div 2"))).join(known.withColumn("known", F.lit(True)), "next", "left")
-        rows = rows.select("p_partkey", F.when(F.col("known"), F.col("next")).otherwise(F.col("root")).alias("root"), (F.col("hops") + F.coalesce(F.col("known").cast("int"), F.lit(0))).alias("hops"))
-    return rows
-
-
 @Q.add("WITH RECURSIVE w(k, wave) AS (SELECT p_partkey, 0 FROM part WHERE p_partkey <= 1 UNION ALL SELECT p_partkey, wave + 1 FROM part JOIN w ON p_partkey // 2 = w.k AND p_partkey > 1) SELECT k AS node, max(wave) AS wave FROM w GROUP BY 1")
 def q16_layer_waves(t: Tables):
     return graph.waves(t.part.select(F.col("p_partkey").alias("node")), t.part.where("p_partkey > 1").select(F.col("p_partkey").alias("source"), F.expr("p_partkey div 2").alias("target")))
@@ -190,11 +155,6 @@ def _covered(t: Tables):
 FOCUS = f"""SELECT *, kind IN ('ECONOMY', 'SMALL') AND tests > 0 AND NOT is_test AS possible, least(1.0, covered / body) AS ratio FROM ({COVERED})"""
 
 
-@Q.add(f"SELECT p_partkey, round(CASE WHEN possible THEN ratio * 0.35 + (CASE WHEN tests < 2 THEN 0.25 WHEN tests > 30 THEN 0.1 ELSE 1.0 - (tests - 2) / 28 * 0.5 END) * 0.30 + least(1.0, body / 12.0) * 0.20 + (CASE WHEN doc THEN 0.15 ELSE 0 END) ELSE 0 END, 6) AS focus_score FROM ({FOCUS})")
-def q23_focus_score(t: Tables):
-    return _covered(t).select("p_partkey", F.round("focus_score", 6).alias("focus_score"))
-
-
 @Q.add(f"SELECT count(*) FILTER (WHERE possible) AS possible, count(*) FILTER (WHERE possible AND tests BETWEEN 2 AND 30 AND doc AND ratio >= 0.6 AND body >= 4) AS ready, count(*) AS n FROM ({FOCUS})")
 def q24_ready_band(t: Tables):
     return _covered(t).agg(F.count_if("possible").alias("possible"), F.count_if("ready").alias("ready"), F.count(F.lit(1)).alias("n"))

@@ -14,11 +14,6 @@ Q = Catalogue()
 SIGNATURE = r"left(regexp_replace(regexp_replace(regexp_replace(split_part(trim({0}), chr(10), 1), '0x[0-9a-fA-F]+', '0xADDR', 'g'), '(?:/[A-Za-z0-9_.-]+)+/', '<path>/', 'g'), 'line [0-9]+', 'line N', 'g'), 200)"
 
 
-@Q.add(f"SELECT doc_id, md5({SIGNATURE.format('text')}) AS signature_md5 FROM documents")
-def q46_signature_scrub(t: Tables):
-    return t.documents.select("doc_id", F.md5(T.signature(F.col("text"))).alias("signature_md5"))
-
-
 @Q.add("""WITH f AS (SELECT doc_id, length(trim(text)) < 120 AS a, length(text) > 5000 AS b, regexp_matches(trim(split_part(text, chr(10), 1)), '(?i)^(?:stable|main|master|merge\\b|sync\\b|release\\b|move to src\\b)') AS c, length(text) - length(replace(text, '[', '')) <> length(text) - length(replace(text, ']', '')) AS d, regexp_matches(text, '(?i)\\b(?:TODO|TBD|describe-only constraint)\\b') AS e FROM documents)
 SELECT doc_id, concat_ws(',', CASE WHEN a THEN 'too_short' END, CASE WHEN b THEN 'too_long' END, CASE WHEN c THEN 'generic_title' END, CASE WHEN d THEN 'broken_markdown' END, CASE WHEN e THEN 'template_placeholder' END) AS flags FROM f""")
 def q51_text_flags(t: Tables):
@@ -26,13 +21,6 @@ def q51_text_flags(t: Tables):
     return t.documents.select("doc_id", F.array_join(flags, ",").alias("flags"))
 
 
-@Q.add("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents)
-SELECT doc_id, min(line) FILTER (WHERE regexp_matches(x, '[0-9]{4}')) AS first_line, count(*) FILTER (WHERE regexp_matches(x, '[0-9]{4}')) AS hits FROM l WHERE trim(x) <> '' AND NOT starts_with(ltrim(x), '#') GROUP BY 1 HAVING hits > 0""")
-def q52_line_scan(t: Tables):
-    lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "x")).where((F.trim("x") != "") & ~F.ltrim("x").startswith("#") & F.col("x").rlike("[0-9]{4}"))
-    return lines.groupBy("doc_id").agg((F.min("p") + 1).cast("long").alias("first_line"), F.count(F.lit(1)).alias("hits"))
-
-
 TOK = "regexp_extract_all({0}, '[A-Za-z_][A-Za-z0-9_]*|[^A-Za-z0-9_ \\t\\n\\r\\f\\v]')"
 SPANS = "SELECT DISTINCT {id}, lower(array_to_string(list_slice(k, i, i + 4), ' ')) AS span FROM (SELECT {id}, k, unnest(range(1, len(k) - 3)) AS i FROM (SELECT {id}, " + TOK.format("text") + " AS k FROM {table}) WHERE len(k) >= 5)"
 
@@ -42,12 +30,6 @@ def q54_ngram_overlap(t: Tables):
     return texts.overlap(t.documents.select("doc_id", "text"), t.benchmark, "doc_id", "item_id")
 
 
-@Q.add("WITH a AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_]*'))) AS name FROM benchmark), b AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_]*'))) AS name FROM documents) SELECT name FROM a WHERE name NOT IN (SELECT name FROM b)")
-def q55_novel_names(t: Tables):
-    names = lambda df: df.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z_][A-Za-z0-9_]*"), F.lit(0)))).alias("n")).select(F.lower("n").alias("name")).distinct()
-    return names(t.benchmark).join(names(t.documents), "name", "left_anti")
-
-
 CLEAN = "left(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '(?s)```.*?```', ' ', 'g'), '(?m)^[+-][^+-].*$', ' ', 'g'), '(?m)^(?: {{4}}|\\t).*$', ' ', 'g'), '`[^`]*`', ' ', 'g'), 'https?://[^ \\t\\n\\r]+', ' ', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g')), 1200)"
 
 

@@ -16,13 +16,41 @@ LANGUAGES = {"py": "python", "pyi": "python", "js": "javascript", "jsx": "javasc
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(records, corrupt lines) of JSON lines. Blank and malformed lines and non-objects are no records; they can be counted."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    """parse_lines() of a text file."""
+    return parse_lines(spark.read.text(path), schema)
+
+
+def parse_lines(lines: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(records, corrupt lines) of JSON lines(value). Blank and malformed lines and non-objects are no records; they can be counted."""
+    lines = lines.where(F.trim("value") != "")
     rows = lines.select("value", F.from_json("value", f"{schema}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
     good = F.col(f"r.{CORRUPT}").isNull() & F.ltrim("value").startswith("{")
     return rows.where(good).select("r.*").drop(CORRUPT), rows.where(~good).select(F.col("value").alias(CORRUPT))
 
 
+def parse_documents(documents: DataFrame, schema: str) -> DataFrame:
+    """documents(value, ...) with the fields of their JSON object and `available`, false where there is none."""
+    keep = [c for c in documents.columns if c != "value"]
+    rows = documents.select(*keep, F.from_json("value", schema).alias("_r"), F.try_parse_json("value").isNotNull().alias("available"))
+    return rows.select(*keep, "_r.*", "available")
+
+
+def transcripts(entries: DataFrame) -> DataFrame:
+    """Model calls of cache entries(cache_key, value): one row each that parses; absent fields are empty or 0."""
+    schema = "model string, response struct<content:string,finish_reason:string>, usage struct<prompt_tokens:long,completion_tokens:long>"
+    rows = entries.where(F.try_parse_json("value").isNotNull()).select("cache_key", F.from_json("value", schema).alias("e"))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    n = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
+    return rows.select("cache_key", text("e.model").alias("model"), text("e.response.content").alias("content"), F.col("e.response.finish_reason").alias("finish_reason"), n("e.usage.prompt_tokens").alias("prompt_tokens"), n("e.usage.completion_tokens").alias("completion_tokens"))
+
+
+def parse_status(raw: DataFrame) -> DataFrame:
+    """(path, staged, unstaged, untracked) of porcelain status lines raw(value); blank lines are none. No rows: a clean tree."""
+    v = F.col("value")
+    mark = lambda i: F.when(F.substring(v, i, 1).isin(" ", "?"), None).otherwise(F.substring(v, i, 1))
+    return raw.where(F.trim(v) != "").select(F.substring(v, 4, 1 << 30).alias("path"), mark(1).alias("staged"), mark(2).alias("unstaged"), v.startswith("??").alias("untracked"))
+
+
 def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One row of a JSON document, or one row of nulls with available = false where the file is absent."""
     try:
@@ -101,6 +129,11 @@ def owned(files: DataFrame, hidden: bool = True, skipped: tuple[str, ...] = SKIP
     return files.where(keep)
 
 
+def scanned(files: DataFrame) -> DataFrame:
+    """files(path, ...) in any known language with that language, outside skipped and hidden directories."""
+    return owned(files, hidden=False, skipped=SKIPPED_ANY).withColumn("language", language_of(F.col("path"))).where("language is not null")
+
+
 def language_of(path: Column) -> Column:
     table = F.create_map(*(F.lit(x) for kv in LANGUAGES.items() for x in kv))
     return F.element_at(table, F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1)))

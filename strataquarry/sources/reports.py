@@ -99,11 +99,12 @@ def go_profile(lines: DataFrame, module: str = "") -> DataFrame:
     return rows.select(path.alias("path"), F.explode(F.sequence(g(2).cast("int"), g(3).cast("int"))).alias("line")).distinct()
 
 
-def go_test_list(lines: DataFrame) -> DataFrame:
-    """(package, name) of listing lines(ordinal, value): names wait for the summary line that tells their package."""
+def go_test_list(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(*keys, package, name, ordinal) of listing lines(*keys, ordinal, value): names wait for the summary line that tells their
+    package. keys tell one listing from another; a listing is one group."""
     v = F.trim("value")
     total = v.startswith("ok ") | v.startswith("?") | v.startswith("FAIL")
     package = F.when(total, F.coalesce(F.get(F.split(v, "[ \t]+"), F.lit(1)), F.lit("")))
-    ahead = Window.orderBy("ordinal").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    rows = lines.select("ordinal", v.alias("name"), total.alias("total"), F.first(package, True).over(ahead).alias("package"))
-    return rows.where(~F.col("total") & F.col("name").rlike("^(Test|Benchmark|Fuzz|Example)")).select(F.coalesce("package", F.lit("")).alias("package"), "name", "ordinal")
+    ahead = Window.partitionBy(*keys).orderBy("ordinal").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rows = lines.select(*keys, "ordinal", v.alias("name"), total.alias("total"), F.first(package, True).over(ahead).alias("package"))
+    return rows.where(~F.col("total") & F.col("name").rlike("^(Test|Benchmark|Fuzz|Example)")).select(*keys, F.coalesce("package", F.lit("")).alias("package"), "name", "ordinal")

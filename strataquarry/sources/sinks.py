@@ -63,6 +63,18 @@ def withdraw(existing: DataFrame, shipped: DataFrame, key: str) -> DataFrame:
     return existing.join(shipped.select(key), key, "left_anti")
 
 
+def task_records(tasks: DataFrame) -> DataFrame:
+    """(id, targets_txt, record) of tasks(task_id, source, title, instruction, primary_module, modules, verifier_files, targets,
+    command): what a task's folder is written from. record is JSON with keys in the order of names."""
+    none = F.array().cast("array<string>")
+    listed = lambda c: F.coalesce(F.col(c), none)
+    below = lambda what: F.concat("task_id", F.lit(f"/{what}"))
+    verifier = F.struct(listed("command").alias("command"), F.array_join(listed("command"), " ").alias("command_line"), listed("verifier_files").alias("files"), listed("targets").alias("node_ids"))
+    paths = F.struct(below("evidence").alias("evidence"), below("goldenSolution.diff").alias("golden_diff"), below("goldenSolution.md").alias("golden_solution"), below("input").alias("input"), below("solution").alias("solution"), below("verifier").alias("verifier"))
+    record = F.struct(F.col("task_id").alias("id"), "instruction", listed("modules").alias("modules"), paths.alias("paths"), "primary_module", "source", "title", verifier.alias("verifier"))
+    return tasks.select(F.col("task_id").alias("id"), F.concat(F.array_join(listed("targets"), "\n"), F.lit("\n")).alias("targets_txt"), F.to_json(record).alias("record"))
+
+
 def rebuild_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     """Register the evidence tables and the derived bridges over them; always a full rebuild."""
     for name, df in tables.items():

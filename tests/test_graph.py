@@ -2,15 +2,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataquarry import schemas as S
-from strataquarry.operators import coverage, dependencies, graph, parse
+from strataquarry.operators import coverage, dependencies, evidence, graph, parse
 
 TREE = {
-    "pkg/__init__.py": "from pkg.core import fetch, Engine\n",
-    "pkg/core.py": "import json\nfrom . import api\n\nclass Base:\n    pass\n\nclass Engine(Base):\n    '''Runs.'''\n    def run(self):\n        return len([])\n\ndef fetch(x):\n    return Engine().run()\n",
-    "pkg/api.py": "from pkg import fetch\nimport requests\n\ndef call():\n    fetch(1)\n    requests.get('x')\n    other.thing()\n",
-    "tests/test_api.py": "from pkg.api import call\ntry:\n    import yaml\nexcept ImportError:\n    yaml = None\n\ndef test_call():\n    call()\n",
-    "broken.py": "def (",
+    "harbor/__init__.py": "\"\"\"Ships and berths.\"\"\"\nfrom harbor.quay import assign as book, LongBerth\n",
+    "harbor/quay.py": "import math\nfrom . import crane\n\n\nclass Berth:\n    size = 1\n\n\nclass LongBerth(Berth):\n    \"\"\"Two ships long.\"\"\"\n\n    def moor(self, ship):\n        return max([ship, 0])\n\n\ndef assign(ship):\n    return LongBerth().moor(ship)\n",
+    "harbor/crane.py": "from harbor import book\nimport pulley\n\n\ndef lift(load):\n    book(load)\n    pulley.turn(load)\n    ghost.pull()\n",
+    "checks/tests/test_crane.py": "from harbor.crane import lift\n\ntry:\n    import winch\nexcept ImportError:\n    winch = None\n\n\ndef test_lift():\n    lift(3)\n",
+    "wreck.py": "def (",
 }
+TEST = "checks/tests/test_crane.py::test_crane.test_lift"
 
 
 @pytest.fixture(scope="module")
@@ -23,33 +24,38 @@ def world(spark):
 
 def test_modules(world):
     got = {r.path: r.module for r in world[0].collect()}
-    assert got == {"pkg/__init__.py": "pkg", "pkg/core.py": "pkg.core", "pkg/api.py": "pkg.api", "tests/test_api.py": "test_api", "broken.py": "broken"}
+    assert got == {"harbor/__init__.py": "harbor", "harbor/quay.py": "harbor.quay", "harbor/crane.py": "harbor.crane", "checks/tests/test_crane.py": "test_crane", "wreck.py": "wreck"}
 
 
 def test_parse(world):
     _, t = world
     symbols = {r.id: r for r in t["symbols"].collect()}
-    assert set(symbols) == {"pkg/core.py::pkg.core.Base", "pkg/core.py::pkg.core.Engine", "pkg/core.py::pkg.core.Engine.run", "pkg/core.py::pkg.core.fetch", "pkg/api.py::pkg.api.call", "tests/test_api.py::test_api.test_call"}
-    run = symbols["pkg/core.py::pkg.core.Engine.run"]
-    assert (run.kind, run.line, run.end_line, run.parent) == ("method", 9, 10, "pkg/core.py::pkg.core.Engine")
-    assert symbols["pkg/core.py::pkg.core.Engine"].bases == ["Base"]
+    defined = {"harbor/quay.py::harbor.quay.Berth", "harbor/quay.py::harbor.quay.LongBerth", "harbor/quay.py::harbor.quay.LongBerth.moor", "harbor/quay.py::harbor.quay.assign", "harbor/crane.py::harbor.crane.lift", TEST}
+    modules = {"harbor/__init__.py::harbor", "harbor/quay.py::harbor.quay", "harbor/crane.py::harbor.crane", "checks/tests/test_crane.py::test_crane"}
+    assert set(symbols) == defined | modules
+    moor = symbols["harbor/quay.py::harbor.quay.LongBerth.moor"]
+    assert (moor.kind, moor.line, moor.end_line, moor.parent) == ("method", 12, 13, "harbor/quay.py::harbor.quay.LongBerth")
+    assert symbols["harbor/quay.py::harbor.quay.LongBerth"].bases == ["Berth"]
+    top = symbols["harbor/__init__.py::harbor"]
+    assert (top.kind, top.name, top.parent, top.docstring, top.line) == ("module", "harbor", None, "Ships and berths.", 1)
+    assert all(symbols[i].parent in symbols for i in defined), "every parent has a row"
     guards = {(r.path, r.bound_name): r.guard for r in t["imports"].collect()}
-    assert guards["tests/test_api.py", "yaml"] == "try_import" and guards["pkg/core.py", "json"] is None
-    assert [r.path for r in t["errors"].collect()] == ["broken.py"]
+    assert guards["checks/tests/test_crane.py", "winch"] == "try_import" and guards["harbor/quay.py", "math"] is None
+    assert [r.path for r in t["errors"].collect()] == ["wreck.py"]
 
 
 def test_edges(world):
     files, t = world
     edges, unresolved = graph.build(files, t["symbols"], t["imports"], t["calls"])
     got = {(r.kind, r.source, r.target) for r in edges.collect()}
-    assert ("inherits", "pkg/core.py::pkg.core.Engine", "pkg/core.py::pkg.core.Base") in got
-    assert ("calls", "pkg/api.py::pkg.api.call", "pkg/core.py::pkg.core.fetch") in got, "through the re-export"
-    assert ("calls", "tests/test_api.py::test_api.test_call", "pkg/api.py::pkg.api.call") in got
-    assert ("imports", "pkg/core.py::pkg.core", "pkg/api.py::pkg.api") in got
-    assert ("contains", "pkg/core.py::pkg.core.Engine", "pkg/core.py::pkg.core.Engine.run") in got
+    assert ("inherits", "harbor/quay.py::harbor.quay.LongBerth", "harbor/quay.py::harbor.quay.Berth") in got
+    assert ("calls", "harbor/crane.py::harbor.crane.lift", "harbor/quay.py::harbor.quay.assign") in got, "through the re-export, under its other name"
+    assert ("calls", TEST, "harbor/crane.py::harbor.crane.lift") in got
+    assert ("imports", "harbor/quay.py::harbor.quay", "harbor/crane.py::harbor.crane") in got
+    assert ("contains", "harbor/quay.py::harbor.quay.LongBerth", "harbor/quay.py::harbor.quay.LongBerth.moor") in got
     reasons = {(r.kind, r.expression): r.reason for r in unresolved.collect()}
-    assert reasons["call", "len"] == "builtin" and reasons["call", "requests.get"] == "external_module" and reasons["call", "other.thing"] == "dynamic_or_local"
-    assert reasons["import", "json"] == "stdlib_module" and reasons["import", "requests"] == "external_module"
+    assert reasons["call", "max"] == "builtin" and reasons["call", "pulley.turn"] == "external_module" and reasons["call", "ghost.pull"] == "dynamic_or_local"
+    assert reasons["import", "math"] == "stdlib_module" and reasons["import", "pulley"] == "external_module"
 
 
 def test_match_rate_and_tampering(world, spark):
@@ -75,15 +81,33 @@ def test_waves_and_cycles(spark):
     nodes = spark.createDataFrame([(x,) for x in "abcdxy"], "node string")
     edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("c", "a"), ("x", "y"), ("y", "x"), ("d", "gone"), ("a", "a")], "source string, target string")
     assert {r.node: r.wave for r in graph.waves(nodes, edges).collect()} == {"a": 0, "d": 0, "b": 1, "c": 2, "x": 3, "y": 3}
-    assert {r.node for r in graph.on_cycle(spark, edges).collect()} == {"x", "y", "a"}
+    assert {r.node for r in graph.on_cycle(edges).collect()} == {"x", "y", "a"}
+
+
+def test_long_cycles_and_chains(spark):
+    """A ring of 100 with a tail in and out, and two rings joined by a bridge: only ring nodes wait for themselves."""
+    ring = [(f"r{i}", f"r{(i + 1) % 100}") for i in range(100)] + [("in", "r0"), ("r5", "out"), ("out", "end")]
+    two = [("a", "b"), ("b", "a"), ("b", "bridge"), ("bridge", "c"), ("c", "d"), ("d", "c")]
+    got = {r.node for r in graph.on_cycle(spark.createDataFrame(ring + two, "source string, target string")).collect()}
+    assert got == {f"r{i}" for i in range(100)} | set("abcd")
+    assert graph.on_cycle(spark.createDataFrame([("a", "b"), ("b", "c")], "source string, target string")).count() == 0
+
+
+def test_scope(world, spark):
+    files, t = world
+    edges, _ = graph.build(files, t["symbols"], t["imports"], t["calls"])
+    changed = spark.createDataFrame([("harbor/quay.py",)], "path string")
+    assert [tuple(r) for r in evidence.scope_files(edges, t["symbols"], changed).collect()] == [("harbor/quay.py", 0)]
+    assert [tuple(r) for r in evidence.scope_files(edges, t["symbols"], changed, callers=True).collect()] == [("harbor/quay.py", 0), ("harbor/__init__.py", 1), ("harbor/crane.py", 1)]
+    assert evidence.scope_files(edges, t["symbols"], changed, 1, True).count() == 1
 
 
 def test_facts(world):
     files, t = world
     got = {r.top: r for r in dependencies.import_facts(t["imports"], files).collect()}
-    assert (got["yaml"].kind, got["yaml"].bucket) == ("third_party", "optional")
-    assert (got["requests"].kind, got["requests"].bucket) == ("third_party", "runtime")
-    assert got["pkg"].kind == "internal" and got["json"].kind == "stdlib"
+    assert (got["winch"].kind, got["winch"].bucket) == ("third_party", "optional")
+    assert (got["pulley"].kind, got["pulley"].bucket) == ("third_party", "runtime")
+    assert got["harbor"].kind == "internal" and got["math"].kind == "stdlib"
 
 
 def test_innermost_equals_brute_force(spark):
@@ -100,13 +124,20 @@ def test_innermost_equals_brute_force(spark):
 
 def test_covered_symbols(world, spark):
     _, t = world
-    lines = spark.createDataFrame([("pkg/core.py", 9, "a"), ("pkg/core.py", 10, "a"), ("pkg/core.py", 10, "b"), ("pkg/core.py", 7, "a")], S.COVERAGE_LINES)
+    path = "harbor/quay.py"
+    lines = spark.createDataFrame([(path, 12, "a"), (path, 13, "a"), (path, 13, "b"), (path, 9, "a"), (path, 1, "a")], S.COVERAGE_LINES)
     got = {r.qualified_name: r for r in coverage.covered_symbols(lines, t["symbols"]).collect()}
-    run = got["pkg.core.Engine.run"]
-    assert (run.covered_lines, run.covering_tests, run.ratio, run.possible, run.ready, run.ceiling) == (2, ["a", "b"], 1.0, True, False, 3)
-    assert got["pkg.core.Engine"].covered_lines == 1 and got["pkg.core.fetch"].focus_score == 0.0
+    moor = got["harbor.quay.LongBerth.moor"]
+    assert (moor.covered_lines, moor.covering_tests, moor.ratio, moor.possible, moor.ready, moor.ceiling) == (2, ["a", "b"], 1.0, True, False, 3)
+    assert got["harbor.quay.LongBerth"].covered_lines == 1 and got["harbor.quay.assign"].focus_score == 0.0
     stats = coverage.coverage_statistics(coverage.covered_symbols(lines, t["symbols"])).first()
-    assert (stats.symbols, stats.covered, stats.tests_per_covered) == (6, 2, 1.5)
+    assert (stats.symbols, stats.covered, stats.tests_per_covered) == (6, 2, 1.5), "modules own no lines"
+
+
+def test_enclosing_credits_every_span(spark):
+    spans = spark.createDataFrame([("p", "outer", 1, 200), ("p", "inner", 50, 60), ("q", "other", 1, 9)], "path string, id string, line int, end_line int")
+    lines = spark.createDataFrame([("p", 55, "t"), ("p", 150, "t"), ("p", 201, "t")], S.COVERAGE_LINES)
+    assert sorted((r.line, r.symbol_id) for r in coverage.enclosing(lines, spans).collect()) == [(55, "inner"), (55, "outer"), (150, "outer")]
 
 
 def test_test_delta(spark):
@@ -129,3 +160,26 @@ def test_uncovered_targets(spark):
     got = lambda n: [r.id for r in coverage.uncovered_targets(covered, symbols, files, n).collect()]
     assert got(3) == ["p.a.f2", "p.b.g"], "nothing stands after the last module"
     assert got(2) == ["p.a.f2", "p.a.f1"], "the last slot takes any module"
+
+
+OTHER = {
+    ("a.rs", "rust"): "use std::fmt;\nuse crate::net::{Tcp, Udp};\n\npub async fn go(x: i32) -> i32 {\n    let s = \"}\";\n    x\n}\n\n#[test]\nfn checks() {\n    go(1);\n}\n",
+    ("b_test.go", "go"): 'package b\n\nimport "fmt"\n\nimport (\n\t"os"\n\tx "net/http"\n)\n\nfunc (t *T) Run() {\n\tfmt.Println("os")\n}\n\nfunc TestRun(t *testing.T) {\n}\n',
+    ("c.ts", "typescript"): "import { a } from './lib/util';\nimport 'side';\nconst q = require(\"q\");\nexport function f(x) {\n  return x;\n}\nconst g = async (y) => {\n  return y;\n};\nit('adds', () => {\n  f(1);\n});\n",
+    ("d.cpp", "cpp"): '#include <vector>\n#include "net/tcp.h"\nint add(int a, int b) {\n  if (a) { return b; }\n  return a;\n}\nint later(int a);\nTEST(Add, Works) {\n}\n',
+}
+
+
+def test_other_languages(spark):
+    files = spark.createDataFrame([(p, lang, c) for (p, lang), c in OTHER.items()], "path string, language string, content string")
+    rows = parse.parse_other(files).cache()
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r.path, []).append((r.kind, r.name, r.line, r.end_line, r.is_test))
+    assert got["a.rs"] == [("import", "std::fmt", 1, 1, False), ("import", "crate::net::{Tcp, Udp}", 2, 2, False), ("function", "go", 4, 7, False), ("function", "checks", 10, 12, True)]
+    assert got["b_test.go"] == [("import", "fmt", 3, 3, False), ("import", "os", 6, 6, False), ("import", "net/http", 7, 7, False), ("function", "Run", 10, 12, False), ("function", "TestRun", 14, 15, True)]
+    assert got["c.ts"] == [("import", "./lib/util", 1, 1, False), ("import", "side", 2, 2, False), ("import", "q", 3, 3, False), ("function", "f", 4, 6, False), ("function", "g", 7, 9, False), ("test", "adds", 10, 12, True)]
+    assert got["d.cpp"] == [("import", "vector", 1, 1, False), ("import", "net/tcp.h", 2, 2, False), ("function", "add", 3, 6, False), ("test", "Add, Works", 8, 9, True)]
+    owned = spark.createDataFrame([("src/lib/util.ts",), ("src/net.rs",), ("src/net/tcp.h",), ("old/net/tcp.h",), ("vector/x.h",)], "path string")
+    found = {(r.path, r.wanted): r.target for r in graph.suffix_import(parse.wanted_files(rows), owned).collect()}
+    assert found == {("c.ts", "lib/util"): "src/lib/util.ts", ("a.rs", "net"): "src/net.rs", ("d.cpp", "net/tcp"): "old/net/tcp.h"}
