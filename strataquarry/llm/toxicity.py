@@ -6,14 +6,17 @@ before, word after) it, or a prefix of it, has in toxic documents outweigh those
 documents, are counted, so that families of near copies do not vote many times. A two-state chain whose emissions sum the
 weights of the word and of its prefixes (so inflected and unseen words carry over) is fitted by gradient descent on exact
 forward-backward marginals; document features (largest marginal, sum of squared marginals, its density) are then
-calibrated against the labels by logistic regression.
+calibrated against the labels by logistic regression. Words side by side, of one chain, with a marginal of a half or more are
+one span, from the first to the last.
 
 Scoring is one map over the texts: chains are sentences (at most 256 words), all chains of a chunk run forward-backward
 together. Words are lower case, punctuation parts them; nothing but the text enters a score.
 
-Defined results: null or empty text has no words and gets the calibrated score of such; without labelled rows of both
-classes every score is 0 and nothing is predicted; a null doc_id is not held out; repeated rows are scored each; other
-columns are ignored; spans are code points, ends exclusive.
+Defined results: null or empty text has no words and gets the calibrated score of such; texts of any length are read whole; a
+score equal to the threshold is predicted toxic; without labelled rows of both classes every score is 0 and nothing is
+predicted; a null doc_id is not held out; repeated rows are scored each, repeated labels count once (toxic if one says so) and
+so do equal texts of an id; other columns, whatever their names, are ignored; an empty table gives an empty result; spans are
+code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -23,13 +26,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
 from .runtime import small_batches
 
 MAX_TRAIN = 3_000
+#: Bytes of sampled texts that reach the driver: an id whose texts would pass them is left out, as are those after it by hash.
+MAX_BYTES = 24 << 20
 THRESHOLD = 0.3
 BITS = 18
 LONGEST = 256
@@ -233,15 +238,37 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-2
     return beta
 
 
-def sample(documents: DataFrame, labels: DataFrame, max_train: int) -> tuple[list[str], np.ndarray]:
+def sample(documents: DataFrame, labels: DataFrame, max_train: int, max_bytes: int = MAX_BYTES) -> tuple[list[str], np.ndarray]:
     fold = F.crc32(F.col("id").cast("string")) % 4
     ids = labels.select(F.col("doc_id").alias("id"), "toxic").where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic")).where(fold != 2)
     ids = ids.orderBy(F.xxhash64("id"), "id").limit(max_train)
-    rows = documents.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("id", F.coalesce("text", F.lit("")).alias("text"), "toxic").distinct().toPandas()
+    rows = documents.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("id", F.coalesce("text", F.lit("")).alias("text"), "toxic").distinct()
+    # ids are bounded, but neither their texts nor the rows of one id, so the running size is too before anything is gathered
+    sizes = rows.groupBy("id").agg(F.sum(F.octet_length("text")).alias("size"))  # one row an id, of which there are at most max_train
+    some = sizes.withColumn("before", F.sum("size").over(Window.orderBy(F.xxhash64("id"), "id"))).where(F.col("before") <= max_bytes).select(F.col("id").alias("chosen"))
+    rows = rows.join(F.broadcast(some), F.col("id") == F.col("chosen")).drop("chosen").toPandas()
     rows = rows.sort_values(["id", "text"])
     return rows.text.tolist(), (rows.toxic == 1).to_numpy()
 
 
+def spans_of(p: np.ndarray, bounds: np.ndarray, w: W.Words, buf: np.ndarray) -> dict[int, str]:
+    """start:end of the runs of toxic words of each document that has some."""
+    hit = np.flatnonzero(p >= 0.5)
+    if not len(hit):
+        return {}
+    chain = np.searchsorted(bounds, hit, "right")
+    new = np.append(True, (hit[1:] != hit[:-1] + 1) | (chain[1:] != chain[:-1]))
+    begin = np.flatnonzero(new)
+    first, last = hit[begin], hit[np.append(begin[1:], len(hit)) - 1]
+    points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+    d = np.searchsorted(w.first, first, "right") - 1
+    a, b = points[w.starts[first]] - points[w.docs[d]], points[w.ends[last]] - points[w.docs[d]]
+    found: dict[int, list[str]] = {}
+    for i, x, y in zip(d.tolist(), a.tolist(), b.tolist(), strict=True):
+        found.setdefault(i, []).append(f"{x}:{y}")
+    return {i: ",".join(x) for i, x in found.items()}
+
+
 def score_toxicity(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted, spans of every row of documents(doc_id, text)."""
     small_batches(documents.sparkSession)
@@ -257,18 +284,11 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, max_train: int = MAX
                 if model:
                     fold = W.FOLD[buf]
                     w = W.split(fold, docs)
-                    p = _marginals(model, features(fold, w), chains(buf, w))
+                    bounds = chains(buf, w)
+                    p = _marginals(model, features(fold, w), bounds)
                     score = _sigmoid(doc_features(p, w.first) @ model.doc)
-                    hit = np.flatnonzero(p >= 0.5)
-                    if len(hit):
-                        points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-                        d = np.searchsorted(w.first, hit, "right") - 1
-                        a, b = points[w.starts[hit]] - points[docs[d]], points[w.ends[hit]] - points[docs[d]]
-                        found: dict[int, list[str]] = {}
-                        for i, x, y in zip(d.tolist(), a.tolist(), b.tolist(), strict=True):
-                            found.setdefault(i, []).append(f"{x}:{y}")
-                        for i, x in found.items():
-                            spans[i] = ",".join(x)
+                    for i, x in spans_of(p, bounds, w, buf).items():
+                        spans[i] = x
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(spans)], names=names)
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))

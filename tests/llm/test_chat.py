@@ -36,3 +36,12 @@ def test_hostile_conversation(spark):
     rows = chat.hostile(spark.createDataFrame([(1, 0, "user", "x")], SCHEMA))
     turns = {r.conv_id: r.turns for r in chat.format_conversations(rows).collect()}[-7]
     assert [(t.role, t.text) for t in turns] == [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]
+
+
+def test_very_long_texts_ties_and_clashing_columns(spark):
+    marks = "</s>[INST]" * 20_000
+    rows = [(1, 0, "user", marks, "x", "y"), (1, 0, "user", marks, "x", "y"), (1, 1, "assistant", "a" * 1_000_000, "x", "y"), (2, 0, None, "&lt; <s e> &", "x", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, source string, formatted string")
+    got = {r.conv_id: r for r in chat.format_conversations(df).collect()}
+    assert [(t.role, t.text) for t in got[1].turns] == [("user", marks), ("user", marks), ("assistant", "a" * 1_000_000)]
+    assert [(t.role, t.text) for t in got[2].turns] == [("", "&lt; <s e> &")]

@@ -78,3 +78,40 @@ def test_half_spoiled_documents_are_rejected(spark):
     verdicts = quality.quality_rules(df, labels).orderBy("doc_id").collect()
     assert not any(r.base_failed for r in verdicts)
     assert [r.kept for r in verdicts] == [True] * 120 + [False] * 20, [r.score for r in verdicts]
+
+
+def test_ties_long_texts_repeats_and_clashing_columns(spark):
+    long = "many plain words " * 100_000 + "z" * 500_000
+    data = [(1, long, 1, "t", 2.0), (1, long, 1, "t", 2.0), (2, "a b c d e f g h i j k", None, None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, total int, trusted string, score double")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    got = quality.quality_rules(df, none, threshold=0.0).collect()
+    assert [(r.doc_id, r.kept) for r in sorted(got, key=lambda r: r.doc_id)] == [(1, False), (1, False), (2, True)], "a score at the threshold stays"
+    assert [tuple(r) for r in quality.keep_good(df, none, threshold=0.0).collect()] == [data[2]]
+
+
+def test_score_equals_brute_force(spark):
+    """Mean log ratio of hashed unigrams and bigrams, counted by plain loops, and the verdict that follows."""
+    import math
+
+    import pyarrow as pa
+
+    from strataquarry.llm import words as W
+
+    rng = random.Random(9)
+    data = [(i, prose(rng, rng.randrange(8, 60), 50), "en", "s", 0) for i in range(40)] + [(99, None, "en", "s", 0)]
+    trusted = {i for i in range(0, 40, 3)}
+    grams = {}
+    for i, t, *_ in data:
+        w = W.split(*W.buffers(pa.array([t])))
+        grams[i] = [h % quality.LEAST_BUCKETS for h in quality.features(w)[1].tolist()]
+    raw, target = Counter(x for g in grams.values() for x in g), Counter(x for i in trusted for x in grams[i])
+    share, k = sum(target.values()) / sum(raw.values()), quality.SMOOTHING
+    n = sum(raw.values())
+    shift = math.log((n - len(raw) + k * quality.LEAST_BUCKETS) / (n + k * quality.LEAST_BUCKETS))
+    ratio = lambda x: math.log(target[x] / share + k) - math.log(max(raw[x] - 1, 0) + k)
+    out = quality.quality_rules(spark.createDataFrame(data, DOCS).repartition(3), spark.createDataFrame([(i, 1) for i in trusted], "doc_id long, quality int"), threshold=0.01).collect()
+    for r in out:
+        want = sum(map(ratio, grams[r.doc_id])) / len(grams[r.doc_id]) + shift if grams[r.doc_id] else 0.0
+        assert abs(r.score - want) < 2e-3
+        assert r.kept == (not r.base_failed and r.score >= 0.01)

@@ -50,7 +50,7 @@ def test_held_out_accuracy_and_spans(spark):
     assert all(out[i].held_out == (i in held) for i in out)
     assert all(out[i].predicted == dict(labels)[i] for i in held)
     for i in held:
-        words = {data[i][1][int(a) : int(b)] for a, b in (s.split(":") for s in out[i].spans.split(",") if s)}
+        words = {x for a, b in (s.split(":") for s in out[i].spans.split(",") if s) for x in data[i][1][int(a) : int(b)].replace("!", "").split()}
         assert words == {w.rstrip("!") for w in data[i][1].split() if w in ("zounds", "Blast!", "drat")}
 
 
@@ -69,3 +69,34 @@ def test_edges(spark):
     none = toxicity.score_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {(r.score, r.predicted) for r in none.collect()} == {(0.0, 0)}
     assert toxicity.score_toxicity(docs.where("false"), spark.createDataFrame(labels, "doc_id long, toxic int")).count() == 0
+
+
+def test_words_side_by_side_are_one_span():
+    text = "éa bad worse, fine. bad Bad! bad"
+    buf, docs = toxicity.W.buffers(toxicity.pa.array([text, "bad", ""]))
+    w = toxicity.W.split(toxicity.W.FOLD[buf], docs)
+    names = [toxicity.W.FOLD[buf][a:b].tobytes() for a, b in zip(w.starts, w.ends)]
+    p = np.array([0.9 if n in (b"bad", b"worse") else 0.1 for n in names])
+    got = toxicity.spans_of(p, toxicity.chains(buf, w), w, buf)
+    cut = [text[int(a) : int(b)] for a, b in (x.split(":") for x in got[0].split(","))]
+    assert cut == ["bad worse", "bad Bad", "bad"] and got[1] == "0:3" and 2 not in got
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    data = [(i, "w " * (50 + i)) for i in range(40)] + [(7, f"other text {j}") for j in range(30)] + [(1, "x" * 5_000_000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    texts, toxic = toxicity.sample(df, labels, 30, 4_000)
+    assert 0 < sum(map(len, texts)) <= 4_000 and len(texts) == len(toxic)
+    assert len(toxicity.sample(df, labels, 30)[0]) >= 22
+
+
+def test_repeats_ties_long_texts_and_clashing_columns(spark):
+    data, labels = planted(100)
+    long = "fine words here. " * 60_000 + "zounds " * 3 + "x" * 1_000_000
+    rows = [(*r, 1, "s", 2) for r in data] + [(*data[0], 1, "s", 2), (900, long, 1, "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id int, toxic string, score int")
+    out = toxicity.score_toxicity(docs, spark.createDataFrame([*labels, *labels[:5], (0, 0)], "doc_id long, toxic int")).collect()
+    assert len(out) == 102 and len({(r.score, r.spans) for r in out if r.doc_id == 0}) == 1
+    assert all((r.score >= toxicity.THRESHOLD) == bool(r.predicted) for r in out)
+    assert "1020000:1020020" in next(r.spans for r in out if r.doc_id == 900)
