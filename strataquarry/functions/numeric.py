@@ -68,20 +68,21 @@ def tier_of(value: Column, low: Column, high: Column) -> Column:
 
 
 def with_rank(df: DataFrame, keys: list[str], order: list[Column], out: str = "rank", total: str | None = None) -> DataFrame:
-    """Position from 1 in each group, and the group's size. Without keys the whole table is sorted in ranges: every
-    range numbers its own rows and adds the sizes of the ranges before it, so no task ever holds all rows."""
-    if keys:
-        w = Window.partitionBy(*keys)
-        ranked = df.withColumn(out, F.row_number().over(w.orderBy(*order)).cast("long"))
-        return ranked.withColumn(total, F.count(F.lit(1)).over(w)) if total else ranked
+    """Position from 1 in each group, and the group's size. The whole table is sorted in ranges of keys and order: every range
+    numbers its own rows and adds what earlier ranges hold of the same group, so no task ever holds a whole hot group."""
     at = F.monotonically_increasing_id()
-    rows = cut(df.orderBy(*order).withColumn("_range", F.shiftright(at, 33)).withColumn("_at", at - F.shiftleft(F.shiftright(at, 33), 33)))
-    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    sizes = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    ranked = rows.join(F.broadcast(sizes), "_range").withColumn(out, F.col("_before") + F.col("_at") + 1)
+    rows = cut(df.orderBy(*keys, *order).withColumn("_range", F.shiftright(at, 33)).withColumn("_at", at - F.shiftleft(F.shiftright(at, 33), 33)))
+    sizes = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a group and range
+    own = [f"_key_{i}" for i in range(len(keys))]
+    sizes = sizes.select(*(F.col(k).alias(o) for k, o in zip(keys, own, strict=True)), F.col("_range").alias("_in"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(group).alias("_all"))
+    same = F.col("_range") == F.col("_in")
+    for k, o in zip(keys, own, strict=True):
+        same &= F.col(k).eqNullSafe(F.col(o))
+    ranked = rows.join(sizes if keys else F.broadcast(sizes), same).withColumn(out, F.col("_before") + F.col("_at") - F.col("_first") + 1)
     ranked = ranked.withColumn(total, F.col("_all")) if total else ranked
-    return ranked.drop("_range", "_at", "_before", "_all")
+    return ranked.drop("_range", "_at", "_before", "_all", "_in", "_first", *own)
 
 
 def equal_thirds(df: DataFrame, keys: list[str], order: list[Column], out: str = "tier") -> DataFrame:

@@ -18,6 +18,7 @@ from ..functions.lineage import cut
 BUILTINS = tuple(sorted(n for n in dir(builtins) if not n.startswith("_")))
 STDLIB = tuple(sorted(sys.stdlib_module_names))
 MAX_HOPS = 6
+SPLIT = 64
 EDGE_KEY = ["kind", "source", "target", "path", "line", "expression"]
 
 
@@ -139,9 +140,13 @@ def impact(edges: DataFrame, symbols: DataFrame, changed: DataFrame, most: int =
     refs = edges.where("kind <> 'contains'").join(owner.select(F.col("id").alias("target"), F.col("owner").alias("target_path")), "target").join(owner.select(F.col("id").alias("source"), F.col("owner").alias("source_path")), "source")
     refs = refs.join(c.select(F.col("path").alias("target_path")), "target_path", "left_semi").join(c.select(F.col("path").alias("source_path")), "source_path", "left_anti")
     anchored = refs.withColumn("anchor", F.concat_ws(":", "path", "line"))
-    by = Window.partitionBy("target_path")
-    ranked = anchored.withColumn("rank", F.row_number().over(by.orderBy("anchor", "source", "kind", "expression"))).withColumn("total", F.count(F.lit(1)).over(by))
-    return ranked.where(F.col("rank") <= most).select("target_path", F.col("source").alias("caller"), "kind", "anchor", "expression", "rank", "total", (F.col("total") > most).alias("truncated"))
+    # a target that everything calls is cut to `most` in each of SPLIT parts before its parts meet; the total is a combinable count
+    order = ["anchor", "source", "kind", "expression"]
+    part = Window.partitionBy("target_path", "_part").orderBy(*order)
+    heads = anchored.withColumn("_part", F.pmod(F.xxhash64("anchor", "source"), F.lit(SPLIT))).withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= most)
+    total = anchored.groupBy("target_path").agg(F.count(F.lit(1)).alias("total"))
+    ranked = heads.withColumn("rank", F.row_number().over(Window.partitionBy("target_path").orderBy(*order))).where(F.col("rank") <= most).join(total, "target_path")
+    return ranked.select("target_path", F.col("source").alias("caller"), "kind", "anchor", "expression", "rank", "total", (F.col("total") > most).alias("truncated"))
 
 
 def waves(nodes: DataFrame, edges: DataFrame) -> DataFrame:

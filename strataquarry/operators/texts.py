@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lineage import cut
 
 NGRAM = 5
+#: Rows that a join may broadcast: token runs of this number take some tens of megabytes.
+FEW = 200_000
 # How an added line defines a name.
 DEFINED = r"^(?:async[ \t]+)?(?:def|class)[ \t]+([A-Za-z_][A-Za-z0-9_]*)"
 ASSIGNED = r"^([A-Za-z_][A-Za-z0-9_]*)[ \t]*(?::[^=]+)?=[^=]"
@@ -30,11 +33,14 @@ def spans_of(df: DataFrame, keys: list[str], text: Column, n: int = NGRAM) -> Da
 def overlap(left: DataFrame, right: DataFrame, key: str, other: str, n: int = NGRAM, known: DataFrame | None = None) -> DataFrame:
     """(key, other, spans): distinct token runs that a left and a right text share and `known` texts lack.
 
-    An equi-join on the run: the left side's runs are only made distinct where they meet the right side.
+    An equi-join on the run: the left side's runs are only made distinct where they meet the right side. The right side's runs
+    are written and counted first; up to FEW of them travel to the left side's tasks, so that its runs are never shuffled.
     """
     b = spans_of(right, [other], F.col("text"), n).select(other, "span").distinct()
     if known is not None:
         b = b.join(spans_of(known, [], F.col("text"), n).select("span").distinct(), "span", "left_anti")
+    b = cut(b)
+    b = F.broadcast(b) if b.limit(FEW + 1).count() <= FEW else b.hint("merge")
     return spans_of(left, [key], F.col("text"), n).select(key, "span").join(b, "span").groupBy(key, other).agg(F.count_distinct("span").alias("spans"))
 
 

@@ -11,9 +11,6 @@ from .tables import Catalogue, Tables
 Q = Catalogue()
 
 
-SIGNATURE = r"left(regexp_replace(regexp_replace(regexp_replace(split_part(trim({0}), chr(10), 1), '0x[0-9a-fA-F]+', '0xADDR', 'g'), '(?:/[A-Za-z0-9_.-]+)+/', '<path>/', 'g'), 'line [0-9]+', 'line N', 'g'), 200)"
-
-
 @Q.add("""WITH f AS (SELECT doc_id, length(trim(text)) < 120 AS a, length(text) > 5000 AS b, regexp_matches(trim(split_part(text, chr(10), 1)), '(?i)^(?:stable|main|master|merge\\b|sync\\b|release\\b|move to src\\b)') AS c, length(text) - length(replace(text, '[', '')) <> length(text) - length(replace(text, ']', '')) AS d, regexp_matches(text, '(?i)\\b(?:TODO|TBD|describe-only constraint)\\b') AS e FROM documents)
 SELECT doc_id, concat_ws(',', CASE WHEN a THEN 'too_short' END, CASE WHEN b THEN 'too_long' END, CASE WHEN c THEN 'generic_title' END, CASE WHEN d THEN 'broken_markdown' END, CASE WHEN e THEN 'template_placeholder' END) AS flags FROM f""")
 def q51_text_flags(t: Tables):
