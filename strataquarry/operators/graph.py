@@ -124,6 +124,16 @@ def build(files: DataFrame, symbols: DataFrame, imports: DataFrame, calls: DataF
     return contains_edges(symbols).unionByName(i).unionByName(h).unionByName(c), iu.unionByName(hu).unionByName(cu)
 
 
+def shared_members(rows: DataFrame, member: str, group: str, one: str, other: str) -> DataFrame:
+    """Members that stand in both of two groups, as tests that reach both of two modules. One aggregate instead of a self-join."""
+    return rows.where(F.col(group).isin(one, other)).groupBy(member).agg(F.count_distinct(group).alias("_n")).where("_n = 2").select(member)
+
+
+def known_only(rows: DataFrame, key: str, known: DataFrame, other: str) -> DataFrame:
+    """Rows whose key is one of the known ids, as coverage of symbols that exist."""
+    return rows.join(known.select(F.col(other).alias(key)).distinct(), key, "left_semi").select(*rows.columns)
+
+
 def match_rate(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """matched, only_left, only_right, rate of two key sets; two empty sets match at 1. One shuffle for all four."""
     tagged = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))

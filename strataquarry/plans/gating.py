@@ -25,15 +25,17 @@ def _runs(t: Tables):
     return k.where("early").drop("early"), k.where("not early").drop("early")
 
 
-JUNIT = """<testsuite><testcase classname="t.a" name="ok"/><testcase classname="t.a" name="bad"><failure message="assert 1 == 2">E   assert 1 == 2</failure></testcase>
-<testcase classname="t.a" name="key"><failure message="KeyError: 'x'">pkg/core.py:3: in run</failure></testcase><testcase classname="t.b" name="ext"><failure message="TypeError: no">/usr/lib/python3/x.py:9: in f</failure></testcase>
-<testcase classname="" name="t.c"><error message="ImportError: m">trace</error></testcase><testcase classname="t.b" name="skip"><skipped message="later"/></testcase></testsuite>"""
-
-
-@Q.add("SELECT * FROM (VALUES ('t.a::ok', 'passed', 'passed', ''), ('t.a::bad', 'failed', 'assertion', 'assert 1 == 2'), ('t.a::key', 'failed', 'behavioral_exception', 'KeyError: ''x'''), ('t.b::ext', 'failed', 'infrastructure', 'TypeError: no'), ('t.c', 'failed', 'infrastructure', 'ImportError: m'), ('t.b::skip', 'skipped', 'skipped', '')) AS v(test_id, status, failure_class, signature)")
+@Q.add("""SELECT user_id, CASE WHEN event_type = 'signup' THEN 'n' || event_id ELSE 't.c' || user_id || '::n' || event_id END AS test_id, CASE event_type WHEN 'view' THEN 'passed' WHEN 'click' THEN 'skipped' ELSE 'failed' END AS status, CASE event_type WHEN 'view' THEN 'passed' WHEN 'click' THEN 'skipped' WHEN 'signup' THEN 'infrastructure' WHEN 'purchase' THEN 'assertion' ELSE CASE WHEN value > 40 THEN 'behavioral_exception' ELSE 'infrastructure' END END AS failure_class,
+CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN '' WHEN 'signup' THEN 'ImportError: m' WHEN 'purchase' THEN 'assert 1 == ' || user_id ELSE 'KeyError: ''x'' at line N' END AS signature, event_type <> 'signup' AS collected FROM events""")
 def q44_junit_rows(t: Tables):
-    xml = t.spark.range(1).select(F.lit("run").alias("run"), F.lit(JUNIT).alias("xml"))
-    return reports.junit_cases(xml).select("test_id", "status", "failure_class", "signature")
+    """One report a user, one case an event: passed, skipped, asserting, failing in the repository or elsewhere, or not collected."""
+    e, u, name = F.col("event_type"), F.col("user_id").cast("string"), F.concat(F.lit(' name="n'), F.col("event_id").cast("string"), F.lit('"'))
+    case = F.concat(F.lit('<testcase classname="'), F.when(e == "signup", "").otherwise(F.concat(F.lit("t.c"), u)), F.lit('"'), name)
+    frame = F.when(F.col("value") > 40, "pkg/core.py:3: in run").otherwise("/usr/lib/python3/x.py:9: in f")
+    body = F.when(e == "view", "/>").when(e == "click", '><skipped message="later"/></testcase>').when(e == "signup", '><error message="ImportError: m">trace</error></testcase>')
+    body = body.when(e == "purchase", F.concat(F.lit('><failure message="assert 1 == '), u, F.lit('">E   assert 1 == '), u, F.lit("</failure></testcase>"))).otherwise(F.concat(F.lit("><failure message=\"KeyError: 'x' at line 7\">"), frame, F.lit("</failure></testcase>")))
+    xml = F.concat(F.lit("<testsuite>"), F.array_join(F.collect_list(F.concat(case, body)), "\n"), F.lit("</testsuite>"))
+    return reports.junit_cases(t.events.groupBy("user_id").agg(xml.alias("xml")).withColumnRenamed("user_id", "run")).withColumnRenamed("run", "user_id")
 
 
 @Q.add("""WITH m AS (SELECT user_id, CASE event_type WHEN 'error' THEN 'ImportError: no module' WHEN 'view' THEN 'assert x == y' WHEN 'click' THEN 'KeyError: k' WHEN 'signup' THEN 'ValueError: v' ELSE 'AssertionError' END AS message, CASE WHEN value > 50 THEN 'pkg/core.py:3: in run' WHEN value > 20 THEN '/usr/lib/python3/a.py:1: in f' ELSE '' END AS trace FROM events)
@@ -97,14 +99,13 @@ def q62_name_audit(t: Tables):
     return left.select(F.lit("only_left").alias("side"), "name").unionByName(right.select(F.lit("only_right").alias("side"), "name"))
 
 
-LOCK = "alpha==1.2\\n    # via beta\\nbeta==2.0 \\\\\\n    --hash=sha256:00\\n# note==1\\n-e .==x\\ngamma\\nalpha==1.3"
-
-
-@Q.add("SELECT * FROM (VALUES ('alpha', '1.3'), ('beta', '2.0')) AS v(name, version)")
+@Q.add("SELECT replace(p_name, ' ', '-') AS name, arg_max(p_size, p_partkey)::VARCHAR AS version FROM part WHERE p_partkey % 5 IN (0, 2) GROUP BY 1")
 def q63_lock_lines(t: Tables):
-    text = LOCK.encode().decode("unicode_escape")
-    lines = t.spark.range(1).select(F.posexplode(F.split(F.lit(text), "\n")).alias("ordinal", "value"))
-    return manifests.locked_packages(lines)
+    """The part table as one lock file: plain and continued pins, indented origins, comments, options. The last pin of a name wins."""
+    pin = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("=="), F.col("p_size").cast("string"))
+    k = F.col("p_partkey") % 5
+    line = F.when(k == 0, pin).when(k == 1, F.concat(F.lit("    # via "), pin)).when(k == 2, F.concat(pin, F.lit(" \\"))).when(k == 3, F.concat(F.lit("# "), pin)).otherwise(F.concat(F.lit("-e "), pin))
+    return manifests.locked_packages(t.part.select(F.col("p_partkey").alias("ordinal"), line.alias("value")))
 
 
 @Q.add("""WITH s AS (SELECT user_id, event_type, (CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END) AS priority, count(*) AS units, event_type = 'click' AS required FROM events GROUP BY ALL), w AS (SELECT *, least(units, 20) AS want FROM s), d AS (SELECT *, coalesce(sum(CASE WHEN required THEN 0 ELSE want END) OVER (PARTITION BY user_id ORDER BY priority ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM w)

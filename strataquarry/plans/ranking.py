@@ -99,15 +99,19 @@ def _pool(t: Tables):
     return t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").alias("region"), F.format_string("s%09d", "s_suppkey").alias("task_id"), source.alias("source"), F.col("n_name").alias("group"), (F.col("s_acctbal") / 10000).alias("score"))
 
 
-@Q.add(None)
+@Q.add("""WITH RECURSIVE p AS (SELECT n_regionkey AS region, 's' || lpad(s_suppkey::VARCHAR, 9, '0') AS task_id, (['history', 'excision', 'net_new'])[s_suppkey % 3 + 1] AS source, n_name AS g, s_acctbal / 10000 AS score FROM supplier JOIN nation ON s_nationkey = n_nationkey), h AS (SELECT region, least(4, count(*) FILTER (WHERE source = 'history')) AS floor FROM p GROUP BY 1),
+s(region, n, ids, gs, sources) AS (SELECT region, 0, []::VARCHAR[], []::VARCHAR[], []::VARCHAR[] FROM h UNION ALL
+SELECT region, n + 1, list_append(ids, b.task_id), list_append(gs, b.g), list_append(sources, b.source) FROM (SELECT s.region, s.n, s.ids, s.gs, s.sources, max_by({'task_id': p.task_id, 'g': p.g, 'source': p.source}, {'v': p.score - 0.35::DOUBLE * len(list_filter(s.gs, lambda x : x = p.g)), 'id': p.task_id}) AS b
+FROM s JOIN h ON h.region = s.region JOIN p ON p.region = s.region WHERE s.n < 10 AND NOT list_contains(s.ids, p.task_id) AND len(list_filter(s.sources, lambda x : x = p.source)) < CASE p.source WHEN 'excision' THEN 4 WHEN 'net_new' THEN 3 ELSE 10 END AND (p.source = 'history' OR len(list_filter(s.sources, lambda x : x = 'history')) >= h.floor) GROUP BY s.region, s.n, s.ids, s.gs, s.sources) AS k),
+f AS (SELECT region, max_by(ids, n) AS ids FROM s GROUP BY 1) SELECT f.region, ids[i] AS task_id, i - 1 AS position, CASE WHEN i <= h.floor THEN 'minimum_history' ELSE 'ranked' END AS reason FROM f JOIN h USING (region), LATERAL (SELECT unnest(range(1, len(ids) + 1)) AS i) AS l""")
 def q41_quota_greedy(t: Tables):
-    return rank.select_quota(_pool(t), ["region"])
+    return rank.select_quota(_pool(t), ["region"]).select("region", "task_id", F.col("position").cast("long").alias("position"), "reason")
 
 
-@Q.add("""WITH p AS (SELECT n_regionkey AS region, (['history', 'excision', 'net_new'])[s_suppkey % 3 + 1] AS source, n_name AS g FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 9000), s AS (SELECT region, count(*) AS n, count(DISTINCT g) AS g, count(*) FILTER (WHERE source = 'history') AS h, count(*) FILTER (WHERE source = 'excision') AS e, count(*) FILTER (WHERE source = 'net_new') AS w FROM p GROUP BY 1)
-SELECT region, 'total' AS rule, n AS have, 10::BIGINT AS need FROM s WHERE n < 10 UNION ALL SELECT region, 'modules', g, 4 FROM s WHERE g < 4 UNION ALL SELECT region, 'minimum_history', h, 4 FROM s WHERE h < 4 UNION ALL SELECT region, 'maximum_excision', e, 4 FROM s WHERE e > 4 UNION ALL SELECT region, 'maximum_net_new', w, 3 FROM s WHERE w > 3""")
+@Q.add("""WITH p AS (SELECT n_regionkey AS region, s_suppkey % 4 AS part, (['history', 'excision', 'net_new'])[s_suppkey % 3 + 1] AS source, n_name AS g FROM supplier JOIN nation ON s_nationkey = n_nationkey), s AS (SELECT region, part, count(*) AS n, count(DISTINCT g) AS g, count(*) FILTER (WHERE source = 'history') AS h, count(*) FILTER (WHERE source = 'excision') AS e, count(*) FILTER (WHERE source = 'net_new') AS w FROM p GROUP BY ALL)
+SELECT region, part, 'total' AS rule, n AS have, 10::BIGINT AS need FROM s WHERE n < 10 UNION ALL SELECT region, part, 'modules', g, 4 FROM s WHERE g < 4 UNION ALL SELECT region, part, 'minimum_history', h, 4 FROM s WHERE h < 4 UNION ALL SELECT region, part, 'maximum_excision', e, 4 FROM s WHERE e > 4 UNION ALL SELECT region, part, 'maximum_net_new', w, 3 FROM s WHERE w > 3""")
 def q42_shortfalls(t: Tables):
-    return rank.shortfalls(_pool(t).where("score > 0.9"), ["region"])
+    return rank.shortfalls(_pool(t).withColumn("part", F.substring("task_id", 2, 9).cast("long") % 4), ["region", "part"])
 
 
 @Q.add("""WITH r AS (SELECT *, event_type = 'purchase' AND value > 60 AS ok FROM events), n AS (SELECT *, CASE WHEN ok AND row_number() OVER (PARTITION BY user_id % 10, user_id ORDER BY (NOT ok)::INT, event_id) = 1 THEN 1 ELSE 0 END AS fresh FROM r), w AS (SELECT user_id % 10 AS pool, event_id, (count(*) FILTER (WHERE ok) OVER o >= 5 AND sum(fresh) OVER o >= 3)::INT AS done FROM n WINDOW o AS (PARTITION BY user_id % 10 ORDER BY event_id ROWS UNBOUNDED PRECEDING)), p AS (SELECT *, sum(done) OVER (PARTITION BY pool ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS past FROM w)

@@ -30,8 +30,7 @@ def q03_bridge_matrix(t: Tables):
 
 @Q.add("SELECT DISTINCT a.o_custkey FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey WHERE a.o_orderpriority = '1-URGENT' AND b.o_orderpriority = '5-LOW'")
 def q04_shared_members(t: Tables):
-    pair = t.orders.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
-    return pair.groupBy("o_custkey").agg(F.count_distinct("o_orderpriority").alias("n")).where("n = 2").select("o_custkey")
+    return graph.shared_members(t.orders, "o_custkey", "o_orderpriority", "1-URGENT", "5-LOW")
 
 
 @Q.add("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_partkey = 7 AND l_returnflag <> 'N' ORDER BY l_orderkey, l_linenumber")
@@ -42,7 +41,7 @@ def q05_filtered_lookup(t: Tables):
 @Q.add("SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey = 1) GROUP BY 1")
 def q06_semi_known(t: Tables):
     known = t.supplier.join(t.nation.where("n_regionkey = 1"), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
-    return t.lineitem.join(known, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    return graph.known_only(t.lineitem, "l_suppkey", known, "s_suppkey").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
 @Q.add("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
@@ -50,10 +49,10 @@ def q07_upsert_last_wins(t: Tables):
     return sinks.last_wins(t.events.select("user_id", "event_type", "event_id", "value", "ts"), ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
 
 
-@Q.add("SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
+@Q.add("SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
 def q08_insert_ignore(t: Tables):
     rows = t.documents.select("doc_id", F.sha2("text", 256).alias("text_sha"))
-    return sinks.first_wins(rows, ["text_sha"], ["doc_id"]).join(rows.groupBy("text_sha").agg(F.count(F.lit(1)).alias("copies")), "text_sha").select("doc_id", "copies")
+    return sinks.first_wins(rows, ["text_sha"], ["doc_id"]).select("doc_id")
 
 
 @Q.add("SELECT 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'customers_ordering', count(DISTINCT o_custkey) FROM orders UNION ALL SELECT 'users', count(DISTINCT user_id) FROM events")

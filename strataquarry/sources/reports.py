@@ -52,7 +52,7 @@ def junit_cases(reports: DataFrame) -> DataFrame:
         F.when(failed, "failed").when(skipped, SKIPPED).otherwise(PASSED).alias("status"),
         F.when(failed, failure_class(tag, message, trace)).when(skipped, SKIPPED).otherwise(PASSED).alias("failure_class"),
         F.when(failed, T.signature(message)).otherwise("").alias("signature"),
-        ~((tag == "error") & failed & (class_name == "")).alias("collected"),
+        (~((tag == "error") & failed & (class_name == ""))).alias("collected"),
     )
 
 

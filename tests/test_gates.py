@@ -115,6 +115,50 @@ def test_quota_selection(spark):
     assert rank.shortfalls(spark.createDataFrame([(r.repo, r.source, r.group) for r in got], "repo string, source string, `group` string"), ["repo"]).count() == 0
 
 
+def by_plain_loops(tasks, total=10, floors=4, caps=(("excision", 4), ("net_new", 3)), least=4, penalty=0.35):
+    """What a selection must hold, one candidate at a time over the whole pool."""
+    caps, taken = dict(caps), []
+    have = lambda k, v: [t for t in taken if t[k] == v]
+    while len(taken) < total:
+        short = len(have("source", "history")) < floors
+        pool = [t for t in tasks if t not in taken and len(have("source", t["source"])) < caps.get(t["source"], total)]
+        first = [t for t in pool if t["source"] == "history"] if short else []
+        if not (first or pool):
+            break
+        taken.append(max(first or pool, key=lambda t: (t["score"] - penalty * len(have("group", t["group"])), t["task_id"])))
+    left = [t for t in tasks if t not in taken]
+    while len(seen := {m for t in taken for m in t["modules"]}) < least:
+        news = sorted((t for t in left if set(t["modules"]) - seen), key=lambda t: (-t["score"], t["task_id"]))
+        outs = sorted((t for t in taken if news and t["source"] == news[0]["source"] and len(have("group", t["group"])) > 1), key=lambda t: t["task_id"])
+        if not outs:
+            break
+        taken.remove(outs[0])
+        taken.append(news[0])
+        left.remove(news[0])
+    return [t["task_id"] for t in taken]
+
+
+def test_selection_with_module_sets_equals_plain_loops(spark):
+    """Pools in which few groups lead, so that floors of modules must be repaired; the shortlist loses nothing."""
+    rows, want = [], {}
+    for seed in range(12):
+        rng = random.Random(seed)
+        tasks = []
+        for i in range(rng.randrange(3, 60)):
+            group = rng.choice(["core"] * 6 + ["api", "cli", "net", "db"][: 1 + seed % 4])
+            more = rng.sample(["core", "api", "cli", "net", "db", "ui"], rng.randrange(3)) if rng.random() < 0.3 else []
+            tasks.append({"task_id": f"{seed}-{i:03}", "source": rng.choice(["history", "excision", "net_new"]), "group": group, "score": round(rng.random() * (1 if group == "core" else 0.4), 2), "modules": sorted({group, *more})})
+        want[seed] = by_plain_loops(tasks)
+        assert [t["task_id"] for t in rank.choose(tasks)] == want[seed]
+        rows += [(seed, t["task_id"], t["source"], t["group"], t["score"], t["modules"]) for t in tasks]
+    df = spark.createDataFrame(rows, "repo int, task_id string, source string, `group` string, score double, modules array<string>")
+    got = {}
+    for r in rank.select_quota(df, ["repo"]).orderBy("repo", "position").collect():
+        got.setdefault(r.repo, []).append(r.task_id)
+    assert got == want
+    assert any("diversity_repair" == r.reason for r in rank.select_quota(df, ["repo"]).collect())
+
+
 def test_core_heavy_pool_is_spread():
     tasks = [{"task_id": f"core-{i}", "source": "history", "group": "core", "score": 0.9 - i / 100} for i in range(10)] + [{"task_id": "a", "source": "history", "group": "x", "score": 0.2}, {"task_id": "b", "source": "history", "group": "y", "score": 0.1}]
     chosen = rank.choose(tasks)
