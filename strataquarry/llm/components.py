@@ -26,4 +26,6 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    out._cut = e._cut
+    return out

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .runtime import cut, release, small_batches, splittable, text_key, unused
+from .runtime import cut, forget, release, small_batches, splittable, text_key, unused
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP, TOLERANCE = 24, 5, 24, 1e-5
@@ -293,14 +293,18 @@ def near_links(documents: DataFrame, classes: DataFrame, threshold: float = THRE
     met = banded.join(full, "band").join(classes.select("key", "sig"), "key")
     edges = block_pairs(met, "band", "blocks").mapInArrow(_candidates(threshold, tolerance), "a binary, b binary").distinct()
     groups = components(edges)
+    forget(full)
     release(documents.sparkSession)
     member = groups.join(classes.select("key", "rep", "copies", "n_shingles", "sig"), groups.node == F.col("key")).drop("node")
     size = member.groupBy("label").agg(F.greatest(F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / (2 * BLOCK_ROWS))).cast("int").alias("blocks"))
     member = cut(splittable(member, size, ["label"]))
+    forget(groups)
     texts = documents.select(text_key().alias("k"), F.col("doc_id").cast("long").alias("d"), "text")
     chosen = texts.join(member, (F.col("k") == F.col("key")) & F.col("d").eqNullSafe(F.col("rep"))).select("label", "blocks", "key", "copies", "sig", "text")
     sets = chosen.mapInArrow(_shingle_sets(k), "label binary, blocks int, key binary, copies long, sig binary, shingles binary").dropDuplicates(["key"])
-    return cut(block_pairs(sets, "label", "blocks").mapInArrow(_verify(threshold, tolerance), "key binary, root binary, links long"))
+    found = cut(block_pairs(sets, "label", "blocks").mapInArrow(_verify(threshold, tolerance), "key binary, root binary, links long"))
+    forget(member)
+    return found
 
 
 def near_classes(documents: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, tolerance: float = TOLERANCE) -> DataFrame:
@@ -314,7 +318,9 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD, k: int = SH
     out = classes.select("key", "rep", "copies").join(links, "key", "left").join(label, F.col("key") == F.col("node"), "left")
     out = out.select("key", "rep", "copies", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("links"), F.coalesce("label", "key").alias("label"))
     least = out.groupBy("label").agg(F.min("rep").alias("class_id"))
-    return cut(splittable(out, least, ["label"]).select("key", "rep", "copies", "links", "class_id"))
+    out = cut(splittable(out, least, ["label"]).select("key", "rep", "copies", "links", "class_id"))
+    forget(classes, found, label)
+    return out
 
 
 def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, tolerance: float = TOLERANCE) -> DataFrame:

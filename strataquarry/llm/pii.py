@@ -219,7 +219,10 @@ def induce(found: DataFrame, rounds: int = 3, min_seeds: int = 5, min_score: flo
         known = splittable(edges, score.hint("merge"), ["value"]).groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), sure.alias("sure")).where(F.col("sure") >= min_seeds)
         confident = known.join(total.hint("merge"), "pattern").select("pattern", "kind", (F.col("sum") / (F.col("n") + smoothing)).alias("score"))
         lifted = splittable(edges, confident.hint("merge"), ["pattern"]).select("value", "kind", "score")
-        score = cut(lifted.unionByName(seeds.withColumn("score", F.lit(1.0))).groupBy("value", "kind").agg(F.max("score").alias("score")))
+        last, score = score, cut(lifted.unionByName(seeds.withColumn("score", F.lit(1.0))).groupBy("value", "kind").agg(F.max("score").alias("score")))
+        if hasattr(last, "_cut"):
+            forget(last)
+    forget(edges, seeds)
     return score.where(F.col("score") >= min_score).groupBy("value").agg(F.min_by("kind", F.struct(-F.col("score"), "kind")).alias("kind"))
 
 

@@ -209,14 +209,18 @@ def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8, bits: int
     whole = paths.select("key", F.struct(F.lit(True).alias("path"), "node", "edge", "lo", "hi", F.lit(1).cast("long").alias("weight")).alias("one"))
     todo = branches.unionByName(whole).groupBy("key").agg(F.collect_list("one").alias("todo"))
     read = cut(texts.join(todo, "key").mapInArrow(_read(window), READ))
+    forget(edges, paths)
     release(spark)
     wrong = read.where("path").groupBy("node", "edge").agg(F.min("words").alias("one"), F.max("words").alias("other")).where("one <> other")
     if not named and not wrong.isEmpty():
+        forget(read)
         return repeated_spans(documents, window, k, bits, True)
     windows = read.where("not path").select("key", "words", "lo", "weight")
     again = windows.groupBy("words").agg(F.sum("weight").alias("met")).where("met > 1").select("words")
     single = splittable(windows.where("weight = 1"), again, ["words"], "left_semi").select("key", "lo", F.col("lo").alias("hi"))
-    return read.where("path").select("key", "lo", "hi").unionByName(single).distinct()
+    out = read.where("path").select("key", "lo", "hi").unionByName(single).distinct()
+    out._cut = read._cut
+    return out
 
 
 def substring_dedup(documents: DataFrame, window: int = 35, k: int = 8, with_text: bool = False, bits: int = 64) -> DataFrame:
@@ -225,7 +229,9 @@ def substring_dedup(documents: DataFrame, window: int = 35, k: int = 8, with_tex
     if not 1 <= k <= window:
         raise ValueError("k must lie between 1 and window")
     spark = documents.sparkSession
-    spans = cut(repeated_spans(documents, window, k, bits).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    found = repeated_spans(documents, window, k, bits)
+    spans = cut(found.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    forget(found)
     release(spark)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text").join(spans, "key", "left")
     rows = rows.select("doc_id", "text", F.coalesce("spans", F.array().cast("array<struct<lo:int,hi:int>>")).alias("spans"))
