@@ -127,9 +127,15 @@ def usage(calls: DataFrame) -> DataFrame:
 
 
 def first_title(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """rows with keep: the first of each normalised title."""
-    w = Window.partitionBy(*keys, T.title_key(F.col("title"))).orderBy(*order)
-    return rows.withColumn("keep", F.row_number().over(w) == 1)
+    """rows with keep: the first of each normalised title. order must tell rows apart; the first of a title is a combinable minimum,
+    so that a title which most rows share (none, say) is never sorted in one task."""
+    title = T.title_key(F.col("title"))
+    first = rows.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys), title.alias("_title")).agg(F.min(F.struct(*order)).alias("_first"))
+    same = title.eqNullSafe(F.col("_title")) & F.struct(*order).eqNullSafe(F.col("_first"))
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    marked = rows.join(first.withColumn("keep", F.lit(True)), same, "left")
+    return marked.select(*rows.columns, F.coalesce("keep", F.lit(False)).alias("keep"))
 
 
 def best_overlap(left: DataFrame, right: DataFrame, key: str, group: str, item: str, order: str) -> DataFrame:

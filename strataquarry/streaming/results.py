@@ -25,12 +25,16 @@ def append_jsonl(stream: DataFrame, path: str, checkpoint: str):
     return stream.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-def upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str]):
-    """Insert-or-replace of each batch into a table: last row of a key wins, published by a swap."""
+def upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str], buckets: int = 64):
+    """Insert-or-replace of each batch into a table: last row of a key wins. The table is partitioned by a hash of the keys
+    (_bucket), and a batch reads and replaces only the buckets it has rows for. A batch that is run again changes nothing."""
+    from ..functions.lineage import cut
     from ..sources import sinks
 
     def apply(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
+        batch = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        touched = [r[0] for r in batch.select("_bucket").distinct().collect()]  # at most `buckets`
         try:
             old = spark.read.schema(batch.schema).parquet(path)
             old.take(1)
@@ -38,6 +42,7 @@ def upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             old = batch.where("false")
-        sinks.publish(sinks.last_wins(old.unionByName(batch), keys, order), path)
+        merged = cut(sinks.last_wins(old.where(F.col("_bucket").isin(touched)).unionByName(batch), keys, order))
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
