@@ -9,9 +9,10 @@ Pairs never become rows. Groups are cut into blocks of a bounded size, every two
 what leaves is one row a class and place: its links there and the smallest class it hangs together with. A group of any
 size is therefore spread over many tasks, no link is lost to a cap, and no task holds more than two blocks.
 
-Defined results: a text of one to four words is one shingle of all its words; a text without words has no shingles and no
-links; equal texts are linked whatever their length if they have words; a null doc_id never names a class; repeated rows
-are equal texts; other columns are ignored; an empty table gives an empty result.
+Defined results: a null or empty text, or one without words, has no shingles and no links; a text of one to four words is one
+shingle of all its words; texts of any length count whole; a similarity equal to the threshold links; equal texts are linked
+whatever their length if they have words; a null doc_id never names a class; repeated rows are equal texts; other columns pass
+through one_of_each() whatever their names and are otherwise ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

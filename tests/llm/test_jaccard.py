@@ -89,3 +89,15 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20, 22: 20}
     chain = spark.range(200).selectExpr("id as a", "id + 1 as b")
     assert {r.label for r in components(chain).collect()} == {0}
+
+
+def test_long_texts_ties_at_the_threshold_and_clashing_columns(spark):
+    rng = random.Random(6)
+    words = [f"u{i}" for i in range(4 + 90)]
+    # 90 shingles each, 80 of them shared: 80 / 100 is the threshold itself; with one shared shingle less it is missed
+    at, below = [*words[:84], *(f"a{i}" for i in range(10))], [*words[:83], *(f"b{i}" for i in range(11))]
+    long = " ".join(f"w{rng.randrange(50_000)}" for _ in range(150_000))
+    texts = [" ".join(words), " ".join(at), " ".join(below), long, long.replace(" ", "  ", 1), "x" * 1_000_000, "x" * 1_000_000]
+    df = spark.createDataFrame([(i, t, 1, b"k", "r") for i, t in enumerate(texts)], "doc_id long, text string, links int, key binary, rep string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.jaccard_join(df).collect()}
+    assert got == {0: (0, 1), 1: (0, 1), 2: (2, 0), 3: (3, 1), 4: (3, 1), 5: (5, 1), 6: (5, 1)}
