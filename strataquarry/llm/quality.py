@@ -35,6 +35,9 @@ SLICE = 1 << 16
 PART = 1 << 26
 _SKETCH = 4096
 _PENDING = 4_000_000
+#: N-grams counted before their counts leave a task; well within 31 bits.
+_MOST_GRAMS = 1 << 29
+_COUNT, _TRUSTED = np.uint64((1 << 24) - 1), np.uint64(1 << 24)
 MAX_TRUSTED = 20_000
 #: Counts lent to every bucket in proportion to both models' sizes: a bucket that neither knows says nothing.
 SMOOTHING = 10.0
@@ -127,33 +130,39 @@ def _size(marked: DataFrame) -> tuple[int, int, int]:
     return max(LEAST_BUCKETS, 1 << int(np.ceil(np.log2(max(distinct, 1))))), raw, target
 
 
-def _packed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """One row a slice: places in it and their counts."""
-    at, raw, target = (np.concatenate(x) for x in zip(*held, strict=True))
+def _packed(held: list[np.ndarray]) -> pa.RecordBatch:
+    """One row a slice: places in it and their counts. held: place << 25 | trusted << 24 | count, so one sort in place orders all."""
+    key = np.concatenate(held)
     held.clear()
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    at, raw, target = at[new], np.add.reduceat(raw[order], new), np.add.reduceat(target[order], new)
-    part = at // SLICE
-    begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-    bounds = pa.array(np.append(begin, len(at)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in ((at % SLICE).astype(np.uint16).view(np.int16), raw.astype(np.int32), target.astype(np.int32))]
-    return pa.record_batch([pa.array(part[begin].astype(np.int64)), *lists], names=["slice", "place", "raw", "target"])
+    key.sort()
+    count, trusted = (key & _COUNT).astype(np.uint32), (key & _TRUSTED) > 0
+    key >>= np.uint64(25)
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    raw = np.add.reduceat(count, new, dtype=np.int32)
+    count[~trusted] = 0
+    target = np.add.reduceat(count, new, dtype=np.int32)
+    key = key[new]
+    place = (key % np.uint64(SLICE)).astype(np.uint16).view(np.int16)
+    key //= np.uint64(SLICE)
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    bounds = pa.array(np.append(begin, len(key)).astype(np.int32))
+    return pa.record_batch([pa.array(key[begin].astype(np.int64)), *(pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (place, raw, target))], names=["slice", "place", "raw", "target"])
 
 
 def _count(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, place = [], 0, np.uint32 if buckets <= 1 << 32 else np.int64
+        held, n, grams = [], 0, 0
         for hashes, trusted in _featured(batches):
-            if not len(hashes):
-                continue
-            at, of, raw = np.unique((hashes & np.uint64(buckets - 1)).astype(np.int64), return_inverse=True, return_counts=True)
-            held.append((at.astype(place), raw.astype(np.int32), np.bincount(of[trusted], minlength=len(at)).astype(np.int32)))
-            n += len(at)
-            if n > _PENDING:
+            grams += len(hashes)
+            code, counts = np.unique((hashes & np.uint64(buckets - 1)) << np.uint64(1) | trusted, return_counts=True)
+            while len(code):  # more than once only for a text with millions of one n-gram
+                held.append(code << np.uint64(24) | np.minimum(counts, int(_COUNT)).astype(np.uint64))
+                n += len(code)
+                more = counts > int(_COUNT)
+                code, counts = code[more], counts[more] - int(_COUNT)
+            if n > _PENDING or grams > _MOST_GRAMS:
                 yield _packed(held)
-                held, n = [], 0
+                held, n, grams = [], 0, 0
         if held:
             yield _packed(held)
 

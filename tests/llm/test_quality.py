@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from strataquarry.llm import quality
@@ -115,3 +116,17 @@ def test_score_equals_brute_force(spark):
         want = sum(map(ratio, grams[r.doc_id])) / len(grams[r.doc_id]) + shift if grams[r.doc_id] else 0.0
         assert abs(r.score - want) < 2e-3
         assert r.kept == (not r.base_failed and r.score >= 0.01)
+
+
+def test_counts_of_one_text_may_pass_the_packed_width(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(quality, "_COUNT", np.uint64(7))
+    batch = pa.record_batch({"text": ["a " * 50 + "b", "a a", "b"], "trusted": [True, False, False]})
+    rows = pa.Table.from_batches(quality._count(1 << 20)(iter([batch])))
+    found = {}
+    for r in rows.to_pylist():
+        for place, raw, target in zip(r["place"], r["raw"], r["target"]):
+            old = found.get((r["slice"], place), (0, 0))
+            found[r["slice"], place] = (old[0] + raw, old[1] + target)
+    assert sorted(found.values()) == [(1, 1), (2, 1), (50, 49), (52, 50)]
