@@ -181,10 +181,12 @@ def compacted(pieces: DataFrame) -> DataFrame:
     count = places.groupBy("node", "edge").agg(F.count(F.lit(1)).alias("n"))
     links = places.where("before is not null").groupBy(F.col("before.node").alias("pn"), F.col("before.edge").alias("pe"), "node", "edge").agg(F.count(F.lit(1)).alias("met"))
     links = links.join(count.where("n > 0"), ["node", "edge"]).where("met = n").select("pn", "pe", "node", "edge", "met")
-    links = cut(links.join(count.toDF("pn", "pe", "all"), ["pn", "pe"]).where("met = all").select("node", "edge", F.lit(True).alias("linked")))
-    marked = places.select("key", "node", "edge", "lo", "hi").join(links, ["node", "edge"], "left")
+    links = links.join(count.toDF("pn", "pe", "all"), ["pn", "pe"]).where("met = all").select("node", "edge", F.lit(True).alias("linked"))
+    marked = splittable(places.select("key", "node", "edge", "lo", "hi"), links, ["node", "edge"], "left")
     first = F.last(F.when(F.col("linked").isNull(), F.struct("node", "edge", "lo")), ignorenulls=True).over(along)
-    return marked.withColumn("first", first).groupBy("key", "first").agg(F.max("hi").alias("hi")).select("key", "first.node", "first.edge", "first.lo", "hi")
+    out = marked.withColumn("first", first).groupBy("key", "first").agg(F.max("hi").alias("hi")).select("key", "first.node", "first.edge", "first.lo", "hi")
+    out._cut = places._cut
+    return out
 
 
 def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8, bits: int = 64, named: bool = False) -> DataFrame:
@@ -202,7 +204,7 @@ def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8, bits: int
     branching = met.where("branching").select("key", "node", "edge", "lo", "hi")
     edges = cut(branching.groupBy("node", "edge").agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct("key", "lo", "hi")).alias("at")))
     parallel = branching.join(edges.where("weight > 1").select("node", "edge"), ["node", "edge"], "left_semi")
-    paths = cut(compacted(met.where("not branching").select("key", "node", "edge", "lo", "hi").unionByName(parallel)))
+    paths = compacted(met.where("not branching").select("key", "node", "edge", "lo", "hi").unionByName(parallel))
     release(spark)
     forget(met, seen)
     branches = edges.select("at.key", F.struct(F.lit(False).alias("path"), "node", "edge", "at.lo", "at.hi", "weight").alias("one"))
