@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import numeric as N
 from ..functions import text as T
+from ..functions.lineage import cut
 from ..operators import coverage, evidence, gates, graph, history, parse, rank, rewrite, texts
 from .gating import RUNS, _runs
 from .intake import _pick, _s
@@ -29,8 +30,8 @@ def _tree(t: Tables):
 
 
 def _parsed(t: Tables):
-    files = parse.module_names(_tree(t).withColumn("is_test", T.is_test_path(F.col("path"))))
-    return files, parse.tables(parse.parse_files(files))
+    files = cut(parse.module_names(_tree(t).withColumn("is_test", T.is_test_path(F.col("path")))))
+    return files, parse.tables(cut(parse.parse_files(files)))  # read by every kind of edge, parsed once
 
 
 @Q.add(f"WITH {TREE} SELECT path, module FROM t UNION ALL SELECT 'pkg/base.py', 'pkg.base' UNION ALL SELECT 'pkg/__init__.py', 'pkg'")
