@@ -204,9 +204,10 @@ def repeated_spans(documents: DataFrame, window: int = 35, k: int = 8, bits: int
     branching = met.where("branching").select("key", "node", "edge", "lo", "hi")
     edges = cut(branching.groupBy("node", "edge").agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct("key", "lo", "hi")).alias("at")))
     parallel = branching.join(edges.where("weight > 1").select("node", "edge"), ["node", "edge"], "left_semi")
-    paths = compacted(met.where("not branching").select("key", "node", "edge", "lo", "hi").unionByName(parallel))
+    found = compacted(met.where("not branching").select("key", "node", "edge", "lo", "hi").unionByName(parallel))
+    paths = cut(found)  # its shuffle files go before the texts move
     release(spark)
-    forget(met, seen)
+    forget(met, seen, found)
     branches = edges.select("at.key", F.struct(F.lit(False).alias("path"), "node", "edge", "at.lo", "at.hi", "weight").alias("one"))
     whole = paths.select("key", F.struct(F.lit(True).alias("path"), "node", "edge", "lo", "hi", F.lit(1).cast("long").alias("weight")).alias("one"))
     todo = branches.unionByName(whole).groupBy("key").agg(F.collect_list("one").alias("todo"))
