@@ -42,4 +42,49 @@ b AS (SELECT h, absent, x FROM p JOIN t USING (h, absent) WHERE n > 0.03::DOUBLE
 k AS (SELECT rid, string_agg(e.x, chr(10) ORDER BY i) AS t, count(*) AS n FROM e LEFT JOIN b ON b.h = e.h AND b.absent = e.absent AND b.x = trim(e.x) WHERE b.x IS NULL GROUP BY rid)
 SELECT doc_id, len(l) AS n_lines, len(l) - coalesce(n, 0) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid)"""
 
-ORACLES: dict[str, str] = {"op1_substring_dedup": OP1, "op4_chat": OP4, "op5_jaccard_join": OP5, "op7_line_dedup": OP7}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP11 = rf"""
+WITH RECURSIVE tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END) AS v FROM range(256) AS r(i))),
+texts AS (SELECT row_number() OVER () AS rid, doc_id, text, false AS target FROM documents UNION ALL SELECT -row_number() OVER (), NULL, text, true FROM benchmark),
+w AS (SELECT rid, target, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM texts),
+b AS (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM w)),
+bytes AS (SELECT w, list_transform(range(0, length(x) // 2), lambda j: ((instr('0123456789ABCDEF', x[2 * j + 1]) - 1) * 16 + instr('0123456789ABCDEF', x[2 * j + 2]) - 1)::BIGINT) AS y FROM b),
+buckets AS (SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, y), lambda s, c: xor(s >> 8, t[(xor(s, c) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket FROM bytes, tab),
+f AS (SELECT rid, target, bucket FROM w JOIN buckets USING (w)),
+n AS (SELECT bucket, count(*) FILTER (WHERE NOT target) AS s, count(*) FILTER (WHERE target) AS t FROM f GROUP BY 1),
+g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM n) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n) + 10000)::DOUBLE)))::BIGINT AS gain FROM n),
+d AS (SELECT rid, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM f JOIN g USING (bucket) WHERE NOT target GROUP BY rid),
+h AS (SELECT rid, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM texts LEFT JOIN d USING (rid) WHERE NOT target),
+e AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS total FROM e)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * total // 100 THEN place END AS rank FROM r"""
+
+
+def _op12(rounds: int = 10) -> str:
+    """Plain rounds: every distance, |a|^2 - 2ab + |b|^2 in integers that doubles hold."""
+    parts = ["""k AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM k ORDER BY c LIMIT 8)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""d{i} AS MATERIALIZED (SELECT rid, min((list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, c{i}.v) + list_inner_product(c{i}.v, c{i}.v)) * 8 + c)::BIGINT AS dc FROM k, c{i} GROUP BY rid)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (SELECT c, list(x ORDER BY i) AS v FROM (SELECT c, i, floor(sum(x) / count(*)) AS x FROM (SELECT dc % 8 AS c, unnest(v) AS x, unnest(range(64)) AS i FROM k JOIN d{i} USING (rid)) GROUP BY c, i) GROUP BY c)""")
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} AS m USING (c))""")
+    head = "WITH " + ",\n".join(parts)
+    return head + f"""
+SELECT vec_id, c::INTEGER AS cluster, dc // 8 AS distance, sum(dc // 8) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(dc // 8) OVER ()::BIGINT AS inertia, sha256(array_to_string(list_transform(c{rounds}.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM k JOIN d{rounds} USING (rid) JOIN c{rounds} ON c = dc % 8"""
+
+
+_CANON = r"""regexp_replace(regexp_replace(host, '^[^@]*@', ''), '^www\.|:(?:80|443)\z', '', 'g') AS site, regexp_replace(regexp_replace(path, '(?:/index)?\.html?\z', ''), '/+\z', '') AS place,
+list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(?:utm_[^=]*|ref|gclid|fbclid)(?:=|\z)'))) AS args"""
+OP13 = rf"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+c AS (SELECT *, {_CANON} FROM h),
+u AS (SELECT *, CASE WHEN site <> '' THEN site || place || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS key FROM c),
+l AS (SELECT DISTINCT key FROM u WHERE regexp_matches(host, '(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|\z)') AND key IS NOT NULL),
+r AS (SELECT rid, first(rule ORDER BY length(rule) DESC, length(of) DESC) AS rule, first(v ORDER BY length(rule) DESC, length(of) DESC) AS v
+ FROM u JOIN (SELECT v, of, head, of || head AS rule FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) AS t(v, of, head)) ON (host = of OR ends_with(host, '.' || of)) AND starts_with(path, head) GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN l.key IS NULL THEN 'allow' ELSE 'block' END) AS verdict, l.key IS NOT NULL AS listed FROM u LEFT JOIN r USING (rid) LEFT JOIN l ON l.key = u.key"""
+
+ORACLES: dict[str, str] = {"op1_substring_dedup": OP1, "op4_chat": OP4, "op5_jaccard_join": OP5, "op7_line_dedup": OP7, "op11_resampling": OP11, "op12_centroids": _op12(), "op13_urls": OP13}

@@ -75,8 +75,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resample
+
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import cluster_vectors
+
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no list of URLs: listed are those of pages whose host names one of these trades."""
+    from .urls import host_of, judge_urls
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(host_of(F.col("url")).rlike(r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|\z)")).select("url")
+    return judge_urls(pages, listed)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_packing, op4_chat, op5_jaccard_join, op6_decontamination, op7_line_dedup, op8_licenses, op9_quality_rules, op10_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_packing, op4_chat, op5_jaccard_join, op6_decontamination, op7_line_dedup, op8_licenses, op9_quality_rules, op10_toxicity, op11_resampling, op12_centroids, op13_urls)}
 
 
 def oracle_sql() -> dict[str, str]:
