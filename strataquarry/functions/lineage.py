@@ -33,3 +33,11 @@ def cut(df: DataFrame) -> DataFrame:
     if not df.sparkSession.sparkContext.getCheckpointDir():
         df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def land(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared folder and read again. Unlike a checkpoint it also forgets what Catalyst has inferred
+    about its columns, which in loops of joins over renamed columns doubles with every round."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.lineage import cut
+from .reach import components, on_cycle, waves
 
 BUILTINS = tuple(sorted(n for n in dir(builtins) if not n.startswith("_")))
 STDLIB = tuple(sorted(sys.stdlib_module_names))
@@ -159,44 +160,6 @@ def impact(edges: DataFrame, symbols: DataFrame, changed: DataFrame, most: int =
     return ranked.select("target_path", F.col("source").alias("caller"), "kind", "anchor", "expression", "rank", "total", (F.col("total") > most).alias("truncated"))
 
 
-def waves(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, wave): a node stands one wave after the last node it depends on, edges(source, target); cycles are one last wave."""
-    left = cut(nodes.select("node").distinct())
-    wait = cut(edges.where("source <> target").select("source", "target").distinct().join(left.select(F.col("node").alias("source")), "source", "left_semi").join(left.select(F.col("node").alias("target")), "target", "left_semi"))
-    out, wave = None, 0
-    while True:
-        layer = left.join(wait.select(F.col("source").alias("node")), "node", "left_anti")
-        if layer.isEmpty():
-            break
-        layer = cut(layer.withColumn("wave", F.lit(wave)))
-        out = layer if out is None else out.unionByName(layer)
-        left = cut(left.join(layer, "node", "left_anti"))
-        wait = cut(wait.join(layer.select(F.col("node").alias("target")), "target", "left_anti").join(layer.select(F.col("node").alias("source")), "source", "left_anti"))
-        wave += 1
-    rest = left.withColumn("wave", F.lit(wave))
-    return rest if out is None else out.unionByName(rest)
-
-
-def on_cycle(edges: DataFrame) -> DataFrame:
-    """Nodes that wait for themselves through edges(source, target), however long the way.
-
-    Nodes without a way in or out are peeled off until none is left; reachability is then doubled on the remaining core only."""
-    core = cut(edges.where("source is not null and target is not null").select("source", "target").distinct())
-    left = core.count()
-    while left:
-        ways = core.join(core.select(F.col("target").alias("source")).distinct(), "source", "left_semi").join(core.select(F.col("source").alias("target")).distinct(), "target", "left_semi")
-        core, before = cut(ways.select("source", "target")), left
-        left = core.count()
-        if left == before:
-            break
-    reach, before = core, -1
-    while left != before:
-        two = reach.alias("a").join(reach.alias("b"), F.col("a.target") == F.col("b.source")).select("a.source", "b.target")
-        reach, before = cut(reach.unionByName(two).distinct()), left
-        left = reach.count()
-    return reach.where("source = target").select(F.col("source").alias("node")).distinct()
-
-
 def conditional_counts(df: DataFrame, keys: list[str], counts: dict[str, Column]) -> DataFrame:
     """All counts in one pass."""
     return df.groupBy(*keys).agg(*(F.count_if(c).alias(n) for n, c in counts.items()))
@@ -211,12 +174,28 @@ def statistics(files: DataFrame, symbols: DataFrame, edges: DataFrame, unresolve
     return a.unionByName(b).unionByName(c).unionByName(d)
 
 
+def _shared_folders(a: Column, b: Column) -> Column:
+    """Leading folders that two paths share."""
+    x, y = (F.slice(F.split(p, "/"), F.lit(1), F.size(F.split(p, "/")) - 1) for p in (a, b))
+    differs = F.array_position(F.zip_with(x, y, lambda i, j: ~i.eqNullSafe(j)), F.lit(True))
+    return F.when(differs == 0, F.size(x)).otherwise(differs - 1)
+
+
 def suffix_import(imports: DataFrame, files: DataFrame) -> DataFrame:
-    """Non-Python imports(path, wanted) to owned files by stem: equal, then as a path suffix, then by its last part; smallest path."""
+    """Non-Python imports(path, wanted) to owned files by stem, `target`: equal, then as a path suffix, then by its last part.
+
+    Where imports has `beside` and `folded` (null unless relative, see parse.wanted_files), a file in the importer's folder comes
+    first, then one at the folded path, then one whose path ends in the first. Of several the file nearest to the importer counts,
+    then the smallest path."""
     stem = F.regexp_replace("path", r"\.[^./]+$", "")
     parts = F.split(stem, "/")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/"))
     table = files.select(F.col("path").alias("owned"), F.posexplode(suffixes).alias("cut", "suffix"))
-    rows = imports.select("path", "wanted", F.explode(F.array(F.struct(F.lit(0).alias("way"), F.col("wanted").alias("suffix")), F.struct(F.lit(2).alias("way"), F.element_at(F.split("wanted", "/"), -1).alias("suffix")))).alias("w")).select("path", "wanted", "w.*")
-    hits = rows.join(table, "suffix").withColumn("way", F.when((F.col("way") == 0) & (F.col("cut") > 0), 1).otherwise(F.col("way")))
-    return hits.groupBy("path", "wanted").agg(F.min(F.struct("way", "owned")).alias("h")).select("path", "wanted", F.col("h.owned").alias("target"))
+    tries, keys = [(6, F.col("wanted")), (10, F.element_at(F.split("wanted", "/"), -1))], ["path", "wanted"]
+    if "beside" in imports.columns:
+        tries, keys = [(0, F.col("beside")), (2, F.col("folded")), *tries], [*keys, "beside", "folded"]
+    rows = imports.select(*keys, F.explode(F.array(*(F.struct(F.lit(way).alias("way"), x.alias("suffix")) for way, x in tries))).alias("w")).select(*keys, "w.*").where("suffix <> ''")
+    # a whole stem comes before a suffix of one; a folded path means one place only, and a last part alone never tells them apart
+    hits = rows.join(table, "suffix").where("way <> 2 or cut = 0").withColumn("way", F.when((F.col("cut") > 0) & (F.col("way") < 10), F.col("way") + 3).otherwise(F.col("way")))
+    hits = hits.withColumn("far", -_shared_folders(F.col("path"), F.col("owned")))
+    return hits.groupBy(*keys).agg(F.min(F.struct("way", "far", "owned")).alias("h")).select("path", "wanted", F.col("h.owned").alias("target"))

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -239,10 +239,23 @@ def parse_other(files: DataFrame) -> DataFrame:
     return files.select("path", "language", "content").mapInPandas(run, SOURCE_ROWS)
 
 
+def _folded(path: Column) -> Column:
+    """A path without `.` and `..`; what would leave the root stays at it."""
+    step = lambda acc, x: F.when(x.isin("", "."), acc).when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x)))
+    return F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
+
+
 def wanted_files(rows: DataFrame) -> DataFrame:
-    """(path, wanted) of parse_other()'s imports in the form graph.suffix_import() takes: no leading dots, no extension, '/' between parts."""
-    bare = F.regexp_replace(F.regexp_replace("name", r"^(?:\.{1,2}/|crate::|super::|self::)+", ""), "::", "/")
-    return rows.where("kind = 'import'").select("path", F.regexp_replace(F.regexp_replace(bare, r"/?\{.*$|[ ]+as .*$", ""), r"\.(?:js|jsx|ts|tsx|h|hpp)$", "").alias("wanted")).where("wanted <> ''").distinct()
+    """(path, wanted, beside, folded) of parse_other()'s imports in the form graph.suffix_import() takes.
+
+    `wanted` has no leading dots, no extension, and '/' between parts. For imports that begin with a dot, `beside` is that in the
+    importer's folder and `folded` what the dots make of it; else null."""
+    end = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "::", "/"), r"/?\{.*$|[ ]+as .*$", ""), r"\.(?:js|jsx|ts|tsx|h|hpp)$", "")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    within = lambda c: F.when(F.col("name").startswith("."), F.concat(F.when(folder != "", F.concat(folder, F.lit("/"))).otherwise(""), c))
+    wanted = end(F.regexp_replace("name", r"^(?:\.{1,2}/|crate::|super::|self::)+", ""))
+    found = rows.where("kind = 'import'").select("path", "name", wanted.alias("wanted")).where("wanted <> ''")
+    return found.select("path", "wanted", within(F.col("wanted")).alias("beside"), _folded(within(end(F.col("name")))).alias("folded")).distinct()
 
 
 def test_functions(files: DataFrame) -> DataFrame:

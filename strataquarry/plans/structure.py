@@ -337,9 +337,9 @@ def _other(t: Tables):
     return t.supplier.select(F.concat(F.lit("a/s"), _s(s), F.when(even, ".rs").otherwise(".ts")).alias("path"), F.when(even, "rust").otherwise("typescript").alias("language"), code.alias("content"))
 
 
-@Q.add("""SELECT 'a/s' || s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN '.rs' ELSE '.ts' END AS path, 'net/m' || s_suppkey AS wanted, CASE WHEN s_suppkey % 4 = 3 THEN 'm' || s_suppkey || '.x' WHEN s_suppkey % 4 = 1 THEN 'net/m' || s_suppkey || '.x' ELSE 'b/net/m' || s_suppkey || '.x' END AS target FROM supplier""")
+@Q.add("""SELECT 'a/s' || s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN '.rs' ELSE '.ts' END AS path, 'net/m' || s_suppkey AS wanted, CASE WHEN s_suppkey % 4 = 3 THEN 'm' || s_suppkey || '.x' WHEN s_suppkey % 4 = 1 THEN 'a/net/m' || s_suppkey || '.x' ELSE 'b/net/m' || s_suppkey || '.x' END AS target FROM supplier""")
 def q136_suffix_imports(t: Tables):
-    """Equal stems first, then path suffixes (the smallest path), then the last part alone."""
+    """A file beside the importer first, then equal stems, then path suffixes (the nearest, then the smallest path), then the last part alone."""
     m, r = F.concat(F.lit("m"), _s("s_suppkey"), F.lit(".x")), F.col("s_suppkey") % 4
     owned = t.supplier.select(F.explode(F.array_compact(F.array(F.when(r == 3, m), F.when(r == 1, F.concat(F.lit("net/"), m)), F.when(r == 1, F.concat(F.lit("a/net/"), m)), F.when(r % 2 == 0, F.concat(F.lit("c/net/"), m)), F.when(r % 2 == 0, F.concat(F.lit("b/net/"), m))))).alias("path"))
     rows = parse.parse_other(_other(t))
