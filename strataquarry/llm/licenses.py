@@ -4,8 +4,10 @@ Templates are short notices and the full texts of common licenses (`texts/`). Wo
 Each template's word triples are winnowed (the smallest of every `spread` neighbours stays); templates under `SHORT` words
 keep all of them. The inverted index of all templates is fixed in size. A text's triples look up the index in one vectorised
 step and vote for diagonals; votes within a band of one another are a candidate if a twentieth of the template's fingerprints
-voted (one at least). Each candidate is aligned: the longest chain of equal words in order whose diagonals stay within the
-band, which is `band` words or a sixteenth of the template. Matches of at least `coverage` of a template's words are reported
+voted (one at least). In a text that repeats itself such votes go on without end: candidates wider than twice template and band
+are read in overlapping stretches of that width, so a region is bounded by its template whatever the text. Candidates whose words
+cannot have enough in common in order, by bags and then by a row of bits, go; the others are aligned: the longest chain of equal words in order whose diagonals stay within the band (only
+pairs inside it are listed), which is `band` words or a sixteenth of the template. Matches of at least `coverage` of a template's words are reported
 with code-point spans (templates under `WHOLE` words must match in every word without a gap, since one word makes another license of them);
 a match inside the span of a longer one of its own license is not.
 
@@ -105,13 +107,17 @@ def index(pairs: tuple[tuple[str, str], ...], k: int = K, spread: int = SPREAD,
 
 def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """(matched words, first, end) of the longest common subsequence whose matches lie on diagonals low..high (text - template)."""
-    order = np.argsort(text, kind="stable")
-    a, b = np.searchsorted(text, template, "left", sorter=order), np.searchsorted(text, template, "right", sorter=order)
-    n = b - a
-    i = np.repeat(np.arange(len(template)), n)
-    j = order[np.repeat(a, n) + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)]
-    near = (j - i >= low) & (j - i <= high)
-    i, j = i[near], j[near]
+    kinds, rank = np.unique(text, return_inverse=True)
+    wide = len(text) + 1
+    keys = np.sort(rank * wide + np.arange(len(text)))
+    place = np.minimum(np.searchsorted(kinds, template), len(kinds) - 1)
+    known = np.flatnonzero(kinds[place] == template)
+    row = place[known] * wide
+    # of each template word's places in the text, only those inside the band are ever listed
+    a = np.searchsorted(keys, row + np.clip(known + low, 0, len(text)))
+    n = np.maximum(0, np.searchsorted(keys, row + np.clip(known + high + 1, 0, len(text))) - a)
+    i = np.repeat(known, n)
+    j = keys[np.repeat(a, n) + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)] % wide
     chain = np.lexsort((-j, i))  # of one template word at most one match can follow another
     ends: list[int] = []  # least last place of a chain of each length
     firsts: list[int] = []  # and where that chain begins
@@ -126,6 +132,50 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
     return (len(ends), firsts[-1], ends[-1] + 1) if ends else (0, -1, -1)
 
 
+def common(template: np.ndarray, text: np.ndarray, least: int) -> bool:
+    """Whether template and text can have `least` words in common in order: their bags first, then their longest common
+    subsequence, whose length a row of bits gives."""
+    kinds, counts = np.unique(template, return_counts=True)
+    place = np.minimum(np.searchsorted(kinds, text), len(kinds) - 1)
+    inside = kinds[place] == text
+    if np.minimum(np.bincount(place[inside], minlength=len(kinds)), counts).sum() < least:
+        return False
+    where: dict[int, int] = {}
+    for i, x in enumerate(template.tolist()):
+        where[x] = where.get(x, 0) | 1 << i
+    full = (1 << len(template)) - 1
+    row = full
+    for x in text[inside].tolist():
+        hit = row & where[x]
+        row = (row + hit | row - hit) & full
+    return len(template) - row.bit_count() >= least
+
+
+def _stretches(low: np.ndarray, high: np.ndarray, begin: np.ndarray, end: np.ndarray, most: np.ndarray, diagonal: np.ndarray, votes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(group, lowest, highest diagonal) of groups. Where a text repeats itself neighbouring diagonals go on without end: a group
+    wider than `most` is read in stretches of twice that, each half over the last, which hold every match that is narrower."""
+    for g, (a, b, x, y, m, v) in enumerate(zip(low.tolist(), high.tolist(), begin.tolist(), end.tolist(), most.tolist(), votes.tolist(), strict=True)):
+        if b - a <= 2 * m:
+            yield g, a, b
+            continue
+        starts = np.arange(a, b - m + 1, m)
+        first = x + np.searchsorted(diagonal[x:y], starts)
+        last = x + np.searchsorted(diagonal[x:y], starts + 2 * m, "right")
+        for i in np.flatnonzero(last - first >= v).tolist():
+            yield g, int(diagonal[first[i]]), int(diagonal[last[i] - 1])
+
+
+def _parts(at: np.ndarray, n: np.ndarray, reach: int, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of seeds that have about `most` fingerprints; each begins `reach` words before the last one's end, so that what lies across an end is whole in one."""
+    sums, lo = np.concatenate([[0], np.cumsum(n)]), 0
+    while lo < len(at):
+        hi = max(int(np.searchsorted(sums, sums[lo] + most, "right")) - 1, int(np.searchsorted(at, at[lo] + 2 * reach)), lo + 1)
+        yield lo, min(hi, len(at))
+        if hi >= len(at):
+            return
+        lo = int(np.searchsorted(at, at[hi] - reach))
+
+
 def scan_chunk(found: Templates, w: W.Words, k: int) -> list[tuple[int, int, float, int, int]]:
     """(document, template, coverage, first word, end word) of each match."""
     grams = W.Runs(w.hashes).grams(k)
@@ -133,28 +183,35 @@ def scan_chunk(found: Templates, w: W.Words, k: int) -> list[tuple[int, int, flo
         return []
     at = np.flatnonzero(np.isin(grams, found.prints) & W.whole(w.first, k))
     lo, hi = np.searchsorted(found.prints, grams[at], "left"), np.searchsorted(found.prints, grams[at], "right")
-    n = hi - lo
-    row = np.repeat(at, n)
-    which = np.repeat(lo, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    owner, diagonal = found.owner[which], row - found.place[which]
-    doc = np.searchsorted(w.first, row, "right") - 1
-    order = np.lexsort((diagonal, owner, doc))
-    doc, owner, diagonal = doc[order], owner[order], diagonal[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (diagonal[1:] - diagonal[:-1] > found.band[owner[1:]])
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(new))
-    some = end - begin >= found.votes[owner[begin]]
-    begin, end = begin[some], end[some]
-    out = []
-    for d, o, low, high in zip(doc[begin].tolist(), owner[begin].tolist(), diagonal[begin].tolist(), diagonal[end - 1].tolist(), strict=True):
-        template, band = found.words[o], int(found.band[o])
-        a, b = max(int(w.first[d]), low - band), min(int(w.first[d + 1]), high + len(template) + band)
-        matched, first, stop = align(template, w.hashes[a:b], low - band - a, high + band - a)
-        if matched >= found.least[o] and (len(template) >= WHOLE or stop - first == matched):
-            base = a - int(w.first[d])
-            out.append((d, o, matched / len(template), base + first, base + stop))
-    return out
+    reach = 2 * (max(len(x) for x in found.words) + int(found.band.max()))
+    size = np.array([len(x) for x in found.words])
+    out = {}
+    for x, y in _parts(at, hi - lo, reach):
+        n = (hi - lo)[x:y]
+        row = np.repeat(at[x:y], n)
+        which = np.repeat(lo[x:y], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        owner, diagonal = found.owner[which], row - found.place[which]
+        doc = np.searchsorted(w.first, row, "right") - 1
+        order = np.lexsort((diagonal, owner, doc))
+        doc, owner, diagonal = doc[order], owner[order], diagonal[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (diagonal[1:] - diagonal[:-1] > found.band[owner[1:]])
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(new))
+        some = end - begin >= found.votes[owner[begin]]
+        begin, end = begin[some], end[some]
+        own, docs = owner[begin], doc[begin]
+        for g, low, high in _stretches(diagonal[begin], diagonal[end - 1], begin, end, size[own] + found.band[own], diagonal, found.votes[own]):
+            d, o = int(docs[g]), int(own[g])
+            template, band, least = found.words[o], int(found.band[o]), int(found.least[o])
+            a, b = max(int(w.first[d]), low - band), min(int(w.first[d + 1]), high + len(template) + band)
+            if not common(template, w.hashes[a:b], least):
+                continue
+            matched, first, stop = align(template, w.hashes[a:b], low - band - a, high + band - a)
+            if matched >= least and (len(template) >= WHOLE or stop - first == matched):
+                base = a - int(w.first[d])
+                out[d, o, base + first, base + stop] = matched / len(template)
+    return [(d, o, c, a, b) for (d, o, a, b), c in out.items()]
 
 
 def outermost(hits: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:

@@ -1,6 +1,9 @@
 import random
+import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strataquarry.llm import licenses
@@ -134,3 +137,34 @@ def test_empty_table_repeats_long_texts_ties_and_clashing_columns(spark):
     assert licenses.scan_licenses(df.where("false")).count() == 0
     hit = [(5, 9, "B", 1.0), (5, 9, "A", 1.0), (0, 9, "A", 0.9), (5, 9, "B", 0.8)]
     assert licenses.outermost(hit) == [(0, 9, "A", 0.9), (5, 9, "B", 1.0)]
+
+
+def test_repetitive_texts_stay_bounded():
+    """Phrases of many templates over and over, and templates' words in disorder: seconds, bounded memory, and a real notice between them is found."""
+    found = licenses.index(licenses.templates())
+    notice = dict(licenses.NOTICES)["MIT"]
+    text = "of the gnu general public license " * 60_000 + notice + " of the gnu general public license" * 60_000
+    buf, docs = W.buffers(pa.array([text]))
+    w = W.split(W.FOLD[buf], docs)
+    tracemalloc.start()
+    began = time.perf_counter()
+    hits = licenses.scan_chunk(found, w, licenses.K)
+    took, peak = time.perf_counter() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 120 and peak < 1 << 30, (took, peak)
+    mine = [h for h in hits if found.names[h[1]] == "MIT"]
+    assert mine and max(h[2] for h in mine) == 1.0 and all(360_000 <= h[3] < h[4] <= 360_000 + len(notice.split()) + 5 for h in mine)
+
+
+def test_stretches_hold_every_narrow_match():
+    """A match in a text of its own template's phrases is the one an unbounded region gives."""
+    rng = random.Random(8)
+    words = [f"v{rng.randrange(9)}" for _ in range(60)]
+    found = licenses.index((("own", " ".join(words)),))
+    for _ in range(20):
+        phrase = words[10:16]
+        parts = [phrase * rng.randrange(0, 60), words, phrase * rng.randrange(0, 60)]
+        at = len(parts[0])
+        buf, docs = W.buffers(pa.array([" ".join(x for p in parts for x in p)]))
+        hits = licenses.scan_chunk(found, W.split(W.FOLD[buf], docs), licenses.K)
+        assert any(h[2] == 1.0 and h[3] <= at + 20 and h[4] >= at + 40 for h in hits)
