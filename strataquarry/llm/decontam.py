@@ -4,9 +4,11 @@ exact edit distance decides.
 Texts are word sequences; ASCII letters compare in lower case, other ASCII but digits parts words. An item of L words leaks into a text if some run of its words is within floor((1 - similarity) * L)
 word edits of the item. One pass over the texts:
 
-1. Places that cannot hold a leak are skipped by a necessary condition that loses nothing: e edits destroy at most 2e of the
-   item's L - 1 word pairs, so a run of L + e words must hold at least L - 1 - 2e pairs of the item (one at least, which only
-   matters at similarities far below the default).
+1. Places that cannot hold a leak are skipped by necessary conditions that lose nothing. e edits destroy at most 2e of the
+   item's L - 1 word pairs, so of any 2e + 1 of them one stands in every leak: an item is looked up by its 2e + 1 pairs that
+   the fewest items have, so common pairs lead to no item that has rarer ones, and cost follows what meets, not the number
+   of items. Around such a place a run of L + e words must hold at least L - 1 - 2e pairs of the item (one at least, which
+   only matters at similarities far below the default). Both are worked off in slabs of bounded size.
 2. The item-sized windows of the places left are embedded by CGK random walks: at every step the walk puts out the word it
    stands on and moves on by a random bit that depends on walk, step and word alone. Runs a few edits apart meet again and
    put out equal words on many steps. A key is the words at `SAMPLED` random steps; a window that shares one of an item's
@@ -14,7 +16,8 @@ word edits of the item. One pass over the texts:
    leaks at the full number of edits (all substitutions, all deletions, all insertions, mixed; the worst counts) and
    doubled. Items over `LONGEST` words, or that `MOST_WALKS` walks do not bring to `recall`, take all their places as
    candidates.
-3. The region around each candidate is verified by bit-parallel edit distance of the item against any part of it.
+3. The region around each candidate is verified by bit-parallel edit distance of the item against any part of it; what lies
+   before and behind the nearest run is then searched in the same way, so each of several leaks is reported.
 
 Walks depend on nothing but their number, so neither partitions nor the other items change a result. Items travel to the
 workers in blocks of bounded size; a larger benchmark is several maps in a row, not a larger one.
@@ -59,8 +62,9 @@ class Index:
     words: list[np.ndarray]
     edits: np.ndarray
     pairs: np.ndarray  # sorted hashes of all word pairs
-    posts: np.ndarray  # bounds of each pair's items in post
+    posts: np.ndarray  # bounds of the items in post that are looked up by a pair
     post: np.ndarray
+    own: np.ndarray  # sorted hashes of (item, pair)
     lengths: np.ndarray  # distinct item lengths
     slack: np.ndarray  # edits that each allows
     filter: np.ndarray
@@ -134,6 +138,10 @@ def _stands_for(size: int) -> int:
     return -(-size // step) * step
 
 
+def _owned(item: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    return W.mix(pair ^ W.mix(item.astype(np.uint64) + np.uint64(1)))
+
+
 def build(items: list[tuple[int, str]], similarity: float, min_words: int, recall: float = RECALL) -> Index | None:
     buf, docs = W.buffers(pa.array([t or "" for _, t in items], pa.string()))
     w = W.split(W.FOLD[buf], docs)
@@ -144,9 +152,17 @@ def build(items: list[tuple[int, str]], similarity: float, min_words: int, recal
     n = np.array([len(x) for x in words])
     grams = [np.unique(W.Runs(x).grams(2)) for x in words]
     pairs, which = np.unique(np.concatenate(grams), return_inverse=True)
+    item = np.repeat(np.arange(len(words)), [len(g) for g in grams])
+    spread = np.bincount(which, minlength=len(pairs))  # items that have a pair
+    by_rarity = np.lexsort((which, spread[which], item))
+    first = np.concatenate([[0], np.cumsum([len(g) for g in grams])])
+    # repeated pairs stand for all their places, so 2e + 1 different ones are enough
+    key = (np.arange(len(which)) - first[item[by_rarity]]) < (2 * _allowed(n, similarity) + 1)[item[by_rarity]]
+    which, item = which[by_rarity][key], item[by_rarity][key]
     by_pair = np.argsort(which, kind="stable")
     posts = np.searchsorted(which[by_pair], np.arange(len(pairs) + 1))
-    post = np.repeat(np.arange(len(words)), [len(g) for g in grams])[by_pair]
+    post = item[by_pair]
+    own = np.sort(_owned(np.repeat(np.arange(len(words)), [len(g) for g in grams]), np.concatenate(grams)))
     seen = np.zeros(1 << _BITS, bool)
     seen[(pairs >> np.uint64(64 - _BITS)).astype(np.int64)] = True
     lengths = np.unique(n)
@@ -155,7 +171,7 @@ def build(items: list[tuple[int, str]], similarity: float, min_words: int, recal
     for walk in range(len(keys)):
         for rows in _slabs(np.flatnonzero(walks > walk), 2 * n):
             keys[walk][:, rows] = sampled(embed(w.hashes, w.first[some][rows], n[rows], walk, int(2 * n[rows].max())), n[rows], walk)
-    return Index(np.array([items[i][0] for i in some]), words, _allowed(n, similarity), pairs, posts, post, lengths, _allowed(lengths, similarity), seen, walks, keys)
+    return Index(np.array([items[i][0] for i in some]), words, _allowed(n, similarity), pairs, posts, post, own, lengths, _allowed(lengths, similarity), seen, walks, keys)
 
 
 def _slabs(rows: np.ndarray, steps: np.ndarray) -> Iterator[np.ndarray]:
@@ -198,6 +214,20 @@ def fit_in(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, i
     return end - back, end, distance
 
 
+def every_fit(item: np.ndarray, region: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """All runs that fit_in() finds when it goes on before and behind each that it has found, in order."""
+    out, parts = [], [(0, len(region))]
+    while parts:
+        a, b = parts.pop()
+        if b - a < max(1, len(item) - most):
+            continue
+        found = fit_in(item, region[a:b], most)
+        if found:
+            out.append((a + found[0], a + found[1], found[2]))
+            parts += [(a, a + found[0]), (a + found[1], b)]
+    return sorted(out)
+
+
 def _nearest_end(item: np.ndarray, region: np.ndarray, anchored: bool = False) -> tuple[int, int]:
     m = len(item)
     where: dict[int, int] = {}
@@ -219,6 +249,52 @@ def _nearest_end(item: np.ndarray, region: np.ndarray, anchored: bool = False) -
     return best[1], best[0]
 
 
+def _seeds(index: Index, w: W.Words, grams: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(item, document, first word, end word) of regions around places with a pair that an item is looked up by, if enough of its pairs stand there."""
+    size = np.array([len(x) for x in index.words])
+    pair = np.searchsorted(index.pairs, grams[at])
+    n = index.posts[pair + 1] - index.posts[pair]
+    at, pair, n = at[n > 0], pair[n > 0], n[n > 0]
+    sums, x = np.concatenate([[0], np.cumsum(n)]), 0
+    while x < len(at):
+        y = max(x + 1, int(np.searchsorted(sums, sums[x] + _SLAB, "right")) - 1)
+        row = np.repeat(np.arange(x, y), n[x:y])
+        item = index.post[np.repeat(index.posts[pair[x:y]], n[x:y]) + np.arange(len(row)) - np.repeat(sums[x:y] - sums[x], n[x:y])]
+        place, x = at[row], y
+        doc = np.searchsorted(w.first, place, "right") - 1
+        reach = (size + index.edits)[item]
+        lo, hi = np.maximum(w.first[doc], place - reach), np.minimum(w.first[doc + 1], place + reach)
+        # places of one item whose regions meet are one region
+        order = np.lexsort((lo, item))
+        item, doc, lo, hi = item[order], doc[order], lo[order], hi[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+        begin = np.flatnonzero(new)
+        item, doc, lo, hi = item[begin], doc[begin], lo[begin], hi[np.append(begin[1:], len(new)) - 1]
+        width, p = hi - lo, 0
+        steps = np.concatenate([[0], np.cumsum(width)])
+        while p < len(item):
+            q = max(p + 1, int(np.searchsorted(steps, steps[p] + _SLAB, "right")) - 1)
+            yield _dense(index, w, grams, size, item[p:q], doc[p:q], lo[p:q], width[p:q])
+            p = q
+
+
+def _dense(index: Index, w: W.Words, grams: np.ndarray, size: np.ndarray, item: np.ndarray, doc: np.ndarray, lo: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What of the regions lies around runs that hold enough pairs of their item."""
+    row = np.repeat(np.arange(len(item)), np.maximum(0, width - 1))
+    place = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(np.maximum(0, width - 1)) - np.maximum(0, width - 1), np.maximum(0, width - 1))
+    mine = _owned(item[row], grams[place])
+    hit = index.own[np.minimum(np.searchsorted(index.own, mine), len(index.own) - 1)] == mine
+    row, place = row[hit], place[hit]
+    need, edits = np.maximum(1, size - 1 - 2 * index.edits), index.edits
+    last = np.arange(len(row)) + need[item[row]] - 1
+    far = np.minimum(last, len(row) - 1)
+    head = np.flatnonzero((last < len(row)) & (row[far] == row) & (place[far] - place <= (size + edits)[item[row]] - 2))
+    # at most 2e words of a leak stand before its first surviving pair, so the leak lies in this region
+    i, d, p = item[row[head]], doc[row[head]], place[head]
+    return i, d, np.maximum(w.first[d], p - 2 * edits[i]), np.minimum(w.first[d + 1], p + (size + edits)[i])
+
+
 def find(index: Index, w: W.Words) -> list[tuple[int, int, int, int, int]]:
     """(document, item, first word, end word, distance) of each leak in a chunk."""
     total = int(w.first[-1])
@@ -240,38 +316,23 @@ def find(index: Index, w: W.Words) -> list[tuple[int, int, int, int, int]]:
     at = at[np.cumsum(near[:-1]) > 0]
     if not len(at):
         return []
-    # the same condition for each item alone, over its own pairs
-    n = index.posts[1:] - index.posts[:-1]
-    pair = np.searchsorted(index.pairs, grams[at])
-    row = np.repeat(np.arange(len(at)), n[pair])
-    item = index.post[np.repeat(index.posts[pair], n[pair]) + np.arange(len(row)) - np.repeat(np.cumsum(n[pair]) - n[pair], n[pair])]
-    order = np.lexsort((row, item))
-    item, place = item[order], at[row[order]]
-    size = np.array([len(x) for x in index.words])
-    last = np.arange(len(item)) + np.maximum(1, size - 1 - 2 * index.edits)[item] - 1
-    inside = last < len(item)
-    far = np.minimum(last, len(item) - 1)
-    head = np.flatnonzero(inside & (item[far] == item) & (place[far] - place <= (size + index.edits)[item] - 2))
-    if not len(head):
+    seeds = list(_seeds(index, w, grams, at))
+    if not seeds:
         return []
-    # at most 2e words of a leak stand before its first surviving pair, so the leak lies in this region
-    item, at = item[head], place[head]
-    doc = np.searchsorted(w.first, at, "right") - 1
-    lo = np.maximum(w.first[doc], at - 2 * index.edits[item])
-    hi = np.minimum(w.first[doc + 1], at + (size + index.edits)[item])
+    item, doc, lo, hi = (np.concatenate(x) for x in zip(*seeds, strict=True))
+    order = np.lexsort((lo, doc, item))
+    item, doc, lo, hi = item[order], doc[order], lo[order], hi[order]
     # of one item's regions in a document, those that meet are read as one
     new = np.ones(len(item), bool)
-    new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+    new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] > np.maximum.accumulate(hi)[:-1])
     begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(new)) - 1
-    item, doc, lo, hi = item[begin], doc[begin], lo[begin], hi[end]
+    item, doc, lo, hi = item[begin], doc[begin], lo[begin], np.maximum.reduceat(hi, begin)
     some = candidates(index, w, item, doc, lo, hi)
     out = []
     for i, d, a, b in zip(item[some].tolist(), doc[some].tolist(), lo[some].tolist(), hi[some].tolist(), strict=True):
-        found = fit_in(index.words[i], w.hashes[a:b], int(index.edits[i]))
-        if found:
+        for first, end, distance in every_fit(index.words[i], w.hashes[a:b], int(index.edits[i])):
             base = a - int(w.first[d])
-            out.append((d, i, base + found[0], base + found[1], found[2]))
+            out.append((d, i, base + first, base + end, distance))
     return out
 
 

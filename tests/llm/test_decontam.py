@@ -1,10 +1,14 @@
 import random
+import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strataquarry.llm import decontam
+from strataquarry.llm import words as W
 
 from .fixtures import prose
 
@@ -150,3 +154,56 @@ def test_long_texts_repeats_ties_and_clashing_columns(spark):
     assert sorted((r.doc_id, len(r._leaks)) for r in got.collect()) == [(1, 2), (1, 2), (2, 0), (3, 0)]
     kept = decontam.mark_leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string"), into="found")
     assert sorted(r._leaks or 0 for r in kept.collect()) == [0, 5, 5, 6]
+
+
+def chunk(text):
+    buf, docs = W.buffers(pa.array([text]))
+    return W.split(W.FOLD[buf], docs)
+
+
+def test_every_copy_of_an_item_is_a_leak():
+    """Two and three copies in a row, some words apart, one of them edited; all are reported, in order and without overlap."""
+    rng = random.Random(6)
+    item = [f"i{rng.randrange(300)}" for _ in range(40)]
+    index = decontam.build([(5, " ".join(item))], 0.8, 8)
+    other = list(item)
+    other[7] = other[20] = "changed"
+    for apart in (0, 1, 3, 20, 80):
+        gap = [f"g{rng.randrange(9999)}" for _ in range(apart)]
+        for parts in ([item, item], [item, other], [other, item, item]):
+            words = [f"a{i}" for i in range(15)]
+            want = []
+            for p in parts:
+                want.append((len(words), len(words) + 40, 2 if p is other else 0))
+                words += p + gap
+            found = decontam.find(index, chunk(" ".join(words)))
+            assert [x[2:] for x in sorted(found, key=lambda x: x[2])] == want, (apart, len(parts))
+
+
+def zipf_words(rng, n, vocabulary, power=1.0):
+    weights = 1 / np.arange(1, vocabulary + 1) ** power
+    return [f"z{x}" for x in rng.choice(vocabulary, n, p=weights / weights.sum())]
+
+
+def test_many_items_of_common_words():
+    """20,000 items over words by 1/rank, and some where a quarter of all words are one: cost follows what meets, and each planted leak is found."""
+    rng = np.random.default_rng(4)
+    items = [zipf_words(rng, 50, 20_000) for _ in range(20_000)]
+    items[:200] = [[w if rng.random() > 0.25 else "the" for w in x] for x in items[:200]]
+    text, want = [], set()
+    for k in range(60):
+        leak = list(items[k * 3])
+        for at in rng.choice(50, k % 9, replace=False):
+            leak[at] = f"edit{k}"
+        want.add(k * 3)
+        text += ["the" if rng.random() < 0.25 else w for w in zipf_words(rng, 3000, 20_000)] + leak
+    began = time.perf_counter()
+    index = decontam.build([(i, " ".join(x)) for i, x in enumerate(items)], 0.8, 8)
+    built = time.perf_counter() - began
+    w = chunk(" ".join(text))
+    tracemalloc.start()
+    found = decontam.find(index, w)
+    peak, took = tracemalloc.get_traced_memory()[1], time.perf_counter() - began - built
+    tracemalloc.stop()
+    assert {x[1] for x in found} >= want and len(found) < 2 * len(want)
+    assert peak < 1 << 30 and took < 120, (peak, took, built)
