@@ -1,16 +1,20 @@
 """Personal data: seed entities, lexical patterns induced from them, and identifiers that confident patterns discover.
 
-One pass over the texts finds the base entities (email, ip, card, phone), secrets that stand behind a name for such (`token =
-"..."`), and every other string that looks like an identifier: a token with '@', with four digits, or long and of letters and
-digits; groups of digits joined by blanks, dots, hyphens or brackets are one string. Each comes with its lexical patterns:
-the word before it with the signs up to it, this with the value's shape, the one and the two tokens before, and the token
-before with the one after. What follows works on these few rows only.
-
-Patterns and instances (distinct values, lower case) form a bipartite graph that Spark scores in rounds. The confidence of a
-pattern for a kind is the sum of its instances' scores over their number (plus `smoothing`); an instance's score is that of
-its best pattern, and seeds keep 1. A pattern needs `min_seeds` distinct instances of at least `min_score` to count in a
-round, so values discovered in one round induce patterns in the next. Instances that end at `min_score` or more are added as
-spans of that kind, and so is every further place of a seed's value; base spans stay.
+One pass over the texts finds the base entities (email, ip, card, phone) and every other string that looks like an identifier: a
+token with '@', with four digits, or long and of letters and digits; groups of digits joined by blanks, dots, hyphens or
+brackets are one string. Each comes with its lexical patterns: the word before it with the signs up to it, this with the value's
+shape, the one and the two tokens before, and the token before with the one after. What follows works on these few rows only.
+
+Seeds are the base entities of all texts and labelled values. Secrets have no form of their own, so their seeds are labelled
+ones only: one text in `labelled` (by its checksum) is read by a labeller, which marks values behind a name for such (`token =
+"..."`), and `seeds` may add more. In all other texts a secret is found through patterns or not at all.
+
+Patterns and instances (distinct values, lower case) form a bipartite graph that Spark scores in rounds, to a fixed point. The
+confidence of a pattern for a base kind is the sum of its instances' scores over their number (plus `smoothing`); for secrets, of
+which unlabelled texts say nothing, only instances in labelled texts and those that are sure count. An instance's score is that
+of its best pattern, and seeds keep 1. A pattern needs `min_seeds` distinct instances of at least `min_score` to count in a
+round, so values discovered in one round induce patterns in the next; what is sure stays sure. Instances that end at `min_score`
+or more are added as spans of that kind, and so is every further place of a seed's value; base spans stay.
 
 Base matching follows the patterns literally (leftmost, non-overlapping per kind, failing matches dropped without
 retries) but walks from anchors, so a long run of one class costs linear time. Offsets are code points, ends exclusive.
@@ -26,6 +30,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -46,7 +51,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LIKELY = re.compile(r"[0-9@]")
-#: Names whose values seed the kind `secret`.
+#: What the labeller of secrets marks, in labelled texts only.
 _SECRET = re.compile(r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?[ ]{0,2}[:=]{1,2}[ ]{0,2}[\"']?([A-Za-z0-9+/_.-]{8,}+)")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _GROUPS = re.compile(r"(?<![0-9])[+(]?[0-9]++(?:[ .()-]{1,2}[0-9]++)+")
@@ -55,9 +60,11 @@ _LAST_WORD = re.compile(r"[^\W_]+[\W_]*$")
 _LETTER = re.compile(r"[A-Za-z]")
 _EDGE = "\"'()[]{}<>,;:!?.*#$%&|="
 _LONG, _PATTERN = 12, 64
-FOUND = "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base array<struct<start:int,kind:int,end:int>>, marks array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>"
+#: One text in so many is labelled.
+LABELLED = 4
+FOUND = "row long, doc_id long, labelled boolean, n_email long, n_ip long, n_card long, n_phone long, base array<struct<start:int,kind:int,end:int>>, marks array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>"
 _FOUND = pa.schema([
-    ("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in BASE),
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("labelled", pa.bool_()), *((f"n_{k}", pa.int64()) for k in BASE),
     ("base", pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))),
     ("marks", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))),
 ])
@@ -141,7 +148,11 @@ def patterns(text: str, a: int, b: int) -> list[str]:
     left = [t.strip(_EDGE).lower() or t for t in _side(text, a, -1)]
     after = [t.strip(_EDGE).lower() or t for t in _side(text, b, 1)]
     out = []
-    label = _LAST_WORD.search(text, max(0, a - 40), a)
+    n = 64
+    label = _LAST_WORD.search(text, max(0, a - n), a)
+    while n < a and (label is None or label.start() == a - n):  # a word or signs that begin further off
+        n *= 8
+        label = _LAST_WORD.search(text, max(0, a - n), a)
     if label:
         sign = " ".join(label[0].lower().split(" "))
         out += [f"p:{sign}", f"s:{sign}{shape(text[a:b])}"]
@@ -169,13 +180,17 @@ def _loose(text: str) -> Iterator[tuple[int, int]]:
             yield a, b
 
 
-def marks(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Base entities, named secrets and other strings that look like identifiers, with their patterns. Later ones do not overlap earlier ones."""
+def labelled_text(text: str, share: int = LABELLED) -> bool:
+    return zlib.crc32(text.encode()) % share == 0
+
+
+def marks(text: str, base: list[tuple[int, int, int]], labelled: bool) -> list[dict]:
+    """Base entities, in a labelled text named secrets, and other strings that look like identifiers, with their patterns. Later ones do not overlap earlier ones."""
     if not _LIKELY.search(text):
         return []
     taken = sorted((a, b) for a, _, b in base)
     found = [(a, b, k) for a, k, b in base]
-    for spans in ([(*m.span(1), SECRET) for m in _SECRET.finditer(text)], [(a, b, None) for a, b in _loose(text)]):
+    for spans in ([(*m.span(1), SECRET) for m in _SECRET.finditer(text)] if labelled else [], [(a, b, None) for a, b in _loose(text)]):
         starts, new = [a for a, _ in taken], []
         reach = list(accumulate((b for _, b in taken), max))
         for a, b, kind in spans:
@@ -194,35 +209,48 @@ def marks(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     return [{"start": a, "end": b, "kind": k, "value": text[a:b].lower(), "patterns": patterns(text, a, b)} for a, b, k in found]
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 33
-    for batch in batches:
-        out = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            base = base_spans(text := text.as_py() or "")
-            counts = {f"n_{name}": sum(k == i for _, k, _ in base) for i, name in enumerate(BASE)}
-            out.append({"row": row, "doc_id": doc_id, **counts, "base": [{"start": a, "kind": k, "end": b} for a, k, b in base], "marks": marks(text, base)})
-            row += 1
-        yield pa.RecordBatch.from_pylist(out, schema=_FOUND)
-
-
-def induce(found: DataFrame, rounds: int = 3, min_seeds: int = 5, min_score: float = 0.9, smoothing: float = 0.25) -> DataFrame:
-    """(value, kind) of seeds and of what confident patterns discover in found(marks)."""
-    marked = found.select(F.explode("marks").alias("m")).select("m.*")
-    seeds = cut(marked.where("kind is not null").select("value", "kind").distinct())
-    edges = cut(marked.select("value", F.explode("patterns").alias("pattern")).distinct())
+def _scanner(labelled: int):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            out = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                base = base_spans(text := text.as_py() or "")
+                counts = {f"n_{name}": sum(k == i for _, k, _ in base) for i, name in enumerate(BASE)}
+                sure = bool(labelled) and labelled_text(text, labelled)
+                out.append({"row": row, "doc_id": doc_id, "labelled": sure, **counts, "base": [{"start": a, "kind": k, "end": b} for a, k, b in base], "marks": marks(text, base, sure)})
+                row += 1
+            yield pa.RecordBatch.from_pylist(out, schema=_FOUND)
+
+    return scan
+
+
+def induce(found: DataFrame, rounds: int | None = None, min_seeds: int = 5, min_score: float = 0.9, smoothing: float = 0.25, seeds: DataFrame | None = None) -> DataFrame:
+    """(value, kind) of seeds and of what confident patterns discover in found(labelled, marks), after `rounds` or at the fixed point."""
+    marked = found.select("labelled", F.explode("marks").alias("m")).select("labelled", "m.*")
+    known = marked.where("kind is not null").select("value", "kind")
+    sown = cut((known if seeds is None else known.unionByName(seeds.select(F.lower("value").alias("value"), F.col("kind").cast("int").alias("kind")))).distinct())
+    edges = cut(marked.select("value", "labelled", F.explode("patterns").alias("pattern")).groupBy("value", "pattern").agg(F.max("labelled").alias("labelled")))
     # an instance or a pattern that meets no seed in any number of rounds needs no score; those that do stay few
-    total = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    score = seeds.withColumn("score", F.lit(1.0))
-    for _ in range(rounds):
-        sure = F.sum(F.when(F.col("score") >= min_score, 1).otherwise(0))
-        known = splittable(edges, score.hint("merge"), ["value"]).groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), sure.alias("sure")).where(F.col("sure") >= min_seeds)
-        confident = known.join(total.hint("merge"), "pattern").select("pattern", "kind", (F.col("sum") / (F.col("n") + smoothing)).alias("score"))
+    total = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if("labelled").alias("n_labelled"))
+    score, done, before = sown.withColumn("score", F.lit(1.0)), 0, -1
+    while rounds is None or done < rounds:
+        is_sure = F.col("score") >= min_score
+        counts = F.col("labelled") | is_sure
+        sums = [F.sum("score").alias("sum"), F.count_if(is_sure).alias("sure"), F.sum(F.when(counts, F.col("score")).otherwise(0.0)).alias("own"), F.count_if(is_sure & ~F.col("labelled")).alias("more")]
+        met = splittable(edges, score.hint("merge"), ["value"]).groupBy("pattern", "kind").agg(*sums).where(F.col("sure") >= min_seeds)
+        confidence = F.when(F.col("kind") == SECRET, F.col("own") / (F.col("n_labelled") + F.col("more") + smoothing)).otherwise(F.col("sum") / (F.col("n") + smoothing))
+        confident = met.join(total.hint("merge"), "pattern").select("pattern", "kind", confidence.alias("score"))
         lifted = splittable(edges, confident.hint("merge"), ["pattern"]).select("value", "kind", "score")
-        last, score = score, cut(lifted.unionByName(seeds.withColumn("score", F.lit(1.0))).groupBy("value", "kind").agg(F.max("score").alias("score")))
+        last, score = score, cut(lifted.unionByName(sown.withColumn("score", F.lit(1.0))).groupBy("value", "kind").agg(F.max("score").alias("score")))
         if hasattr(last, "_cut"):
             forget(last)
-    forget(edges, seeds)
+        sure = score.where(F.col("score") >= min_score).count()
+        done += 1
+        if sure == before:
+            break
+        before = sure
+    forget(edges, sown)
     return score.where(F.col("score") >= min_score).groupBy("value").agg(F.min_by("kind", F.struct(-F.col("score"), "kind")).alias("kind"))
 
 
@@ -231,11 +259,13 @@ def _joined(spans):
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_personal_data(documents: DataFrame, rounds: int = 3, min_seeds: int = 5, min_score: float = 0.9) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans of every row of documents(doc_id, text)."""
+def find_personal_data(documents: DataFrame, rounds: int | None = None, min_seeds: int = 5, min_score: float = 0.9, labelled: int = LABELLED, seeds: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans of every row of documents(doc_id, text).
+
+    One text in `labelled` is labelled (0: none); seeds(value, kind), kind a place in KINDS, are further labelled values."""
     small_batches(documents.sparkSession)
-    found = cut(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, FOUND))
-    new = induce(found, rounds, min_seeds, min_score)
+    found = cut(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scanner(labelled), FOUND))
+    new = induce(found, rounds, min_seeds, min_score, seeds=seeds)
     loose = found.select("row", F.explode("marks").alias("m")).where(f"m.kind is null or m.kind = {SECRET}").select("row", "m.start", "m.end", "m.value")
     more = splittable(loose, new.hint("merge"), ["value"]).groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
     counts = [f"n_{k}" for k in BASE]

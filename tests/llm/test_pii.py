@@ -1,4 +1,5 @@
 import re
+import zlib
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -42,35 +43,50 @@ def test_empty_table_and_repeated_rows(spark):
     assert pii.find_personal_data(df.where("false")).count() == 0
 
 
-def brute_graph(texts, rounds=3, min_seeds=5, min_score=0.9, smoothing=0.25):
+def marked(texts, is_labelled=pii.labelled_text):
+    """(labelled, marks) of each text, as the scan gives them."""
+    return [(lab := is_labelled(t or ""), pii.marks(t or "", pii.base_spans(t or ""), lab)) for t in texts]
+
+
+def brute_graph(rows, rounds=None, min_seeds=5, min_score=0.9, smoothing=0.25):
     """Scores of the pattern-instance graph by plain loops: value -> kind of all that end sure."""
-    patterns_of, seeds = defaultdict(set), set()
-    for t in texts:
-        for m in pii.marks(t or "", pii.base_spans(t or "")):
-            patterns_of[m["value"]].update(m["patterns"])
+    instances, sure_label, seeds = defaultdict(set), set(), set()
+    for lab, marks in rows:
+        for m in marks:
+            for p in m["patterns"]:
+                instances[p].add(m["value"])
+                if lab:
+                    sure_label.add((p, m["value"]))
             if m["kind"] is not None:
                 seeds.add((m["value"], m["kind"]))
-    instances = defaultdict(set)
-    for v, ps in patterns_of.items():
-        for p in ps:
-            instances[p].add(v)
-    score = dict.fromkeys(seeds, 1.0)
-    for _ in range(rounds):
+    score, done, before = dict.fromkeys(seeds, 1.0), 0, -1
+    while rounds is None or done < rounds:
         new = dict.fromkeys(seeds, 1.0)
         for p, values in instances.items():
             for kind in range(len(pii.KINDS)):
-                own = [score[v, kind] for v in values if (v, kind) in score]
-                if sum(x >= min_score for x in own) >= min_seeds:
-                    for v in values:
-                        new[v, kind] = max(new.get((v, kind), 0.0), sum(own) / (len(values) + smoothing))
-        score = new
+                own = {v: score[v, kind] for v in values if (v, kind) in score}
+                if sum(x >= min_score for x in own.values()) < min_seeds:
+                    continue
+                if kind == pii.SECRET:
+                    counted = {v: x for v, x in own.items() if x >= min_score or (p, v) in sure_label}
+                    total = len({v for v in values if (p, v) in sure_label} | {v for v, x in own.items() if x >= min_score})
+                    confidence = sum(counted.values()) / (total + smoothing)
+                else:
+                    confidence = sum(own.values()) / (len(values) + smoothing)
+                for v in values:
+                    new[v, kind] = max(new.get((v, kind), 0.0), confidence)
+        score, done = new, done + 1
+        sure = sum(x >= min_score for x in score.values())
+        if sure == before:
+            break
+        before = sure
     return {v: min((-s, k) for (w, k), s in score.items() if w == v and s >= min_score)[1] for v in {v for (v, _), s in score.items() if s >= min_score}}
 
 
 def labelled():
     """Labelled identifiers that no base pattern matches, a second label reached only through values found by the first, and decoys."""
     data = [f"Call tel.: +33 6 12 34 56 {i} now" for i in range(10, 40)] + ["Call tel.: 06 12 34 56 78 now", "Call tel.: (030) 555-1234 now"]
-    data += [f'set api_key = "k{i}Zq90x{i * 7}pLm" here' for i in range(20)] + [f'then auth <<k{i}Zq90x{i * 7}pLm>> there' for i in range(8)] + ["then auth <<zz81Qm55Lw0t>> there"]
+    data += [f'set api_key = "k{i}Zq90x{i * 7}pLm" here' for i in range(60)] + [f"then auth <<k{i}Zq90x{i * 7}pLm>> there" for i in range(40)] + ["then auth <<zz81Qm55Lw0t>> there"]
     data += [f"order number 55 10 20 30 {i} shipped" for i in range(10, 30)] + ["version 1.2.3.456 of it", None, "", "see page 12345"]
     return data
 
@@ -78,11 +94,41 @@ def labelled():
 def test_graph_equals_brute_force(spark):
     texts = labelled()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = df.mapInArrow(pii._scan, pii.FOUND)
-    for rounds in (1, 2, 3):
+    found = df.mapInArrow(pii._scanner(pii.LABELLED), pii.FOUND)
+    for rounds in (1, 2, None):
         got = {r.value: r.kind for r in pii.induce(found, rounds).collect()}
-        assert got == brute_graph(texts, rounds)
-    assert "zz81qm55lw0t" not in brute_graph(texts, 1) and brute_graph(texts, 3)["zz81qm55lw0t"] == pii.SECRET
+        assert got == brute_graph(marked(texts), rounds)
+    assert "zz81qm55lw0t" not in brute_graph(marked(texts), 1) and brute_graph(marked(texts))["zz81qm55lw0t"] == pii.SECRET
+
+
+def test_secrets_come_back_without_a_third_of_their_seeds(spark):
+    """Only labelled texts see the labeller. With a third of them unlabelled every secret is still found, by its patterns, and no decoy."""
+    texts = [f'cfg token = "{zlib.crc32(str(i).encode()):08x}{i:04d}a7" end' for i in range(200)] + [f"build number {i:04d}77{i:06d} ok" for i in range(200)]
+    secret = {t.split('"')[1] for t in texts if "token" in t}
+    third = lambda t: pii.labelled_text(t) and zlib.crc32(t.encode()) // pii.LABELLED % 3 > 0
+    for is_labelled in (pii.labelled_text, third):
+        rows = marked(texts, is_labelled)
+        seeds = {m["value"] for _, marks in rows for m in marks if m["kind"] == pii.SECRET}
+        assert 5 < len(seeds) < 80
+        found = spark.createDataFrame(rows, "labelled boolean, marks array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>")
+        assert {r.value for r in pii.induce(found).where(f"kind = {pii.SECRET}").collect()} == secret
+    dropped = {m["value"] for (_, marks), (lab, _) in zip(marked(texts), marked(texts, third), strict=True) if not lab for m in marks if m["kind"] == pii.SECRET}
+    assert dropped and dropped <= secret
+
+
+def test_given_seeds(spark):
+    """Labelled values from outside, without any labelled text of their own."""
+    rows = marked([f"uid is q{i:05d}w7 ok" for i in range(30)], lambda t: False)
+    found = spark.createDataFrame(rows, "labelled boolean, marks array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>")
+    assert pii.induce(found).count() == 0
+    some = spark.createDataFrame([(f"Q{i:05d}W7", pii.SECRET) for i in range(10)], "value string, kind int")
+    assert {r.value for r in pii.induce(found, seeds=some).collect()} == {f"q{i:05d}w7" for i in range(30)}
+
+
+def test_labels_are_found_however_far_off():
+    far = "Account" + " " * 500 + "12345678"
+    assert any(p.startswith("p:") for p in pii.patterns(far, far.index("1"), len(far)))
+    assert [p for p in pii.patterns("x" * 5000 + ": 12345678", 5002, 5010) if p.startswith("p:")] != []
 
 
 def test_spaced_numbers_secrets_and_decoys(spark):
