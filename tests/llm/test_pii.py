@@ -103,7 +103,7 @@ def test_graph_equals_brute_force(spark):
 
 def test_secrets_come_back_without_a_third_of_their_seeds(spark):
     """Only labelled texts see the labeller. With a third of them unlabelled every secret is still found, by its patterns, and no decoy."""
-    texts = [f'cfg token = "{zlib.crc32(str(i).encode()):08x}{i:04d}a7" end' for i in range(200)] + [f"build number {i:04d}77{i:06d} ok" for i in range(200)]
+    texts = [f'cfg token = "k{zlib.crc32(str(i).encode()):08x}z{i:04d}a7" end' for i in range(200)] + [f"build number {i:04d}77{i:06d} ok" for i in range(200)]
     secret = {t.split('"')[1] for t in texts if "token" in t}
     third = lambda t: pii.labelled_text(t) and zlib.crc32(t.encode()) // pii.LABELLED % 3 > 0
     for is_labelled in (pii.labelled_text, third):
