@@ -56,7 +56,7 @@ _SECRET = re.compile(r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _GROUPS = re.compile(r"(?<![0-9])[+(]?[0-9]++(?:[ .()-]{1,2}[0-9]++)+")
 _DIGITS = re.compile(r"[0-9]")
-_LAST_WORD = re.compile(r"[^\W_]+[\W_]*$")
+_WORD = re.compile(r"[^\W_]+")
 _LETTER = re.compile(r"[A-Za-z]")
 _EDGE = "\"'()[]{}<>,;:!?.*#$%&|="
 _LONG, _PATTERN = 12, 64
@@ -143,18 +143,27 @@ def shape(value: str) -> str:
     return "".join(out) if len(out) <= 8 else f"*{len(value).bit_length()}"
 
 
-def patterns(text: str, a: int, b: int) -> list[str]:
-    """Lexical patterns of text[a:b], lower case."""
+def _brief(text: str, a: int, b: int) -> str:
+    """text[a:b], or where that is long how long it is and its end: constant work for any mark."""
+    return text[a:b] if b - a <= _PATTERN else f"~{(b - a).bit_length()}{text[b - 8 : b]}"
+
+
+def word_bounds(text: str) -> tuple[list[int], list[int]]:
+    """Where runs of letters and digits begin and end."""
+    found = [m.span() for m in _WORD.finditer(text)]
+    return [a for a, _ in found], [b for _, b in found]
+
+
+def patterns(text: str, a: int, b: int, words: tuple[list[int], list[int]] | None = None) -> list[str]:
+    """Lexical patterns of text[a:b], lower case; signs that part it by far from the word before it count by how far, and their last ones."""
     left = [t.strip(_EDGE).lower() or t for t in _side(text, a, -1)]
     after = [t.strip(_EDGE).lower() or t for t in _side(text, b, 1)]
     out = []
-    n = 64
-    label = _LAST_WORD.search(text, max(0, a - n), a)
-    while n < a and (label is None or label.start() == a - n):  # a word or signs that begin further off
-        n *= 8
-        label = _LAST_WORD.search(text, max(0, a - n), a)
-    if label:
-        sign = " ".join(label[0].lower().split(" "))
+    starts, ends = words if words else word_bounds(text)
+    i = bisect.bisect_left(starts, a) - 1  # the last word that begins before the value, and its part before it
+    if i >= 0:
+        end = min(ends[i], a)
+        sign = (_brief(text, starts[i], end) + _brief(text, end, a)).lower()
         out += [f"p:{sign}", f"s:{sign}{shape(text[a:b])}"]
     if left:
         out.append(f"1:{left[-1]}")
@@ -206,7 +215,8 @@ def marks(text: str, base: list[tuple[int, int, int]], labelled: bool) -> list[d
                 kept[-1] = x  # the longer of two that overlap
         found += kept
         taken = sorted(taken + [x[:2] for x in kept])
-    return [{"start": a, "end": b, "kind": k, "value": text[a:b].lower(), "patterns": patterns(text, a, b)} for a, b, k in found]
+    words = word_bounds(text) if found else None
+    return [{"start": a, "end": b, "kind": k, "value": text[a:b].lower(), "patterns": patterns(text, a, b, words)} for a, b, k in found]
 
 
 def _scanner(labelled: int):
@@ -240,7 +250,7 @@ def induce(found: DataFrame, rounds: int | None = None, min_seeds: int = 5, min_
         sums = [F.sum("score").alias("sum"), F.count_if(is_sure).alias("sure"), F.sum(F.when(counts, F.col("score")).otherwise(0.0)).alias("own"), F.count_if(is_sure & ~F.col("labelled")).alias("more")]
         met = splittable(edges, score.hint("merge"), ["value"]).groupBy("pattern", "kind").agg(*sums).where(F.col("sure") >= min_seeds)
         confidence = F.when(F.col("kind") == SECRET, F.col("own") / (F.col("n_labelled") + F.col("more") + smoothing)).otherwise(F.col("sum") / (F.col("n") + smoothing))
-        confident = met.join(total.hint("merge"), "pattern").select("pattern", "kind", confidence.alias("score"))
+        confident = met.join(total.hint("merge"), "pattern").select("pattern", "kind", F.round(confidence, 9).alias("score"))  # sums of doubles in any order are equal
         lifted = splittable(edges, confident.hint("merge"), ["pattern"]).select("value", "kind", "score")
         last, score = score, cut(lifted.unionByName(sown.withColumn("score", F.lit(1.0))).groupBy("value", "kind").agg(F.max("score").alias("score")))
         if hasattr(last, "_cut"):

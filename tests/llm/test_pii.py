@@ -74,7 +74,7 @@ def brute_graph(rows, rounds=None, min_seeds=5, min_score=0.9, smoothing=0.25):
                 else:
                     confidence = sum(own.values()) / (len(values) + smoothing)
                 for v in values:
-                    new[v, kind] = max(new.get((v, kind), 0.0), confidence)
+                    new[v, kind] = max(new.get((v, kind), 0.0), round(confidence, 9))
         score, done = new, done + 1
         sure = sum(x >= min_score for x in score.values())
         if sure == before:
