@@ -1,7 +1,7 @@
 """Vectorised words over Arrow string buffers.
 
 A word is a maximal run of bytes other than space and \\t \\n \\v \\f \\r, so words of UTF-8 text equal matches of
-``[^\\x20\\x09-\\x0D]+``. Everything here is numpy over whole batches; nothing loops over words in Python.
+``[^\\x20\\x09-\\x0D]+``. Everything here is numpy over whole batches.
 """
 
 from __future__ import annotations
