@@ -107,6 +107,8 @@ def index(pairs: tuple[tuple[str, str], ...], k: int = K, spread: int = SPREAD,
 
 def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """(matched words, first, end) of the longest common subsequence whose matches lie on diagonals low..high (text - template)."""
+    if not len(text):
+        return 0, -1, -1
     kinds, rank = np.unique(text, return_inverse=True)
     wide = len(text) + 1
     keys = np.sort(rank * wide + np.arange(len(text)))
