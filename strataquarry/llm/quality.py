@@ -1,12 +1,15 @@
 """Quality rules: hand rules of repetition and length, then a hashed n-gram log-likelihood ratio.
 
 Word unigrams and bigrams hash into as many buckets as the documents have distinct ones (by a sketch; the next power of two,
-2^20 at least). Two smoothed multinomials are counted: one over trusted documents (label quality = 1; a bounded sample,
+from 2^20 to 2^26). Two smoothed multinomials are counted: one over trusted documents (label quality = 1; a bounded sample,
 `max_trusted` ids by hash order), one over every document. A document's score is the mean log ratio of its n-grams, so
 length cancels, and every document is held against one fixed threshold.
 
-Counts meet in slices of the hash space, distributed. Up to `PART` buckets the log ratios travel to the workers at once;
-a larger table goes part by part, one pass over the texts each, and the sums of equal texts join back.
+Both models are put in counts of the trusted sample before they are smoothed, and that sample is bounded. So a bucket's ratio
+tends to a fixed value as the table grows, rare words that the sample lacks say as little of a large table as of a small one,
+and n-grams that share a bucket add no more than the sample's n-grams divided by the buckets. Counts meet in slices of the
+hash space, distributed; the log ratios (2 bytes a bucket, 128 MB at most) travel to the workers at once, and every table is
+read three times: for its size, its counts and its verdicts.
 
 Defined results: null or empty text fails the rules; a document without n-grams scores 0; a score equal to the threshold is
 kept; without any trusted document every score is 0, so the rules alone decide; texts of any length are read whole; repeated
@@ -18,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,23 +28,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import cut, small_batches, splittable, text_key, unused
+from .runtime import cut, small_batches
 
-LEAST_BUCKETS = 1 << 20
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 20, 1 << 26
 #: Buckets whose counts meet in one task.
 SLICE = 1 << 16
-#: Buckets whose log ratios (2 bytes each) a worker holds at once.
-PART = 1 << 26
 _SKETCH = 4096
 _PENDING = 4_000_000
 #: N-grams counted before their counts leave a task; well within 31 bits.
 _MOST_GRAMS = 1 << 29
 _COUNT, _TRUSTED = np.uint64((1 << 24) - 1), np.uint64(1 << 24)
 MAX_TRUSTED = 20_000
-#: Counts lent to every bucket in proportion to both models' sizes: a bucket that neither knows says nothing.
-SMOOTHING = 10.0
+#: Counts lent to every bucket of both models, in counts of the trusted sample: a bucket that neither knows says nothing.
+SMOOTHING = 3.0
 #: Mean log ratio below which a document is rejected; set by labelled good and junk documents together (README).
-MIN_SCORE = -0.2
+MIN_SCORE = -0.3
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"[#*$%&|<>]"[1:-1])] = True
 _GRAM = 5
@@ -87,11 +87,9 @@ def base_counts(buf: np.ndarray, docs: np.ndarray, w: W.Words) -> tuple[np.ndarr
 
 @dataclass
 class Model:
-    """Log ratios of the buckets lo : lo + len(ratio), of all `buckets`; what every n-gram of a document adds besides."""
+    """Log ratio of every bucket; what every n-gram of a document adds besides."""
 
     ratio: np.ndarray
-    buckets: int
-    lo: int
     shift: float
 
 
@@ -127,7 +125,7 @@ def _size(marked: DataFrame) -> tuple[int, int, int]:
     raw, target = found.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
     least = [r.h for r in found.select(F.explode("least").alias("h")).distinct().orderBy("h").limit(_SKETCH).collect()]
     distinct = len(least) if len(least) < _SKETCH else (_SKETCH - 1) * 2**63 / least[-1]
-    return max(LEAST_BUCKETS, 1 << int(np.ceil(np.log2(max(distinct, 1))))), raw, target
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << int(np.ceil(np.log2(max(distinct, 1)))))), raw, target
 
 
 def _packed(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -179,111 +177,69 @@ def _ratios(share: float) -> Callable[[pa.Table], pa.Table]:
             target[at] += t
         used = int((raw > 0).sum())
         raw = np.maximum(raw - 1, 0)  # a document that is scored has been counted itself
-        ratio = np.log(target / share + SMOOTHING) - np.log(raw + SMOOTHING)
+        ratio = np.log(target + SMOOTHING) - np.log(raw * share + SMOOTHING)
         return pa.table({"slice": rows.column("slice")[:1], "used": pa.array([used]), "ratio": pa.array([ratio.astype(np.float16).tobytes()], pa.binary())})
 
     return run
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> Iterator[Model]:
-    """The model in parts of at most PART buckets; one part reaches the driver at a time."""
+def fit(documents: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> Model:
     small_batches(documents.sparkSession)
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("tid")).distinct().orderBy(F.xxhash64("tid"), "tid").limit(max_trusted)
     marked = documents.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("tid"), "left").select("text", F.col("tid").isNotNull().alias("trusted"))
     buckets, raw, target = _size(marked)
     if not target:
-        yield Model(np.zeros(1, np.float16), 1, 0, 0.0)
-        return
+        return Model(np.zeros(1, np.float16), 0.0)
+    share = target / raw
     counts = marked.mapInArrow(_count(buckets), "slice long, place array<short>, raw array<int>, target array<int>")
-    table = cut(counts.groupBy("slice").applyInArrow(_ratios(target / raw), "slice long, used long, ratio binary"))
+    table = cut(counts.groupBy("slice").applyInArrow(_ratios(share), "slice long, used long, ratio binary"))
     used = table.agg(F.sum("used")).first()[0]
-    shift = float(np.log((raw - used + SMOOTHING * buckets) / (raw + SMOOTHING * buckets)))
-    for lo in range(0, buckets, PART):
-        size = min(PART, buckets)
-        ratio = np.zeros(size, np.float16)
-        for row in table.where(F.col("slice").between(lo // SLICE, (lo + size - 1) // SLICE)).select("slice", "ratio").toLocalIterator():
-            at = row.slice * SLICE - lo
-            ratio[at : at + SLICE] = np.frombuffer(row.ratio, np.float16)
-        yield Model(ratio, buckets, lo, shift)
-
-
-def sums(w: W.Words, model: Model) -> np.ndarray:
-    """Sum of the log ratios of each document's n-grams that lie in this part of the model."""
-    doc, hashes = features(w)
-    at = (hashes & np.uint64(model.buckets - 1)).astype(np.int64) - model.lo
-    if len(model.ratio) < model.buckets:
-        inside = (at >= 0) & (at < len(model.ratio))
-        doc, at = doc[inside], at[inside]
-    return np.bincount(doc, model.ratio[at].astype(float), len(w.docs) - 1)
+    ratio = np.zeros(buckets, np.float16)
+    for row in table.select("slice", "ratio").toLocalIterator():
+        ratio[row.slice * SLICE : (row.slice + 1) * SLICE] = np.frombuffer(row.ratio, np.float16)
+    return Model(ratio, float(np.log(((raw - used) * share + SMOOTHING * buckets) / (target + SMOOTHING * buckets))))
 
 
-def scores(w: W.Words, total: np.ndarray, shift: float) -> np.ndarray:
+def scores(w: W.Words, model: Model) -> np.ndarray:
+    """Mean log ratio of each document's n-grams."""
+    doc, hashes = features(w)
+    total = np.bincount(doc, model.ratio[hashes & np.uint64(len(model.ratio) - 1)].astype(float), len(w.docs) - 1)
     n = w.counts() + np.maximum(w.counts() - 1, 0)
-    return np.where(n > 0, total / np.maximum(n, 1) + shift, 0.0)
-
-
-def _summed(documents: DataFrame, model: Model) -> DataFrame:
-    """(_key, total) of each text over one part of the model."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, buf, docs in W.pieces(batch):
-                yield pa.record_batch([part.column(0), pa.array(sums(W.split(buf, docs), model))], names=["_key", "total"])
-
-    found = documents.select(text_key().alias("_key"), "text").mapInArrow(run, "_key binary, total double")
-    return cut(found.groupBy("_key").agg(F.first("total").alias("total")))
-
-
-def _with_model(documents: DataFrame, labels: DataFrame, max_trusted: int, total: str) -> tuple[DataFrame, Model]:
-    """The model where it is one part; else the documents with `total`, summed part by part, and the last part."""
-    parts, found = fit(documents, labels, max_trusted), []
-    for model in parts:
-        if len(model.ratio) == model.buckets:
-            return documents, model
-        found.append(_summed(documents, model))
-    (key,) = unused(documents, "key")
-    added = reduce(DataFrame.unionAll, found).groupBy("_key").agg(F.sum("total").alias("sum")).toDF(key, total)
-    model.ratio = model.ratio[:0]
-    return splittable(documents.withColumn(key, text_key()), added, [key], "left").drop(key), model
+    return np.where(n > 0, total / np.maximum(n, 1) + model.shift, 0.0)
 
 
-def judge(part: pa.RecordBatch, buf: np.ndarray, docs: np.ndarray, model: Model, threshold: float, total: str) -> list[pa.Array]:
+def judge(buf: np.ndarray, docs: np.ndarray, model: Model, threshold: float) -> list[pa.Array]:
     w = W.split(buf, docs)
-    at = part.schema.get_field_index(total)
-    added = sums(w, model) if at < 0 else part.column(at).to_numpy(zero_copy_only=False)
     chars, symbols, dup, repeat = base_counts(buf, docs, w)
     n = w.counts()
     failed = (n < 10) | (100 * repeat > 20 * n)
-    score = scores(w, added, model.shift)
+    score = scores(w, model)
     return [pa.array(x) for x in (n, chars, symbols, dup, repeat, failed, score, ~failed & (score >= threshold))]
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, threshold: float = MIN_SCORE, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """One verdict a row of documents(doc_id, text)."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored, model = _with_model(documents, labels, max_trusted, "total")
+    model = fit(documents, labels, max_trusted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, docs in W.pieces(batch):
-                yield pa.record_batch([part.column(0), *judge(part, buf, docs, model, threshold, "total")], names=[x.split()[0] for x in VERDICT.split(", ")])
+                yield pa.record_batch([part.column(0), *judge(buf, docs, model, threshold)], names=[x.split()[0] for x in VERDICT.split(", ")])
 
-    return scored.mapInArrow(run, VERDICT)
+    return documents.mapInArrow(run, VERDICT)
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = MIN_SCORE, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """The rows of documents that pass, all columns as they came."""
-    (total,) = unused(documents, "total")
-    scored, model = _with_model(documents, labels, max_trusted, total)
-    names, schema = documents.columns, documents.schema
-    wanted = ["text", *scored.columns[len(names) :]]
+    model = fit(documents, labels, max_trusted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
-            for part, buf, docs in W.pieces(batch.select(wanted)):
-                kept = judge(part, buf, docs, model, threshold, total)[-1]
-                yield batch.select(names).slice(lo, len(part)).filter(kept)
+            for part, buf, docs in W.pieces(batch.select(["text"])):
+                kept = judge(buf, docs, model, threshold)[-1]
+                yield batch.slice(lo, len(part)).filter(kept)
                 lo += len(part)
 
-    return scored.mapInArrow(run, schema)
+    return documents.mapInArrow(run, documents.schema)

@@ -60,14 +60,20 @@ def test_junk_is_not_masked_by_collisions_of_many_words(spark):
     assert [r.doc_id for r in quality.quality_rules(df, labels).where("not kept").orderBy("doc_id").collect()] == list(range(2500, 2520))
 
 
-def test_model_in_parts_scores_the_same(spark, monkeypatch):
-    df = spark.createDataFrame([*corpus(), (None, "a b c d e f g h i j k", "en", "s", 0)], DOCS)
-    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
-    read = lambda: (sorted(map(str, quality.quality_rules(df, labels).withColumn("score", F.round("score", 6)).collect())), sorted(map(str, quality.keep_good(df, labels).collect())))
-    whole = read()
-    monkeypatch.setattr(quality, "PART", 1 << 18)
-    assert read() == whole
-    assert quality.keep_good(df, labels).columns == df.columns
+def test_verdicts_stay_as_the_table_grows_past_the_hash_space(spark, monkeypatch):
+    """Ten times the documents, 2^20 buckets for more distinct n-grams than that, the trusted sample unchanged."""
+    monkeypatch.setattr(quality, "MOST_BUCKETS", 1 << 20)
+    rng = random.Random(4)
+    good = [prose(rng, 250, 40_000) for _ in range(4000)]
+    junk = [" ".join(f"{w}***" for w in prose(rng, 60, 8).split()) for _ in range(200)]
+    labels = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id long, quality int")
+    scores = []
+    for n, bad in ((400, 20), (4000, 200)):
+        data = rows(good[:n]) + [(10_000 + i, t, "en", "s", 0) for i, t in enumerate(junk[:bad])]
+        found = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(data, DOCS).repartition(4), labels).collect()}
+        assert all(r.kept == (i < 10_000) for i, r in found.items())
+        scores.append([found[i].score for i in range(400)])
+    assert max(abs(a - b) for a, b in zip(*scores)) < 0.15
 
 
 def test_half_spoiled_documents_are_rejected(spark):
@@ -109,8 +115,8 @@ def test_score_equals_brute_force(spark):
     raw, target = Counter(x for g in grams.values() for x in g), Counter(x for i in trusted for x in grams[i])
     share, k = sum(target.values()) / sum(raw.values()), quality.SMOOTHING
     n = sum(raw.values())
-    shift = math.log((n - len(raw) + k * quality.LEAST_BUCKETS) / (n + k * quality.LEAST_BUCKETS))
-    ratio = lambda x: math.log(target[x] / share + k) - math.log(max(raw[x] - 1, 0) + k)
+    shift = math.log(((n - len(raw)) * share + k * quality.LEAST_BUCKETS) / (n * share + k * quality.LEAST_BUCKETS))
+    ratio = lambda x: math.log(target[x] + k) - math.log(max(raw[x] - 1, 0) * share + k)
     out = quality.quality_rules(spark.createDataFrame(data, DOCS).repartition(3), spark.createDataFrame([(i, 1) for i in trusted], "doc_id long, quality int"), threshold=0.01).collect()
     for r in out:
         want = sum(map(ratio, grams[r.doc_id])) / len(grams[r.doc_id]) + shift if grams[r.doc_id] else 0.0
