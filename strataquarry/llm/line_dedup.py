@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import cut, release, unused
+from .runtime import cut, release, splittable, unused
 
 RATIO = 0.03
 SURE = 2.0
@@ -35,7 +35,7 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", rati
     counts = sites.select("h", "absent", F.explode(marks).alias("line")).groupBy("h", "absent", "line").agg(F.count(F.lit(1)).alias("pages")).where("pages > 1")
     totals = sites.groupBy("h", "absent").agg(F.count(F.lit(1)).alias("total"))
     above = F.col("pages") - F.lit(ratio) * F.col("total")
-    found = counts.join(totals, ["h", "absent"]).where((above > 0) & (above * above > F.lit(sure * sure * ratio * (1 - ratio)) * F.col("total")))
+    found = splittable(counts, totals, ["h", "absent"]).where((above > 0) & (above * above > F.lit(sure * sure * ratio * (1 - ratio)) * F.col("total")))
     return cut(found.groupBy("h", "absent").agg(F.array_sort(F.collect_list("line")).alias("hashes")))
 
 
