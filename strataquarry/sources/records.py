@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 CORRUPT = "_corrupt_record"
+# Between records of an export. Git's texts hold no NUL and a record has twelve fields, so no text makes this many in a row; and the
+# mark does not overlap itself, so a split that begins inside one cannot be read another way.
+RECORD_MARK = "\x1e" + "\x00" * 16
 # Directories that hold no owned source, for Python trees and for trees of other languages.
 SKIPPED_DIRS = (".git", ".strataquarry", ".venv", "venv", "env", ".tox", ".nox", ".mypy_cache", ".pytest_cache", ".ruff_cache", "__pycache__", "node_modules", "build", "dist", "site-packages", ".eggs")
 SKIPPED_ANY = (".git", ".strataquarry", ".venv", "venv", "node_modules", "vendor", "target", "build", "dist", "__pycache__", ".tox", ".mypy_cache", ".pytest_cache", "third_party", "external")
@@ -77,6 +80,22 @@ def parse_commits(raw: DataFrame) -> DataFrame:
     return rows.select("ordinal", "sha", "parent_shas", *names[2:8], "refs", "subject", F.regexp_replace("body", r"^\s+|\s+$", "").alias("body"), (F.size("parent_shas") > 1).alias("is_merge"), "changed_files", total("additions").alias("additions"), total("deletions").alias("deletions"))
 
 
+def read_commits(spark: SparkSession, path: str) -> DataFrame:
+    """Commits of export files as parse_commits() gives them: records of twelve NUL-separated fields, RECORD_MARK before or after each.
+
+    Spark's text source cuts large files into splits at marks, so one file is read by many tasks. `ordinal` counts from 0 by file path
+    and place: a first pass over the marks counts the records of each split, a second one parses. Ids of both passes agree because both
+    are scans of one file listing. Bytes that are no UTF-8 become U+FFFD; a blank record is none.
+    """
+    lines = spark.read.option("lineSep", RECORD_MARK).text(path).select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), F.make_valid_utf8(F.ltrim(F.col("value"), F.lit("\x00"))).alias("value"))
+    found = lines.where(F.trim(F.col("value"), F.lit("\x00\n\r ")) != "")
+    splits = found.groupBy("_file", "_at").agg(F.min("_id").alias("_first"), (F.max("_id") - F.min("_id") + 1).alias("_n"))
+    # One row a split: 100 TB are under a million, so this window is small.
+    splits = splits.select("_file", "_at", "_first", (F.sum("_n").over(Window.orderBy("_file", "_at")) - F.col("_n")).alias("_before"))
+    raw = found.join(splits, ["_file", "_at"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("ordinal"), "value")
+    return parse_commits(raw)
+
+
 def _change(line: Column) -> Column:
     p = F.split(line, "\t", 3)
     n = lambda i: F.get(p, F.lit(i)).try_cast("long")

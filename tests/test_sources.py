@@ -178,3 +178,36 @@ def test_streams(spark, tmp_path):
     for i in (1, 2):
         results.upsert(results.read_stream(spark, str(tmp_path / "in"), df.schema), str(tmp_path / "table"), str(tmp_path / f"cp{i}"), ["test_id"], ["reported_at"]).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "table")).count() == 2
+
+
+def test_commit_exports_are_read_in_splits(spark, tmp_path):
+    """Large files are cut at marks, wherever a split begins; ordinals follow files and places over splits."""
+    def record(i):
+        stat = "".join(f"\n{i}\t1\tdir/ä{j}.py\0" for j in range(i % 4))
+        return "\0".join([f"{i:040x}", "", "A", "", "t", "C", "", "t", "", f"subject {i} \x1e", "x" * (i % 37) + "\n" * (i % 3), stat])
+
+    n = 400
+    for k, part in enumerate((range(0, 250), range(250, n))):
+        body = "".join(records.RECORD_MARK + record(i) for i in part)
+        (tmp_path / f"log-{k}.bin").write_bytes(body.encode())
+    want = {r.sha: r for r in records.parse_commits(spark.createDataFrame([(i, record(i)) for i in range(n)], "ordinal long, value string")).collect()}
+    assert len(want) == n
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (997, 1009, 4096, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 1)
+            got = records.read_commits(spark, str(tmp_path)).collect()
+            assert len(got) == n and all(want[r.sha] == r for r in got), size
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_commit_export_without_records_and_with_broken_bytes(spark, tmp_path):
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "empty").write_bytes(b"")
+    (tmp_path / "e" / "mark").write_bytes(records.RECORD_MARK.encode())
+    assert records.read_commits(spark, str(tmp_path / "e")).count() == 0
+    (tmp_path / "e" / "one").write_bytes(b"s1\0p\0A\xff\0e\0t\0C\0e\0t\0\0subj\0body\0" + records.RECORD_MARK.encode())
+    assert [(r.ordinal, r.author_name) for r in records.read_commits(spark, str(tmp_path / "e")).collect()] == [(0, "A�")]
