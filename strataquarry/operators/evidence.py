@@ -19,6 +19,12 @@ def callers_of(edges: DataFrame, symbol: str) -> DataFrame:
     return edges.where((F.col("target") == symbol) & (F.col("kind") != "contains")).orderBy("path", "line", "source")
 
 
+def module_of_symbol(symbols: DataFrame, files: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, module) of wanted(id): that of the symbol's file; null where no symbol has that id or its file no module."""
+    own = symbols.select("id", "path").join(files.select("path", "module"), "path", "left").select("id", "module")
+    return wanted.select("id").distinct().join(own, "id", "left").groupBy("id").agg(F.min("module").alias("module"))
+
+
 def contract_of(symbols: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, qualified_name, signature, docstring, module) of wanted(id); empty where no symbol has that id."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.joins import splittable
 from ..functions.lineage import cut
 from .reach import components, on_cycle, waves
 
@@ -148,7 +149,9 @@ def impact(edges: DataFrame, symbols: DataFrame, changed: DataFrame, most: int =
     """Callers from outside into each changed path(path): by `path:line` as text, at most `most`, with the total and a flag."""
     owner = symbols.groupBy("id").agg(F.max("path").alias("owner"))
     c = changed.select("path").distinct()
-    refs = edges.where("kind <> 'contains'").join(owner.select(F.col("id").alias("target"), F.col("owner").alias("target_path")), "target").join(owner.select(F.col("id").alias("source"), F.col("owner").alias("source_path")), "source")
+    # a target or source that most edges have: its owner's row meets them in more than one task
+    refs = splittable(edges.where("kind <> 'contains'"), owner.select(F.col("id").alias("target"), F.col("owner").alias("target_path")), ["target"])
+    refs = splittable(refs, owner.select(F.col("id").alias("source"), F.col("owner").alias("source_path")), ["source"])
     refs = refs.join(c.select(F.col("path").alias("target_path")), "target_path", "left_semi").join(c.select(F.col("path").alias("source_path")), "source_path", "left_anti")
     anchored = refs.withColumn("anchor", F.concat_ws(":", "path", "line"))
     # a target that everything calls is cut to `most` in each of SPLIT parts before its parts meet; the total is a combinable count

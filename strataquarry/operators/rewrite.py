@@ -226,16 +226,16 @@ def private_symbols(files: DataFrame) -> DataFrame:
     return files.select("path", F.explode(F.array_distinct(F.transform(own, lambda d: d["name"]))).alias("name"))
 
 
-def rename_private(files: DataFrame, names: DataFrame, suffix: str = "_alt") -> DataFrame:
-    """(path, content, changed) with every whole-word private name given a suffix; tests stay as they are.
+def rename_private(files: DataFrame, names: DataFrame, suffix: str = "_alt", keys: tuple[str, ...] = ()) -> DataFrame:
+    """(*keys, path, content, changed) with every whole-word private name given a suffix; tests stay as they are.
 
-    The names are one task's internals, so they travel as one alternation.
+    The names of one task (`keys`; without them the whole table is one) are its internals, so they travel as one alternation.
     """
     words = F.array_join(F.sort_array(F.collect_set("name")), "|")
-    pattern = names.agg(F.when(F.count("name") > 0, F.concat(F.lit(r"\b("), words, F.lit(r")\b"))).alias("_p"))
-    rows = files.crossJoin(F.broadcast(pattern))
+    pattern = names.groupBy(*keys).agg(F.when(F.count("name") > 0, F.concat(F.lit(r"\b("), words, F.lit(r")\b"))).alias("_p"))
+    rows = files.join(pattern, list(keys), "left") if keys else files.crossJoin(F.broadcast(pattern))
     new = F.when(T.is_test_path(F.col("path")) | F.col("_p").isNull(), F.col("content")).otherwise(F.regexp_replace(F.col("content"), F.col("_p"), F.lit(f"$1{suffix}")))
-    return rows.select("path", new.alias("content"), (new != F.col("content")).alias("changed"))
+    return rows.select(*keys, "path", new.alias("content"), (new != F.col("content")).alias("changed"))
 
 
 def portability(renamed: Column, passing: Column, ran: Column) -> Column:

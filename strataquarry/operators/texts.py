@@ -156,11 +156,18 @@ def grep(files: DataFrame, pattern: str, most: int = 40) -> DataFrame:
     return lines.select("path", (F.col("n") + 1).alias("line"), "text").orderBy("path", "line").limit(most)
 
 
+def read_windows(files: DataFrame, requests: DataFrame, lines: int = 120, chars: int = 4_000) -> DataFrame:
+    """(path, start, text, end, of, truncated) of requests(path, start): `lines` lines from `start` (null or below 1: the first), cut to
+    `chars` characters. A request for a file that is not there has no row."""
+    rows = requests.select("path", F.greatest(F.coalesce(F.col("start"), F.lit(1)), F.lit(1)).cast("int").alias("start")).distinct().join(files.select("path", F.split("content", "\n").alias("_l")), "path")
+    text, end = F.array_join(F.slice("_l", F.col("start"), F.lit(lines)), "\n"), F.least(F.col("start") + lines - 1, F.size("_l"))
+    return rows.select("path", "start", F.substring(text, 1, chars).alias("text"), end.alias("end"), F.size("_l").alias("of"), ((end < F.size("_l")) | (F.length(text) > chars)).alias("truncated"))
+
+
 def read_window(files: DataFrame, path: str, start: int = 1, lines: int = 120, chars: int = 4_000) -> DataFrame:
-    """(path, text, truncated) of some lines of a file."""
-    all_lines = F.split("content", "\n")
-    text = F.array_join(F.slice(all_lines, start, lines), "\n")
-    return files.where(F.col("path") == path).select("path", F.substring(text, 1, chars).alias("text"), ((F.size(all_lines) > start - 1 + lines) | (F.length(text) > chars)).alias("truncated"))
+    """(path, text, truncated) of some lines of one file."""
+    wanted = files.where(F.col("path") == path)
+    return read_windows(wanted, wanted.select("path", F.lit(start).alias("start")), lines, chars).select("path", "text", "truncated")
 
 
 def list_dir(files: DataFrame, folder: str = "", most: int = 200) -> DataFrame:

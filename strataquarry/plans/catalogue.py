@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import checks, gating, intake, ranking, relational, structure, textual
+from . import checks, gating, intake, lookups, ranking, relational, structure, textual
 from .tables import Tables
 
-ALL = {**relational.Q, **ranking.Q, **gating.Q, **textual.Q, **intake.Q, **structure.Q, **checks.Q}
+ALL = {**relational.Q, **ranking.Q, **gating.Q, **textual.Q, **intake.Q, **structure.Q, **checks.Q, **lookups.Q}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
