@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lineage import land
 
 CORRUPT = "_corrupt_record"
 # Between records of an export. Git's texts hold no NUL and a record has twelve fields, so no text makes this many in a row; and the
@@ -90,8 +91,9 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("lineSep", RECORD_MARK).text(path).select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), F.make_valid_utf8(F.ltrim(F.col("value"), F.lit("\x00"))).alias("value"))
     found = lines.where(F.trim(F.col("value"), F.lit("\x00\n\r ")) != "")
     splits = found.groupBy("_file", "_at").agg(F.min("_id").alias("_first"), (F.max("_id") - F.min("_id") + 1).alias("_n"))
-    # One row a split: 100 TB are under a million, so this window is small.
-    splits = splits.select("_file", "_at", "_first", (F.sum("_n").over(Window.orderBy("_file", "_at")) - F.col("_n")).alias("_before"))
+    # One row a split: 100 TB are under a million, so this window is small. Landed, its size is known when the join is planned: Spark
+    # broadcasts it below its own limit, so texts stay where they are read, and shuffles beyond.
+    splits = land(splits.select("_file", "_at", "_first", (F.sum("_n").over(Window.orderBy("_file", "_at")) - F.col("_n")).alias("_before")))
     raw = found.join(splits, ["_file", "_at"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("ordinal"), "value")
     return parse_commits(raw)
 

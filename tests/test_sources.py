@@ -199,6 +199,8 @@ def test_commit_exports_are_read_in_splits(spark, tmp_path):
             spark.conf.set("spark.sql.files.openCostInBytes", 1)
             got = records.read_commits(spark, str(tmp_path)).collect()
             assert len(got) == n and all(want[r.sha] == r for r in got), size
+        plan = records.read_commits(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan  # texts are not shuffled
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
