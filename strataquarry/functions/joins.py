@@ -1,4 +1,4 @@
-"""Joins that a hot key does not hold up."""
+"""Joins that neither a hot key nor a wrong estimate holds up."""
 
 from __future__ import annotations
 
@@ -14,3 +14,9 @@ def splittable(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
         name += "_"
     half = F.pmod(F.xxhash64(*keys), F.lit(2))
     return left.withColumn(name, half).join(right.withColumn(name, half), [*keys, name], how).drop(name)
+
+
+def dealt(right: DataFrame) -> DataFrame:
+    """A join's side that is shuffled and never broadcast. Spark estimates a side by its files, but one that is exploded or made of texts
+    is many times larger, and a broadcast of it passes through the driver whole."""
+    return right.hint("merge")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.joins import dealt
 from ..functions.lineage import cut
 
 NGRAM = 5
@@ -51,9 +52,9 @@ def copied_lines(instructions: DataFrame, diffs: DataFrame, base: DataFrame | No
     """
     lines = diffs.select("task_id", F.posexplode(T.added_lines(F.col("diff"))).alias("line_no", "line"))
     spans = spans_of(lines, ["task_id", "line_no"], F.col("line"), n)
-    hits = spans.join(spans_of(instructions, ["task_id"], F.col("text"), n).select("task_id", "span").distinct(), ["task_id", "span"])
+    hits = spans.join(dealt(spans_of(instructions, ["task_id"], F.col("text"), n).select("task_id", "span").distinct()), ["task_id", "span"])
     if base is not None:
-        hits = hits.join(spans_of(base, ["task_id"], F.col("text"), n).select("task_id", "span").distinct(), ["task_id", "span"], "left_anti")
+        hits = hits.join(dealt(spans_of(base, ["task_id"], F.col("text"), n).select("task_id", "span").distinct()), ["task_id", "span"], "left_anti")
     return hits.groupBy("task_id", "line_no").agg(F.min_by("span", "at").alias("span"))
 
 
@@ -62,13 +63,13 @@ def novel_names(diffs: DataFrame, base: DataFrame) -> DataFrame:
     lines = diffs.select("task_id", F.explode(T.added_lines(F.col("diff"))).alias("x"))
     name = F.coalesce(F.nullif(F.regexp_extract("x", DEFINED, 1), F.lit("")), F.nullif(F.regexp_extract("x", ASSIGNED, 1), F.lit("")))
     names = lines.select("task_id", name.alias("name")).where("name is not null").distinct()
-    return names.join(base.select("task_id", "name").distinct(), ["task_id", "name"], "left_anti").withColumn("private", F.col("name").startswith("_"))
+    return names.join(dealt(base.select("task_id", "name").distinct()), ["task_id", "name"], "left_anti").withColumn("private", F.col("name").startswith("_"))
 
 
 def leaked_names(instructions: DataFrame, diffs: DataFrame, base: DataFrame) -> DataFrame:
     """(task_id, name, private) of novel names that the task's instruction(task_id, text) mentions. A private one is a leak."""
     said = instructions.select("task_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z_][A-Za-z0-9_]*"), F.lit(0)))).alias("name"))
-    return novel_names(diffs, base).join(said, ["task_id", "name"], "left_semi")
+    return novel_names(diffs, base).join(dealt(said), ["task_id", "name"], "left_semi")
 
 
 def leak_verdict(instructions: DataFrame, diffs: DataFrame, base: DataFrame, tree: DataFrame | None = None) -> DataFrame:
@@ -76,7 +77,7 @@ def leak_verdict(instructions: DataFrame, diffs: DataFrame, base: DataFrame, tre
     copied = copied_lines(instructions, diffs, tree).groupBy("task_id").agg(F.array_sort(F.collect_list("span")).alias("copied_spans"))
     names = leaked_names(instructions, diffs, base).groupBy("task_id").agg(F.sort_array(F.collect_set(F.when(F.col("private"), F.col("name")))).alias("private_names"), F.sort_array(F.collect_set(F.when(~F.col("private"), F.col("name")))).alias("public_names"))
     none = F.array().cast("array<string>")
-    rows = instructions.select("task_id").distinct().join(copied, "task_id", "left").join(names, "task_id", "left")
+    rows = instructions.select("task_id").distinct().join(dealt(copied), "task_id", "left").join(dealt(names), "task_id", "left")
     rows = rows.select("task_id", *(F.coalesce(c, none).alias(c) for c in ("copied_spans", "private_names", "public_names")))
     return rows.select("task_id", ((F.size("copied_spans") == 0) & (F.size("private_names") == 0)).alias("clean"), "copied_spans", "private_names", "public_names")
 
