@@ -16,10 +16,14 @@ FACTORS = ("coordinated_change", "cross_module", "misleading_similarity", "busin
 PENALTY = 0.35
 
 
-def weighted_rank(df: DataFrame, keys: list[str], weights: dict[str, float], tie: str, score: str = "score") -> DataFrame:
-    """Min-max each column in its pool, weigh, rank by score down and tie up. A pool of one, or a constant column, scores 1."""
+def weighted_rank(df: DataFrame, keys: list[str], weights: dict[str, float], tie: str, score: str = "score", digits: int | None = None) -> DataFrame:
+    """Min-max each column in its pool, weigh, rank by score down and tie up. A pool of one, or a constant column, scores 1.
+
+    With digits, scores are rounded before they rank, so that those which read alike are ties.
+    """
     normal = N.with_min_max(df, keys, list(weights))
     total = sum((F.col(f"{c}_norm") * w for c, w in weights.items()), F.lit(0.0))
+    total = total if digits is None else F.round(total, digits)
     return N.with_rank(normal.withColumn(score, total), keys, [F.desc(score), F.col(tie)])
 
 

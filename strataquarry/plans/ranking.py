@@ -45,7 +45,7 @@ def _norm(c: str) -> str:
 @Q.add(f"WITH s AS ({SUPPLIER}), z AS (SELECT s_suppkey, round({_norm('a')} * 0.35 + {_norm('b')} * 0.15 + {_norm('c')} * 0.10 + {_norm('d')} * 0.10 + {_norm('e')} * 0.10 + {_norm('s_acctbal')} * 0.20, 9) AS score FROM s) SELECT s_suppkey, score, row_number() OVER (ORDER BY score DESC, s_suppkey) AS rank FROM z")
 def q30_weighted_rank(t: Tables):
     weights = dict(zip(("a", "b", "c", "d", "e", "s_acctbal"), rank.HISTORY_WEIGHTS.values(), strict=True))
-    return rank.weighted_rank(_suppliers(t), [], weights, "s_suppkey").select("s_suppkey", F.round("score", 9).alias("score"), "rank")
+    return rank.weighted_rank(_suppliers(t), [], weights, "s_suppkey", digits=9).select("s_suppkey", "score", "rank")
 
 
 @Q.add("SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE year(o_orderdate) * 372 + month(o_orderdate) * 31 + day(o_orderdate) END AS ordinal FROM orders")
