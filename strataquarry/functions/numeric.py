@@ -13,6 +13,14 @@ def half_even(c: Column) -> Column:
     return F.rint(c)
 
 
+def mean_in_order(value: Column, order: Column) -> Column:
+    """Mean of a group's doubles, added one by one in `order`; nulls are left out. avg() adds them as partitions happen to meet, so the
+    last bit, and with it a comparison with a limit, changes from run to run. A group's numbers are held by one task."""
+    rows = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))))
+    total = F.aggregate(rows, F.lit(0.0), lambda s, x: s + x["v"])
+    return F.when(F.size(rows) > 0, total / F.size(rows))
+
+
 def nearest_rank(df: DataFrame, keys: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
     """value at index round_half_even(f * (n - 1)) of each group's order, clamped. One pass: no group is collected."""
     by = Window.partitionBy(*keys)

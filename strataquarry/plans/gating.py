@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import numeric as N
 from ..operators import dependencies, gates, texts
 from ..sources import manifests, reports
 from .tables import Catalogue, Tables
@@ -18,7 +19,7 @@ b AS (SELECT * FROM k WHERE early), a AS (SELECT * FROM k WHERE NOT early)"""
 
 def _runs(t: Tables):
     early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-16 00:00:00"))
-    r = t.events.groupBy("user_id", F.col("event_type").alias("test_id"), early.alias("early")).agg(F.avg("value").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1 or v > 15")
+    r = t.events.groupBy("user_id", F.col("event_type").alias("test_id"), early.alias("early")).agg(N.mean_in_order(F.col("value"), F.col("event_id")).alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1 or v > 15")
     v, n = F.col("v"), F.col("n")
     klass = F.when(v > 40, "passed").when(n == 1, "infrastructure").when(v > 25, "assertion").otherwise("behavioral_exception")
     k = r.select("user_id", "test_id", "early", F.when(v > 40, "passed").otherwise("failed").alias("status"), klass.alias("failure_class"), F.lit(True).alias("collected"))

@@ -1,8 +1,13 @@
 """Plans and results that hold on tables much larger than those of the other tests."""
 
+from datetime import datetime
+from functools import reduce
+from operator import add
+
 from pyspark.sql import functions as F
 
-from strataquarry.operators import texts
+from strataquarry.operators import rank, texts
+from strataquarry.plans import catalogue
 
 
 def plan(df):
@@ -10,14 +15,32 @@ def plan(df):
 
 
 def small(spark, **columns):
-    """One row that Spark estimates at some bytes, as the scan of a narrow table."""
-    return spark.range(1).select(*(F.lit(v).alias(k) for k, v in columns.items()))
+    """Task t0's row, which Spark estimates at some bytes, as the scan of a narrow table."""
+    return spark.range(1).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("task_id"), *(F.lit(v).alias(k) for k, v in columns.items()))
 
 
 def test_leak_verdict_broadcasts_nothing(spark):
-    said = small(spark, task_id="t", text="Set _new and call run(alpha, beta)")
-    diff = small(spark, task_id="t", diff="+++ b/x\n+_new = run(alpha, beta)\n")
-    names = small(spark, task_id="t", name="old")
+    said = small(spark, text="Set _new and call run(alpha, beta)")
+    diff = small(spark, diff="+++ b/x\n+_new = run(alpha, beta)\n")
+    names = small(spark, name="old")
     out = texts.leak_verdict(said, diff, names, names.selectExpr("task_id", "name AS text"))
     assert "SortMergeJoin" in plan(out) and "Broadcast" not in plan(out)
-    assert [tuple(r) for r in out.collect()] == [("t", False, ["run ( alpha , beta"], ["_new"], [])]
+    assert [tuple(r) for r in out.collect()] == [("t0", False, ["run ( alpha , beta"], ["_new"], [])]
+
+
+def test_classes_do_not_follow_the_order_of_rows(spark, tmp_path):
+    """Seven values whose mean is 25 on paper; added in the order of events they give the least double above it, backwards 25 or less."""
+    values = [19.0, 36.61, 37.28, 2.29, 51.77, 19.22, 8.83]
+    assert reduce(add, values) / 7 > 25 >= reduce(add, values[::-1]) / 7
+    rows = [(k, datetime(2024, 1, 20), 1, "view", v) for k, v in enumerate(values)] + [(7, datetime(2024, 1, 20), 2, "view", None), (8, datetime(2024, 1, 20), 2, "view", None)]
+    for name, some in (("there", rows), ("back", rows[::-1])):
+        spark.createDataFrame(some, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / name / "events.parquet"))
+        got = catalogue.queries()["q138_class_counts"](spark, str(tmp_path / name)).collect()
+        assert sorted((r.user_id, r.failure_class, r.n) for r in got) == [(1, "assertion", 1), (2, "behavioral_exception", 1)]
+
+
+def test_weighted_rank_is_of_the_scores_it_shows(spark):
+    """The larger of two scores that round alike stands behind the smaller key."""
+    plain = spark.createDataFrame([(0, 0.0), (1, 0.5 - 2e-11), (2, 0.5), (3, 1.0)], "s_suppkey int, x double")
+    shown = rank.weighted_rank(plain, [], {"x": 1.0}, "s_suppkey", digits=9)
+    assert [r.s_suppkey for r in shown.orderBy("rank").collect()] == [3, 1, 2, 0]
