@@ -8,8 +8,9 @@ length cancels, and every document is held against one fixed threshold.
 Both models are put in counts of the trusted sample before they are smoothed, and that sample is bounded. So a bucket's ratio
 tends to a fixed value as the table grows, rare words that the sample lacks say as little of a large table as of a small one,
 and n-grams that share a bucket add no more than the sample's n-grams divided by the buckets. Counts meet in slices of the
-hash space, distributed; the log ratios (2 bytes a bucket, 128 MB at most) travel to the workers at once, and every table is
-read three times: for its size, its counts and its verdicts.
+hash space, distributed; the log ratios (2 bytes a bucket, 128 MB at most) become a file that the driver writes slice by slice
+and Spark hands to the executors, whose workers map it into memory. So neither the driver nor a closure ever holds them. Every
+table is read three times: for its size, its counts and its verdicts.
 
 Defined results: null or empty text fails the rules; a document without n-grams scores 0; a score equal to the threshold is
 kept; without any trusted document every score is 0, so the rules alone decide; texts of any length are read whole; repeated
@@ -19,16 +20,21 @@ through keep_good() whatever their names and are otherwise ignored; an empty tab
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import cut, small_batches
+from .runtime import _folder, cut, small_batches
 
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 20, 1 << 26
 #: Buckets whose counts meet in one task.
@@ -87,11 +93,18 @@ def base_counts(buf: np.ndarray, docs: np.ndarray, w: W.Words) -> tuple[np.ndarr
 
 @dataclass
 class Model:
-    """Log ratio of every bucket; what every n-gram of a document adds besides."""
+    """Log ratio of every bucket, in a file that SparkContext.addFile has handed out (none: all 0); what every n-gram adds besides."""
 
-    ratio: np.ndarray
+    file: str | None
     shift: float
 
+    def __getstate__(self) -> dict:
+        return {"file": self.file, "shift": self.shift}
+
+    @cached_property
+    def ratio(self) -> np.ndarray:
+        return np.memmap(SparkFiles.get(self.file), np.float16, "r") if self.file else np.zeros(1, np.float16)
+
 
 def features(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of every unigram and bigram."""
@@ -183,21 +196,32 @@ def _ratios(share: float) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def _handed_out(table: DataFrame, buckets: int) -> str:
+    """Name of a file of every bucket's ratio, which the executors fetch; slices pass one by one, those of no n-gram are 0."""
+    spark, name = table.sparkSession, f"ratios-{uuid.uuid4().hex}"
+    path = f"{tempfile.mkdtemp(prefix='strataquarry-')}/{name}"
+    _folder(spark, f"file://{os.path.dirname(path)}")  # executors that come later still fetch it; it goes with the JVM
+    with open(path, "wb") as f:
+        f.truncate(2 * buckets)
+        for row in table.select("slice", "ratio").toLocalIterator():
+            f.seek(2 * SLICE * row.slice)
+            f.write(row.ratio)
+    spark.sparkContext.addFile(path)
+    return name
+
+
 def fit(documents: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> Model:
     small_batches(documents.sparkSession)
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("tid")).distinct().orderBy(F.xxhash64("tid"), "tid").limit(max_trusted)
     marked = documents.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("tid"), "left").select("text", F.col("tid").isNotNull().alias("trusted"))
     buckets, raw, target = _size(marked)
     if not target:
-        return Model(np.zeros(1, np.float16), 0.0)
+        return Model(None, 0.0)
     share = target / raw
     counts = marked.mapInArrow(_count(buckets), "slice long, place array<short>, raw array<int>, target array<int>")
     table = cut(counts.groupBy("slice").applyInArrow(_ratios(share), "slice long, used long, ratio binary"))
     used = table.agg(F.sum("used")).first()[0]
-    ratio = np.zeros(buckets, np.float16)
-    for row in table.select("slice", "ratio").toLocalIterator():
-        ratio[row.slice * SLICE : (row.slice + 1) * SLICE] = np.frombuffer(row.ratio, np.float16)
-    return Model(ratio, float(np.log(((raw - used) * share + SMOOTHING * buckets) / (target + SMOOTHING * buckets))))
+    return Model(_handed_out(table, buckets), float(np.log(((raw - used) * share + SMOOTHING * buckets) / (target + SMOOTHING * buckets))))
 
 
 def scores(w: W.Words, model: Model) -> np.ndarray:

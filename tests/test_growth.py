@@ -1,11 +1,15 @@
 """Plans and results that hold on tables much larger than those of the other tests."""
 
+import pickle
 from datetime import datetime
 from functools import reduce
 from operator import add
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from strataquarry.llm import quality
+from strataquarry.llm import words as W
 from strataquarry.operators import rank, texts
 from strataquarry.plans import catalogue
 
@@ -44,3 +48,15 @@ def test_weighted_rank_is_of_the_scores_it_shows(spark):
     plain = spark.createDataFrame([(0, 0.0), (1, 0.5 - 2e-11), (2, 0.5), (3, 1.0)], "s_suppkey int, x double")
     shown = rank.weighted_rank(plain, [], {"x": 1.0}, "s_suppkey", digits=9)
     assert [r.s_suppkey for r in shown.orderBy("rank").collect()] == [3, 1, 2, 0]
+
+
+def test_quality_model_is_a_file_not_a_closure(spark):
+    docs = spark.createDataFrame([(k, f"a{k % 7} b{k % 5} c{k % 3} d e f g h i j k{k}") for k in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(0, 40, 2)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert len(pickle.dumps(model)) < 1000
+    texts_ = [r.text.encode() for r in docs.orderBy("doc_id").collect()]
+    buf, ends = np.frombuffer(b"".join(texts_), np.uint8), np.cumsum([0, *map(len, texts_)])
+    want = quality.scores(W.split(buf, ends), model)
+    got = [r.score for r in quality.quality_rules(docs, labels).orderBy("doc_id").collect()]
+    assert np.any(want) and np.allclose(got, want)
