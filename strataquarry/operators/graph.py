@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.joins import splittable
+from ..functions.joins import dealt, splittable
 from ..functions.lineage import cut
 from .reach import components, on_cycle, waves
 
@@ -34,7 +34,7 @@ def contains_edges(symbols: DataFrame) -> DataFrame:
 
 def absolute_imports(imports: DataFrame, files: DataFrame) -> DataFrame:
     """imports with the importing file's module and `absolute`, the module they mean."""
-    here = imports.join(files.select("path", F.col("module").alias("here")), "path")
+    here = imports.join(dealt(files.select("path", F.col("module").alias("here"))), "path")
     return here.withColumn("absolute", T.resolve_relative(F.col("here"), F.col("module"), F.col("level"), F.col("path").endswith("__init__.py")))
 
 
@@ -47,7 +47,7 @@ def import_edges(imports: DataFrame, files: DataFrame, stdlib: tuple[str, ...] =
     modules = files.groupBy("module").agg(F.max("path").alias("to_path")).where("module is not null")
     rows = absolute_imports(imports, files).withColumn("sub", _submodule())
     a, b = modules.select(F.col("module").alias("sub"), F.col("to_path").alias("p1")), modules.select(F.col("module").alias("absolute"), F.col("to_path").alias("p2"))
-    rows = rows.join(a, "sub", "left").join(b, "absolute", "left")
+    rows = rows.join(dealt(a), "sub", "left").join(dealt(b), "absolute", "left")
     target = F.when(F.col("p1").isNotNull(), node(F.col("p1"), F.col("sub"))).when(F.col("p2").isNotNull(), node(F.col("p2"), F.col("absolute")))
     written = F.concat(F.repeat(F.lit("."), F.col("level")), F.concat_ws(".", F.when(F.col("module") != "", F.col("module")), "name"))
     root = F.substring_index(F.when(F.coalesce("absolute", F.lit("")) != "", F.col("absolute")).otherwise(F.col("bound_name")), ".", 1)
@@ -70,9 +70,9 @@ def bindings(imports: DataFrame, files: DataFrame, symbols: DataFrame, hops: int
     for hop in range(hops + 1):
         sub = modules.select(F.col("module").alias("sub"), F.col("to_path").alias("p1"))
         own = modules.select(F.col("module").alias("absolute"), F.col("to_path").alias("p2"))
-        step = todo.join(sub, "sub", "left").join(own, "absolute", "left")
+        step = todo.join(dealt(sub), "sub", "left").join(dealt(own), "absolute", "left")
         step = step.withColumn("attribute", F.when(F.col("want").isNotNull() & F.col("p2").isNotNull(), F.concat(F.col("p2"), F.lit("::"), F.concat_ws(".", "absolute", "want"))))
-        step = step.join(ids.select(F.col("id").alias("attribute"), F.lit(True).alias("known")), "attribute", "left")
+        step = step.join(dealt(ids.select(F.col("id").alias("attribute"), F.lit(True).alias("known"))), "attribute", "left")
         module_of = F.when(F.col("p1").isNotNull(), node(F.col("p1"), F.col("sub")))
         plain = F.when((F.coalesce("want", F.lit("")) == "") & F.col("p2").isNotNull(), node(F.col("p2"), F.col("absolute")))
         hit = F.coalesce(module_of, F.when(F.col("known"), F.col("attribute")), plain)
@@ -81,11 +81,11 @@ def bindings(imports: DataFrame, files: DataFrame, symbols: DataFrame, hops: int
         done = found if done is None else done.unionByName(found)
         if hop < hops:
             loose = step.where("hit is null and p2 is not null and want is not null").select("path", "bound_name", "ordinal", F.col("p2").alias("e_path"), "want")
-            todo = cut(loose.join(exports, ["e_path", "want"]).select("path", "bound_name", "ordinal", F.col("e.absolute").alias("absolute"), F.col("e.name").alias("want"), F.col("e.sub").alias("sub")))
+            todo = cut(loose.join(dealt(exports), ["e_path", "want"]).select("path", "bound_name", "ordinal", F.col("e.absolute").alias("absolute"), F.col("e.name").alias("want"), F.col("e.sub").alias("sub")))
             if todo.isEmpty():
                 break
     # a name the chase never finds still binds to the module it was taken from
-    fallback = every.join(modules.select(F.col("module").alias("absolute"), F.col("to_path").alias("p2")), "absolute").select("path", "bound_name", "ordinal", F.lit(hops + 1).alias("hop"), node(F.col("p2"), F.col("absolute")).alias("target"))
+    fallback = every.join(dealt(modules.select(F.col("module").alias("absolute"), F.col("to_path").alias("p2"))), "absolute").select("path", "bound_name", "ordinal", F.lit(hops + 1).alias("hop"), node(F.col("p2"), F.col("absolute")).alias("target"))
     best = done.unionByName(fallback).groupBy("path", "bound_name", "ordinal").agg(F.min_by("target", "hop").alias("target"))
     return cut(best.groupBy("path", "bound_name").agg(F.max_by("target", "ordinal").alias("target")))
 
@@ -93,13 +93,13 @@ def bindings(imports: DataFrame, files: DataFrame, symbols: DataFrame, hops: int
 def resolve(rows: DataFrame, files: DataFrame, symbols: DataFrame, bound: DataFrame) -> DataFrame:
     """rows(path, expression, ...) with `target`: the file's own symbol first, then the name its head is bound to."""
     ids = symbols.select(F.col("id").alias("_id")).distinct()
-    rows = rows.join(files.select("path", F.col("module").alias("_module")), "path")
+    rows = rows.join(dealt(files.select("path", F.col("module").alias("_module"))), "path")
     rows = rows.withColumn("_local", F.concat(F.col("path"), F.lit("::"), F.concat_ws(".", "_module", "expression")))
     rows = rows.withColumn("_head", F.substring_index("expression", ".", 1)).withColumn("_tail", F.when(F.col("expression").contains("."), F.regexp_replace("expression", r"^[^.]*\.", "")))
-    rows = rows.join(bound.select("path", F.col("bound_name").alias("_head"), F.col("target").alias("_bound")), ["path", "_head"], "left")
+    rows = rows.join(dealt(bound.select("path", F.col("bound_name").alias("_head"), F.col("target").alias("_bound"))), ["path", "_head"], "left")
     rows = rows.withColumn("_other", F.when(F.col("_bound").isNotNull(), F.concat_ws(".", "_bound", "_tail")))
     a, b = ids.select(F.col("_id").alias("_local"), F.lit(True).alias("_k1")), ids.select(F.col("_id").alias("_other"), F.lit(True).alias("_k2"))
-    rows = rows.join(a, "_local", "left").join(b, "_other", "left")
+    rows = rows.join(dealt(a), "_local", "left").join(dealt(b), "_other", "left")
     return rows.withColumn("target", F.when(F.col("_k1"), F.col("_local")).when(F.col("_k2"), F.col("_other")))
 
 
@@ -112,7 +112,7 @@ def inherit_edges(symbols: DataFrame, files: DataFrame, bound: DataFrame) -> tup
 def call_edges(calls: DataFrame, symbols: DataFrame, files: DataFrame, bound: DataFrame, imports: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = resolve(calls.select("path", "line", F.concat_ws("::", "path", "scope").alias("source"), "expression"), files, symbols, bound)
     names = imports.select("path", F.col("bound_name").alias("_head"), F.lit(True).alias("_imported")).distinct()
-    rows = rows.join(names, ["path", "_head"], "left")
+    rows = rows.join(dealt(names), ["path", "_head"], "left")
     reason = F.when(F.col("_head").isin(*BUILTINS), "builtin").when(F.col("_bound").isNotNull(), "external_attribute").when(F.col("_imported"), "external_module").otherwise("dynamic_or_local")
     return rows.where("target is not null").select(F.lit("calls").alias("kind"), "source", "target", "path", "line", "expression"), rows.where("target is null").select(F.lit("call").alias("kind"), "expression", "source", "path", "line", reason.alias("reason"))
 
