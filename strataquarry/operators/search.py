@@ -1,31 +1,58 @@
 """Search over a tree of texts by trigrams: an inverted index picks the files that can match before a pattern reads them.
 
 The index is rows (gram, path), a file's distinct runs of three characters without a line end. Written by write_index() it is sorted by gram,
-so a lookup's filter skips most row groups, and ranged by (gram, path), so a run that every file has fills many files of postings, not one.
+so a lookup's filter skips most pages, and dealt by the gram and one of PARTS of the paths, so a run that every file has fills many files of
+postings, not one. Ranges would have to be sampled, and with that all grams made twice.
 A pattern's grams come from the characters that every match must hold; a pattern without any is run over all files. Null texts have no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIZE = 3
+#: Parts of the paths, each of which holds its own postings of a gram.
+PARTS = 16
+#: Postings that leave a task's Python at once.
+_ROWS = 100_000
+_LINE, _ONE, _TWO, _LOW = np.uint64(10), np.uint64(21), np.uint64(42), np.uint64((1 << 21) - 1)
 CLASSES = "dDsSwWbBAzZGRnrtfhHvV"
 
 
-def grams(text: Column) -> Column:
-    """Distinct trigrams of a text, in one pass over it (empty matches in front of each)."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?=([^\n]{%d}))" % SIZE), F.lit(1)))
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, path) of a task's texts: three code points in a number, so that a text's distinct ones come from one sort."""
+    names = ["gram", "path"]
+    for batch in batches:
+        found, owner, paths = [], [], batch.column(0)
+        for row, text in enumerate(batch.column(1)):
+            code = np.frombuffer((text.as_py() or "").encode("utf-32-le"), np.uint32).astype(np.uint64)
+            if len(code) < SIZE:
+                continue
+            a, b, c = code[:-2], code[1:-1], code[2:]
+            key = np.unique((a << _TWO | b << _ONE | c)[(a != _LINE) & (b != _LINE) & (c != _LINE)])
+            signs = np.stack([key >> _TWO, key >> _ONE & _LOW, key & _LOW], 1).astype("<u4").tobytes().decode("utf-32-le")
+            found += [signs[i : i + SIZE] for i in range(0, len(signs), SIZE)]
+            owner.append(np.full(len(key), row))
+            if len(found) > _ROWS:
+                yield pa.record_batch([pa.array(found, pa.string()), paths.take(pa.array(np.concatenate(owner)))], names=names)
+                found, owner = [], []
+        if found:
+            yield pa.record_batch([pa.array(found, pa.string()), paths.take(pa.array(np.concatenate(owner)))], names=names)
 
 
 def gram_index(files: DataFrame) -> DataFrame:
     """(gram, path) of files(path, content)."""
-    return files.select("path", F.explode(grams(F.col("content"))).alias("gram")).select("gram", "path")
+    return files.select("path", "content").mapInArrow(_grams, "gram string, path string")
 
 
 def write_index(files: DataFrame, path: str) -> None:
-    gram_index(files).repartitionByRange("gram", "path").sortWithinPartitions("gram", "path").write.mode("overwrite").parquet(path)
+    part = F.pmod(F.xxhash64("path"), F.lit(PARTS))
+    gram_index(files).repartition("gram", part).sortWithinPartitions("gram", "path").write.mode("overwrite").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -8,9 +8,10 @@ from operator import add
 import numpy as np
 from pyspark.sql import functions as F
 
+from strataquarry.functions import lineage
 from strataquarry.llm import quality
 from strataquarry.llm import words as W
-from strataquarry.operators import rank, texts
+from strataquarry.operators import graph, rank, search, texts
 from strataquarry.plans import catalogue
 
 
@@ -60,3 +61,31 @@ def test_quality_model_is_a_file_not_a_closure(spark):
     want = quality.scores(W.split(buf, ends), model)
     got = [r.score for r in quality.quality_rules(docs, labels).orderBy("doc_id").collect()]
     assert np.any(want) and np.allclose(got, want)
+
+
+def test_bindings_broadcast_nothing(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(graph, "cut", lambda df: (plans.append(plan(df)), lineage.cut(df))[1])
+    k = F.col("id")
+    path, module = (F.concat(F.lit(a), k.cast("string"), F.lit(b)) for a, b in (("m", ".py"), ("m", "")))
+    files = spark.range(1, 9).select(path.alias("path"), module.alias("module"))
+    imports = spark.range(2, 9).select(path.alias("path"), F.lit(1).alias("line"), F.concat(F.lit("m"), F.expr("id div 2").cast("string")).alias("module"), F.lit("f").alias("name"), F.lit(0).alias("level"), F.lit("f").alias("bound_name"), F.lit(0).alias("ordinal"))
+    got = graph.bindings(imports, files, spark.range(1, 2).select(F.concat(F.lit("m"), k.cast("string"), F.lit(".py::m1.f")).alias("id")))
+    assert {r.target for r in got.collect()} == {"m1.py::m1.f"} and got.count() == 7
+    assert plans and not any("Broadcast" in p for p in plans)
+
+
+def test_index_reads_its_texts_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    contents = {"a": "abcabc\nab", "b": None, "c": "", "d": "é😀x\x00y", "e": "ab", "f": "\nxyz\n"}
+    files = spark.createDataFrame(list(contents.items()), "path string, content string").select("path", F.udf(seen)("content").alias("content"))
+    search.write_index(files, str(tmp_path / "i"))
+    assert read.value == len(contents)
+    want = {(line[i : i + 3], path) for path, text in contents.items() for line in (text or "").split("\n") for i in range(len(line) - 2)}
+    got = [tuple(r) for r in search.read_index(spark, str(tmp_path / "i")).collect()]
+    assert sorted(got) == sorted(want)
