@@ -8,9 +8,11 @@ length cancels, and every document is held against one fixed threshold.
 Both models are put in counts of the trusted sample before they are smoothed, and that sample is bounded. So a bucket's ratio
 tends to a fixed value as the table grows, rare words that the sample lacks say as little of a large table as of a small one,
 and n-grams that share a bucket add no more than the sample's n-grams divided by the buckets. Counts meet in slices of the
-hash space, distributed; the log ratios (2 bytes a bucket, 128 MB at most) become a file that the driver writes slice by slice
-and Spark hands to the executors, whose workers map it into memory. So neither the driver nor a closure ever holds them. Every
-table is read three times: for its size, its counts and its verdicts.
+hash space, distributed; the log ratios become a file that the driver writes slice by slice and Spark hands to the executors,
+whose workers map it into memory. So neither the driver nor a closure ever holds them. Spark keeps two copies of it an executor
+until the session ends, so only ratios that are not 0 stand in it (2 bytes each), found by one bit a bucket and a count of
+ratios every 64 buckets: 1.5 bits a bucket, 140 MB at most. Most buckets of a small table hold no n-gram or one that stands once
+in a document that is not trusted, whose ratio is 0. Every table is read three times: for its size, its counts and its verdicts.
 
 Defined results: null or empty text fails the rules; a document without n-grams scores 0; a score equal to the threshold is
 kept; without any trusted document every score is 0, so the rules alone decide; texts of any length are read whole; repeated
@@ -21,7 +23,6 @@ through keep_good() whatever their names and are otherwise ignored; an empty tab
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import _folder, cut, small_batches
+from .runtime import cut, forget, release, small_batches
 
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 20, 1 << 26
 #: Buckets whose counts meet in one task.
@@ -93,17 +94,31 @@ def base_counts(buf: np.ndarray, docs: np.ndarray, w: W.Words) -> tuple[np.ndarr
 
 @dataclass
 class Model:
-    """Log ratio of every bucket, in a file that SparkContext.addFile has handed out (none: all 0); what every n-gram adds besides."""
+    """Log ratios of the buckets, in a file that SparkContext.addFile has handed out (none: all 0); what every n-gram adds besides."""
 
     file: str | None
     shift: float
+    buckets: int = LEAST_BUCKETS
 
     def __getstate__(self) -> dict:
-        return {"file": self.file, "shift": self.shift}
+        return {"file": self.file, "shift": self.shift, "buckets": self.buckets}
 
     @cached_property
-    def ratio(self) -> np.ndarray:
-        return np.memmap(SparkFiles.get(self.file), np.float16, "r") if self.file else np.zeros(1, np.float16)
+    def _parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A bit a bucket; the ratios before each 64 buckets; the ratios that are not 0, by slices as they came."""
+        held, bits, ahead = np.memmap(SparkFiles.get(self.file), np.uint8, "r"), self.buckets // 8, self.buckets // 16
+        return held[:bits].view(np.uint64), held[bits : bits + ahead].view(np.int32), held[bits + ahead :].view(np.float16)
+
+    def ratio(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes))
+        if self.file:
+            bits, ahead, ratios = self._parts
+            bucket = hashes & np.uint64(self.buckets - 1)
+            word, bit = bucket >> np.uint64(6), np.uint64(1) << (bucket & np.uint64(63))
+            told = bits[word]
+            at = np.flatnonzero(told & bit)
+            out[at] = ratios[ahead[word[at]] + np.bitwise_count(told[at] & (bit[at] - np.uint64(1)))]
+        return out
 
 
 def features(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -190,23 +205,30 @@ def _ratios(share: float) -> Callable[[pa.Table], pa.Table]:
             target[at] += t
         used = int((raw > 0).sum())
         raw = np.maximum(raw - 1, 0)  # a document that is scored has been counted itself
-        ratio = np.log(target + SMOOTHING) - np.log(raw * share + SMOOTHING)
-        return pa.table({"slice": rows.column("slice")[:1], "used": pa.array([used]), "ratio": pa.array([ratio.astype(np.float16).tobytes()], pa.binary())})
+        ratio = (np.log(target + SMOOTHING) - np.log(raw * share + SMOOTHING)).astype(np.float16)
+        told = ratio != 0
+        bits, told = np.packbits(told, bitorder="little").tobytes(), ratio[told].tobytes()
+        return pa.table({"slice": rows.column("slice")[:1], "used": pa.array([used]), "bits": pa.array([bits], pa.binary()), "ratio": pa.array([told], pa.binary())})
 
     return run
 
 
 def _handed_out(table: DataFrame, buckets: int) -> str:
-    """Name of a file of every bucket's ratio, which the executors fetch; slices pass one by one, those of no n-gram are 0."""
-    spark, name = table.sparkSession, f"ratios-{uuid.uuid4().hex}"
-    path = f"{tempfile.mkdtemp(prefix='strataquarry-')}/{name}"
-    _folder(spark, f"file://{os.path.dirname(path)}")  # executors that come later still fetch it; it goes with the JVM
+    """Name of a file of the ratios (see Model), which the executors fetch; slices pass one by one, those of no n-gram are 0."""
+    name, n = f"ratios-{uuid.uuid4().hex}", 0
+    path = os.path.join(SparkFiles.getRootDirectory(), name)  # where addFile would copy it to; it goes with the session
     with open(path, "wb") as f:
-        f.truncate(2 * buckets)
-        for row in table.select("slice", "ratio").toLocalIterator():
-            f.seek(2 * SLICE * row.slice)
+        f.truncate(buckets // 8 + buckets // 16)
+        for row in table.select("slice", "bits", "ratio").toLocalIterator():
+            f.seek(SLICE // 8 * row.slice)
+            f.write(row.bits)
+            counts = np.bitwise_count(np.frombuffer(row.bits, np.uint64))
+            f.seek(buckets // 8 + SLICE // 16 * row.slice)
+            f.write((n + np.cumsum(counts, dtype=np.int32) - counts).astype(np.int32).tobytes())
+            f.seek(0, os.SEEK_END)
             f.write(row.ratio)
-    spark.sparkContext.addFile(path)
+            n += len(row.ratio) // 2
+    table.sparkSession.sparkContext.addFile(path)
     return name
 
 
@@ -219,15 +241,18 @@ def fit(documents: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED)
         return Model(None, 0.0)
     share = target / raw
     counts = marked.mapInArrow(_count(buckets), "slice long, place array<short>, raw array<int>, target array<int>")
-    table = cut(counts.groupBy("slice").applyInArrow(_ratios(share), "slice long, used long, ratio binary"))
+    table = cut(counts.groupBy("slice").applyInArrow(_ratios(share), "slice long, used long, bits binary, ratio binary"))
     used = table.agg(F.sum("used")).first()[0]
-    return Model(_handed_out(table, buckets), float(np.log(((raw - used) * share + SMOOTHING * buckets) / (target + SMOOTHING * buckets))))
+    file = _handed_out(table, buckets)
+    forget(table)
+    release(documents.sparkSession)  # the shuffled counts go before the file has copies
+    return Model(file, float(np.log(((raw - used) * share + SMOOTHING * buckets) / (target + SMOOTHING * buckets))), buckets)
 
 
 def scores(w: W.Words, model: Model) -> np.ndarray:
     """Mean log ratio of each document's n-grams."""
     doc, hashes = features(w)
-    total = np.bincount(doc, model.ratio[hashes & np.uint64(len(model.ratio) - 1)].astype(float), len(w.docs) - 1)
+    total = np.bincount(doc, model.ratio(hashes), len(w.docs) - 1)
     n = w.counts() + np.maximum(w.counts() - 1, 0)
     return np.where(n > 0, total / np.maximum(n, 1) + model.shift, 0.0)
 

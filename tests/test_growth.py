@@ -1,15 +1,18 @@
 """Plans and results that hold on tables much larger than those of the other tests."""
 
+import os
 import pickle
 from datetime import datetime
 from functools import reduce
 from operator import add
 
 import numpy as np
+import pytest
+from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 from strataquarry.functions import lineage
-from strataquarry.llm import quality
+from strataquarry.llm import quality, runtime
 from strataquarry.llm import words as W
 from strataquarry.operators import graph, rank, search, texts
 from strataquarry.plans import catalogue
@@ -63,6 +66,37 @@ def test_quality_model_is_a_file_not_a_closure(spark):
     assert np.any(want) and np.allclose(got, want)
 
 
+def test_quality_file_holds_no_ratio_of_zero_and_leaves_no_other_copy(spark, monkeypatch, tmp_path):
+    """Most n-grams stand once in a document that is not trusted; each executor keeps two copies of the file."""
+    written, spaces = [], []
+    monkeypatch.setattr(quality, "cut", lambda df: (written.append(runtime.cut(df)), written[-1])[1])
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    monkeypatch.setattr(quality, "_count", lambda buckets, f=quality._count: (spaces.append(buckets), f(buckets))[1])
+    docs = spark.createDataFrame([(k, f"a{k % 7} b{k % 5} c{k % 3} d e f g h i j " + " ".join(f"w{k}x{i}" for i in range(200))) for k in range(40)], "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(k, 1) for k in range(2)], "doc_id long, quality int"))
+    (buckets,) = spaces
+    path = SparkFiles.get(model.file)
+    assert os.path.getsize(path) < buckets * 3 // 16 + 2 * 2_000, "16,000 n-grams, some 950 of which are trusted or repeated"
+    assert not os.path.exists(written[0]._cut.removeprefix("file://"))
+    assert not list(tmp_path.rglob("ratios-*"))
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 1.0])
+def test_quality_file_gives_the_ratio_of_every_bucket(spark, share):
+    """Slices in any order, one of them without n-grams; every bucket is looked up."""
+    buckets, rng = quality.SLICE * 4, np.random.default_rng(2)
+    want = np.where(rng.random(buckets) < share, rng.normal(size=buckets), 0).astype(np.float16)
+    want[2 * quality.SLICE : 3 * quality.SLICE] = 0
+    rows = []
+    for k in (3, 0, 1):
+        part = want[k * quality.SLICE : (k + 1) * quality.SLICE]
+        rows.append((k, bytearray(np.packbits(part != 0, bitorder="little")), bytearray(part[part != 0].tobytes())))
+    name = quality._handed_out(spark.createDataFrame(rows, "slice long, bits binary, ratio binary").coalesce(1), buckets)
+    model = pickle.loads(pickle.dumps(quality.Model(name, 0.0, buckets)))
+    high = rng.integers(0, 1 << 40, buckets).astype(np.uint64) * np.uint64(buckets)
+    assert np.array_equal(model.ratio(high + np.arange(buckets, dtype=np.uint64)), want.astype(float))
+
+
 def test_bindings_broadcast_nothing(spark, monkeypatch):
     plans = []
     monkeypatch.setattr(graph, "cut", lambda df: (plans.append(plan(df)), lineage.cut(df))[1])
